@@ -1,9 +1,9 @@
 """License scans with a positional rare-token index, by DataFrame functions only.
 
-Templates are short licence notices. Their words make the vocabulary; the inverse document frequency of each is taken over all documents. A
-document's licence words of highest IDF look up the postings of the templates; what a document and a template share
-at one relative position is counted, and where enough rare words meet and the template's mandatory phrase stands at
-that place, its label is given. The score is the greatest share of a template's IDF found in place.
+Templates are short licence notices. Their words make the vocabulary; the inverse document frequency of each is taken over all
+documents. The index posts each template under the rarest word of its mandatory phrase, with its place. A document looks up its
+words of highest IDF in it; each posting gives a relative position, at which the template's words are intersected with the
+document's and the mandatory phrase is verified. The score is the greatest share of a template's IDF found in place.
 
 Only documents that hold a mandatory phrase can pass, so word positions are kept for those alone; all documents count for the
 frequencies. The base phrases are templates too, and every place of them is counted. Null or empty text: no words, no
@@ -13,15 +13,13 @@ by word. Empty table: no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Licence words of highest IDF that a document looks up.
-RARE_WORDS = 16
 #: Base phrases and labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Label, mandatory phrase, notice.
@@ -89,15 +87,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     n_docs = read.count()
     frequency = read.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     idf = materialize(index.select("word").distinct().join(frequency, "word", "left").select("word", F.log((1 + F.lit(n_docs)) / (1 + F.coalesce("df", F.lit(0)))).alias("idf")))
+    inside = F.col("place").between(F.col("first"), F.col("last"))
     index = index.join(F.broadcast(idf), "word")
     totals = index.groupBy("template").agg(F.sum("idf").alias("total"), F.max(F.col("last") - F.col("first") + 1).alias("needed"))
-    found = read.where("hits is not null").select("row", F.explode("hits").alias("h")).select("row", "h.*").join(F.broadcast(idf), "word")
-    words = found.select("row", "word", "idf").distinct()
-    rare = words.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("idf"), "word"))).where(F.col("rank") <= RARE_WORDS)
-    looked = found.join(rare.select("row", "word"), ["row", "word"]).join(F.broadcast(index.select("template", "word", "place")), "word")
-    places = looked.select("row", "template", (F.col("at") - F.col("place")).alias("offset")).distinct()
+    rarest = index.where(inside).groupBy("template").agg(F.max_by(F.struct("word", "place"), F.struct("idf", "word", "place")).alias("r")).select("template", "r.*")
+    found = read.where("hits is not null").select("row", F.explode("hits").alias("h")).select("row", "h.*")
+    places = found.join(F.broadcast(rarest), "word").select("row", "template", (F.col("at") - F.col("place")).alias("offset")).distinct()
     placed = places.join(F.broadcast(index), "template").join(found.select("row", "word", "at"), ["row", "word"]).where("at = offset + place")
-    inside = F.col("place").between(F.col("first"), F.col("last"))
     met = placed.groupBy("row", "template", "label", "offset").agg(F.sum("idf").alias("got"), F.sum(inside.cast("int")).alias("phrase"))
     passed = met.join(F.broadcast(totals), "template").where("phrase = needed")
     longest = F.when(F.col("total") > 0, F.col("got") / F.col("total")).otherwise(1.0)
