@@ -159,8 +159,10 @@ def _unary(words, evidence: np.ndarray, weights: dict) -> np.ndarray:
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = TRAIN_DOCS) -> dict:
     """Weights by the averaged structured perceptron on at most `limit` documents, those with tokens of most interest by hash of
     their id; half of the tokens have their pattern evidence hidden."""
-    likely = docs.where(F.col(text).rlike("[0-9@+]")).select(F.substring(F.col(text), 1, 20000).alias("text"), F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("h"))
-    rows = likely.orderBy("h").limit(limit).collect()
+    likely = docs.where(F.col(text).rlike("[0-9@+]")).select(F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("h"))
+    picked = [r["h"] for r in likely.select("h").distinct().orderBy("h").limit(limit).collect()]
+    rows = likely.where(F.col("h") <= picked[-1]).dropDuplicates(["h"]).collect() if picked else []
+    rows.sort(key=lambda r: r["h"])
     weights = {"word": defaultdict(lambda: np.zeros(len(LABELS))), "evidence": np.zeros((len(LABELS), len(LABELS))), "chain": np.zeros((len(LABELS),) * 2), "skip": np.eye(len(LABELS)) * 2.0}
     total = {"word": defaultdict(lambda: np.zeros(len(LABELS))), "evidence": weights["evidence"] * 0, "chain": weights["chain"] * 0, "skip": weights["skip"] * 0}
     rng, step = np.random.default_rng(11), 0
