@@ -1,7 +1,7 @@
 """Chat formatting with a grammar round trip: rendered text is reparsed by a deterministic parser, the turns are compared with
 the source, and what conflicts is escaped until both are identical.
 
-Grammar: a conversation is a sequence of turns `<|im_start|>` role line-break text `<|im_end|>` line-break. Inside roles and
+Grammar: a conversation is a sequence of turns `<|im_start|>` role line-break text `<|im_end|>` line-break. Roles and texts hold no marks. Inside roles and
 texts, `<`, one or more backslashes, `|` stands for the same with one backslash less; inside roles, a backslash before a
 backslash or `n` stands for that backslash or a line break. A text is written plain unless reparsing it gives something else.
 
@@ -25,7 +25,7 @@ LEARNED = "assistant"
 _OPEN = re.compile(r"<(\\*)\|")
 _SHUT = re.compile(r"<\\(\\*)\|")
 _ROLE = re.compile(r"[\\\n]")
-_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
+_HEAD = re.compile(r"<\|im_start\|>([^\n]*)\n")
 
 
 def _escape(text: str) -> str:
@@ -48,11 +48,15 @@ def parse(rendered: str) -> list[tuple[str, str]]:
     """Roles and texts of the turns; text outside the grammar raises ValueError."""
     turns, at = [], 0
     while at < len(rendered):
-        m = _TURN.match(rendered, at)
-        if m is None:
+        head = _HEAD.match(rendered, at)
+        stop = rendered.find(END, head.end()) if head else -1
+        if stop < 0 or not rendered.startswith("\n", stop + len(END)):
             raise ValueError(f"not in the grammar at {at}")
-        turns.append((_unescape_role(m[1]), _unescape(m[2])))
-        at = m.end()
+        role, text = head[1], rendered[head.end() : stop]
+        if START in text or START in role or END in role:
+            raise ValueError(f"a mark inside the turn at {at}")
+        turns.append((_unescape_role(role), _unescape(text)))
+        at = stop + len(END) + 1
     return turns
 
 

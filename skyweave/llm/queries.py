@@ -60,7 +60,8 @@ with turns as (
   union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
   union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 written as (
-  select *, length(text) + len(regexp_extract_all(text, '<\\\\*\\|')) as text_chars from turns)
+  select *, length(text) + case when contains(text, '<|im_start|>') or contains(text, '<|im_end|>') or regexp_matches(text, '<\\\\+\\|')
+    then len(regexp_extract_all(text, '<\\\\*\\|')) else 0 end as text_chars from turns)
 select conv_id, count(*) as n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
        cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
