@@ -37,7 +37,7 @@ def error_summary(errors: DataFrame) -> DataFrame:
     stats = [F.count("*").alias("n"), F.avg(e), F.median(e), F.percentile(e, 0.9), F.percentile(e, 0.95), F.min(e), F.max(e), F.stddev_pop(e)]
     names = ["mean", "median", "p90", "p95", "min", "max", "std"]
     grouped = ok.groupingSets([[F.col("kp_name")], [F.col("unique_scene")]], "kp_name", "unique_scene")
-    out = grouped.agg(stats[0], *(F.round(s, 6).alias(n) for s, n in zip(stats[1:], names, strict=True)))
+    out = grouped.agg(stats[0], *(F.round(s, 9).alias(n) for s, n in zip(stats[1:], names, strict=True)))
     return out.select(F.when(F.col("kp_name").isNotNull(), "keypoint").otherwise("scene").alias("kind"), F.coalesce("kp_name", "unique_scene").alias("name"), "n", *names)
 
 
@@ -69,3 +69,26 @@ def ever_failed(errors: DataFrame) -> DataFrame:
 
 def scenes_per_bag(scenes: DataFrame) -> DataFrame:
     return scenes.groupBy("bag_stem").agg(F.countDistinct("unique_scene").alias("n_scenes"))
+
+
+def largest_box(detections: DataFrame) -> DataFrame:
+    """The box of largest area of each scene and class, the first on ties."""
+    area = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    w = Window.partitionBy("unique_scene", "cls").orderBy(F.desc(area), "det_idx")
+    return detections.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("unique_scene", "cls", "det_idx", area.alias("area"))
+
+
+def scene_detections(best: DataFrame, width: int, height: int, classes: dict[str, int], needed: str = "aircraft") -> DataFrame:
+    """One row per scene that has a clipped box of the needed class: for each class its box as a struct, or null, and its confidence."""
+    from skyweave.functions.boxes2d import clip_xyxy
+
+    clipped = best.withColumn("box", clip_xyxy(*map(F.col, ("x1", "y1", "x2", "y2")), F.lit(width), F.lit(height))).where("box is not null")
+    one = lambda c, k: F.max(F.when(F.col("cls") == k, F.col(c)))
+    wide = clipped.groupBy("unique_scene").agg(*(one(c, k).alias(f"{n}_{c}") for n, k in classes.items() for c in ("box", "conf")))
+    return wide.where(F.col(f"{needed}_box").isNotNull())
+
+
+def every_nth(rows: DataFrame, order: str, stride: int, cap: int | None = None) -> DataFrame:
+    """Every stride-th row by a unique key, the first included, at most cap rows. Ranks come from one window over the key's rows."""
+    ranked = rows.withColumn("_rn", F.row_number().over(Window.orderBy(order)) - 1).where(F.col("_rn") % stride == 0)
+    return (ranked if cap is None else ranked.where(F.col("_rn") < stride * cap)).drop("_rn")

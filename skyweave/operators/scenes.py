@@ -92,3 +92,29 @@ def cloud_summary(px: DataFrame) -> DataFrame:
     """Count, bounds and centre of each scene's points."""
     ends = [f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("min", F.min), ("max", F.max))]
     return px.groupBy("unique_scene").agg(F.count("*").alias("n_points"), *ends, *(F.avg(c).alias(f"mean_{c}") for c in "xyz"))
+
+
+def overlap_count(left: DataFrame, right: DataFrame, scale: int = 1000) -> DataFrame:
+    """Distinct points of each scene's two clouds, rounded to 1 / scale, and how many both have."""
+    key = lambda df, side: df.select("unique_scene", *(F.rint(F.col(c) * scale).cast("bigint").alias(c) for c in "xyz"), F.lit(side).alias("side"))
+    both = key(left, 1).unionByName(key(right, 2)).groupBy("unique_scene", "x", "y", "z").agg(F.bool_or(F.col("side") == 1).alias("a"), F.bool_or(F.col("side") == 2).alias("b"))
+    return both.groupBy("unique_scene").agg(F.count_if("a").alias("n_left"), F.count_if("b").alias("n_right"), F.count_if(F.col("a") & F.col("b")).alias("n_both"))
+
+
+def expand_radius(px: DataFrame, seeds: DataFrame, radius: float) -> DataFrame:
+    """Points of each scene within radius of one of its seeds. Seeds go to the 27 cells around their own, so that the join is an
+    equi-join on scene and cell."""
+    cells = [F.floor(F.col(c) / radius).alias(f"g{c}") for c in "xyz"]
+    near = seeds.select("unique_scene", *(F.col(c).alias(f"s{c}") for c in "xyz"), *cells).distinct()
+    for c in "xyz":
+        near = near.withColumn("_d", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(f"g{c}", F.col(f"g{c}") + F.col("_d")).drop("_d")
+    distance = sum((F.col(c) - F.col(f"s{c}")) * (F.col(c) - F.col(f"s{c}")) for c in "xyz")
+    keys = ["unique_scene", "gx", "gy", "gz"]
+    placed, near = px.select("*", *cells), near.select(*(F.col(k).alias(f"_{k}") for k in keys), "sx", "sy", "sz")
+    same = [placed[k] == near[f"_{k}"] for k in keys]
+    return placed.join(near, [*same, distance <= radius * radius], "left_semi").drop("gx", "gy", "gz")
+
+
+def ground_attenuate(px: DataFrame, field: str, factor: float) -> DataFrame:
+    """The field scaled by factor where a pixel is ground and not aircraft."""
+    return px.withColumn(field, F.when(F.col("is_ground") & ~F.col("is_aircraft"), F.col(field) * factor).otherwise(F.col(field)))

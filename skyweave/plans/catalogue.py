@@ -146,7 +146,7 @@ def points_in_boxes(spark, sf_dir):
     return scenes.points_in_boxes(relation(spark, sf_dir, "px"), boxes).groupBy("unique_scene", "box_name").agg(F.count("*").alias("n"))
 
 
-_STATS = ", ".join(f"round({e}, 6) as {n}" for n, e in (("mean", "avg(e)"), ("median", "median(e)"), ("p90", "quantile_cont(e, 0.9)"), ("p95", "quantile_cont(e, 0.95)"), ("min", "min(e)"), ("max", "max(e)"), ("std", "stddev_pop(e)")))
+_STATS = ", ".join(f"round({e}, 9) as {n}" for n, e in (("mean", "avg(e)"), ("median", "median(e)"), ("p90", "quantile_cont(e, 0.9)"), ("p95", "quantile_cont(e, 0.95)"), ("min", "min(e)"), ("max", "max(e)"), ("std", "stddev_pop(e)")))
 
 
 @query(f"with ok as (select kp_name, unique_scene, error_l2_m as e from kp_error where status = 'ok') select 'keypoint' as kind, kp_name as name, count(*) as n, {_STATS} from ok group by 2 union all select 'scene', unique_scene, count(*), {_STATS} from ok group by 2", "kp_error")
@@ -263,3 +263,64 @@ def scene_names(spark, sf_dir):
 def box_names(spark, sf_dir):
     n = F.col("name")
     return relation(spark, sf_dir, "crop_boxes").select("profile", n, names.box_z_offset(n, 1.0, 2.0, 3.0, 4.0).alias("dz"), names.target_box_key(n).alias("box_key"))
+
+
+@query("select unique_scene, cls, det_idx, area from (select *, row_number() over (partition by unique_scene, cls order by area desc, det_idx) as rn from (select *, (x2 - x1) * (y2 - y1) as area from detections) a) q where rn = 1", "detections")
+def largest_box(spark, sf_dir):
+    return reports.largest_box(relation(spark, sf_dir, "detections"))
+
+
+_CLASSES = {"aircraft": 0, "engine_left": 1, "engine_right": 2, "front": 3}
+_WIDE = ", ".join(f"max(x1) filter (cls = {k}) as {n}_x1, max(y2) filter (cls = {k}) as {n}_y2, max(conf) filter (cls = {k}) as {n}_conf" for n, k in _CLASSES.items())
+
+
+@query(_COVERAGE.split("box as (select unique_scene,")[0] + "box as (select unique_scene, cls, conf," + _COVERAGE.split("box as (select unique_scene,")[1].split("from best where")[0] + f"from best), good as (select * from box where x2 > x1 and y2 > y1), wide as (select unique_scene, {_WIDE} from good group by 1) select * from wide where aircraft_x1 is not null", "detections")
+def scene_detections(spark, sf_dir):
+    found = reports.scene_detections(reports.best_per_class(relation(spark, sf_dir, "detections")), WIDTH, HEIGHT, _CLASSES)
+    return found.select("unique_scene", *(c for n in _CLASSES for c in (F.col(f"{n}_box.x1").alias(f"{n}_x1"), F.col(f"{n}_box.y2").alias(f"{n}_y2"), F.col(f"{n}_conf"))))
+
+
+@query("select unique_scene, bag_stem from (select *, row_number() over (order by unique_scene) - 1 as rn from scene_meta) q where rn % 3 = 0", "scene_meta")
+def every_nth(spark, sf_dir):
+    return reports.every_nth(relation(spark, sf_dir, "scene_meta"), "unique_scene", 3).select("unique_scene", "bag_stem")
+
+
+@query("""with k as (select unique_scene, cast(round_even(x * 1000, 0) as bigint) as x, cast(round_even(y * 1000, 0) as bigint) as y, cast(round_even(z * 1000, 0) as bigint) as z, bool_or(is_aircraft) as a, bool_or(is_ground) as b from px where is_aircraft or is_ground group by 1, 2, 3, 4)
+select unique_scene, count(*) filter (a) as n_left, count(*) filter (b) as n_right, count(*) filter (a and b) as n_both from k group by 1""", "px")
+def overlap_count(spark, sf_dir):
+    px = relation(spark, sf_dir, "px")
+    return scenes.overlap_count(px.where("is_aircraft"), px.where("is_ground"))
+
+
+@query("select unique_scene, row_idx, col_idx from px p where exists (select 1 from px s where s.is_aircraft and s.unique_scene = p.unique_scene and (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) + (p.z - s.z) * (p.z - s.z) <= 2.25)", "px")
+def expand_radius(spark, sf_dir):
+    px = relation(spark, sf_dir, "px")
+    return scenes.expand_radius(px, px.where("is_aircraft"), 1.5).select("unique_scene", "row_idx", "col_idx")
+
+
+@query("select unique_scene, row_idx, col_idx, case when is_ground and not is_aircraft then intensity * 0.25 else intensity end as intensity from px", "px")
+def ground_attenuate(spark, sf_dir):
+    return scenes.ground_attenuate(relation(spark, sf_dir, "px"), "intensity", 0.25).select("unique_scene", "row_idx", "col_idx", "intensity")
+
+
+@query(f"with {_TOKENS} select unique_scene, line_no, cast(k[9] as double) as x0, cast(len(k) - 8 as bigint) // 3 as n_kps from good", "pose_label_lines")
+def drop_keypoints(spark, sf_dir):
+    parsed = relation(spark, sf_dir, "pose_label_lines").withColumn("l", labels.parse_pose_line(F.col("text"))).where("l.error is null")
+    left = labels.drop_keypoints(F.col("l.kps"), [0])
+    return parsed.select("unique_scene", "line_no", F.get(left, 0)["x"].alias("x0"), F.size(left).cast("bigint").alias("n_kps"))
+
+
+@query(f"with {_TOKENS} select unique_scene, line_no, cast(k[12] as double) as x0, cast(0 as double) as x1, cast(k[6] as double) as x2, 0 as v1 from good", "pose_label_lines")
+def remap_keypoints(spark, sf_dir):
+    parsed = relation(spark, sf_dir, "pose_label_lines").withColumn("l", labels.parse_pose_line(F.col("text"))).where("l.error is null")
+    kps = labels.remap_keypoints(F.col("l.kps"), ["front", "left", "right"], ["right", "tail", "front"])
+    return parsed.select("unique_scene", "line_no", *(F.get(kps, i)["x"].alias(f"x{i}") for i in range(3)), F.get(kps, 1)["v"].alias("v1"))
+
+
+@query(f"""with {_TOKENS}, v as (select unnest(range(-5, 7)) * 8 as roll) select unique_scene, line_no, concat(unique_scene, '_roll', case when roll < 0 then 'm' else '' end, cast(abs(roll) as varchar)) as stem,
+round(cast(k[2] as double) + roll / 64 - floor(cast(k[2] as double) + roll / 64), 6) as cx from good, v where split = 'train' and roll <> 0""", "pose_label_lines")
+def augment_fanout(spark, sf_dir):
+    parsed = relation(spark, sf_dir, "pose_label_lines").where("split = 'train'").withColumn("l", labels.parse_pose_line(F.col("text"))).where("l.error is null")
+    rolled = parsed.withColumn("roll", F.explode(F.array(*(F.lit(8 * i) for i in range(-5, 7) if i))))
+    sign = F.when(F.col("roll") < 0, "m").otherwise("")
+    return rolled.select("unique_scene", "line_no", F.concat("unique_scene", F.lit("_roll"), sign, F.abs("roll").cast("string")).alias("stem"), F.round(labels.augment_roll(F.col("l"), F.col("roll"), WIDTH)["cx"], 6).alias("cx"))
