@@ -1 +1 @@
-"""Streaming use of the stateless functions."""
+"""Stream operators: none yet; the functions are stateless and run on streams as they are."""
