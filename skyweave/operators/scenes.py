@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,3 +120,46 @@ def expand_radius(px: DataFrame, seeds: DataFrame, radius: float) -> DataFrame:
 def ground_attenuate(px: DataFrame, field: str, factor: float) -> DataFrame:
     """The field scaled by factor where a pixel is ground and not aircraft."""
     return px.withColumn(field, F.when(F.col("is_ground") & ~F.col("is_aircraft"), F.col(field) * factor).otherwise(F.col(field)))
+
+
+def range_encode(px: DataFrame, mode: str = "near_bright", gamma: float = 1.0, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """gray: positive finite ranges from their scene's low to high percentile as 0 .. 1, to the power gamma; others 0. mode: log, linear, inverse
+    (1 - linear), or else near_bright (1 - log)."""
+    valid = (F.col("range_m") > 0) & (F.col("range_m") < float("inf"))
+    v = F.when(valid, F.ln("range_m") if mode in ("log", "near_bright") else F.col("range_m"))
+    stats = px.groupBy("unique_scene").agg(F.percentile(v, F.array(F.lit(low), F.lit(high))).alias("_p"))
+    a, b = F.col("_p")[0], F.col("_p")[1]
+    share = F.least(F.greatest(F.when(b > a, (v - a) / F.nullif(b - a, F.lit(0.0))).otherwise(v), F.lit(0.0)), F.lit(1.0))
+    gray = F.pow(share if mode in ("log", "linear") else 1 - share, F.lit(max(gamma, 1e-6)))
+    return px.join(stats, "unique_scene").withColumn("gray", F.when(valid, gray).otherwise(0.0)).drop("_p")
+
+
+def row_band_correction(px: DataFrame, height: int, sigma: float, strength: float = 0.8, most: float = 0.12) -> DataFrame:
+    """gray without horizontal bands: each row's median less its trend under a Gaussian over rows (edge rows repeated), cut to most and times
+    strength, is taken off, and the scene's mean kept. Rows without pixels count as the median of the others."""
+    medians = px.groupBy("unique_scene", "row_idx").agg(F.median("gray").alias("m"))
+    profile = medians.groupBy("unique_scene").agg(F.map_from_entries(F.collect_list(F.struct(F.col("row_idx").cast("int"), "m"))).alias("m"), F.median("m").alias("fill"))
+    reach = round(4 * sigma)
+    weights = [(o, math.exp(-o * o / (2 * sigma * sigma))) for o in range(-reach, reach + 1)]
+    total = sum(w for _, w in weights)
+    dense = profile.select("unique_scene", F.transform(F.sequence(F.lit(0), F.lit(height - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.col("fill"))).alias("m"))
+    at = lambda i: F.get("m", F.least(F.greatest(i, F.lit(0)), F.lit(height - 1)))
+    trend = lambda i: sum(at(i + o) * w for o, w in weights) / total
+    band = F.transform("m", lambda m, i: strength * F.least(F.greatest(m - trend(i), F.lit(-most)), F.lit(most)))
+    placed = px.join(dense.select("unique_scene", band.alias("_band")), "unique_scene").withColumn("_b", F.get("_band", F.col("row_idx").cast("int")))
+    means = placed.groupBy("unique_scene").agg(F.avg("_b").alias("_mean"))
+    gray = F.least(F.greatest(F.col("gray") - F.col("_b") + F.col("_mean"), F.lit(0.0)), F.lit(1.0))
+    return placed.join(means, "unique_scene").withColumn("gray", gray).drop("_band", "_b", "_mean")
+
+
+def channel_balance(px: DataFrame, channels: list[str], least: float = 0.25, most: float = 2.0) -> DataFrame:
+    """The channels, each scaled in each scene towards the median of the channels' means, by a gain between least and most; with fewer than two
+    channels that aren't dark, none is scaled."""
+    means = px.groupBy("unique_scene").agg(*(F.avg(c).alias(f"_{c}") for c in channels))
+    lit = F.array_sort(F.filter(F.array(*(F.col(f"_{c}") for c in channels)), lambda m: m > 1e-6))
+    n = F.size(lit)
+    middle = (F.get(lit, F.floor((n - 1) / 2).cast("int")) + F.get(lit, F.floor(n / 2).cast("int"))) / 2
+    gain = lambda c: F.when((n >= 2) & (F.col(f"_{c}") > 1e-6), F.least(F.greatest(middle / F.col(f"_{c}"), F.lit(least)), F.lit(most))).otherwise(1.0)
+    gains = means.select("unique_scene", *(gain(c).alias(f"_{c}") for c in channels))
+    scaled = {c: F.least(F.greatest(F.col(c) * F.col(f"_{c}"), F.lit(0.0)), F.lit(1.0)) for c in channels}
+    return px.join(gains, "unique_scene").withColumns(scaled).drop(*(f"_{c}" for c in channels))

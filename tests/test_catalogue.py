@@ -5,6 +5,7 @@ import math
 import duckdb
 import pytest
 
+from skyweave.plans import geometry  # noqa: F401
 from skyweave.plans.catalogue import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
