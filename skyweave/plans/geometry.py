@@ -180,7 +180,7 @@ def edit_boxes(spark, sf_dir):
     return _rounded(boxes.edit_boxes(_part_boxes(spark, sf_dir), {0: (0.5, 0.25, 0.0), 1: (1.5, -0.125, 0.0)}))
 
 
-_BIG = "big as (select * from (select *, row_number() over (partition by unique_scene, cls order by greatest(x2 - x1, 0) * greatest(y2 - y1, 0) desc, det_idx) as rn from detections) q where rn = 1)"
+_BIG = "big as (select * from (select *, row_number() over (partition by unique_scene, cls order by greatest(x2 - x1, 0) * greatest(y2 - y1, 0) desc, det_idx) as rn from detections where conf >= 0.3) q where rn = 1)"
 _FIT = """o as (select unique_scene, cls, least(greatest(least(p1, p2), 0.0), 63.0) as x1, least(greatest(greatest(p1, p2), 0.0), 63.0) as x2, least(greatest(least(q1, q2), 0.0), 15.0) as y1, least(greatest(greatest(q1, q2), 0.0), 15.0) as y2 from raw),
 f as (select unique_scene, cls, case when x2 - x1 < 2 then greatest((x1 + x2) * 0.5 - 1, 0.0) else x1 end as x1, case when y2 - y1 < 2 then greatest((y1 + y2) * 0.5 - 1, 0.0) else y1 end as y1, case when x2 - x1 < 2 then least((x1 + x2) * 0.5 + 1, 63.0) else x2 end as x2, case when y2 - y1 < 2 then least((y1 + y2) * 0.5 + 1, 15.0) else y2 end as y2 from o)
 select unique_scene, cls, round(x1, 6) + 0.0 as x1, round(y1, 6) + 0.0 as y1, round(x2, 6) + 0.0 as x2, round(y2, 6) + 0.0 as y2 from f where x2 > x1 and y2 > y1"""
@@ -188,15 +188,15 @@ select unique_scene, cls, round(x1, 6) + 0.0 as x1, round(y1, 6) + 0.0 as y1, ro
 
 @query(f"with {_BIG}, raw as (select a.unique_scene, case when l.cls is null then 1 else 2 end as cls, a.x1 + a.x2 - coalesce(l.x2, r.x2) as p1, coalesce(l.y1, r.y1) as q1, a.x1 + a.x2 - coalesce(l.x1, r.x1) as p2, coalesce(l.y2, r.y2) as q2 from (select * from big where cls = 0) a left join (select * from big where cls = 1) l on l.unique_scene = a.unique_scene left join (select * from big where cls = 2) r on r.unique_scene = a.unique_scene where (l.cls is null) <> (r.cls is null)), {_FIT}", "detections")
 def suggest_missing_engine(spark, sf_dir):
-    return _rounded(boxes.suggest_missing_engine(relation(spark, sf_dir, "detections"), WIDTH, HEIGHT))
+    return _rounded(boxes.suggest_missing_engine(relation(spark, sf_dir, "detections").where("conf >= 0.3"), WIDTH, HEIGHT))
 
 
 @query(f"""with {_BIG}, pair as (select l.unique_scene, (l.x1 + l.x2) * 0.5 as lx, (r.x1 + r.x2) * 0.5 as rx, (l.y1 + l.y2 + r.y1 + r.y2) * 0.25 as my, (greatest(l.x2 - l.x1, 2.0) + greatest(r.x2 - r.x1, 2.0)) * 0.5 as ew, (greatest(l.y2 - l.y1, 2.0) + greatest(r.y2 - r.y1, 2.0)) * 0.5 as eh
-from (select * from big where cls = 1) l join (select * from big where cls = 2) r on r.unique_scene = l.unique_scene where not exists (select 1 from detections d where d.cls = 4 and d.unique_scene = l.unique_scene)),
+from (select * from big where cls = 1) l join (select * from big where cls = 2) r on r.unique_scene = l.unique_scene where not exists (select 1 from detections d where d.conf >= 0.3 and d.cls = 4 and d.unique_scene = l.unique_scene)),
 m as (select unique_scene, (lx + rx) * 0.5 + 0.25 * greatest(abs(rx - lx), 2.0) as x, my + 0.5 * eh as y, greatest(0.5 * ew, 2.0) as w, greatest(0.75 * eh, 2.0) as h from pair),
 raw as (select unique_scene, 4 as cls, x - 0.5 * w as p1, y - 0.5 * h as q1, x + 0.5 * w as p2, y + 0.5 * h as q2 from m), {_FIT}""", "detections")
 def suggest_front_gear(spark, sf_dir):
-    return _rounded(boxes.suggest_front_gear(relation(spark, sf_dir, "detections"), WIDTH, HEIGHT, 0.25, 0.5, 0.5, 0.75, front=4))
+    return _rounded(boxes.suggest_front_gear(relation(spark, sf_dir, "detections").where("conf >= 0.3"), WIDTH, HEIGHT, 0.25, 0.5, 0.5, 0.75, front=4))
 
 
 _MID = "cast(round_even(({0}x1 + {0}x2) / 2, 0) as integer)"
