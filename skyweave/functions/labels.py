@@ -43,6 +43,18 @@ def parse_det_line(text: Column) -> Column:
     return F.when(good, F.struct(F.get(numbers, 0).cast("int").alias("cls"), *(F.get(numbers, i).alias(k) for i, k in enumerate(("cx", "cy", "w", "h"), 1))))
 
 
+def format_det_line(box: Column) -> Column:
+    """The five-field line of a box with cls, cx, cy, w, h; null for null."""
+    return F.when(box.isNotNull(), F.format_string("%d %.6f %.6f %.6f %.6f", *(box[k] for k in ("cls", "cx", "cy", "w", "h"))))
+
+
+def format_seg_line(polygon: Column, width: Column, height: Column) -> Column:
+    """The line of a polygon with cls and points in pixels, as shares cut to 0 .. 1; null with fewer than three points."""
+    share = lambda v, n: F.least(F.greatest(v / (n - 1), F.lit(0.0)), F.lit(1.0))
+    points = F.transform(polygon["points"], lambda p: F.format_string("%.6f %.6f", share(p["x"], width), share(p["y"], height)))
+    return F.when(F.size(points) >= 3, F.concat_ws(" ", polygon["cls"].cast("string"), F.array_join(points, " ")))
+
+
 def parse_seg_line(text: Column, width: Column, height: Column) -> Column:
     """Struct cls and points (x, y in pixels) of a polygon line; null if the payload is odd or has fewer than three points."""
     numbers = F.transform(F.split(F.trim(text), r"\s+"), lambda t: t.try_cast("double"))

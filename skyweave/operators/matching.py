@@ -94,7 +94,8 @@ def keypoint_order(names: DataFrame, order: list[str], removed: list[str], added
 
 def _ellipse(size: int) -> list[tuple[int, int]]:
     r = (size | 1) // 2
-    return [(dy, dx) for dy in range(-r, r + 1) for dx in range(-w, w + 1) for w in [0]] if r == 0 else [(dy, dx) for dy in range(-r, r + 1) for dx in range(-round(math.sqrt(r * r - dy * dy)), round(math.sqrt(r * r - dy * dy)) + 1)]
+    half = {dy: round(math.sqrt(r * r - dy * dy)) for dy in range(-r, r + 1)}
+    return [(dy, dx) for dy, w in half.items() for dx in range(-w, w + 1)]
 
 
 def _spread(mask: DataFrame, size: int, height: int, width: int) -> DataFrame:

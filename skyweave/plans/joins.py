@@ -76,7 +76,6 @@ def keypoint_order(spark, sf_dir):
 
 
 _STEPS = "n as (select * from (values (0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)) t(dr, dc))"
-_ERODED = f"with m as (select unique_scene, row_idx, col_idx from px where range_m > 15), {_STEPS}, er as (select unique_scene, row_idx, col_idx from m where not exists (select 1 from n where m.row_idx + dr between 0 and 15 and m.col_idx + dc between 0 and 63 and (m.unique_scene, m.row_idx + dr, m.col_idx + dc) not in (select unique_scene, row_idx, col_idx from m)))"
 _DILATED = f"with m as (select unique_scene, row_idx, col_idx from px where is_aircraft), {_STEPS} select distinct unique_scene, row_idx + dr as row_idx, col_idx + dc as col_idx from m, n where row_idx + dr between 0 and 15 and col_idx + dc between 0 and 63"
 
 
