@@ -54,7 +54,7 @@ def row_band_correction(spark, sf_dir):
     return scenes.row_band_correction(px, HEIGHT, sigma=2.0).select(*_KEY, *_r6("gray"))
 
 
-@query("""with m as (select unique_scene, avg(intensity / 65536) as a, avg(reflectivity / 65536) as b, avg(range_m / 50) as c from px group by 1), t as (select *, a + b + c - greatest(a, b, c) - least(a, b, c) as mid from m)
+@query("""with m as (select unique_scene, avg(intensity / 65536) as a, avg(reflectivity / 65536) as b, avg(range_m / 50) as c from px group by 1), t as (select *, list_sort([a, b, c])[2] as mid from m)
 select p.unique_scene, row_idx, col_idx, round(least(intensity / 65536 * least(greatest(mid / a, 0.25), 2.0), 1.0), 6) as r, round(least(reflectivity / 65536 * least(greatest(mid / b, 0.25), 2.0), 1.0), 6) as g, round(least(range_m / 50 * least(greatest(mid / c, 0.25), 2.0), 1.0), 6) as b from px p join t on p.unique_scene = t.unique_scene""", "px")
 def channel_balance(spark, sf_dir):
     px = relation(spark, sf_dir, "px").select(*_KEY, (F.col("intensity") / 65536).alias("r"), (F.col("reflectivity") / 65536).alias("g"), (F.col("range_m") / 50).alias("b"))
