@@ -87,4 +87,7 @@ def with_relations(sql: str, *names: str) -> str:
     """The SQL with the relations it reads in front, as common table expressions."""
     wanted = [n for n in RELATIONS if n in names or any(n in NEEDS[x] for x in names)]
     body = ", ".join(f"{n} as ({RELATIONS[n].strip()})" for n in wanted)
-    return f"with {body}, {sql[5:]}" if sql.lstrip().startswith("with ") else f"with {body} {sql}"
+    for start in ("with recursive ", "with "):
+        if sql.startswith(start):
+            return f"{start}{body}, {sql.removeprefix(start)}"
+    return f"with {body} {sql}"
