@@ -122,14 +122,17 @@ def sample_xyz_nearest(spark, sf_dir):
     return projection.sample_xyz_nearest(_projected(spark, sf_dir), relation(spark, sf_dir, "px"), 2).select("unique_scene", "kp_name", "p.x", "p.y", "p.z")
 
 
-@query(_PROJECTED.rstrip() + f""", a as (select pk.unique_scene, kp_name, row_idx, col_idx, px.x, px.y, px.z, range_m, is_aircraft, bool_or(is_aircraft) over (partition by pk.unique_scene, kp_name) as any_craft {_NEAR.format(2)}),
+_ROBUST = f""", a as (select pk.unique_scene, kp_name, row_idx, col_idx, px.x, px.y, px.z, range_m, is_aircraft, bool_or(is_aircraft) over (partition by pk.unique_scene, kp_name) as any_craft {_NEAR.format(2)}),
 f as (select * from a where is_aircraft or not any_craft),
 q as (select unique_scene, kp_name, quantile_cont(range_m, 0.25) as q1, quantile_cont(range_m, 0.5) as q2, quantile_cont(range_m, 0.75) as q3 from f group by 1, 2),
 o as (select f.*, q1, q2, q3, abs(range_m - q2) as away from f join q using (unique_scene, kp_name)), d as (select unique_scene, kp_name, median(away) as mad from o group by 1, 2),
 k as (select o.* from o join d using (unique_scene, kp_name) where case when mad > 0 then away <= cast(3 * 1.4826 as double) * mad else range_m between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) end),
 m as (select unique_scene, kp_name, median(x) as mx, median(y) as my, median(z) as mz, count(*) as n from k group by 1, 2),
 w as (select k.*, mx, my, mz, n, row_number() over (partition by unique_scene, kp_name order by (x - mx) * (x - mx) + (y - my) * (y - my) + (z - mz) * (z - mz), row_idx, col_idx) as rn from k join m using (unique_scene, kp_name)),
-s as (select unique_scene, kp_name, case when any_value(n) < 5 then any_value(mx) else avg(x) end as x, case when any_value(n) < 5 then any_value(my) else avg(y) end as y, case when any_value(n) < 5 then any_value(mz) else avg(z) end as z from w where n < 5 or rn <= ceil(n * cast(0.8 as double)) group by 1, 2)
+s as (select unique_scene, kp_name, case when any_value(n) < 5 then any_value(mx) else avg(x) end as x, case when any_value(n) < 5 then any_value(my) else avg(y) end as y, case when any_value(n) < 5 then any_value(mz) else avg(z) end as z from w where n < 5 or rn <= ceil(n * cast(0.8 as double)) group by 1, 2)"""
+
+
+@query(_PROJECTED.rstrip() + _ROBUST + """
 select pk.unique_scene, pk.kp_name, round(s.x, 6) + 0.0 as x, round(s.y, 6) + 0.0 as y, round(s.z, 6) + 0.0 as z from pk left join s on s.unique_scene = pk.unique_scene and s.kp_name = pk.kp_name""", "px", "kp3d")
 def sample_xyz_robust(spark, sf_dir):
     return _rounded(projection.sample_xyz_robust(_projected(spark, sf_dir), relation(spark, sf_dir, "px"), 2).select("unique_scene", "kp_name", "p.x", "p.y", "p.z"))

@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from skyweave.plans import files, geometry, joins, regions, selection  # noqa: F401
+from skyweave.plans import files, geometry, joins, poses, regions, selection  # noqa: F401
 from skyweave.plans.catalogue import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
