@@ -25,6 +25,14 @@ def turn_boxes(poses: DataFrame, boxes: DataFrame, scale: float = 1.0, least_hal
     return met.select("unique_scene", F.col("name").alias("box_key"), *placed, *(h.alias(f"h{a}") for h, a in zip(half, _AXES, strict=True)), _product(F.col("rotation"), F.col("_own")).alias("rotation"))
 
 
+def valid_keypoints(kps: DataFrame) -> DataFrame:
+    """The keypoints whose point is finite; one without a name is named k and its place."""
+    finite = F.lit(True)
+    for a in _AXES:
+        finite = finite & F.coalesce(F.abs(a) < float("inf"), F.lit(False))
+    return kps.where(finite).withColumn("kp_name", F.coalesce(F.nullif(F.trim("kp_name"), F.lit("")), F.concat(F.lit("k"), F.col("kp_idx").cast("string"))))
+
+
 def _middle(kps: DataFrame, first: str, second: str) -> DataFrame:
     """(unique_scene, m): the middle of two keypoints, of scenes that have both."""
     at = [F.max(F.when(F.col("kp_name") == n, F.struct(*_AXES))).alias(c) for n, c in ((first, "a"), (second, "b"))]

@@ -88,7 +88,11 @@ def scene_detections(best: DataFrame, width: int, height: int, classes: dict[str
     return wide.where(F.col(f"{needed}_box").isNotNull())
 
 
-def every_nth(rows: DataFrame, order: str, stride: int, cap: int | None = None) -> DataFrame:
-    """Every stride-th row by a unique key, the first included, at most cap rows. Ranks come from one window over the key's rows."""
-    ranked = rows.withColumn("_rn", F.row_number().over(Window.orderBy(order)) - 1).where(F.col("_rn") % stride == 0)
-    return (ranked if cap is None else ranked.where(F.col("_rn") < stride * cap)).drop("_rn")
+def every_nth(rows: DataFrame, order: str, group: str, stride: int, cap: int | None = None) -> DataFrame:
+    """Every stride-th row by a unique key, the first included, at most cap rows. group is a column that never falls as the key rises, such as the
+    recording of a scene: rows are ranked inside their group, and only a row per group meets in one task."""
+    before = Window.orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("_n")).select("_g", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
+    met = inside.join(starts, F.col(group).eqNullSafe(F.col("_g"))).withColumn("_rn", F.col("_rn") + F.col("_start")).where(F.col("_rn") % stride == 0)
+    return (met if cap is None else met.where(F.col("_rn") < stride * cap)).drop("_rn", "_g", "_start")

@@ -282,7 +282,7 @@ def scene_detections(spark, sf_dir):
 
 @query("select unique_scene, bag_stem from (select *, row_number() over (order by unique_scene) - 1 as rn from scene_meta) q where rn % 3 = 0", "scene_meta")
 def every_nth(spark, sf_dir):
-    return reports.every_nth(relation(spark, sf_dir, "scene_meta"), "unique_scene", 3).select("unique_scene", "bag_stem")
+    return reports.every_nth(relation(spark, sf_dir, "scene_meta"), "unique_scene", "bag_stem", 3).select("unique_scene", "bag_stem")
 
 
 @query("""with k as (select unique_scene, cast(round_even(x * 1000, 0) as bigint) as x, cast(round_even(y * 1000, 0) as bigint) as y, cast(round_even(z * 1000, 0) as bigint) as z, bool_or(is_aircraft) as a, bool_or(is_ground) as b from px where is_aircraft or is_ground group by 1, 2, 3, 4)

@@ -139,3 +139,11 @@ def label_variants(spark, sf_dir):
 @query("with d as (select * from (values (-1), (0), (1)) t(d)) select unique_scene, kp_name, round(x + 0.22 * a.d, 6) + 0.0 as x, round(y + 0.22 * b.d, 6) + 0.0 as y, round(z + 0.22 * c.d, 6) + 0.0 as z from kp3d, d a, d b, d c where abs(a.d) + abs(b.d) + abs(c.d) <= 2", "kp3d")
 def marker_points(spark, sf_dir):
     return _rounded(poses.marker_points(relation(spark, sf_dir, "kp3d").select("unique_scene", "kp_name", "x", "y", "z")))
+
+
+@query("select unique_scene, kp_idx, case when kp_idx % 4 = 1 then concat('k', kp_idx) else kp_name end as kp_name, x, y, z from kp3d where not (kp_idx = 3 and z = 0) and not (kp_idx = 5 and z = 0)", "kp3d")
+def valid_keypoints(spark, sf_dir):
+    """Of keypoints some of which have no name, or a coordinate that is missing or no number."""
+    broken = F.when((F.col("kp_idx") == 3) & (F.col("z") == 0), F.lit(float("nan"))).when((F.col("kp_idx") == 5) & (F.col("z") == 0), None).otherwise(F.col("z"))
+    name = F.when(F.col("kp_idx") % 4 == 1, " ").otherwise(F.col("kp_name"))
+    return poses.valid_keypoints(relation(spark, sf_dir, "kp3d").withColumn("z", broken).withColumn("kp_name", name))
