@@ -1,9 +1,11 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of character 4-grams, trained on trusted text.
 
-Characters fall into at most CLASSES classes: the most frequent of the trusted text, and one for all others. Every task
-counts the n-grams of its trusted documents; the counts are summed in shards by n-gram, and the table of log
-probabilities, CLASSES ** 4 numbers however large the corpus is, is sent to the tasks, where it is joined to the n-grams
-of each document by position. A document's perplexity is held against the quantile of the trusted documents of
+Every character keeps its identity. Every task counts the n-grams of its trusted documents; the counts are summed in shards by
+n-gram, and discounts, totals and probabilities of all orders are joins of these sums. The table holds the n-grams that occur and
+the back-off weights of their contexts. It is sent to the tasks in blocks by the n-grams' middle pair of characters, of about
+BLOCK_ENTRIES entries and the table of orders 1 and 2, one pass over the documents for each block, so what is sent at once is
+bounded by that; a document's log probability is the sum over the blocks. Entries are looked up by 64-bit hashes. A
+document's perplexity is held against the quantile of the trusted documents of
 its language; a language without trusted documents is held against the quantile of all.
 
 Trusted are documents with label quality 1; the model is fitted on all those of even hash of doc_id, however many, and the
@@ -19,9 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.llm.common import materialize, text_chunks
+from skyweave.llm.common import materialize, mix, text_chunks
 
-CLASSES, ORDER = 48, 4
+ORDER, BITS = 4, 21
+MASK = (1 << BITS) - 1
+BLOCK_ENTRIES = 4_000_000
+FLOOR = 1e-12
 QUANTILE, MARGIN = 0.99, 1.02
 
 
@@ -29,94 +34,161 @@ def _points(data: np.ndarray) -> np.ndarray:
     return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
 
 
-def _characters(batches):
-    table = np.zeros(0x110000, np.int64)
-    for batch in batches:
-        for data, _ in text_chunks(batch.column(0)):
-            found = np.bincount(_points(data))
-            table[: len(found)] += found
-    point = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays([pa.array(point.astype(np.int32)), pa.array(table[point])], ["c", "n"])
-
-
-def _classes(data: np.ndarray, offsets: np.ndarray, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    points = _points(data)
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last pair of characters of the n-grams at each place but a text's last three, and each text's bounds among them."""
+    points = _points(data).astype(np.int64)
     bounds = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-    return alphabet[points], bounds
-
-
-def _codes(classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the n-grams at each place but a text's last three, and each text's bounds among them."""
-    n = len(classes) - ORDER + 1
+    n = len(points) - ORDER + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
-    code = classes[:n].astype(np.int32)
-    for i in range(1, ORDER):
-        code = code * CLASSES + classes[i : n + i]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
+    pairs = points[:-1] << BITS | points[1:]
     whole = np.ones(n, bool)
     for i in range(1, ORDER):
         ends = bounds[1:] - i
         whole[ends[(ends >= 0) & (ends < n)]] = False
     place = np.flatnonzero(whole)
-    return code[place], np.searchsorted(place, bounds)
+    return pairs[place], pairs[place + 2], np.searchsorted(place, bounds)
 
 
-def _count(alphabet):
-    def over(batches):
-        table = np.zeros(CLASSES**ORDER, np.int64)
-        for batch in batches:
-            for data, offsets in text_chunks(batch.column(0)):
-                codes, _ = _codes(*_classes(data, offsets, alphabet.value))
-                table += np.bincount(codes, minlength=len(table))
-        code = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(table[code])], ["code", "n"])
+def _keys(tag, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams: tag is the order, or 4 more than the order for a context's back-off weight."""
+    return mix(mix(np.asarray(a + (np.asarray(tag, np.int64) << 2 * BITS), np.uint64)) + np.asarray(b, np.uint64))
+
+
+def _block_of(c2, c3):
+    return c2 * 0x9E3779B1 + c3 * 0x85EBCA77
+
+
+def _count(batches):
+    for batch in batches:
+        for data, offsets in text_chunks(batch.column(0)):
+            a, b, _ = _grams(data, offsets)
+            _, at, n = np.unique(_keys(ORDER, a, b), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(b[at]), pa.array(n.astype(np.int64))], ["a", "b", "n"])
+
 
-    return over
+def _discounts(*seen: float) -> np.ndarray:
+    """Discounts of counts 0, 1, 2 and 3 or more, from how many n-grams have counts 1 to 4."""
+    n1, n2, n3, n4 = (max(1.0, n) for n in seen)
+    y = n1 / (n1 + 2 * n2)
+    return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 0.99, 1.99, 2.99])
 
 
 def kneser_ney(counts: np.ndarray) -> np.ndarray:
     """Log probabilities of the last class of each n-gram after the others, for a table of n-gram counts with an axis for
-    each place: modified Kneser-Ney discounts, interpolated over all lower orders down to the uniform distribution."""
+    each place: modified Kneser-Ney discounts, interpolated over all lower orders down to the uniform distribution. For small
+    tables; `train` gives the same numbers for those n-grams that occur."""
     levels = [counts.astype(float)]
     while levels[-1].ndim > 1:
         levels.append((levels[-1] > 0).sum(0).astype(float))  # continuation counts
     lower = np.full(counts.shape[-1], 1 / counts.shape[-1])
     for c in reversed(levels):
-        n1, n2, n3, n4 = (max(1.0, float((c == i).sum())) for i in range(1, 5))
-        y = n1 / (n1 + 2 * n2)
-        cut = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 0.99, 1.99, 2.99])
+        cut = _discounts(*(float((c == i).sum()) for i in range(1, 5)))
         off = cut[np.minimum(c, 3).astype(int)]
         total = c.sum(-1, keepdims=True)
         back = np.divide(off.sum(-1, keepdims=True), total, out=np.ones_like(total), where=total > 0)
         lower = np.divide(c - off, total, out=np.zeros_like(c), where=total > 0) + back * lower
-    return np.log(np.maximum(lower, 1e-12)).astype(np.float32)
+    return np.log(np.maximum(lower, FLOOR)).astype(np.float32)
 
 
-def train(texts: DataFrame) -> tuple:
-    """Broadcast alphabet and log probabilities from the trusted texts, a table of one string column."""
+def train(texts: DataFrame, limit: int = BLOCK_ENTRIES) -> list:
+    """The model of the trusted texts, a table of one string column, as broadcast blocks: (block, blocks, keys, log values, log
+    probability of a character that doesn't occur)."""
     spark = texts.sparkSession
-    column = texts.columns[0]
-    letters = texts.select(column).mapInArrow(_characters, "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
-    top = letters.orderBy(F.desc("n"), "c").limit(CLASSES - 1).collect()
-    alphabet = np.zeros(0x110000, np.uint8)
-    for i, row in enumerate(top):
-        alphabet[row["c"]] = i + 1
-    alphabet = spark.sparkContext.broadcast(alphabet)
-    sums = texts.select(column).mapInArrow(_count(alphabet), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CLASSES**ORDER, np.int64)
-    counts[sums["code"].to_numpy()] = sums["n"].to_numpy()
-    return alphabet, spark.sparkContext.broadcast(kneser_ney(counts.reshape((CLASSES,) * ORDER)).ravel())
-
-
-def _score(column: pa.Array, alphabet, table) -> pa.Array:
-    parts = []
+    a, b, n = F.col("a"), F.col("b"), F.col("n")
+    context, suffix = F.shiftright("b", BITS), {4: a.bitwiseAND(F.lit(MASK)), 3: F.lit(0).cast("bigint"), 2: F.lit(0).cast("bigint")}
+    levels = {ORDER: materialize(texts.select(texts.columns[0]).mapInArrow(_count, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")))}
+    for m in range(ORDER, 1, -1):  # continuation counts
+        last = b.bitwiseAND(F.lit(MASK)) if m == 2 else b
+        levels[m - 1] = materialize(levels[m].groupBy(suffix[m].alias("a"), last.alias("b")).agg(F.count(F.lit(1)).alias("n")))
+    seen = {m: t.agg(F.count(F.lit(1)), *(F.count_if(n == i) for i in range(1, 5))).first() for m, t in levels.items()}
+    entries, lower = [], None
+    uniform = 1 / (seen[1][0] + 1)
+    for m in range(1, ORDER + 1):
+        cut = [float(x) for x in _discounts(*map(float, seen[m][1:]))]
+        off = F.when(n == 1, cut[1]).when(n == 2, cut[2]).otherwise(cut[3])
+        level = levels[m].withColumn("h", context)
+        totals = level.groupBy("a", "h").agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("back"))
+        p = level.join(totals, ["a", "h"])
+        if m == 1:
+            empty = (totals.first() or {"back": 1.0})["back"]
+        else:
+            last = b.bitwiseAND(F.lit(MASK)) if m == 2 else b
+            p = p.withColumn("sa", suffix[m]).withColumn("sb", last).join(lower.select(F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("p").alias("below")), ["sa", "sb"])
+            entries.append(totals.select(F.lit(m + 4).alias("tag"), "a", F.col("h").alias("b"), F.col("back").alias("v"), F.col("h").alias("c3")))
+        below = F.col("below") if m > 1 else F.lit(uniform)
+        lower = materialize(p.select("a", "b", ((n - off) / F.col("total") + F.col("back") * below).alias("p")))
+        entries.append(lower.select(F.lit(m).alias("tag"), "a", "b", F.col("p").alias("v"), context.alias("c3")))
+    every = entries[0]
+    for e in entries[1:]:
+        every = every.unionByName(e)
+    blocks = max(1, -(-sum(r[0] for r in seen.values()) // limit))
+    key = F.arrow_udf(lambda tag, a, b: pa.array(_keys(tag.to_numpy(zero_copy_only=False), a.to_numpy(), b.to_numpy()).view(np.int64)), "bigint")
+    shared = F.col("tag").isin(1, 2, 6)
+    of_block = F.when(~shared, F.pmod(_block_of(a.bitwiseAND(F.lit(MASK)), F.col("c3")), F.lit(blocks)))
+    keyed = materialize(every.select(of_block.alias("block"), key("tag", "a", "b").alias("k"), F.log(F.greatest("v", F.lit(1e-300))).cast("float").alias("v")))
+    out = []
+    none = float(np.log(max(empty * uniform, 1e-300)))
+    for i in range(blocks):
+        got = keyed.where(F.col("block").isNull() | (F.col("block") == i)).select("k", "v").toArrow()
+        k, v = got["k"].to_numpy().view(np.uint64), got["v"].to_numpy()
+        order = np.argsort(k)
+        out.append(spark.sparkContext.broadcast((i, blocks, k[order], v[order], none)))
+    return out
+
+
+def _find(q: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(q), bool), np.zeros(len(q))
+    at = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
+    hit = keys[at] == q
+    return hit, np.where(hit, values[at], 0.0)
+
+
+def _log_p(a: np.ndarray, b: np.ndarray, four: np.ndarray, keys: np.ndarray, values: np.ndarray, none: float) -> np.ndarray:
+    """Log probabilities of distinct n-grams: of the longest suffix that occurs, and of the back-off from the longer ones."""
+    hit, out = _find(four, keys, values)
+    left = np.flatnonzero(~hit)
+    for m in range(ORDER, 1, -1):
+        x, y = a[left], b[left]
+        full = x if m == 4 else x & MASK if m == 3 else x * 0
+        out[left] += _find(_keys(m + 4, full, y >> BITS), keys, values)[1]
+        less = m - 1
+        hit, value = _find(_keys(less, x & MASK if less == 3 else x * 0, y & MASK if less == 1 else y), keys, values)
+        out[left] += value
+        left = left[~hit]
+    out[left] += none
+    return np.maximum(out, np.log(FLOOR))
+
+
+def _score(column: pa.Array, block) -> pa.Array:
+    """Sum of log probabilities and number of the n-grams of each text that are the block's."""
+    i, blocks, keys, values, none = block.value
+    total, count = [np.zeros(0)], [np.zeros(0, np.int64)]
     for data, offsets in text_chunks(column):
-        codes, bounds = _codes(*_classes(data, offsets, alphabet.value))
-        sums = np.concatenate([[0], np.cumsum(table.value[codes], dtype=float)])
-        n = np.diff(bounds)
-        parts.append(np.exp(-np.divide(sums[bounds[1:]] - sums[bounds[:-1]], n, out=np.full(len(n), np.nan), where=n > 0)))
-    score = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.array(score, mask=np.isnan(score))
+        a, b, bounds = _grams(data, offsets)
+        if blocks > 1:
+            own = np.flatnonzero(_block_of(a & MASK, b >> BITS) % blocks == i)
+            a, b, bounds = a[own], b[own], np.searchsorted(own, bounds)
+        four, first, inverse = np.unique(_keys(ORDER, a, b), return_index=True, return_inverse=True)
+        sums = np.concatenate([[0], np.cumsum(_log_p(a[first], b[first], four, keys, values, none)[inverse])])
+        total.append(sums[bounds[1:]] - sums[bounds[:-1]])
+        count.append(np.diff(bounds))
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(total)), pa.array(np.concatenate(count))], ["s", "n"])
+
+
+def score(body: DataFrame, model: list) -> DataFrame:
+    """The rows of body (doc_id, lang, text) with perplexity in text's place."""
+    summed = lambda block: F.arrow_udf(lambda t: _score(t, block), "struct<s:double,n:bigint>")("text").alias("f")
+    perplexity = F.when(F.col("n") > 0, F.exp(-F.col("s") / F.col("n"))).alias("perplexity")
+    if len(model) == 1:
+        return body.select("doc_id", "lang", summed(model[0])).select("doc_id", "lang", F.col("f.s").alias("s"), F.col("f.n").alias("n")).select("doc_id", "lang", perplexity)
+    body = materialize(body.withColumn("row", F.monotonically_increasing_id()))
+    parts = None
+    for block in model:
+        one = body.select("row", summed(block)).select("row", "f.*")
+        parts = one if parts is None else parts.unionByName(one)
+    return body.select("row", "doc_id", "lang").join(parts.groupBy("row").agg(F.sum("s").alias("s"), F.sum("n").alias("n")), "row").select("doc_id", "lang", perplexity)
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE) -> DataFrame:
@@ -125,9 +197,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     fits = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(2)) == 0
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     fitted = body.where(fits("doc_id")).select("doc_id", "text").join(trusted.where(fits("_trusted")).hint("merge"), F.col("doc_id") == F.col("_trusted"), "left_semi")
-    alphabet, table = train(materialize(fitted.select("text")))
-    perplexity = F.arrow_udf(lambda t: _score(t, alphabet, table), "double")("text")
-    scored = materialize(body.select("doc_id", "lang", perplexity.alias("perplexity")))
+    scored = materialize(score(body, train(materialize(fitted.select("text")))))
     own = scored.join(trusted.where(~fits("_trusted")), F.col("doc_id") == F.col("_trusted"), "left_semi")
     cut = lambda: (F.percentile_approx("perplexity", quantile, 10000) * MARGIN).alias("threshold")
     by_lang = own.groupBy(F.col("lang").alias("_lang")).agg(cut())

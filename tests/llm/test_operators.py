@@ -256,3 +256,37 @@ def test_language_quality(spark, docs, empty):
     assert len(odd) == len(ODD) + 1 and not any(r.kept for r in odd if r.perplexity is None)
     assert language_quality.classify(empty, labels).count() == 0
     assert language_quality.classify(docs[0], labels.limit(0)).count() == docs[0].count()
+
+
+@pytest.mark.parametrize("limit", [10**6, 150])
+def test_language_quality_model_equals_dense_table(spark, limit):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abca好é") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    place = {c: i + 1 for i, c in enumerate(sorted(set("".join(texts))))}
+    counts = np.zeros((len(place) + 1,) * 4, int)
+    for t in texts:
+        for i in range(len(t) - 3):
+            counts[tuple(place[c] for c in t[i : i + 4])] += 1
+    table = language_quality.kneser_ney(counts)
+    model = language_quality.train(spark.createDataFrame([(t,) for t in texts], "text string"), limit)
+    assert (len(model) > 1) == (limit < 1000)
+    asked = [*texts, "好好好好éa", "zzzzz", "abcz好", "abc", None]
+    body = spark.createDataFrame([(i, "x", t) for i, t in enumerate(asked)], "doc_id long, lang string, text string")
+    for r in language_quality.score(body, model).collect():
+        t = [place.get(c, 0) for c in asked[r.doc_id] or ""]
+        logs = [table[tuple(t[i : i + 4])] for i in range(len(t) - 3)]
+        assert r.perplexity == (pytest.approx(np.exp(-np.mean(logs)), rel=1e-4) if logs else None)
+
+
+def test_language_quality_of_a_rare_script(spark):
+    rng = random.Random(3)
+    latin = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789") for _ in range(300)) for _ in range(200)]
+    words = ["".join(chr(rng.randint(0x4E00, 0x4E60)) for _ in range(4)) for _ in range(30)]
+    clean = ["".join(rng.choice(words) for _ in range(60)) for _ in range(60)]
+    junk = ["".join(rng.sample(t, len(t))) for t in clean[:20]]
+    rows = [(t, "la") for t in latin] + [(t, "zh") for t in clean + junk]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(rows) - len(junk))], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in language_quality.classify(docs, labels).collect()}
+    assert not any(got[i] for i in range(len(rows) - len(junk), len(rows)))
+    assert sum(got[i] for i in range(200, 260)) > 50
