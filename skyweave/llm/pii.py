@@ -1,8 +1,11 @@
 """Personal data: patterns, and a skip-chain conditional random field that carries labels to repeated and similar tokens.
 
-The patterns give the base spans. The field's nodes are these spans and the other tokens of a text that hold a digit, `@` or `+`; neighbours in
-the text share chain potentials, and tokens with the same digits or letters, however they are written, share skip
-potentials. Labels follow from loopy max-product messages, so that what one mention shows, all mentions get. Its weights are trained on
+The patterns give the base spans. The field's nodes are these spans, runs of digit groups parted by single spaces, dots, brackets
+or hyphens that repeat a span's digits, and the other tokens of a text that hold a digit, `@` or `+`. Neighbours in
+the text share chain potentials. Each node with the same digits or letters as a span, however they are written, a phone's digits
+with a country code or leading zeros more or less, or the begin of an address past its `@`, shares a skip potential with that
+span itself, whose label is held, so that what one mention shows, all mentions get, however many and in which order. Labels follow from
+loopy max-product messages, passed in alternating order until none moves. Its weights are trained on
 the pattern labels of a bounded sample of documents (`TRAIN_DOCS`), with the pattern evidence of a token hidden at random,
 so that the field learns to label a mention that matches no pattern from its like. A token that has a like with pattern evidence,
 that the field labels with a kind and that touches no base span gives a further span.
@@ -23,8 +26,13 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents that the field's weights are trained on at most, rounds of training, and of messages.
-TRAIN_DOCS, EPOCHS, MESSAGES = 400, 6, 6
+#: Documents that the field's weights are trained on at most, rounds of training, rounds of messages before they are damped, and
+#: rounds beyond one for each node after which messages that still circle are taken as they are.
+TRAIN_DOCS, EPOCHS, UNDAMPED, CIRCLING = 400, 6, 6, 100
+#: Points by which a pattern's label outweighs all others.
+HELD = 1e6
+#: Points by which like nodes agree, and digits of the longest span that groups can repeat with a country code more.
+LIKE, LONGEST = 1e3, 22
 SPANS = "struct<base:array<struct<kind:string,start:int,stop:int>>,spans:array<struct<kind:string,start:int,stop:int>>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,6 +42,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@+]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_RUN = re.compile(r"[+(]{0,2}[0-9](?:\)?[\x20.-]?\(?[0-9])*")
+_GROUP = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -98,14 +108,106 @@ def _key(word: str) -> str | None:
     return None
 
 
+def _address(word: str) -> tuple[str, str] | None:
+    """Letters and digits before and after an address's `@`."""
+    local, at, host = word.lower().partition("@")
+    local, host = (re.sub(r"[^a-z0-9]", "", x) for x in (local, host))
+    return (local, host) if at and local and host else None
+
+
+class _Shown:
+    """The spans that like mentions are joined to: for each key and label the first."""
+
+    def __init__(self, words: list[str], labels: list[int]):
+        self.same: dict[str, dict[int, int]] = defaultdict(dict)
+        self.phones: dict[str, dict[int, int]] = defaultdict(dict)
+        self.shorter: dict[str, dict[int, int]] = defaultdict(dict)
+        self.hosts: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        for i, (word, label) in enumerate(zip(words, labels, strict=True)):
+            if not label:
+                continue
+            if (key := _key(word)) is not None:
+                self.same[key].setdefault(label, i)
+            if LABELS[label] == "phone":
+                digits = _NOT_DIGIT.sub("", word).lstrip("0")
+                self.phones[digits].setdefault(label, i)
+                for cut in range(4):
+                    if len(rest := digits[cut:].lstrip("0")) >= 7:
+                        self.shorter[rest].setdefault(label, i)
+            if LABELS[label] == "email" and (address := _address(word)) is not None:
+                self.hosts[address[0]].append((address[1], i))
+
+    def digits(self, digits: str, more: int) -> dict[int, int]:
+        """Spans, by label, of the same digits (more = 0), or of a phone that has a country code more (-1) or less (1)."""
+        if len(bare := digits.lstrip("0")) < 7:
+            return self.same.get(digits, {}) if not more and len(digits) >= 7 else {}
+        if not more:
+            return self.same.get(digits) or self.phones.get(bare) or {}
+        if more < 0:
+            return self.shorter.get(bare, {})
+        longer = (self.phones.get(rest) for cut in range(1, 4) if len(rest := bare[cut:].lstrip("0")) >= 7)
+        return next(filter(None, longer), {})
+
+    def like(self, word: str) -> dict[int, int]:
+        """Spans, by label, that the word is like."""
+        if (key := _key(word)) is not None and (found := self.same.get(key)):
+            return found
+        if "@" in word:
+            if (address := _address(word)) is not None:
+                for host, i in self.hosts.get(address[0], ()):
+                    if host.startswith(address[1]):
+                        return {LABELS.index("email"): i}
+            return {}
+        digits = _NOT_DIGIT.sub("", word)
+        return self.digits(digits, 0) or self.digits(digits, -1) or self.digits(digits, 1)
+
+
+def _repeats(text: str, shown: _Shown) -> list[tuple[int, int]]:
+    """Bounds of the groups of digits, parted in the text by spaces, that together are like a span: those of the same digits first,
+    then those of a country code less or more, leftmost and longest first."""
+    out = []
+    if not shown.same:
+        return out
+    for m in _RUN.finditer(text):
+        groups = [g.span() for g in _GROUP.finditer(text, m.start(), m.end())]
+        if len(groups) == 1:
+            continue
+        used = [False] * len(groups)
+        for more in (0, -1, 1):
+            i = 0
+            while i < len(groups):
+                digits, stop = "", None
+                for j in range(i, len(groups)):
+                    digits += text[slice(*groups[j])]
+                    if used[j] or len(digits.lstrip("0")) > LONGEST:
+                        break
+                    if shown.digits(digits, more):
+                        stop = j
+                if stop is None:
+                    i += 1
+                    continue
+                used[i : stop + 1] = [True] * (stop + 1 - i)
+                a = groups[i][0]
+                while a > m.start() and text[a - 1] in "+(":
+                    a -= 1
+                if " " in text[a : groups[stop][1]]:
+                    out.append((a, groups[stop][1]))
+                i = stop + 1
+    return sorted(out)
+
+
 def _graph(text: str, base: list[tuple[str, int, int]]):
-    """Nodes (base spans, and tokens that touch none), their texts, pattern labels, chain edges and skip edges."""
+    """Nodes (base spans, repeats and tokens that touch none), their texts, pattern labels, chain edges and skip edges."""
     nodes, reach = [], -1
     for kind, a, b in sorted(base, key=lambda s: s[1]):
         if a >= reach:
             nodes.append((a, b, LABELS.index(kind)))
         reach = max(reach, b)
+    shown = _Shown([text[a:b] for a, b, _ in nodes], [k for _, _, k in nodes])
     taken = np.array([[a, b] for _, a, b in base]).reshape(-1, 2)
+    free = [(a, b) for a, b in _repeats(text, shown) if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any()]
+    taken = np.concatenate([taken, np.array(free, taken.dtype).reshape(-1, 2)])
+    nodes += [(a, b, 0) for a, b in free]
     for a, b in _tokens(text):
         if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any():
             nodes.append((a, b, 0))
@@ -114,34 +216,40 @@ def _graph(text: str, base: list[tuple[str, int, int]]):
     labels = np.array([k for _, _, k in nodes], int)
     words = [text[a:b] for a, b in bounds]
     chain = [(i, i + 1) for i in range(len(bounds) - 1) if bounds[i + 1][0] - bounds[i][1] <= 2]
-    last: dict[str, int] = {}
+    shown = _Shown(words, labels.tolist())
+    first: dict[str, int] = {}
     skip = []
     for i, w in enumerate(words):
-        if (k := _key(w)) is not None:
-            if k in last:
-                skip.append((last[k], i))
-            last[k] = i
+        if found := shown.like(w):
+            skip += [(j, i) for j in found.values() if j != i]
+        elif (k := _key(w)) is not None and (j := first.setdefault(k, i)) != i:
+            skip.append((j, i))
     return bounds, words, labels, chain, skip
 
 
 def _decode(unary: np.ndarray, chain, skip, weights: dict) -> np.ndarray:
     """Labels by loopy max-product messages over chain and skip edges."""
-    edges = [(i, j, weights["chain"]) for i, j in chain] + [(i, j, weights["skip"]) for i, j in skip]
+    edges = sorted([(i, j, 0) for i, j in chain] + [(i, j, 1) for i, j in skip])
+    tables = (weights["chain"], weights["skip"])
     into = np.zeros((len(edges), 2, len(LABELS)))  # messages to i and to j
     belief = unary.copy()
-    for _ in range(MESSAGES if edges else 0):
-        moved = False
-        for e, (i, j, table) in enumerate(edges):
-            to_j = (belief[i] - into[e, 0])[:, None] + table
-            to_i = (belief[j] - into[e, 1])[:, None] + table.T
+    order = list(range(len(edges)))
+    for turn in range(len(unary) + CIRCLING if edges else 0):
+        moved, step = False, 1.0 if turn < UNDAMPED else 0.5
+        for e in order:
+            i, j, which = edges[e]
+            to_j = (belief[i] - into[e, 0])[:, None] + tables[which]
+            to_i = (belief[j] - into[e, 1])[:, None] + tables[which].T
             for side, node, message in ((1, j, to_j.max(0)), (0, i, to_i.max(0))):
                 message -= message.max()
-                if np.abs(message - into[e, side]).max() > 1e-9:
-                    belief[node] += message - into[e, side]
-                    into[e, side] = message
+                if np.abs(message - into[e, side]).max() > 1e-6:
+                    change = step * (message - into[e, side])
+                    belief[node] += change
+                    into[e, side] += change
                     moved = True
         if not moved:
             break
+        order.reverse()
     return belief.argmax(1)
 
 
@@ -152,6 +260,8 @@ def _unary(words, evidence: np.ndarray, weights: dict) -> np.ndarray:
             if (x := weights["word"].get(f)) is not None:
                 out[i] += x
         out[i] += weights["evidence"][evidence[i]]
+        if evidence[i]:  # what a pattern shows is held
+            out[i, np.arange(len(LABELS)) != evidence[i]] -= HELD
     return out
 
 
@@ -199,13 +309,9 @@ def find_spans(text: str, weights: dict) -> tuple[list[tuple[str, int, int]], li
     bounds, words, labels, chain, skip = _graph(text, base)
     more = []
     if base and skip:
-        joined: dict[int, bool] = {}
-        for i, j in skip:  # a token is labelled by the field only where a like token has pattern evidence
-            joined[j] = joined[i] = joined.get(i, bool(labels[i])) or bool(labels[i]) or bool(labels[j])
-        for i, j in reversed(skip):
-            joined[i] = joined[i] or joined[j]
+        joined = {i: True for j, i in skip if labels[j]}  # a token is labelled by the field only where a like token has pattern evidence
         if any(joined.get(i) and not labels[i] for i in range(len(words))):
-            found = _decode(_unary(words, labels, weights), chain, skip, weights)
+            found = _decode(_unary(words, labels, weights), chain, skip, weights | {"skip": weights["skip"] + LIKE * np.eye(len(LABELS))})
             for i, (a, b) in enumerate(bounds):
                 if found[i] and not labels[i] and joined.get(i):
                     more.append((LABELS[found[i]], a, b))

@@ -290,3 +290,22 @@ def test_language_quality_of_a_rare_script(spark):
     got = {r.doc_id: r.kept for r in language_quality.classify(docs, labels).collect()}
     assert not any(got[i] for i in range(len(rows) - len(junk), len(rows)))
     assert sum(got[i] for i in range(200, 260)) > 50
+
+
+def test_personal_data_of_late_evidence(docs):
+    weights = pii.train(docs[0])
+    for n in (8, 20, 300):
+        text = "call 14875557209 now, " * n + "tel +1 (487) 555-7209, again 14875557209"
+        spans = pii.find_spans(text, weights)[1]
+        assert [text[a:b] for k, a, b in spans if k == "phone"] == ["14875557209"] * n + ["+1 (487) 555-7209", "14875557209"]
+
+
+@pytest.mark.parametrize("like", ["1 487 555 7209", "1 (487) 555 7209", "487.555 7209", "4875557209", "487 555-7209", "0014875557209"])
+def test_personal_data_of_a_number_written_otherwise(docs, like):
+    text = f"at 3 {like} or else +1 (487) 555-7209 in 2019 487 556 7209"
+    assert [(k, text[a:b]) for k, a, b in pii.find_spans(text, pii.train(docs[0]))[1]] == [("phone", like), ("phone", "+1 (487) 555-7209")]
+
+
+def test_personal_data_of_a_shortened_address(docs):
+    text = "write to j.doe@host or j.doe@host.com, not to j.dow@host"
+    assert [(k, text[a:b]) for k, a, b in pii.find_spans(text, pii.train(docs[0]))[1]] == [("email", "j.doe@host"), ("email", "j.doe@host.com")]
