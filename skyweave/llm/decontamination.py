@@ -6,8 +6,8 @@ m - q + 1 - k q q-grams with the text, all within 2 k + 1 neighbouring diagonals
 bands of twice that width, bands that meet the bound are kept, and each is verified by an alignment inside the band.
 
 The items are sent to the tasks in blocks of at most BLOCK_CHARS characters, one pass over the documents for each block, so what is
-broadcast is bounded however large the benchmark is. Items of fewer than MIN_CHARS folded characters name no passage and are
-passed over. Null or empty texts and items match nothing. Null doc_id, repeated rows: each row gets its own matches; equal pairs are
+broadcast is bounded however large the benchmark is. Items of fewer than MIN_CHARS folded characters are found
+where they stand whole and without edits between word boundaries; items without letters and digits match nothing. Null or empty texts and items match nothing. Null doc_id, repeated rows: each row gets its own matches; equal pairs are
 one row. Empty tables: no rows. Other columns are ignored by the query and kept by the filter.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skyweave.llm.common import _power_tables, mix, text_chunks
 
-#: Characters of a q-gram, share of edited characters allowed, folded characters of a window and of the shortest item.
+#: Characters of a q-gram, share of edited characters allowed, folded characters of a window and of the shortest item that may be edited.
 Q, EDITS, WINDOW, MIN_CHARS = 12, 0.06, 160, 40
 BLOCK_CHARS = 8_000_000
 MATCHES = "array<struct<item_id:bigint,start:bigint,stop:bigint,edits:int>>"
@@ -51,15 +51,23 @@ def fold(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return folded[place], place, np.searchsorted(place, bounds)
 
 
+def _sums(points: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum(mix(points) * _power_tables(len(points) + 1)[0][: len(points)], out=sums[1:])
+    return sums
+
+
+def _hashes(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the `length` characters from each of the places."""
+    return mix((sums[at + length] - sums[at]) * _power_tables(len(sums))[1][at])
+
+
 def grams(points: np.ndarray) -> np.ndarray:
     """Hashes of the q-grams that begin at each place."""
     n = len(points) - Q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(points) + 1)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(mix(points) * up[: len(points)], out=sums[1:])
-    return mix((sums[Q:] - sums[:-Q]) * down[:n])
+    return _hashes(_sums(points), np.arange(n), Q)
 
 
 class Patterns:
@@ -68,12 +76,17 @@ class Patterns:
     def __init__(self, items: list[tuple[int, str]]):
         self.item, self.text, self.edits = [], [], []
         hashes, owner, place = [], [], []
+        short: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
         for item_id, text in items:
             points = np.frombuffer((text or "").encode("utf-32-le"), np.uint32)
             folded, _, _ = fold(points, np.array([0, len(points)]))
             while len(folded) and folded[-1] == 32:
                 folded = folded[:-1]
+            if not len(folded):
+                continue
             if len(folded) < MIN_CHARS:
+                h = int(_hashes(_sums(folded), np.zeros(1, np.int64), len(folded))[0])
+                short.setdefault(len(folded), {}).setdefault(h, []).append((item_id, folded))
                 continue
             n = max(1, -(-2 * (len(folded) - WINDOW) // WINDOW) + 1) if len(folded) > WINDOW else 1
             for i in range(n):
@@ -86,6 +99,8 @@ class Patterns:
                 self.item.append(item_id)
                 self.text.append(window)
                 self.edits.append(min(int(EDITS * len(window)), (len(window) - Q) // Q))
+        #: Short items by length: their sorted hashes, and the items of each hash.
+        self.short = {n: (np.array(sorted(by), np.uint64), by) for n, by in sorted(short.items())}
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         self.hash = h[order]
@@ -123,19 +138,41 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, k: int) ->
     return cost[best], max(0, begin[best]), len(pattern) + low + best
 
 
+def _short(folded: np.ndarray, limits: np.ndarray, patterns: Patterns) -> list[tuple[int, int, int, int]]:
+    """(text, item_id, start, stop) in folded characters of the short items that stand between word boundaries."""
+    if not patterns.short or not len(folded):
+        return []
+    edge = np.zeros(len(folded) + 1, bool)  # a word may end before each place, or begin there
+    edge[:-1] = folded == 32
+    edge[limits] = True
+    begins = np.flatnonzero((edge[:-1] | np.r_[True, folded[:-1] == 32]) & (folded != 32))
+    text = np.searchsorted(limits, begins, "right") - 1
+    room, sums, found = limits[text + 1] - begins, _sums(folded), []
+    for n, (hashes, by) in patterns.short.items():
+        fits = np.flatnonzero(room >= n)
+        fits = fits[edge[begins[fits] + n]]
+        h = _hashes(sums, begins[fits], n)
+        hit = np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h)
+        for i, key in zip(fits[hit].tolist(), h[hit].tolist(), strict=True):
+            a = int(begins[i])
+            found += [(int(text[i]), item, a, a + n) for item, whole in by[key] if np.array_equal(whole, folded[a : a + n])]
+    return found
+
+
 def matches(points: np.ndarray, bounds: np.ndarray, patterns: Patterns) -> list[tuple[int, int, int, int, int]]:
     """(text, item_id, start, stop, edits) of the windows found, in code points of each text."""
     folded, place, limits = fold(points, bounds)
+    found = [(t, item, int(place[a] - bounds[t]), int(place[b - 1] - bounds[t]) + 1, 0) for t, item, a, b in _short(folded, limits, patterns)]
     h = grams(folded)
     maybe = np.flatnonzero(patterns.known[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
     if not len(maybe):
-        return []
+        return found
     first, last = np.searchsorted(patterns.hash, h[maybe]), np.searchsorted(patterns.hash, h[maybe], "right")
     text = np.searchsorted(limits, maybe, "right") - 1
     good = (last > first) & (maybe + Q <= limits[text + 1])
     maybe, first, times, text = maybe[good], first[good], (last - first)[good], text[good]
     if not len(maybe):
-        return []
+        return found
     at = np.repeat(first - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
     where, text = np.repeat(maybe, times), np.repeat(text, times)
     owner, own_place = patterns.owner[at], patterns.place[at]
@@ -145,7 +182,6 @@ def matches(points: np.ndarray, bounds: np.ndarray, patterns: Patterns) -> list[
     rows = np.unique(rows, axis=0)
     heads = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(1)])
     shared = np.diff(np.r_[heads, len(rows)])
-    found = []
     for text, owner, band in rows[heads[shared >= patterns.bound[rows[heads, 1]]], :3].tolist():
         k, pattern = int(patterns.k[owner]), patterns.text[owner]
         a, b = int(limits[text]), int(limits[text + 1])

@@ -309,3 +309,15 @@ def test_personal_data_of_a_number_written_otherwise(docs, like):
 def test_personal_data_of_a_shortened_address(docs):
     text = "write to j.doe@host or j.doe@host.com, not to j.dow@host"
     assert [(k, text[a:b]) for k, a, b in pii.find_spans(text, pii.train(docs[0]))[1]] == [("email", "j.doe@host"), ("email", "j.doe@host.com")]
+
+
+def test_decontamination_by_short_items(spark):
+    texts = ["What is the capital of France?", "so: WHAT is the -- capital of france", "What is the capital of Frances", "Awhat is the capital of France", "x yes", "yes", "", None, "what is the capital", "of France? yes!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Yes."), (3, "?!"), (4, "what IS"), (5, None), (6, "yes")], "item_id long, text string")
+    found = _rows(decontamination.contaminated(docs, items))
+    whole = {(0, 1, 0, 29), (1, 1, 4, 36), (4, 2, 2, 5), (5, 2, 0, 3), (9, 2, 11, 14)}
+    whole |= {(d, 6, a, b) for d, i, a, b in whole if i == 2} | {(0, 4, 0, 7), (1, 4, 4, 11), (2, 4, 0, 7), (8, 4, 0, 7)}
+    assert found == sorted(((*w, 0) for w in whole), key=repr)
+    assert [r.doc_id for r in decontamination.keep_clean(docs, items).orderBy("doc_id").collect()] == [3, 6, 7]
+    assert decontamination.contaminated(docs, items.where("item_id = 3")).count() == 0
