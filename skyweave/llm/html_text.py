@@ -16,54 +16,84 @@ from pyspark.sql import functions as F
 
 #: Fixed values of HTML: elements without an end tag, with raw text, that end a paragraph, and that close their like.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
+#: Foreign elements, the HTML elements that end them where they are left open, and the elements inside them that may hold HTML.
+FOREIGN = frozenset("svg math".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article aside footer header main nav section".split())
+INTEGRATED = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section div body blockquote td th".split())
 #: Elements that never hold main text.
 DROPPED = frozenset("head script style noscript template iframe svg math canvas object embed nav footer aside form button select textarea input label dialog menu audio video".split())
-#: Words of class, id or role that mark an element as beside the main text.
+#: Words of class, id or role that mark an element as beside the main text: whole, before the first `-` or `_`, or after a word of PLACED.
 BESIDE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login comment comments disqus replies respond share sharing social related recommended widget toolbar pagination pager skip search hidden contentinfo complementary alert".split())
+PLACED = frozenset("site global main top bottom left right primary secondary".split())
+#: Words that say nothing before a `-` or `_`, and words of readers' texts, which no size overrules.
+WHOLE = frozenset("header hidden skip search alert notice notices".split())
+READERS = frozenset("comment comments disqus replies respond".split())
+#: A container that only its class marks is kept from this share of the page's text on, below this link density.
+LARGE, DENSE = 0.5, 0.25
 #: Points of a container by its name, and of a paragraph for itself, for each comma and for each 100 characters, three at most.
 CONTAINER = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "body": 0.0}
 SCORED = frozenset("p pre td blockquote li dd h2 h3 figcaption".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+_PART = re.compile(r"[-_]+")
 
 
 class Node:
-    """An element; its content holds texts and elements in order."""
+    """An element; its content holds texts and elements in order. `marked`: it is beside the main text by its class alone."""
 
-    __slots__ = ("content", "name", "parent", "beside", "score", "text_chars", "link_chars", "commas")
+    __slots__ = ("content", "name", "parent", "beside", "marked", "score", "text_chars", "link_chars", "commas")
 
     def __init__(self, name: str, parent: Node | None, beside: bool = False):
-        self.name, self.parent, self.beside = name, parent, beside
+        self.name, self.parent, self.beside, self.marked = name, parent, beside, False
         self.content: list[str | Node] = []
         self.score = 0.0
         self.text_chars = self.link_chars = self.commas = 0
 
 
-def _beside(name: str, attributes: str, path: list[Node]) -> bool:
+def _marks(token: str) -> set[str]:
+    """The words of BESIDE that a class, id or role stands for."""
+    if token in BESIDE:
+        return {token}
+    parts = _PART.split(token)
+    if len(parts) < 2:
+        return set()
+    if parts[0] in PLACED and len(parts) == 2:
+        return {parts[1]} & BESIDE
+    return {parts[0]} & (BESIDE - WHOLE)
+
+
+def _place(name: str, attributes: str, path: list[Node]) -> tuple[bool, bool]:
+    """Whether an element is beside the main text, and whether its class alone says so and its size may overrule that."""
     if name in DROPPED:
-        return True
+        return True, False
+    inside = any(n.name in ("article", "main") for n in path)
     if name == "header":
-        return not any(n.name in ("article", "main") for n in path)
-    if name in ("html", "body", "article", "main"):
-        return False
-    if re.search(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", attributes, re.I):
-        return True
-    for _, a, b, c in _NAMED.findall(attributes):
-        if not BESIDE.isdisjoint(_WORD.findall((a or b or c).lower())):
-            return True
-    return False
+        return not inside, False
+    if name in ("html", "body", "article", "main") or not attributes:
+        return False, False
+    words: set[str] = set()
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), a or b or c
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
+            return True, False
+        if key in ("class", "id", "role"):
+            for token in value.lower().split():
+                words |= _marks(token)
+    if inside:
+        words.discard("header")
+    return bool(words), bool(words) and words.isdisjoint(READERS)
 
 
 def parse(page: str) -> Node:
     """The page's element tree."""
     root = Node("html", None)
-    path, at = [root], 0
+    path, at, marked = [root], 0, []
     while (m := _TAG.search(page, at)) is not None:
         if m.start() > at:
             path[-1].content.append(page[at : m.start()])
@@ -81,6 +111,12 @@ def parse(page: str) -> Node:
                 if path[i].name in ("td", "th", "table") and name not in ("table", "tr", "tbody", "article", "main", "body", "html"):
                     break
             continue
+        foreign = next((i for i in range(len(path) - 1, 0, -1) if path[i].name in FOREIGN), 0)
+        if foreign and any(n.name in INTEGRATED for n in path[foreign:]):
+            foreign = 0
+        if foreign and name in BREAKOUT:
+            del path[foreign:]
+            foreign = 0
         if name in ("html", "body") and any(n.name == name for n in path):
             continue
         if name in BLOCK:
@@ -99,17 +135,46 @@ def parse(page: str) -> Node:
                     break
         if name == "body" and len(path) > 1 and path[1].name == "head":
             del path[1:]
-        node = Node(name, path[-1], _beside(name, attributes, path))
+        beside, doubtful = _place(name, attributes, path)
+        node = Node(name, path[-1], beside)
         path[-1].content.append(node)
+        if doubtful:
+            node.marked = True
+            marked.append(node)
+        if foreign and attributes.rstrip().endswith("/"):
+            continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
             path.append(node)
     path[-1].content.append(page[at:])
+    if marked:
+        _overrule(root)
     return root
 
 
+def _overrule(root: Node) -> None:
+    """Keeps those containers marked by class alone that hold most of the page's text, little of it in links."""
+    order, stack, size = [], [root], {}
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.content if isinstance(c, Node) and (not c.beside or c.marked)]
+    for node in reversed(order):
+        text = link = 0
+        for c in node.content:
+            if isinstance(c, str):
+                text += len(" ".join(c.split()))
+            elif c in size:
+                text, link = text + size[c][0], link + size[c][1]
+        size[node] = text, text if node.name == "a" else link
+    for node in order:
+        text, link = size[node]
+        if node.marked and text >= LARGE * size[root][0] and link < DENSE * text:
+            node.beside = False
+
+
 def _weigh(root: Node) -> list[Node]:
     """Sets sizes and scores; gives the elements that have points, in page order."""
     order, stack = [], [root]

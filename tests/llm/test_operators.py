@@ -321,3 +321,27 @@ def test_decontamination_by_short_items(spark):
     assert found == sorted(((*w, 0) for w in whole), key=repr)
     assert [r.doc_id for r in decontamination.keep_clean(docs, items).orderBy("doc_id").collect()] == [3, 6, 7]
     assert decontamination.contaminated(docs, items.where("item_id = 3")).count() == 0
+
+
+BODY = "<p>One, two and three, a text that is long enough to be the main one of its page.</p>"
+WANT = "One, two and three, a text that is long enough to be the main one of its page."
+
+
+@pytest.mark.parametrize("around", ['<div style="overflow:hidden">{}</div>', '<div class="overflow-hidden">{}</div>', '<div class="post has-sidebar">{}</div>', '<div class="sidebar content">{}</div>'])
+def test_html_text_of_containers_that_only_look_hidden(around):
+    assert html_text.main_text("<body>" + around.format(BODY) + "<div class='nav'><a href=/>x</a></div>") == WANT
+
+
+def test_html_text_of_hidden_elements():
+    for gone in ("hidden", "hidden=''", "style='color:red; display: none'", "style='visibility:hidden'", "aria-hidden=true", "class='a hidden'", "class='sidebar-left'", "id=site-footer"):
+        assert html_text.main_text(f"<body><div>{BODY}<div {gone}><p>gone, gone</p></div></div>") == WANT
+    assert html_text.main_text("<article><div class='article-header'><h1>T</h1></div><p>go to <a href='/hidden-gems'>gems</a>, all</p></article>") == "T\ngo to gems, all"
+
+
+@pytest.mark.parametrize("icon", ["<svg class='i'/>", "<math />", "<svg><path d='M0'/><title/></svg>", "<svg><path d='M0'>", "<math><mi>x</mi>", "<svg><style/><g></svg>"])
+def test_html_text_after_icons(icon):
+    assert html_text.main_text(f"<article><div>{icon}</div>{BODY}<div>{icon}{BODY}</div><p>and <svg><g/></svg> end</p></article>") == f"{WANT}\n{WANT}\nand end"
+
+
+def test_html_text_after_open_template():
+    assert html_text.main_text(f"<article><div><template><p>gone</p></div>{BODY}</article>") == WANT
