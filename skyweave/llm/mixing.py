@@ -2,20 +2,26 @@
 
 A source's target is a weighted share of all sizes, at most CAP times its own size; what is above is shared again by weight.
 With f = target / size of the source, every document gets floor(f) copies and one more with inclusion probability
-f - floor(f). In the flight phase these probabilities move through the null space of the constraints, three documents
-at a time: the step (s2 - s3, s3 - s1, s1 - s2) keeps the number of documents and the number of words as expected, and takes
-one document to 0 or 1. It runs in blocks of bounded size, then over what the blocks leave (two documents each), and last over what is
-left of a source. The landing rounds the two documents that remain, which may be large, together with a reserve of about
-LANDING_DOCS documents kept out of the flight, so that the words taken come near those expected.
-
-Null text: size 0. Null source: a source of its own, last in order. Null doc_id and repeated rows are rows like others. Ties are
-broken by hash, doc_id and size, so that reruns agree. A source without words has target 0. Other columns are ignored.
+f - floor(f). In the flight phase these probabilities move through the null space of the two constraints, number of documents and
+number of words, until none can move: a step moves the largest undecided document, and all others of its block against it in
+proportion to the room they have, until one of them is at 0 or 1. So large documents are decided while there are others to
+balance them. Every document flies, in blocks of about BLOCK_DOCS dealt by hash; what the blocks leave, two documents each at most,
+flies again in blocks of the next level, until a source is one block. There the flight ends with a small landing problem, of at most
+LANDING documents and a quarter of the block, or of two: all its roundings are compared, and the one whose two totals come nearest to
+those expected is taken.
+
+Null text: size 0. Null source: a source of its own, last in order. Null doc_id: a document like others. Rows that repeat a doc_id
+and size in a source are counted first and dealt out one by one, so they don't meet in one block. Ties are broken by hash, so that
+reruns agree. A source without words has target 0. Empty table: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize
@@ -23,18 +29,20 @@ from skyweave.llm.common import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 CAP = 3
-#: Documents of a block, and blocks whose leftovers make one block again.
-BLOCK_DOCS, BLOCK_LEFT = 4096, 2048
-#: Documents of a source, picked by hash, that wait for the landing; about as many of any source, however large it is.
-LANDING_DOCS, RESERVED = 64, 1 << 40
-_UNIT = "source_no bigint, block bigint, doc_id bigint, source string, size bigint, copies bigint, part double, h bigint"
+#: Documents of a block, and blocks whose leftovers make one block of the next level.
+BLOCK_DOCS, BLOCK_LEFT = 512, 256
+#: Documents left to the landing at most, and how much an error of a mean document's words counts against one of a document.
+LANDING, WORDS_FIRST = 12, 100.0
+_UNIT = "source_no bigint, block bigint, doc_id bigint, size bigint, copies bigint, part double, h bigint, mean double"
 _NAMES = [x.split()[0] for x in _UNIT.split(", ")]
+_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
 _EPS = 1e-9
 
 
-def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
-    """One row per source: source, source_no, n_docs, source_size, target. The windows run over these rows only."""
-    by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+def source_targets(counted: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
+    """One row per source: source, source_no, n_docs, source_size, target, from rows (source, size, times). The windows run over rows of
+    sources only."""
+    by_source = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"), F.sum("times").alias("n_docs"))
     listed = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), ((F.row_number().over(listed) - 1) % len(weights) + 1).cast("int"))
     numbered = by_source.select("*", F.row_number().over(listed).cast("bigint").alias("source_no"), weight.alias("weight"))
@@ -46,97 +54,103 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
     return levelled.select("source", "source_no", "n_docs", "source_size", F.least(own.cast("double"), F.col("weight") * F.col("level")).alias("target"))
 
 
-def _noise(units: list[list]) -> float:
-    x = 0x9E3779B97F4A7C15
-    for u in units:
-        x = ((x ^ (u[7] & 0xFFFFFFFFFFFFFFFF)) * 0xBF58476D1CE4E5B9 + u[4]) & 0xFFFFFFFFFFFFFFFF
-        x ^= x >> 29
-    return (x * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF) / 2.0**64
-
-
-def _move(units: list[list]) -> None:
-    """One step of the flight phase: some unit's part becomes 0 or 1, and expected parts stay."""
-    sizes = [u[4] for u in units]
-    if len(units) == 3 and len(set(sizes)) > 1:
-        u = (sizes[1] - sizes[2], sizes[2] - sizes[0], sizes[0] - sizes[1])
-    else:
-        u = (1.0, -1.0, 0.0)[: len(units)]
-    forth = min(((1 - x[6]) if d > 0 else x[6]) / abs(d) for x, d in zip(units, u, strict=True) if d)
-    back = min((x[6] if d > 0 else (1 - x[6])) / abs(d) for x, d in zip(units, u, strict=True) if d)
-    by = forth if _noise(units) * (forth + back) < back else -back
-    for x, d in zip(units, u, strict=True):
-        p = x[6] + by * d
-        x[6] = 0.0 if p < _EPS else 1.0 if p > 1 - _EPS else p
-
-
-def _land(units: list[list]) -> None:
-    """Whole choices, largest document first: each is taken if that brings the words taken nearer to those expected so far."""
-    owed = 0.0
-    for u in sorted(units, key=lambda u: -u[4]):
-        owed += u[6] * u[4]
-        u[6] = float(owed > u[4] / 2 or not u[4] and u[6] >= 0.5)
-        owed -= u[6] * u[4]
-
-
-_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
-
-
-def _flight(last: bool):
-    """Over units sorted by source and block; at most three are held at a time, and in the last level a source's landing reserve."""
+def fly(size: np.ndarray, part: np.ndarray, seed: int, left: int = 0) -> np.ndarray:
+    """Inclusion probabilities after the flight phase over documents in order of size, largest first; no more than `left`, or two, are
+    neither 0 nor 1."""
+    size, part, rng = size.astype(float), part.copy(), np.random.default_rng(seed)
+    held = np.zeros(len(part), bool)  # that no vector of the null space moves
+    live = np.flatnonzero((part > 0) & (part < 1))
+    while len(live) > left and len(movable := live[~held[live]]):
+        i = movable[0]
+        rest = live[live != i]
+        p, s = part[rest], size[rest]
+        if not len(rest) or (s.min() == s.max()) and s[0] != size[i]:
+            held[i] = True
+            continue
+        room = np.minimum(p, 1 - p)
+        mean = (room @ s) / room.sum()
+        off = s - mean
+        tilt = off * (size[i] - mean) / ((room * off) @ off) if s.min() < s.max() else 0.0
+        move = -room * (1 / room.sum() + tilt)
+        up, down = move > 0, move < 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ahead = np.where(up, (1 - p) / move, np.where(down, -p / move, np.inf))
+            behind = np.where(up, p / move, np.where(down, (p - 1) / move, np.inf))
+        forth, back = min(1 - part[i], ahead.min()), min(part[i], behind.min())
+        onward = rng.random() * (forth + back) < back
+        by = forth if onward else -back
+        moved, ends = p + by * move, (ahead if onward else behind) <= abs(by)
+        moved[ends] = np.round(moved[ends])
+        part[rest], part[i] = moved, part[i] + by
+        part[live] = np.where(part[live] < _EPS, 0.0, np.where(part[live] > 1 - _EPS, 1.0, part[live]))
+        live = live[(part[live] > 0) & (part[live] < 1)]
+    return part
+
+
+def land(size: np.ndarray, part: np.ndarray, mean: float) -> np.ndarray:
+    """The rounding of what the flight left whose words, in documents of mean size, and number of documents are nearest to those expected."""
+    left = np.flatnonzero((part > 0) & (part < 1))
+    ways = np.array(list(product((0.0, 1.0), repeat=len(left))))
+    off = ways - part[left]
+    out = part.copy()
+    out[left] = ways[np.argmin(WORDS_FIRST * (off @ size[left] / max(mean, 1.0)) ** 2 + off.sum(1) ** 2)]
+    return out
+
+
+def _flown(last: bool):
+    """Over documents sorted by source and block, of which one block is held at a time."""
 
     def over(batches):
-        at, open_units, reserve = None, [], []
+        at, held = None, []
 
         def finish():
-            if last:
-                _land(open_units + reserve)
-            return open_units + reserve
+            size, part, h = (np.array([u[i] for u in held]) for i in (3, 5, 6))
+            part = fly(size, part, int(h.view(np.uint64).sum()) & ((1 << 63) - 1), min(LANDING, len(part) // 4) if last else 0)
+            part = land(size, part, held[0][7]) if last else part
+            return [(*u[:5], float(p), *u[6:]) for u, p in zip(held, part, strict=True)]
 
         table = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(_KINDS)], _NAMES)
         for batch in batches:
             rows = []
-            for unit in map(list, zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True)):
-                key = (unit[0], 0 if last else unit[1])
-                if key != at:
-                    rows += finish()
-                    at, open_units, reserve = key, [], []
-                if last and unit[1] == RESERVED:
-                    reserve.append(unit)
-                    continue
-                open_units.append(unit)
-                while len(open_units) == 3:
-                    _move(open_units)
-                    rows += [u for u in open_units if u[6] in (0.0, 1.0)]
-                    open_units = [u for u in open_units if u[6] not in (0.0, 1.0)]
+            for unit in zip(*(batch.column(i).to_pylist() for i in range(len(_KINDS))), strict=True):
+                if unit[:2] != at:
+                    rows += finish() if held else []
+                    at, held = unit[:2], []
+                held.append(unit)
             yield table(rows)
-        yield table(finish())
+        yield table(finish() if held else [])
 
     return over
 
 
-def _level(units: DataFrame, block: Column, last: bool = False) -> DataFrame:
-    dealt = units.withColumn("block", block.cast("bigint")).select(*_NAMES).repartition("source_no", *([] if last else ["block"]))
-    return dealt.sortWithinPartitions("source_no", "block", F.col("size").desc(), "h", "doc_id").mapInArrow(_flight(last), _UNIT)
+def _level(units: DataFrame, last: bool) -> DataFrame:
+    dealt = units.select(*_NAMES).repartition("source_no", "block")
+    return dealt.sortWithinPartitions("source_no", "block", F.col("size").desc(), "h", "doc_id").mapInArrow(_flown(last), _UNIT)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
-    sized = materialize(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size")))
-    targets = materialize(source_targets(sized, weights, cap))
+    sized = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"))
+    counted = materialize(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times")))
+    targets = materialize(source_targets(counted, weights, cap))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    joined = counted.join(targets, counted["source"].eqNullSafe(targets["source"])).drop("source")
+    each = joined.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
     copies = F.floor(rate + _EPS)
     part = rate - copies
-    spread = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 40))
-    block = F.when(spread * F.col("n_docs") < LANDING_DOCS * (1 << 40), RESERVED).otherwise(F.pmod(spread, F.ceil(F.col("n_docs") / BLOCK_DOCS)))
-    units = joined.select("source_no", block.cast("bigint").alias("block"), "doc_id", "source", "size", copies.alias("copies"), F.when((part < _EPS) | (part > 1 - _EPS), F.round(part)).otherwise(part).alias("part"), F.xxhash64(F.lit(20240611), "doc_id", "size").alias("h"))
+    h = F.xxhash64(F.lit(20240611), "doc_id", "size", "time")
+    block = F.pmod(F.xxhash64("doc_id", "size", "time"), F.ceil(F.col("n_docs") / BLOCK_DOCS).cast("bigint"))
+    units = each.select("source_no", block.alias("block"), "doc_id", "size", copies.cast("bigint").alias("copies"), F.when(part < _EPS, 0.0).when(part > 1 - _EPS, 1.0).otherwise(part).alias("part"), h.alias("h"), (F.col("source_size") / F.col("n_docs")).alias("mean"))
     whole = F.col("part").isin(0.0, 1.0)
-    done = units.where(whole)
-    held = F.col("block") == RESERVED
-    first = materialize(_level(units.where(~whole & ~held), F.col("block")))
-    second = materialize(_level(first.where(~whole), F.floor(F.col("block") / BLOCK_LEFT)))
-    third = _level(second.where(~whole).withColumn("block", F.lit(0).cast("bigint")).unionByName(units.where(~whole & held)), F.col("block"), last=True)
-    taken = done.unionByName(first.where(whole)).unionByName(second.where(whole)).unionByName(third).withColumn("copies", F.col("copies") + F.col("part").cast("bigint"))
-    placed = taken.join(targets.select("source_no", "source_size", "target"), "source_no")
+    taken, flying = units.where(whole), units.where(~whole)
+    blocks = -(-(targets.agg(F.max("n_docs")).first()[0] or 0) // BLOCK_DOCS)
+    while True:
+        last = blocks <= 1
+        flown = materialize(_level(flying, last))
+        taken, flying = taken.unionByName(flown.where(whole)), flown.where(~whole).withColumn("block", F.floor(F.col("block") / BLOCK_LEFT))
+        if last:
+            break
+        blocks = -(-blocks // BLOCK_LEFT)
+    placed = taken.withColumn("copies", F.col("copies") + F.col("part").cast("bigint")).join(targets, "source_no")
     return placed.select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))

@@ -223,6 +223,40 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 64, 65, 500])
+def test_mixing_flies_every_document(n):
+    rng = np.random.default_rng(n)
+    size = np.sort(np.minimum(20000, rng.lognormal(5.5, 1.2, n)).astype(np.int64))[::-1].copy()
+    part = rng.uniform(0.05, 0.95, n)
+    for seed in range(5):
+        flown = mixing.fly(size, part, seed)
+        assert ((flown > 0) & (flown < 1)).sum() <= 2
+        assert abs((flown - part) @ size) < 1e-6 * size.sum() and abs((flown - part).sum()) < 1e-6
+        flown = mixing.fly(size, part, seed, min(mixing.LANDING, n // 4))
+        assert ((flown > 0) & (flown < 1)).sum() <= max(2, min(mixing.LANDING, n // 4))
+        landed = mixing.land(size, flown, size.mean())
+        assert set(landed) <= {0.0, 1.0} and abs((landed - part).sum()) <= 3
+        assert n < 64 or abs((landed - part) @ size) < (0.03 if n < 500 else 0.002) * (part @ size)
+    kept = np.mean([mixing.fly(size[:8], part[:8], seed) for seed in range(2000)], axis=0)
+    assert np.abs(kept - part[:8]).max() < 0.05
+
+
+def test_mixing_of_repeated_rows_and_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(mixing, "BLOCK_LEFT", 4)
+    rows = [(None, "a b c", "s")] * 700 + [(3, "x " * (i % 40 + 1), "s") for i in range(900)] + [(i, "y " * (i % 9), "t") for i in range(50)]
+    df = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, source string, size int, taken int")
+    got = mixing.mix(df).collect()
+    assert Counter((r.doc_id, r.source, r["size"]) for r in got) == Counter((i, s, len(t.split())) for i, t, s in rows)
+    for s in "st":
+        own = [r for r in got if r.source == s]
+        rate = own[0].target / own[0].source_size
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.01 * own[0].target + 8
+        assert abs(sum(r.copies for r in own) - rate * len(own)) <= 2
+    again = mixing.mix(df.repartition(7)).collect()
+    assert _rows(spark.createDataFrame(got)) == _rows(spark.createDataFrame(again))
+
+
 def test_license_scan(docs, empty):
     rows = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan.scan(docs[0]).collect())
 
