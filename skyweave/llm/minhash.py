@@ -4,11 +4,13 @@ Each element of a set gets a pseudo-random permutation of the slots; the element
 value j + r with r in [0, 1), and the slot keeps the least offer. Ranks are taken in rounds over a whole batch of
 sets: what round j offers exceeds all that earlier rounds offered, so a set is done as soon as its slots are filled.
 
-Texts with equal sets form a class, and only one document of a class goes on. Bands of slots make buckets; documents of
-a bucket whose signatures agree enough to be similar are joined by union-find into families. In each family every pair
-whose signatures agree enough is confirmed on full shingle sets, unless confirmed links join the two already, and
-confirmed links are grouped by union-find: no link is left out. Large buckets and families are compared block by block,
-so that no task holds more than two blocks.
+Texts with equal sets form a class, and only one text of a class goes on. Bands of slots make buckets. Members of a
+bucket whose signatures agree enough to be similar are joined by union-find into families; the pairs of a family whose signatures
+agree enough are confirmed on full shingle sets, unless confirmed links join the two already; confirmed links are grouped by union-find.
+Buckets and families of more than a block are dealt into blocks that share a few anchors, so that the blocks of a group of near copies
+are linked. What then still lies in different components of the same large bucket or family is compared by signatures, and the pairs that
+agree are confirmed one by one: no link is left out, the members of the group's largest component aren't compared with each other again,
+and texts travel once each but for such pairs.
 
 Null or empty text, or text without words: an empty set, linked with nothing. A single word: the sequence of one
 word is the only shingle. Null doc_id: its text is linked with nothing, component_id is null, kept is true. Rows
@@ -29,8 +31,10 @@ from skyweave.llm.common import materialize, mix, per_text, span_hashes, text_ch
 SLOTS, BAND_ROWS = 211, 5
 #: Agreement of signatures below which a pair isn't confirmed on full sets: five standard errors under 0.8.
 LEAST_AGREEMENT = 0.66
-#: Documents, and shingles, of a bucket or family that are compared at once with as many others.
-BLOCK, BLOCK_SHINGLES = 512, 400_000
+#: Texts, and shingles, of a bucket or family that are compared at once, and texts of a larger one that all its blocks hold.
+BLOCK, BLOCK_SHINGLES, ANCHORS = 512, 400_000, 16
+#: Parts in which the members of a class are counted before they meet.
+SALTS = 64
 THRESHOLD_PERCENT = 80
 
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -105,8 +109,8 @@ def signature(text: Column, size: int = 2) -> Column:
     return F.arrow_udf(lambda t: _sign(t, size), SIGNED)(text)
 
 
-def _pairs_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+def _pairs_batch(found: list[tuple], names: tuple[str, ...] = ("a", "b")) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(len(names))], list(names))
 
 
 def _top(up: dict[int, int], x: int) -> int:
@@ -178,8 +182,9 @@ def _similar(signs: np.ndarray, sets: list[np.ndarray], percent: int):
     return near
 
 
-def _grouped(columns: list[str], edges):
-    """For mapInArrow over rows sorted by their first three columns: edges(rows) of each run of equal ones, as pairs of ids."""
+def _grouped(columns: list[str], edges, names: tuple[str, ...] = ("a", "b")):
+    """For mapInArrow over rows sorted by their first five columns, of which three are the group and two the text: edges(rows) of each
+    group; a text that repeats counts once."""
 
     def over(batches):
         at, held = None, []
@@ -189,64 +194,140 @@ def _grouped(columns: list[str], edges):
                 if row[:3] != at:
                     found += edges(held) if len(held) > 1 else []
                     at, held = row[:3], []
-                held.append(row[3:])
-            yield _pairs_batch(found)
-        yield _pairs_batch(edges(held) if len(held) > 1 else [])
+                if not held or held[-1][:2] != row[3:5]:
+                    held.append(row[3:])
+            yield _pairs_batch(found, names)
+        yield _pairs_batch(edges(held) if len(held) > 1 else [], names)
 
     return over
 
 
 def _signs(held: list[tuple]) -> np.ndarray:
-    return np.frombuffer(b"".join(x[1] for x in held), np.uint8).reshape(len(held), SLOTS)
+    return np.frombuffer(b"".join(x[2] for x in held), np.uint8).reshape(len(held), SLOTS)
 
 
 def _alike(held: list[tuple]) -> list[tuple[int, int]]:
     return [(held[i][0], held[j][0]) for i, j in _tree(len(held), _agreeing(_signs(held)))]
 
 
+def _sets(texts: list[str], size: int) -> list[np.ndarray]:
+    return [x for chunk in text_chunks(pa.array(texts, pa.large_string())) for x in shingle_sets(*chunk, size)]
+
+
 def _confirmed(size: int, percent: int):
     def edges(held: list[tuple]) -> list[tuple[int, int]]:
-        sets = [x for chunk in text_chunks(pa.array([x[2] for x in held], pa.large_string())) for x in shingle_sets(*chunk, size)]
-        return [(held[i][0], held[j][0]) for i, j in _tree(len(held), _similar(_signs(held), sets, percent))]
+        return [(held[i][0], held[j][0]) for i, j in _tree(len(held), _similar(_signs(held), _sets([x[3] for x in held], size), percent))]
 
     return edges
 
 
-def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
-    """Each row once for every pair of its group's blocks that has its own block, as columns i and j."""
-    own = rows.withColumn("_blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-    ranged = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    return ranged.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other")).drop("_blocks", "_own", "_other")
+def _apart(held: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """Pairs of different components whose signatures agree enough."""
+    signs, own, found = _signs(held), np.array([x[3] for x in held]), []
+    for i in range(len(held) - 1):
+        rest = np.flatnonzero(own[i + 1 :] != own[i]) + i + 1
+        found += [(*min(held[i][:2], held[j][:2]), *max(held[i][:2], held[j][:2])) for j in _agreeing(signs)(i, rest)]
+    return found
+
+
+def _checked(size: int, percent: int):
+    """For mapInArrow over rows (a, text_a, salt, other, id, text), each a's own text before the texts held against it: the links."""
+
+    def over(batches):
+        at = own = None
+        for batch in batches:
+            found = []
+            for start in range(0, len(batch), 256):
+                a, ta, salt, other, ids, texts = (batch.column(i).slice(start, 256).to_pylist() for i in range(6))
+                for key, o, i, x in zip(zip(a, ta, salt, strict=True), other, ids, _sets(texts, size), strict=True):
+                    if not o:
+                        at, own = key, x
+                    elif key == at:
+                        both = len(np.intersect1d(own, x, assume_unique=True))
+                        if 100 * both >= percent * (len(own) + len(x) - both):
+                            found.append((key[0], i))
+            yield _pairs_batch(found)
+
+    return over
+
+
+def _in_blocks(rows: DataFrame, n: Column, blocks: Column, *salt: Column) -> DataFrame:
+    """Each row in a block of its group, as column i, and about ANCHORS rows of a group of several blocks in all of them."""
+    many = F.greatest(blocks, F.lit(1)).cast("int")
+    anchor = (many > 1) & (F.pmod(F.xxhash64(F.lit(7), "id", "th"), n) < ANCHORS)
+    own = F.array(F.pmod(F.xxhash64("id", "th", *salt), many).cast("int"))
+    return rows.withColumn("i", F.explode(F.when(anchor, F.sequence(F.lit(0), many - 1)).otherwise(own))).withColumn("j", F.lit(0))
+
+
+def _dealt(rows: DataFrame, columns: list[str], edges, names: tuple[str, ...] = ("a", "b")) -> DataFrame:
+    sort = columns[:5]
+    return rows.select(*columns).repartition(*sort[:3]).sortWithinPartitions(*sort).mapInArrow(_grouped(columns, edges, names), ", ".join(f"{n} bigint" for n in names)).distinct()
+
+
+def _left_apart(groups: DataFrame, stars: DataFrame, signs: DataFrame) -> DataFrame:
+    """(a, ta, b, tb): pairs of texts of the same group (key, id, th) that lie in different components and whose signatures agree enough.
+    Members of a group's largest component are held against the others only."""
+    own = materialize(groups.join(stars, F.col("id") == F.col("node"), "left").select("key", "id", "th", F.coalesce("component", "id").alias("c")))
+    size = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    main = size.groupBy("key").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    met = own.join(main.select("key", F.col("most.c").alias("most"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("others")), "key")
+    of_main = F.col("c") == F.col("most")
+    block = F.pmod(F.xxhash64("id", "th"), F.when(of_main, F.col("mains")).otherwise(F.col("others"))).cast("int")
+    spot = lambda main, i, j: F.struct(main.alias("main"), i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    others = F.concat(F.transform(upto("others"), lambda j: spot(F.lit(0), F.least("block", j), F.greatest("block", j))), F.transform(upto("mains"), lambda j: spot(F.lit(1), F.col("block"), j)))
+    dealt = met.withColumn("block", block).withColumn("s", F.explode(F.when(of_main, F.transform(upto("others"), lambda i: spot(F.lit(1), i, F.col("block")))).otherwise(others)))
+    rows = dealt.select(F.xxhash64("key", "s.main").alias("key"), "s.i", "s.j", "id", "th", "c").join(signs, ["id", "th"])
+    return _dealt(rows, ["key", "i", "j", "id", "th", "slots", "c"], _apart, ("a", "ta", "b", "tb"))
 
 
-def _dealt(rows: DataFrame, columns: list[str], edges) -> DataFrame:
-    keys = columns[:3]
-    return rows.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(_grouped(columns, edges), "a bigint, b bigint").distinct()
+def _check_pairs(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The links (a, b) among pairs of texts (a, ta, b, tb), on full sets."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b", "tb"), F.lit(64)).cast("int"))
+    needed = pairs.select(F.col("a").alias("id"), F.col("ta").alias("th")).unionByName(pairs.select(F.col("b").alias("id"), F.col("tb").alias("th"))).distinct()
+    texts = materialize(docs.join(needed, ["id", "th"]).dropDuplicates(["id", "th"]))
+    own = salted.select("a", "ta", "salt").distinct().join(texts.withColumnsRenamed({"id": "a", "th": "ta"}), ["a", "ta"]).select("a", "ta", "salt", F.lit(0).alias("other"), F.col("a").alias("id"), "text")
+    held = salted.join(texts.withColumnsRenamed({"id": "b", "th": "tb"}), ["b", "tb"]).select("a", "ta", "salt", F.lit(1).alias("other"), F.col("b").alias("id"), "text")
+    return own.unionByName(held).repartition("a", "ta", "salt").sortWithinPartitions("a", "ta", "salt", "other").mapInArrow(_checked(size, percent), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    signed = materialize(docs.withColumn("s", signature(F.col("text"), size)).select("id", "s.*"))
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    signed = materialize(docs.withColumn("s", signature(F.col("text"), size)).select("id", "th", "s.*"))
     known = signed.where("id is not null and n_shingles > 0")
-    digest = ["set_a", "set_b", "n_shingles"]
-    classes = known.groupBy(*digest).agg(F.min("id").alias("rep"))
-    twin = F.col("id") != F.col("rep")
-    member = materialize(known.select("id", *digest).join(classes, digest).select("id", "rep").distinct())
-    reps = known.select("id", "slots", "bands").join(member.where(~twin).select("id").distinct(), "id", "left_semi")
-    keys = reps.select("id", F.explode("bands").alias("band"))
-    buckets = keys.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1 and low < high")
-    shared = materialize(keys.join(buckets.select("band", "n"), "band"))
-    signs = reps.select("id", "slots")
-    alike = _dealt(_in_blocks(shared, F.ceil(F.col("n") / BLOCK)).join(signs, "id"), ["band", "i", "j", "id", "slots"], _alike)
-    stars = components(alike)
+    # classes: first the least of each salted part, then of these
+    salt = ["set_a", "set_b", "n_shingles", "salt"]
+    parted = known.select("id", "th", *salt[:3], F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    local = materialize(parted.groupBy(*salt).agg(F.min(F.struct("id", "th")).alias("part")))
+    reps = local.groupBy(*salt[:3]).agg(F.min("part").alias("rep"), F.count(F.lit(1)).alias("parts"))
+    below = parted.select("id", *salt).distinct().join(local.select(*salt, F.col("part.id").alias("b")), salt).where("id <> b").select(F.col("id").alias("a"), "b")
+    above = local.join(reps.where("parts > 1"), salt[:3]).select(F.col("part.id").alias("a"), F.col("rep.id").alias("b")).where("a <> b")
+    twins = materialize(below.unionByName(above))
+    first = known.select("id", "th", "n_shingles", "slots", "bands").join(reps.select("rep.id", "rep.th"), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+    first = materialize(first)
+    signs = first.select("id", "th", "slots")
+    # families, by buckets
+    keys = first.select("id", "th", F.explode("bands").alias("band"))
+    buckets = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(keys.join(buckets, "band"))
+    dealt = _in_blocks(shared, F.col("n"), F.ceil(F.col("n") / BLOCK), F.col("band"))
+    stars = components(_dealt(dealt.join(signs, ["id", "th"]), ["band", "i", "j", "id", "th", "slots"], _alike))
     family = stars.select(F.col("node").alias("id"), F.col("component").alias("family")).unionByName(stars.select(F.col("component").alias("id"), F.col("component").alias("family")).distinct())
-    family = family.join(known.groupBy("id").agg(F.max("n_shingles").alias("m")), "id")
-    extent = family.groupBy("family").agg(F.count("*").alias("n"), F.sum("m").alias("m"))
-    family = family.select("id", "family").join(extent, "family").join(signs, "id")
-    members = _in_blocks(docs.join(family.hint("shuffle_hash"), "id"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("m") / BLOCK_SHINGLES)))
-    links = _dealt(members, ["family", "i", "j", "id", "slots", "text"], _confirmed(size, percent))
-    stars = components(links.unionByName(member.where(twin).select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    member = first.select("id", "th", "n_shingles").join(family, "id")
+    extent = member.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("m"))
+    member = member.join(extent, "family").withColumn("blocks", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("m") / BLOCK_SHINGLES)))
+    member = materialize(member.select("family", "id", "th", "n", "blocks"))
+    # confirmation, by families
+    dealt = _in_blocks(docs.join(member.join(signs, ["id", "th"]).hint("shuffle_hash"), ["id", "th"]), F.col("n"), F.col("blocks"))
+    links = _dealt(dealt, ["family", "i", "j", "id", "th", "slots", "text"], _confirmed(size, percent))
+    stars = components(links.unionByName(twins))
+    # what blocks have kept apart
+    large = shared.where(F.col("n") > BLOCK).select(F.xxhash64(F.lit(0), "band").alias("key"), "id", "th").unionByName(member.where("blocks > 1").select(F.xxhash64(F.lit(1), "family").alias("key"), "id", "th"))
+    if not large.isEmpty():
+        pairs = materialize(_left_apart(large, stars, signs))
+        if not pairs.isEmpty():
+            stars = components(_check_pairs(pairs, docs, size, percent).unionByName(stars.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     grouped = signed.select("id", "n_shingles").join(stars.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
     return grouped.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -65,8 +65,10 @@ def test_token_counts(docs, empty):
     assert token_counts.token_counts(empty).count() == 0
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_near_duplicates(spark, docs, empty, size):
+@pytest.mark.parametrize(("size", "block"), [(2, 512), (5, 512), (2, 3)])
+def test_near_duplicates(spark, docs, empty, monkeypatch, size, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # small: what the blocks keep apart is confirmed pair by pair
+    monkeypatch.setattr(minhash, "ANCHORS", min(block, 16) // 16)
     rng = random.Random(3)
     base = [f"w{rng.randint(0, 10**6)}" for _ in range(120)]
     more = []
