@@ -1,14 +1,20 @@
 """Main text of web pages by tree scoring: paragraphs pass points for length and commas to their ancestors, discounted by link
 density; the best container is kept, with those of its siblings that score or read like it.
 
+A page is read once from front to back, and open elements are counted by name, so that its cost grows with its length whatever it
+holds. Names of elements and classes say what can't be main text; a container that only its class marks is kept where the text in it
+says otherwise. White space is what str.split takes for it, no-break spaces too.
+
 Null or empty html, or a page without main text: the empty text. Unclosed and stray tags are mended as browsers do for
-paragraphs, list items and table parts. Null page_id, repeated rows: each row gets its own result. Other columns are ignored.
+paragraphs, list items and table parts. Null page_id, repeated rows: each row gets its own result. Empty table: no rows. Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,6 +30,10 @@ INTEGRATED = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtex
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section div body blockquote td th".split())
+LISTS = frozenset("ul ol dl table".split())
+#: Elements that other elements' end tags don't reach out of, and the elements whose end tags do.
+CELLS = frozenset("td th table".split())
+REACHING = frozenset("td th table tr tbody article main body html".split())
 #: Elements that never hold main text.
 DROPPED = frozenset("head script style noscript template iframe svg math canvas object embed nav footer aside form button select textarea input label dialog menu audio video".split())
 #: Words of class, id or role that mark an element as beside the main text: whole, before the first `-` or `_`, or after a word of PLACED.
@@ -32,16 +42,20 @@ PLACED = frozenset("site global main top bottom left right primary secondary".sp
 #: Words that say nothing before a `-` or `_`, and words of readers' texts, which no size overrules.
 WHOLE = frozenset("header hidden skip search alert notice notices".split())
 READERS = frozenset("comment comments disqus replies respond".split())
+#: Elements whose id names a place to link to, inside an article.
+ANCHORED = frozenset("section p h1 h2 h3 h4 h5 h6 li dt figure table".split())
 #: A container that only its class marks is kept from this share of the page's text on, below this link density.
 LARGE, DENSE = 0.5, 0.25
 #: Points of a container by its name, and of a paragraph for itself, for each comma and for each 100 characters, three at most.
 CONTAINER = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "body": 0.0}
 SCORED = frozenset("p pre td blockquote li dd h2 h3 figcaption".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|(!--)|(!\[CDATA\[)|[!?])")
+_QUOTED = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _PART = re.compile(r"[-_]+")
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
 class Node:
@@ -68,11 +82,11 @@ def _marks(token: str) -> set[str]:
     return {parts[0]} & (BESIDE - WHOLE)
 
 
-def _place(name: str, attributes: str, path: list[Node]) -> tuple[bool, bool]:
-    """Whether an element is beside the main text, and whether its class alone says so and its size may overrule that."""
+def _place(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element, inside an article or not, is beside the main text, and whether its class alone says so and its text may
+    overrule that."""
     if name in DROPPED:
         return True, False
-    inside = any(n.name in ("article", "main") for n in path)
     if name == "header":
         return not inside, False
     if name in ("html", "body", "article", "main") or not attributes:
@@ -82,7 +96,7 @@ def _place(name: str, attributes: str, path: list[Node]) -> tuple[bool, bool]:
         key, value = key.lower(), a or b or c
         if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
             return True, False
-        if key in ("class", "id", "role"):
+        if key in ("class", "role") or key == "id" and not (inside and name in ANCHORED):
             for token in value.lower().split():
                 words |= _marks(token)
     if inside:
@@ -90,65 +104,98 @@ def _place(name: str, attributes: str, path: list[Node]) -> tuple[bool, bool]:
     return bool(words), bool(words) and words.isdisjoint(READERS)
 
 
+class _Path:
+    """The open elements, and where in the path those of each name stand."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], defaultdict(list)
+
+    def last(self, names) -> int:
+        """Place of the innermost of these elements, or -1."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def push(self, node: Node) -> None:
+        self.at[node.name].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        while len(self.nodes) > place:
+            self.at[self.nodes.pop().name].pop()
+
+
+def _tags(page: str):
+    """(start, end, closing, name, attributes) of the tags, front to back; (start, end, False, "", text) of comments and the like, with
+    the text of a CDATA section. A `<` that no `>` follows is text, as all after it. A quote that never ends doesn't count as one, nor any
+    after it."""
+    at, last, quotes = 0, page.rfind(">"), True
+    while (m := _OPEN.search(page, at)) is not None and m.start() < last or m is not None and m[3]:
+        start, close = m.start(), None
+        if m[3] or m[4]:
+            stop, mark = page.find(end := "-->" if m[3] else "]]>", m.end()), len("-->")
+            if stop >= 0 or m[3]:
+                at = stop + mark if stop >= 0 else len(page)
+                yield start, at, False, "", page[m.end() : stop] if m[4] else ""
+                continue
+        if m[2] and quotes:
+            close = _QUOTED.match(page, m.end()).end()
+            if close >= len(page) or page[close] != ">":
+                close, quotes = None, False
+        if close is None:
+            close = page.find(">", m.end())
+            if close < 0:
+                return
+        at = close + 1
+        yield start, at, bool(m[1]), (m[2] or "").lower(), page[m.end() : close] if m[2] else ""
+
+
 def parse(page: str) -> Node:
     """The page's element tree."""
     root = Node("html", None)
-    path, at, marked = [root], 0, []
-    while (m := _TAG.search(page, at)) is not None:
-        if m.start() > at:
-            path[-1].content.append(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                path[-1].content.append(html.escape(m[0][9:-3]))
+    path, at, marked = _Path(root), 0, []
+    for start, stop, closing, name, attributes in _tags(page):
+        if start < at:  # inside an element of raw text
+            continue
+        if start > at:
+            path.nodes[-1].content.append(page[at:start])
+        at = stop
+        if not name:
+            if attributes:
+                path.nodes[-1].content.append(html.escape(attributes))
             continue
-        name, attributes = m[2].lower(), m[3]
-        if m[1]:
-            for i in range(len(path) - 1, 0, -1):
-                if path[i].name == name:
-                    del path[i:]
-                    break
-                if path[i].name in ("td", "th", "table") and name not in ("table", "tr", "tbody", "article", "main", "body", "html"):
-                    break
+        if closing:
+            place = path.last((name,))
+            if place > 0 and (name in REACHING or place >= path.last(CELLS)):
+                path.cut(place)
             continue
-        foreign = next((i for i in range(len(path) - 1, 0, -1) if path[i].name in FOREIGN), 0)
-        if foreign and any(n.name in INTEGRATED for n in path[foreign:]):
-            foreign = 0
-        if foreign and name in BREAKOUT:
-            del path[foreign:]
-            foreign = 0
-        if name in ("html", "body") and any(n.name == name for n in path):
+        foreign = path.last(FOREIGN)
+        if foreign > 0 and path.last(INTEGRATED) > foreign:
+            foreign = -1
+        if foreign > 0 and name in BREAKOUT:
+            path.cut(foreign)
+            foreign = -1
+        if name == "html" or name == "body" and path.last(("body",)) > 0:
             continue
-        if name in BLOCK:
-            for i in range(len(path) - 1, 0, -1):
-                if path[i].name == "p":
-                    del path[i:]
-                    break
-                if path[i].name in SCOPES:
-                    break
-        if name in CLOSES:
-            for i in range(len(path) - 1, 0, -1):
-                if path[i].name in CLOSES[name]:
-                    del path[i:]
-                    break
-                if path[i].name in ("ul", "ol", "dl", "table"):
-                    break
-        if name == "body" and len(path) > 1 and path[1].name == "head":
-            del path[1:]
-        beside, doubtful = _place(name, attributes, path)
-        node = Node(name, path[-1], beside)
-        path[-1].content.append(node)
+        if name in BLOCK and (place := path.last(("p",))) > path.last(SCOPES):
+            path.cut(place)
+        if name in CLOSES and (place := path.last(CLOSES[name])) > path.last(LISTS):
+            path.cut(place)
+        if name == "body" and path.last(("head",)) == 1:
+            path.cut(1)
+        beside, doubtful = _place(name, attributes, path.last(("article", "main")) > 0)
+        node = Node(name, path.nodes[-1], beside)
+        path.nodes[-1].content.append(node)
         if doubtful:
             node.marked = True
             marked.append(node)
-        if foreign and attributes.rstrip().endswith("/"):
+        if foreign > 0 and attributes.rstrip().endswith("/"):
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = _END[name].search(page, at)
+            at = page.find(">", end.end()) + 1 if end else 0
+            at = at or len(page)
         elif name not in VOID and not attributes.rstrip().endswith("/"):
-            path.append(node)
-    path[-1].content.append(page[at:])
+            path.push(node)
+    path.nodes[-1].content.append(page[at:])
     if marked:
         _overrule(root)
     return root

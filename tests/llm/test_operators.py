@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -381,3 +382,33 @@ def test_html_text_after_icons(icon):
 
 def test_html_text_after_open_template():
     assert html_text.main_text(f"<article><div><template><p>gone</p></div>{BODY}</article>") == WANT
+
+
+def _sentence(rng, n):
+    return " ".join(rng.choice(("alpha", "beta,", "gamma", "delta", "caf&eacute;", "a&nbsp;b", "x &lt; y")) for _ in range(n)) + "."
+
+
+TEMPLATES = {
+    "article": "<html><body><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav><article><header><h1>{0}</h1></header>{p}</article><footer>&copy;</footer>",
+    "div": "<body><div id=top-menu><a href=/a>a</a></div><div class='content has-sidebar post-share-enabled'><div class=article-header><h1>{0}</h1></div>{p}</div><div class='sidebar'><p>Read on, too</p></div><div class=cookie-notice><p>We use cookies, ok</p></div>",
+    "main": "<body><header>x</header><main><h1>{0}</h1><section id=search>{p}</section></main><aside><p>more, more</p></aside><form><input><button>Go</button></form>",
+    "table": "<body><table><tr><td class=nav><a href=/>Home</a><br><a href=/b>B</a><td class=text><h2>{0}</h2>{p}</td></tr></table>",
+    "blog": "<body><div class=page><div class='post entry'><h2>{0}</h2>{p}</div><div id=comments class=comments><p>Well said, I think, and so on, really</p></div><div class='related'><ul><li><a href=/c>other</a></ul></div></div>",
+    "open": "<body><div class=wrap><div class=story><h1>{0}</h1>{open}</div><div class=ad>Buy, buy</div></div>",
+}
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_html_text_of_templates(template):
+    rng = random.Random(template)
+    for _ in range(40):
+        texts = [_sentence(rng, rng.randint(4, 12))] + [_sentence(rng, rng.randint(25, 120)) for _ in range(rng.randint(3, 9))]
+        page = TEMPLATES[template].format(texts[0], p="".join(f"<p>{t}</p>\n" for t in texts[1:]), open="".join(f"<p>{t}\n" for t in texts[1:]))
+        assert html_text.main_text(page) == "\n".join(" ".join(html.unescape(t).split()) for t in texts)
+
+
+@pytest.mark.parametrize("page", ["<a b" * 200000, "<span>" * 50000 + "<div>" * 50000 + "a, b", "<a \">\"" * 50001, "<table><td>" + "<i>" * 40000 + "</b>" * 40000, "<script></script " * 40000, "<![CDATA[" * 50000 + ">", "<p>" * 50000])
+def test_html_text_takes_time_in_proportion(page):
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 8
