@@ -5,18 +5,20 @@ or hyphens that repeat a span's digits, and the other tokens of a text that hold
 the text share chain potentials. Each node with the same digits or letters as a span, however they are written, a phone's digits
 with a country code or leading zeros more or less, or the begin of an address past its `@`, shares a skip potential with that
 span itself, whose label is held, so that what one mention shows, all mentions get, however many and in which order. Labels follow from
-loopy max-product messages, passed in alternating order until none moves. Its weights are trained on
-the pattern labels of a bounded sample of documents (`TRAIN_DOCS`), with the pattern evidence of a token hidden at random,
-so that the field learns to label a mention that matches no pattern from its like. A token that has a like with pattern evidence,
+loopy max-product messages, passed in alternating order until none moves. Its weights maximise the pseudo-likelihood of
+the pattern labels of a bounded sample of documents (`TRAIN_DOCS`, of each the first `TRAIN_NODES` nodes, built in the tasks), with the
+pattern evidence of a quarter of the nodes hidden at random, so that the field learns to label a mention that matches no pattern from its like. A token that has a like with pattern evidence,
 that the field labels with a kind and that touches no base span gives a further span.
 
-Null or empty text: no spans. Null doc_id, repeated rows: each row gets its own result. Other columns are ignored by the
-query and kept by the masking.
+Null or empty text: no spans. Null doc_id, repeated rows: each row gets its own result. Empty table: no rows. Other columns are ignored by
+the query and kept by the masking.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import numpy as np
@@ -26,12 +28,16 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-#: Documents that the field's weights are trained on at most, rounds of training, rounds of messages before they are damped, and
-#: rounds beyond one for each node after which messages that still circle are taken as they are.
-TRAIN_DOCS, EPOCHS, UNDAMPED, CIRCLING = 400, 6, 6, 100
+#: Documents, and nodes of each, that the field's weights are trained on at most, steps of training, their length and the weight of the
+#: penalty on large weights.
+TRAIN_DOCS, TRAIN_NODES, STEPS, RATE, PENALTY = 400, 1000, 150, 0.5, 1e-3
+#: Rounds of messages before they are damped, and rounds beyond one for each node after which messages that still circle are taken as
+#: they are.
+UNDAMPED, CIRCLING = 6, 100
 #: Points by which a pattern's label outweighs all others.
 HELD = 1e6
-#: Points by which like nodes agree, and digits of the longest span that groups can repeat with a country code more.
+#: Points by which like nodes agree, and digits of the longest span that groups can repeat with a country code more; as many again may
+#: be leading zeros.
 LIKE, LONGEST = 1e3, 22
 SPANS = "struct<base:array<struct<kind:string,start:int,stop:int>>,spans:array<struct<kind:string,start:int,stop:int>>>"
 
@@ -45,6 +51,7 @@ _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _RUN = re.compile(r"[+(]{0,2}[0-9](?:\)?[\x20.-]?\(?[0-9])*")
 _GROUP = re.compile(r"[0-9]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_BEFORE, _AFTER = "<[{\"'", ".,;:!?>]}\"'"
 
 
 def _luhn(digits: str) -> bool:
@@ -67,7 +74,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
                 out.append((start, 0, m.end()))
                 done = m.end()
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(n := p.lstrip("0")) <= 3 and int(n or "0") <= 255 for p in m[0].split(".")):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m[0])
@@ -81,14 +88,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _tokens(text: str) -> list[tuple[int, int]]:
-    """Bounds of the words that hold a digit, `@` or `+`."""
+    """Bounds of the words that hold a digit, `@` or `+`, without the marks around them."""
     out, at = [], 0
     while (m := _HINT.search(text, at)) is not None:
         start = m.start()
         while start > at and text[start - 1] not in " \t\n\x0b\x0c\r":
             start -= 1
         at = _TOKEN.match(text, start).end()
-        out.append((start, at))
+        word = text[start:at]
+        bare = word.rstrip(_AFTER + ("" if "(" in word else ")"))
+        out.append((start + len(bare) - len(bare.lstrip(_BEFORE + ("" if ")" in bare else "("))), start + len(bare)))
     return out
 
 
@@ -122,7 +131,7 @@ class _Shown:
         self.same: dict[str, dict[int, int]] = defaultdict(dict)
         self.phones: dict[str, dict[int, int]] = defaultdict(dict)
         self.shorter: dict[str, dict[int, int]] = defaultdict(dict)
-        self.hosts: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        self.hosts: dict[str, list[tuple[str, int]]] = defaultdict(list)  # ordered, so that the hosts of a begin stand together
         for i, (word, label) in enumerate(zip(words, labels, strict=True)):
             if not label:
                 continue
@@ -136,6 +145,8 @@ class _Shown:
                         self.shorter[rest].setdefault(label, i)
             if LABELS[label] == "email" and (address := _address(word)) is not None:
                 self.hosts[address[0]].append((address[1], i))
+        for named in self.hosts.values():
+            named.sort()
 
     def digits(self, digits: str, more: int) -> dict[int, int]:
         """Spans, by label, of the same digits (more = 0), or of a phone that has a country code more (-1) or less (1)."""
@@ -154,9 +165,10 @@ class _Shown:
             return found
         if "@" in word:
             if (address := _address(word)) is not None:
-                for host, i in self.hosts.get(address[0], ()):
-                    if host.startswith(address[1]):
-                        return {LABELS.index("email"): i}
+                named = self.hosts.get(address[0], [])
+                at = bisect_left(named, (address[1], -1))
+                if at < len(named) and named[at][0].startswith(address[1]):
+                    return {LABELS.index("email"): named[at][1]}
             return {}
         digits = _NOT_DIGIT.sub("", word)
         return self.digits(digits, 0) or self.digits(digits, -1) or self.digits(digits, 1)
@@ -179,7 +191,7 @@ def _repeats(text: str, shown: _Shown) -> list[tuple[int, int]]:
                 digits, stop = "", None
                 for j in range(i, len(groups)):
                     digits += text[slice(*groups[j])]
-                    if used[j] or len(digits.lstrip("0")) > LONGEST:
+                    if used[j] or len(digits) > 2 * LONGEST:
                         break
                     if shown.digits(digits, more):
                         stop = j
@@ -196,6 +208,12 @@ def _repeats(text: str, shown: _Shown) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _free(a: int, b: int, starts: list[int], ends: list[int]) -> bool:
+    """Whether [a, b) touches none of the ordered, disjoint spans."""
+    i = bisect_right(ends, a)
+    return i == len(starts) or starts[i] >= b
+
+
 def _graph(text: str, base: list[tuple[str, int, int]]):
     """Nodes (base spans, repeats and tokens that touch none), their texts, pattern labels, chain edges and skip edges."""
     nodes, reach = [], -1
@@ -204,13 +222,16 @@ def _graph(text: str, base: list[tuple[str, int, int]]):
             nodes.append((a, b, LABELS.index(kind)))
         reach = max(reach, b)
     shown = _Shown([text[a:b] for a, b, _ in nodes], [k for _, _, k in nodes])
-    taken = np.array([[a, b] for _, a, b in base]).reshape(-1, 2)
-    free = [(a, b) for a, b in _repeats(text, shown) if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any()]
-    taken = np.concatenate([taken, np.array(free, taken.dtype).reshape(-1, 2)])
-    nodes += [(a, b, 0) for a, b in free]
-    for a, b in _tokens(text):
-        if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any():
-            nodes.append((a, b, 0))
+    starts, ends = [], []  # of the base spans, those that overlap taken together
+    for _, a, b in sorted(base, key=lambda s: s[1]):
+        if not ends or a >= ends[-1]:
+            starts.append(a)
+            ends.append(b)
+        ends[-1] = max(ends[-1], b)
+    repeats = [(a, b) for a, b in _repeats(text, shown) if _free(a, b, starts, ends)]
+    nodes += [(a, b, 0) for a, b in repeats]
+    more = [a for a, _ in repeats], [b for _, b in repeats]
+    nodes += [(a, b, 0) for a, b in _tokens(text) if _free(a, b, starts, ends) and _free(a, b, *more)]
     nodes.sort()
     bounds = [(a, b) for a, b, _ in nodes]
     labels = np.array([k for _, _, k in nodes], int)
@@ -265,40 +286,60 @@ def _unary(words, evidence: np.ndarray, weights: dict) -> np.ndarray:
     return out
 
 
+def _graphs(column: pa.Array) -> pa.Array:
+    """The first nodes of each text for training: features, pattern labels and edges, as JSON."""
+    out = []
+    for value in column:
+        text = value.as_py() or ""
+        _, words, labels, chain, skip = _graph(text, base_spans(text))
+        n = min(len(words), TRAIN_NODES)
+        inside = lambda edges: [e for e in edges if max(e) < n]  # noqa: B023, E731
+        out.append(json.dumps([[_features(w) for w in words[:n]], labels[:n].tolist(), inside(chain), inside(skip)]) if n else None)
+    return pa.array(out, pa.string())
+
+
+def fit(graphs: list, steps: int = STEPS) -> dict:
+    """Weights that maximise the pseudo-likelihood: each node's label given the labels of those it shares an edge with."""
+    names: dict[str, int] = {}
+    rows, labels, edges, at = [], [], {"chain": [], "skip": []}, 0
+    for features, own, chain, skip in graphs:
+        rows += [[names.setdefault(f, len(names)) for f in fs] for fs in features]
+        labels += own
+        for kind, found in (("chain", chain), ("skip", skip)):
+            edges[kind] += [(i + at, j + at) for i, j in found]
+        at += len(own)
+    rows, y, k = np.array(rows, int).reshape(-1, 4), np.array(labels, int), len(LABELS)
+    ends = {kind: np.array(e, int).reshape(-1, 2).T for kind, e in edges.items()}
+    w = {"word": np.zeros((len(names), k)), "evidence": np.zeros((k, k)), "chain": np.zeros((k, k)), "skip": np.zeros((k, k))}
+    size = {name: np.full_like(x, 1e-6) for name, x in w.items()}
+    rng, truth = np.random.default_rng(11), np.eye(k)[y]
+    for _ in range(steps if at else 0):
+        evidence = np.where(rng.random(at) < 0.25, 0, y)
+        points = w["word"][rows].sum(1) + w["evidence"][evidence]
+        for kind, (i, j) in ends.items():
+            np.add.at(points, i, w[kind][:, y[j]].T)
+            np.add.at(points, j, w[kind][y[i]])
+        points -= points.max(1, keepdims=True)
+        off = truth - np.exp(points) / np.exp(points).sum(1, keepdims=True)
+        up = {name: -PENALTY * at * x for name, x in w.items()}
+        np.add.at(up["word"], rows, off[:, None, :])
+        np.add.at(up["evidence"], evidence, off)
+        for kind, (i, j) in ends.items():
+            np.add.at(up[kind].T, y[j], off[i])
+            np.add.at(up[kind], y[i], off[j])
+        for name, x in w.items():
+            size[name] += up[name] ** 2
+            x += RATE * up[name] / np.sqrt(size[name])
+    return {name: w[name] for name in ("evidence", "chain", "skip")} | {"word": {f: w["word"][i] for f, i in names.items()}}
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = TRAIN_DOCS) -> dict:
-    """Weights by the averaged structured perceptron on at most `limit` documents that hold a digit, `@` or `+`, the first by hash of
-    id and text; a quarter of the tokens have their pattern evidence hidden."""
+    """The field's weights, from at most `limit` documents that hold a digit, `@` or `+`, the first by hash of id and text."""
     likely = docs.where(F.col(text).rlike("[0-9@+]")).select(F.col(text).alias("text"), F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("h"))
     picked = [r["h"] for r in likely.select("h").distinct().orderBy("h").limit(limit).collect()]
-    rows = likely.where(F.col("h") <= picked[-1]).dropDuplicates(["h"]).collect() if picked else []
-    rows.sort(key=lambda r: r["h"])
-    weights = {"word": defaultdict(lambda: np.zeros(len(LABELS))), "evidence": np.zeros((len(LABELS), len(LABELS))), "chain": np.zeros((len(LABELS),) * 2), "skip": np.eye(len(LABELS)) * 2.0}
-    total = {"word": defaultdict(lambda: np.zeros(len(LABELS))), "evidence": weights["evidence"] * 0, "chain": weights["chain"] * 0, "skip": weights["skip"] * 0}
-    rng, step = np.random.default_rng(11), 0
-    graphs = [g for r in rows if len((g := _graph(r["text"], base_spans(r["text"])))[0])]
-    steps = max(1, EPOCHS * len(graphs))
-
-    def add(words, evidence, chain, skip, labels, by):
-        for to, share in ((weights, 1.0), (total, step / steps)):
-            for i, w in enumerate(words):
-                to["evidence"][evidence[i], labels[i]] += by * share
-                for f in _features(w):
-                    to["word"][f][labels[i]] += by * share
-            for i, j in chain:
-                to["chain"][labels[i], labels[j]] += by * share
-            for i, j in skip:
-                to["skip"][labels[i], labels[j]] += by * share
-
-    for _ in range(EPOCHS):
-        for _, words, labels, chain, skip in graphs:
-            evidence = np.where(rng.random(len(labels)) < 0.25, 0, labels)
-            found = _decode(_unary(words, evidence, weights), chain, skip, weights)
-            if (found != labels).any():
-                add(words, evidence, chain, skip, labels, 1.0)
-                add(words, evidence, chain, skip, found, -1.0)
-            step += 1
-    mean = {k: weights[k] - total[k] for k in ("evidence", "chain", "skip")}
-    return mean | {"word": {f: w - total["word"][f] for f, w in weights["word"].items()}}
+    chosen = likely.where(F.col("h") <= picked[-1]) if picked else likely.limit(0)
+    rows = chosen.select("h", F.arrow_udf(_graphs, "string")("text").alias("g")).where("g is not null").dropDuplicates(["h"]).collect()
+    return fit([json.loads(r["g"]) for r in sorted(rows, key=lambda r: r["h"])])
 
 
 def find_spans(text: str, weights: dict) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
