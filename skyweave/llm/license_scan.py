@@ -1,25 +1,27 @@
 """License scans with a positional rare-token index, by DataFrame functions only.
 
-Templates are short licence notices. Their words make the vocabulary; the inverse document frequency of each is taken over all
-documents. The index posts each template under the rarest word of its mandatory phrase, with its place. A document looks up its
-words of highest IDF in it; each posting gives a relative position, at which the template's words are intersected with the
-document's and the mandatory phrase is verified. The score is the greatest share of a template's IDF found in place.
+Templates are short licence notices; the base phrases are templates too. Their words make the vocabulary; the inverse document
+frequency of each is taken over all documents. The index holds, for each word, the templates it stands in, with its places. A file looks
+up its own licence words of highest IDF: for each template whose mandatory words it holds, the highest of these. Each place of such a word in the
+file gives a relative position, at which the template's words are intersected with the file's, and the mandatory phrase is
+verified there. The score is the greatest share of a template's IDF found in place.
 
-Only documents that hold a mandatory phrase can pass, so word positions are kept for those alone; all documents count for the
-frequencies. The base phrases are templates too, and every place of them is counted. Null or empty text: no words, no
-labels, score 0. Null doc_id: a document like others. Rows that repeat a doc_id are scanned as rows of their own. Ties of IDF go
-by word. Empty table: no rows. Other columns are ignored.
+Words of the vocabulary are kept with their positions only for files that hold all mandatory words of some template; no other file
+can hold its phrase. Null or empty text: no words, no labels, score 0. Null doc_id: a document like others. Rows that repeat a
+doc_id are scanned as rows of their own. Ties of IDF go by word. Empty table: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Label, mandatory phrase, notice.
@@ -45,65 +47,65 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", "copyright all rights reserved"),
 )
 _A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: The only letter besides A-Z whose lower case is one of a-z.
+KELVIN = "\u212a"
 
 
 def _lower(text: Column) -> Column:
-    return F.translate(text, *_A_TO_Z)
+    """The text, A to Z in lower case, whatever becomes of other letters, but none of them becomes one of a to z."""
+    return F.when(F.contains(text, F.lit(KELVIN)), F.translate(text, *_A_TO_Z)).otherwise(F.lower(text))
 
 
-def postings(spark) -> DataFrame:
-    """(template, label, word, place, first, last): the words of the templates and base phrases, first and last being the bounds of
-    the mandatory phrase. As many rows as the templates above have words."""
-    rows = []
-    for t, (label, phrase, notice) in enumerate([*((label, p, p) for p, label in BASE), *TEMPLATES]):
+def _notices() -> list[tuple[str, list[str], list[str], int]]:
+    """Label, words, mandatory words and where these begin, of each template; the base phrases come first."""
+    out = []
+    for label, phrase, notice in [*((label, p, p) for p, label in BASE), *TEMPLATES]:
         words, need = notice.split(), phrase.split()
-        at = next(i for i in range(len(words)) if words[i : i + len(need)] == need)
-        rows += [(t, label, w, i, at, at + len(need) - 1) for i, w in enumerate(words)]
-    return spark.createDataFrame(rows, "template int, label string, word string, place int, first int, last int")
+        out.append((label, words, need, next(i for i in range(len(words)) if words[i : i + len(need)] == need)))
+    return out
 
 
-def _places(words: Column, phrase: str) -> Column:
-    """Starts of the phrase among the words."""
-    need = phrase.split()
-    starts = F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: F.get(words, i) == need[0])
-    return F.filter(starts, lambda i: F.slice(words, i + 1, len(need)) == F.array(*map(F.lit, need)))
+def postings(spark) -> DataFrame:
+    """(template, label, word, place, mandatory): the words of the templates. As many rows as the templates above have words."""
+    rows = [(t, label, w, i, at <= i < at + len(need)) for t, (label, words, need, at) in enumerate(_notices()) for i, w in enumerate(words)]
+    return spark.createDataFrame(rows, "template int, label string, word string, place int, mandatory boolean")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    spark = docs.sparkSession
-    index = postings(spark)
-    vocabulary = sorted({w for _, p in [*((0, p) for p, _ in BASE), *((0, n) for _, _, n in TEMPLATES)] for w in p.split()})
-    phrases = sorted({p for p, _ in BASE} | {p for _, p, _ in TEMPLATES})
-    mandatory = "|".join(p.replace(" ", GAP) for p in phrases)
-    listed = F.array(*map(F.lit, vocabulary))
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.regexp_extract_all(_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({WORD})"), F.lit(1)).alias("words"), F.coalesce(_lower(F.col(text)).rlike(mandatory), F.lit(False)).alias("likely"))
-    starts = F.array_sort(F.flatten(F.array(*(_places(F.col("words"), p) for p, _ in BASE))))
-    base = F.array(*(F.when(F.size(_places(F.col("words"), p)) > 0, F.lit(label)) for p, label in BASE))
-    hits = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda h: F.array_contains(listed, h["word"]))
-    only = lambda c: F.when(F.col("likely"), c)
-    read = body.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_intersect(listed, F.col("words")).alias("present"), only(starts).alias("starts"), only(F.array_compact(base)).alias("base"), only(hits).alias("hits"))
+    spark, notices = docs.sparkSession, _notices()
+    listed = F.array(*map(F.lit, sorted({w for _, words, _, _ in notices for w in words})))
+    needs = sorted({tuple(sorted(set(need))) for _, _, need, _ in notices})
+    needs = [n for n in needs if not any(set(m) < set(n) for m in needs)]  # who holds more holds these
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.regexp_extract_all(_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({WORD})"), F.lit(1)).alias("words"))
+    read = body.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_intersect(listed, "words").alias("present"), "words")
+    holds = reduce(or_, (reduce(and_, (F.array_contains("present", w) for w in n)) for n in needs))
+    read = read.select("doc_id", "n_words", "present", F.when(holds, F.col("words")).alias("words"))
     read = materialize(read.withColumn("row", F.monotonically_increasing_id()))
     n_docs = read.count()
-    frequency = read.select(F.explode("present").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    frequency = read.select(F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    index = postings(spark)
     idf = materialize(index.select("word").distinct().join(frequency, "word", "left").select("word", F.log((1 + F.lit(n_docs)) / (1 + F.coalesce("df", F.lit(0)))).alias("idf")))
-    inside = F.col("place").between(F.col("first"), F.col("last"))
     index = index.join(F.broadcast(idf), "word")
-    totals = index.groupBy("template").agg(F.sum("idf").alias("total"), F.max(F.col("last") - F.col("first") + 1).alias("needed"))
-    rarest = index.where(inside).groupBy("template").agg(F.max_by(F.struct("word", "place"), F.struct("idf", "word", "place")).alias("r")).select("template", "r.*")
-    found = read.where("hits is not null").select("row", F.explode("hits").alias("h")).select("row", "h.*")
-    places = found.join(F.broadcast(rarest), "word").select("row", "template", (F.col("at") - F.col("place")).alias("offset")).distinct()
-    placed = places.join(F.broadcast(index), "template").join(found.select("row", "word", "at"), ["row", "word"]).where("at = offset + place")
-    met = placed.groupBy("row", "template", "label", "offset").agg(F.sum("idf").alias("got"), F.sum(inside.cast("int")).alias("phrase"))
-    passed = met.join(F.broadcast(totals), "template").where("phrase = needed")
-    longest = F.when(F.col("total") > 0, F.col("got") / F.col("total")).otherwise(1.0)
-    by_row = passed.groupBy("row").agg(F.collect_set("label").alias("more"), F.max(longest).alias("score"))
-    joined = read.select("row", "doc_id", "n_words", "starts", "base").join(by_row, "row", "left")
-    none = F.array().cast("array<string>")
-    own, more = F.coalesce("base", none), F.coalesce("more", none)
+    whole = index.groupBy("template").agg(F.sum("idf").alias("total"), F.count_if("mandatory").alias("needed"), F.count_distinct(F.when(F.col("mandatory"), F.col("word"))).alias("distinct"))
+    # the words each file looks up, and where their templates would begin
+    likely = read.where("words is not null")
+    mandatory = index.where("mandatory").groupBy("template", "word").agg(F.min("place").alias("place"), F.first("idf").alias("idf"))
+    held = likely.select("row", F.explode("present").alias("word")).join(F.broadcast(mandatory), "word")
+    highest = held.groupBy("row", "template").agg(F.count(F.lit(1)).alias("held"), F.max(F.struct("idf", "word", "place")).alias("r"))
+    lookups = highest.join(F.broadcast(whole), "template").where("held = distinct").select("row", "template", F.col("r.word").alias("word"), F.col("r.place").alias("place"))
+    found = materialize(likely.select("row", F.posexplode("words").alias("at", "word")).where(F.col("word").isin(*sorted({w for _, words, _, _ in notices for w in words}))))
+    begins = lookups.join(found, ["row", "word"]).select("row", "template", (F.col("at") - F.col("place")).alias("begin"))
+    placed = begins.join(F.broadcast(index), "template").withColumn("at", F.col("begin") + F.col("place")).join(found, ["row", "at", "word"])
+    met = placed.groupBy("row", "template", "label", "begin").agg(F.sum("idf").alias("got"), F.count_if("mandatory").alias("n"))
+    share = F.when(F.col("total") > 0, F.col("got") / F.col("total")).otherwise(1.0)
+    passed = met.join(F.broadcast(whole), "template").where("n = needed").withColumn("score", share).withColumn("base", F.col("template") < len(BASE))
+    of_base = lambda c: F.when(F.col("base"), F.col(c))
+    by_row = passed.groupBy("row").agg(F.count_if("base").alias("n_base"), F.min(of_base("begin")).alias("first_word"), F.max(of_base("begin")).alias("last_word"), F.collect_set(of_base("label")).alias("own"), F.collect_set("label").alias("all"), F.max("score").alias("score"))
+    joined = read.select("row", "doc_id", "n_words").join(by_row, "row", "left")
+    said = lambda c: F.coalesce(F.array_join(F.array_sort(c), ","), F.lit(""))
     return joined.select(
-        F.col("doc_id").alias(doc_id), "n_words", F.when(F.col("starts").isNull(), 0).otherwise(F.size("starts")).cast("bigint").alias("n_base"),
-        F.array_min("starts").cast("bigint").alias("first_word"), F.array_max("starts").cast("bigint").alias("last_word"),
-        F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union(own, more)), ",").alias("labels"),
-        F.round(F.least(F.coalesce("score", F.lit(0.0)), F.lit(1.0)), 6).alias("score"),
+        F.col("doc_id").alias(doc_id), "n_words", F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"),
+        F.col("first_word").cast("bigint").alias("first_word"), F.col("last_word").cast("bigint").alias("last_word"),
+        said("own").alias("base_labels"), said("all").alias("labels"), F.round(F.least(F.coalesce("score", F.lit(0.0)), F.lit(1.0)), 6).alias("score"),
     )

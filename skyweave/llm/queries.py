@@ -53,7 +53,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_html_text, op4_chat_format, op5_decontamination, op6_minhash, op7_pii, op8_language_quality, op9_quality_rules, op10_license_scan)}
 
+_POSTINGS = ", ".join(f"({t}, '{label}', '{w}', {i}, {str(at <= i < at + len(need)).lower()})" for t, (label, words, need, at) in enumerate(license_scan._notices()) for i, w in enumerate(words))
+
 SQL = {
+    "op10_license_scan": rf"""
+with docs as (select row_number() over () as id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents),
+index(template, label, word, place, mandatory) as (values {_POSTINGS}),
+found as (select * from (select id, unnest(words) as word, unnest(range(len(words))) as spot from docs) w where word in (select word from index)),
+frequency as (select word, count(distinct id) as df from found group by word),
+idf as (select i.word, ln((1 + (select count(*) from docs)) / (1 + coalesce(df, 0))) as idf from (select distinct word from index) i left join frequency f on f.word = i.word),
+whole as (select template, sum(idf) as total, count(*) filter (mandatory) as needed from index join idf using (word) group by template),
+met as (select id, template, label, spot - place as start, sum(idf) as got, count(*) filter (mandatory) as n from found join index using (word) join idf using (word) group by all),
+passed as (select *, case when total > 0 then got / total else 1 end as score from met join whole using (template) where n = needed),
+by_doc as (select id, count(*) filter (template < {len(license_scan.BASE)}) as n_base, min(start) filter (template < {len(license_scan.BASE)}) as first_word, max(start) filter (template < {len(license_scan.BASE)}) as last_word,
+  string_agg(distinct label, ',' order by label) filter (template < {len(license_scan.BASE)}) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(score) as score from passed group by id)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, round(least(coalesce(score, 0), 1), 6) as score
+from docs left join by_doc using (id)
+""",
     "op4_chat_format": """
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -294,11 +294,37 @@ def test_license_scan(docs, empty):
         return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(found))
 
     assert rows == Counter((r[0], *base(r[1])) for r in docs[1])
-    scanned = license_scan.scan(docs[0]).where("labels <> '' or score > 0").collect()
-    assert scanned and all(set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in scanned)
     assert license_scan.scan(empty).count() == 0
 
 
+def test_license_labels_and_scores(spark, docs):
+    """Every template at every place, without an index."""
+    rng, more = random.Random(9), []
+    pool = [w for _, words, _, _ in license_scan._notices() for w in words]
+    for i in range(300):
+        parts = [" ".join(rng.choice(pool) for _ in range(rng.randint(0, 9))) for _ in range(3)]
+        for _, words, need, _ in rng.sample(license_scan._notices(), 2):
+            parts.append(" ".join(w for w in words if w in need or rng.random() < 0.7))
+        more.append((7000 + i, rng.choice([" ", "-", "\n"]).join(parts).replace("k", rng.choice("kkk\u212aK")), None, None))
+    rows = docs[1] + more
+    split = [re.findall(license_scan.WORD, (r[1] or "").translate(LOWER)) for r in rows]
+    notices = license_scan._notices()
+    df = Counter(w for words in split for w in set(words))
+    idf = {w: np.log((1 + len(rows)) / (1 + df[w])) for _, words, _, _ in notices for w in words}
+    want = Counter()
+    for r, own in zip(rows, split, strict=True):
+        labels, score = set(), 0.0
+        for label, words, need, at in notices:
+            for begin in range(-at, len(own) - at - len(need) + 1):
+                if own[begin + at : begin + at + len(need)] == need:
+                    got = sum(idf[w] for i, w in enumerate(words) if 0 <= begin + i < len(own) and own[begin + i] == w)
+                    labels, score = labels | {label}, max(score, got / sum(idf[w] for w in words))
+        want[r[0], ",".join(sorted(labels)), round(min(score, 1.0), 4)] += 1
+    found = license_scan.scan(spark.createDataFrame([(*r, "x", 1.5) for r in rows], "doc_id long, text string, lang string, source string, labels string, score double")).collect()
+    assert Counter((r.doc_id, r.labels, round(r.score, 4)) for r in found) == want
+    assert len({r.labels for r in found}) > 8
+
+
 def test_language_quality(spark, docs, empty):
     counts = np.zeros((3, 3, 3, 3), int)
     rng = np.random.default_rng(0)
