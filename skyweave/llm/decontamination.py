@@ -5,7 +5,7 @@ is cut into overlapping windows. Where a window of m characters occurs with at m
 m - q + 1 - k q q-grams with the text, all within 2 k + 1 neighbouring diagonals; so shared q-grams are counted in overlapping
 bands of twice that width, bands that meet the bound are kept, and each is verified by an alignment inside the band.
 
-The items are sent to the tasks in blocks of at most BLOCK_CHARS characters, one pass over the documents for each block, so what is
+The items are sent to the tasks in blocks of about BLOCK_CHARS characters, one pass over the documents for each block, so what is
 broadcast is bounded however large the benchmark is. Items of fewer than MIN_CHARS folded characters are found
 where they stand whole and without edits between word boundaries; items without letters and digits match nothing. Null or empty texts and items match nothing. Null doc_id, repeated rows: each row gets its own matches; equal pairs are
 one row. Empty tables: no rows. Other columns are ignored by the query and kept by the filter.
@@ -24,7 +24,8 @@ from skyweave.llm.common import _power_tables, mix, text_chunks
 
 #: Characters of a q-gram, share of edited characters allowed, folded characters of a window and of the shortest item that may be edited.
 Q, EDITS, WINDOW, MIN_CHARS = 12, 0.06, 160, 40
-BLOCK_CHARS = 8_000_000
+#: Characters of the items of a block; a block takes about 75 bytes a character in each Python worker, and 4 MB.
+BLOCK_CHARS = 500_000
 MATCHES = "array<struct<item_id:bigint,start:bigint,stop:bigint,edits:int>>"
 _FILTER_BITS = 22
 
@@ -112,30 +113,30 @@ class Patterns:
         self.bound = np.array([len(t) - Q + 1 - k * Q for t, k in zip(self.text, self.edits, strict=True)], np.int64)
 
 
+def align_all(patterns: np.ndarray, texts: np.ndarray, sizes: np.ndarray, low: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(edits, start, stop) of each pattern's best place in its text, of which the first `size` characters count, start minus pattern's begin
+    on the `width` diagonals from `low` on; edits above k are k + 1. One step per pattern character over all pairs and diagonals."""
+    one, d = 1 << 20, np.arange(width)
+    far, steps = (k + 1) * one, d * one
+    low, sizes = low[:, None], sizes[:, None]
+    pair = np.arange(len(patterns))[:, None]
+    state = np.where((low + d >= 0) & (low + d <= sizes), d, far)  # edits, and the diagonal that they begin on
+    for i in range(patterns.shape[1]):
+        at = i + low + d
+        met = texts[pair, np.clip(at, 0, texts.shape[1] - 1)] == patterns[:, i : i + 1]
+        new = np.where((at >= 0) & (at < sizes), state + np.where(met, 0, one), far)
+        new[:, :-1] = np.minimum(new[:, :-1], state[:, 1:] + one)
+        new = np.minimum.accumulate(new - steps, axis=1) + steps
+        state = np.where((at >= -1) & (at < sizes), np.minimum(new, far), far)
+    best = state.argmin(1)
+    state = state[pair[:, 0], best]
+    return np.minimum(state // one, k + 1), np.maximum(0, low[:, 0] + state % one), patterns.shape[1] + low[:, 0] + best
+
+
 def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int, int] | None:
-    """(edits, start, stop) of the pattern's best place in text, start minus pattern's begin on diagonals low to high; None
-    above k edits. One row per pattern character, one cell per diagonal."""
-    far, width, n = k + 1, high - low + 1, len(text)
-    cost = [0 if 0 <= low + d <= n else far for d in range(width)]
-    begin = [low + d for d in range(width)]
-    letters = text.tolist()
-    for i, c in enumerate(pattern.tolist()):
-        new, origin = [far] * width, [0] * width
-        for d in range(width):
-            j = i + low + d  # text characters before the one that c meets
-            if j + 1 < 0 or j + 1 > n:
-                continue
-            best, came = (cost[d + 1] + 1, begin[d + 1]) if d + 1 < width else (far, 0)
-            if j >= 0 and cost[d] + (letters[j] != c) <= best:
-                best, came = cost[d] + (letters[j] != c), begin[d]
-            if d and new[d - 1] + 1 < best:
-                best, came = new[d - 1] + 1, origin[d - 1]
-            new[d], origin[d] = min(best, far), came
-        cost, begin = new, origin
-    best = min(range(width), key=lambda d: cost[d])
-    if cost[best] > k:
-        return None
-    return cost[best], max(0, begin[best]), len(pattern) + low + best
+    """As align_all for one pair and the diagonals low to high; None above k edits."""
+    edits, start, stop = align_all(pattern[None], text[None], np.array([len(text)]), np.array([low]), high - low + 1, k)
+    return (int(edits[0]), int(start[0]), int(stop[0])) if edits[0] <= k else None
 
 
 def _short(folded: np.ndarray, limits: np.ndarray, patterns: Patterns) -> list[tuple[int, int, int, int]]:
@@ -182,18 +183,33 @@ def matches(points: np.ndarray, bounds: np.ndarray, patterns: Patterns) -> list[
     rows = np.unique(rows, axis=0)
     heads = np.flatnonzero(np.r_[True, (rows[1:, :3] != rows[:-1, :3]).any(1)])
     shared = np.diff(np.r_[heads, len(rows)])
-    for text, owner, band in rows[heads[shared >= patterns.bound[rows[heads, 1]]], :3].tolist():
-        k, pattern = int(patterns.k[owner]), patterns.text[owner]
-        a, b = int(limits[text]), int(limits[text + 1])
-        low = band * (2 * k + 1) - a - k
-        got = align(pattern, folded[a:b][max(0, low - 1) : low + 4 * k + 2 + len(pattern) + 2 * k], low - max(0, low - 1), low - max(0, low - 1) + 4 * k + 1 + 2 * k, k)
-        if got is not None:
-            edits, start, stop = got[0], got[1] + a + max(0, low - 1), got[2] + a + max(0, low - 1)
-            stop = min(stop, b)
-            found.append((text, patterns.item[owner], int(place[min(start, b - 1)] - bounds[text]), int(place[stop - 1] - bounds[text]) + 1, edits))
+    candidates = rows[heads[shared >= patterns.bound[rows[heads, 1]]], :3]
+    sizes = np.array([len(patterns.text[o]) for o in candidates[:, 1].tolist()], int)
+    for m in np.unique(sizes).tolist():
+        own = candidates[sizes == m]
+        for i in range(0, len(own), 256):
+            found += _verified(own[i : i + 256], folded, place, bounds, limits, patterns)
     return found
 
 
+def _verified(candidates: np.ndarray, folded: np.ndarray, place: np.ndarray, bounds: np.ndarray, limits: np.ndarray, patterns: Patterns) -> list[tuple[int, int, int, int, int]]:
+    """The matches among candidates (text, pattern, band) whose patterns are equally long."""
+    text, owner, band = candidates.T
+    k = int(patterns.k[owner[0]])
+    windows = np.stack([patterns.text[o] for o in owner.tolist()])
+    first, last = limits[text], limits[text + 1]
+    low = band * (2 * k + 1) - first - k
+    skipped = np.maximum(0, low - 1)
+    begin, length = first + skipped, windows.shape[1] + 6 * k + 3
+    size = np.clip(last - begin, 0, length)
+    letters = folded[np.minimum(begin[:, None] + np.arange(length), len(folded) - 1)]
+    edits, start, stop = align_all(windows, letters, size, low - skipped, 6 * k + 2, k)
+    start, stop = np.minimum(begin + start, last - 1), np.minimum(begin + stop, last)
+    good = np.flatnonzero(edits <= k)
+    a, b = place[start] - bounds[text], place[stop - 1] - bounds[text] + 1
+    return [(int(text[i]), patterns.item[owner[i]], int(a[i]), int(b[i]), int(edits[i])) for i in good.tolist()]
+
+
 def _find(column: pa.Array, broadcast) -> pa.Array:
     patterns, rows = broadcast.value, []
     for data, offsets in text_chunks(column):
