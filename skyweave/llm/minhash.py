@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize, mix, per_text, span_hashes, text_chunks, words
 
-#: Slots of a signature (a prime, so that k -> a * k + b permutes them), and rows a band. At similarity 0.8 a pair
+#: Slots of a signature (a prime, so that k -> a * k + b permutes them, under 256, so that counts of slots are bytes), and rows a band. At similarity 0.8 a pair
 #: shares no band with probability (1 - 0.8 ** 5) ** 42 = 6e-8.
 SLOTS, BAND_ROWS = 211, 5
 #: Agreement of signatures below which a pair isn't confirmed on full sets: five standard errors under 0.8.
@@ -35,6 +35,8 @@ LEAST_AGREEMENT = 0.66
 BLOCK, BLOCK_SHINGLES, ANCHORS = 512, 400_000, 16
 #: Parts in which the members of a class are counted before they meet.
 SALTS = 64
+#: Pairs whose ids are broadcast, 3 MB of them, to find their texts; more are joined by shuffle.
+SMALL_PAIRS = 100_000
 THRESHOLD_PERCENT = 80
 
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -133,7 +135,9 @@ def _forest(batches):
 def components(links: DataFrame) -> DataFrame:
     """(node, component): for each linked node the least node it reaches. Partitions are merged by union-find first, then
     large-star and small-star rounds run until the links form stars."""
+    mark = lambda edges: edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
     stars = materialize(links.select("a", "b").mapInArrow(_forest, "a bigint, b bigint").distinct())
+    before = mark(stars)
     while True:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -141,10 +145,9 @@ def components(links: DataFrame) -> DataFrame:
         down = large.where("a <> b").distinct()
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        made = materialize(small.where("a <> b").distinct())
-        changed = made.exceptAll(stars).limit(1).count() + made.agg(F.count("*") - F.countDistinct("a")).first()[0]
-        stars = made
-        if not changed:
+        stars = materialize(small.where("a <> b").distinct())
+        last, before = before, mark(stars)
+        if before == last:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
@@ -163,7 +166,7 @@ def _tree(n: int, near) -> list[tuple[int, int]]:
 
 
 def _agreeing(signs: np.ndarray):
-    return lambda i, rest: rest[(signs[rest] == signs[i]).sum(1) >= LEAST_AGREEMENT * SLOTS]
+    return lambda i, rest: rest[(signs[rest] == signs[i]).view(np.uint8).sum(1, dtype=np.uint8) >= LEAST_AGREEMENT * SLOTS]
 
 
 def _similar(signs: np.ndarray, sets: list[np.ndarray], percent: int):
@@ -222,11 +225,13 @@ def _confirmed(size: int, percent: int):
 
 
 def _apart(held: list[tuple]) -> list[tuple[int, int, int, int]]:
-    """Pairs of different components whose signatures agree enough."""
-    signs, own, found = _signs(held), np.array([x[3] for x in held]), []
-    for i in range(len(held) - 1):
-        rest = np.flatnonzero(own[i + 1 :] != own[i]) + i + 1
-        found += [(*min(held[i][:2], held[j][:2]), *max(held[i][:2], held[j][:2])) for j in _agreeing(signs)(i, rest)]
+    """Pairs of different parts whose signatures agree enough."""
+    agreeing, own, found = _agreeing(_signs(held)), np.array([x[3] for x in held]), []
+    names, sizes = np.unique(own, return_counts=True)
+    main, place = own == names[sizes.argmax()], np.arange(len(held))
+    for i in np.flatnonzero(~main).tolist():
+        rest = np.flatnonzero((own != own[i]) & (main | (place > i)))
+        found += [(*min(held[i][:2], held[j][:2]), *max(held[i][:2], held[j][:2])) for j in agreeing(i, rest)]
     return found
 
 
@@ -264,10 +269,9 @@ def _dealt(rows: DataFrame, columns: list[str], edges, names: tuple[str, ...] =
     return rows.select(*columns).repartition(*sort[:3]).sortWithinPartitions(*sort).mapInArrow(_grouped(columns, edges, names), ", ".join(f"{n} bigint" for n in names)).distinct()
 
 
-def _left_apart(groups: DataFrame, stars: DataFrame, signs: DataFrame) -> DataFrame:
-    """(a, ta, b, tb): pairs of texts of the same group (key, id, th) that lie in different components and whose signatures agree enough.
-    Members of a group's largest component are held against the others only."""
-    own = materialize(groups.join(stars, F.col("id") == F.col("node"), "left").select("key", "id", "th", F.coalesce("component", "id").alias("c")))
+def _left_apart(own: DataFrame, signs: DataFrame) -> DataFrame:
+    """(a, ta, b, tb): pairs of texts of the same group (key, id, th, c) that lie in different parts c and whose signatures agree enough.
+    Members of a group's largest part are held against the others only."""
     size = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     main = size.groupBy("key").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     met = own.join(main.select("key", F.col("most.c").alias("most"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("others")), "key")
@@ -285,6 +289,7 @@ def _check_pairs(pairs: DataFrame, docs: DataFrame, size: int, percent: int) ->
     """The links (a, b) among pairs of texts (a, ta, b, tb), on full sets."""
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b", "tb"), F.lit(64)).cast("int"))
     needed = pairs.select(F.col("a").alias("id"), F.col("ta").alias("th")).unionByName(pairs.select(F.col("b").alias("id"), F.col("tb").alias("th"))).distinct()
+    needed = F.broadcast(needed) if pairs.count() <= SMALL_PAIRS else needed
     texts = materialize(docs.join(needed, ["id", "th"]).dropDuplicates(["id", "th"]))
     own = salted.select("a", "ta", "salt").distinct().join(texts.withColumnsRenamed({"id": "a", "th": "ta"}), ["a", "ta"]).select("a", "ta", "salt", F.lit(0).alias("other"), F.col("a").alias("id"), "text")
     held = salted.join(texts.withColumnsRenamed({"id": "b", "th": "tb"}), ["b", "tb"]).select("a", "ta", "salt", F.lit(1).alias("other"), F.col("b").alias("id"), "text")
@@ -297,15 +302,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signed = materialize(docs.withColumn("s", signature(F.col("text"), size)).select("id", "th", "s.*"))
     known = signed.where("id is not null and n_shingles > 0")
     # classes: first the least of each salted part, then of these
-    salt = ["set_a", "set_b", "n_shingles", "salt"]
-    parted = known.select("id", "th", *salt[:3], F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
-    local = materialize(parted.groupBy(*salt).agg(F.min(F.struct("id", "th")).alias("part")))
-    reps = local.groupBy(*salt[:3]).agg(F.min("part").alias("rep"), F.count(F.lit(1)).alias("parts"))
-    below = parted.select("id", *salt).distinct().join(local.select(*salt, F.col("part.id").alias("b")), salt).where("id <> b").select(F.col("id").alias("a"), "b")
-    above = local.join(reps.where("parts > 1"), salt[:3]).select(F.col("part.id").alias("a"), F.col("rep.id").alias("b")).where("a <> b")
-    twins = materialize(below.unionByName(above))
-    first = known.select("id", "th", "n_shingles", "slots", "bands").join(reps.select("rep.id", "rep.th"), ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
-    first = materialize(first)
+    digest, own = ["set_a", "set_b", "n_shingles"], F.struct("id", "th")
+    parted = known.select("id", "th", *digest, F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    parted = materialize(parted.withColumn("part", F.min(own).over(Window.partitionBy(*digest, "salt"))))
+    local = materialize(parted.where(own == F.col("part")).withColumn("rep", F.min(own).over(Window.partitionBy(*digest))))
+    link = lambda rows, to: rows.where(F.col("id") != F.col(f"{to}.id")).select(F.col("id").alias("a"), F.col(f"{to}.id").alias("b"))
+    twins = link(parted, "part").unionByName(link(local, "rep"))
+    first = known.select("id", "th", "n_shingles", "slots", "bands").join(local.where(own == F.col("rep")).select("id", "th"), ["id", "th"], "left_semi")
+    first = materialize(first.dropDuplicates(["id", "th"]))
     signs = first.select("id", "th", "slots")
     # families, by buckets
     keys = first.select("id", "th", F.explode("bands").alias("band"))
@@ -323,9 +327,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = _dealt(dealt, ["family", "i", "j", "id", "th", "slots", "text"], _confirmed(size, percent))
     stars = components(links.unionByName(twins))
     # what blocks have kept apart
-    large = shared.where(F.col("n") > BLOCK).select(F.xxhash64(F.lit(0), "band").alias("key"), "id", "th").unionByName(member.where("blocks > 1").select(F.xxhash64(F.lit(1), "family").alias("key"), "id", "th"))
+    part = F.coalesce("c", "id").alias("c")
+    buckets = shared.where(F.col("n") > BLOCK).join(member.select("id", "th", F.col("family").alias("c")), ["id", "th"], "left").select(F.xxhash64(F.lit(0), "band").alias("key"), "id", "th", part)
+    families = member.where("blocks > 1").join(stars.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select(F.xxhash64(F.lit(1), "family").alias("key"), "id", "th", part)
+    large = materialize(buckets.unionByName(families))
     if not large.isEmpty():
-        pairs = materialize(_left_apart(large, stars, signs))
+        pairs = materialize(_left_apart(large, signs))
         if not pairs.isEmpty():
             stars = components(_check_pairs(pairs, docs, size, percent).unionByName(stars.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     grouped = signed.select("id", "n_shingles").join(stars.withColumnRenamed("node", "id"), "id", "left")
