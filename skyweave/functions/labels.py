@@ -6,6 +6,8 @@ are null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,11 +18,23 @@ def _point(x: Column, y: Column, v: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"), v.cast("int").alias("v"))
 
 
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of the value, which is computed once however often f reads it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _numbers(text: Column) -> Column:
+    """The fields of a line as doubles, null where they are none."""
+    return F.transform(F.filter(F.split(F.trim(text), r"\s+"), lambda t: t != ""), lambda t: t.try_cast("double"))
+
+
 def parse_pose_line(text: Column) -> Column:
     """The pose label of a line."""
-    tokens = F.filter(F.split(F.trim(text), r"\s+"), lambda t: t != "")
-    numbers = F.transform(tokens, lambda t: t.try_cast("double"))
-    n = F.size(tokens)
+    return _once(_numbers(text), lambda numbers: _pose(text, numbers))
+
+
+def _pose(text: Column, numbers: Column) -> Column:
+    n = F.size(numbers)
     error = F.when(n < 5, "too few fields").when((n - 5) % 3 != 0, "broken keypoint triplets").when(F.exists(numbers, lambda x: x.isNull()), "not a number")
     good = F.coalesce(error.isNull() & text.isNotNull(), F.lit(False))
     at = lambda i: F.when(good, F.get(numbers, i))
@@ -38,9 +52,9 @@ def format_pose_line(label: Column) -> Column:
 
 def parse_det_line(text: Column) -> Column:
     """Struct cls, cx, cy, w, h of a five-field line, else null."""
-    numbers = F.transform(F.split(F.trim(text), r"\s+"), lambda t: t.try_cast("double"))
-    good = (F.size(numbers) == 5) & ~F.exists(numbers, lambda x: x.isNull())
-    return F.when(good, F.struct(F.get(numbers, 0).cast("int").alias("cls"), *(F.get(numbers, i).alias(k) for i, k in enumerate(("cx", "cy", "w", "h"), 1))))
+    good = lambda numbers: (F.size(numbers) == 5) & ~F.exists(numbers, lambda x: x.isNull())
+    box = lambda numbers: F.struct(F.get(numbers, 0).cast("int").alias("cls"), *(F.get(numbers, i).alias(k) for i, k in enumerate(("cx", "cy", "w", "h"), 1)))
+    return _once(_numbers(text), lambda numbers: F.when(good(numbers), box(numbers)))
 
 
 def format_det_line(box: Column) -> Column:
@@ -57,7 +71,10 @@ def format_seg_line(polygon: Column, width: Column, height: Column) -> Column:
 
 def parse_seg_line(text: Column, width: Column, height: Column) -> Column:
     """Struct cls and points (x, y in pixels) of a polygon line; null if the payload is odd or has fewer than three points."""
-    numbers = F.transform(F.split(F.trim(text), r"\s+"), lambda t: t.try_cast("double"))
+    return _once(_numbers(text), lambda numbers: _polygon(numbers, width, height))
+
+
+def _polygon(numbers: Column, width: Column, height: Column) -> Column:
     n = F.size(numbers)
     good = (n >= 7) & (n % 2 == 1) & ~F.exists(numbers, lambda x: x.isNull())
     steps = F.when(good, F.sequence(F.lit(0), F.floor((n - 1) / 2).cast("int") - 1))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -75,26 +76,36 @@ def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, cell: float
     """The points whose mean distance to their k nearest neighbours is at most the scene's mean of these plus `spread` deviations. Scenes of two points
     or fewer, or without deviation, stay whole.
 
-    Each point looks in the smallest of the nested grids (cell, 2 cell, ...) whose cell about it holds more than k points: these lie within the
-    cell's diagonal, which two cells in each direction cover, so the neighbours are exact. Points that no grid serves look through
-    the coarsest grid's level above, the scene itself; few are left there, as a coarse cell holds them only if it holds at most k points."""
+    Each point looks in the smallest of the nested grids (cell, 2 cell, ...) whose cell about it holds more than k points, first through the cells
+    next to its own for neighbours within a cell's side. Those that find fewer than k there look through two cells in each direction, within two
+    sides, where k are, as the cell's diagonal is shorter; so the neighbours are exact. Points that no grid serves look through
+    their scene; few are left there, as a coarse cell holds them only if it holds at most k points."""
     k = max(2, k)
     at = lambda level: [F.floor(F.col(a) / (cell * 2.0**level)).cast("bigint") for a in _AXES]
-    spot = lambda level, c: F.struct(F.lit(level).alias("level"), *(v.alias(f"c{a}") for v, a in zip(c, _AXES, strict=True)))
-    whole = spot(levels, [F.lit(0).cast("bigint")] * 3)
+    spot = lambda level: F.struct(F.lit(level).alias("level"), *(v.alias(f"c{a}") for v, a in zip(at(level), _AXES, strict=True)))
     pts = points.select("unique_scene", F.col(id_).alias("_id"), *_AXES)
-    spots = pts.select("*", F.explode(F.array(*(spot(i, at(i)) for i in range(levels)), whole)).alias("s")).select("unique_scene", "_id", *_AXES, "s.*")
-    place = ["unique_scene", "level", "cx", "cy", "cz"]
-    full = spots.groupBy(*place).agg(F.count("*").alias("n")).where((F.col("n") > k) | (F.col("level") == levels))
-    chosen = spots.join(full.select(*place), place).groupBy("unique_scene", "_id").agg(F.min(F.struct("level", "cx", "cy", "cz", *_AXES)).alias("b")).select("unique_scene", "_id", "b.*")
-    around = chosen.withColumns({f"_{a}": F.col(a) for a in _AXES}).withColumnRenamed("_id", "_of").drop(*_AXES)
-    step = F.when(F.col("level") == levels, F.array(F.lit(0))).otherwise(F.sequence(F.lit(-2), F.lit(2)))
-    for a in _AXES:
-        around = around.withColumn("_d", F.explode(step)).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).drop("_d")
+    spots = pts.select("*", F.explode(F.array(*map(spot, range(levels)))).alias("s")).select("unique_scene", "_id", *_AXES, "s.*")
+    place, own = ["unique_scene", "level", "cx", "cy", "cz"], ["unique_scene", "_of"]
+    full = spots.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > k)
+    chosen = spots.join(full.select(*place), place).groupBy("unique_scene", F.col("_id").alias("_of")).agg(F.min(F.struct("level", "cx", "cy", "cz", *(F.col(a).alias(f"_{a}") for a in _AXES))).alias("b")).select(*own, "b.*")
     gaps = [(F.col(a) - F.col(f"_{a}")) for a in _AXES]
-    near = around.join(spots, place).where("_of <> _id").select("unique_scene", "_of", F.sqrt(gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]).alias("d"))
-    w = Window.partitionBy("unique_scene", "_of").orderBy("d")
-    means = near.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).groupBy("unique_scene", F.col("_of").alias(id_)).agg(F.avg("d").alias("_m"))
+    squared = gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
+    w = Window.partitionBy(*own).orderBy("d")
+
+    def nearest(met: DataFrame) -> DataFrame:
+        ranked = met.where("_of <> _id").select(*own, F.sqrt(squared).alias("d")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+        return ranked.groupBy(*own).agg(F.avg("d").alias("_m"), F.count("*").alias("_k"))
+
+    def around(of: DataFrame, cells: int) -> DataFrame:
+        for a in _AXES:
+            of = of.withColumn("_d", F.explode(F.array(*map(F.lit, range(-cells, cells + 1))))).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).drop("_d")
+        side = F.lit(cell * cells) * F.pow(F.lit(2.0), F.col("level"))
+        return of.join(spots, place).where(squared <= side * side)
+
+    close = nearest(around(chosen, 1)).where(F.col("_k") == k)
+    wide = nearest(around(chosen.join(close.select(*own), own, "left_anti"), 2))
+    alone = pts.join(chosen.select("unique_scene", F.col("_of").alias("_id")), ["unique_scene", "_id"], "left_anti").select("unique_scene", F.col("_id").alias("_of"), *(F.col(a).alias(f"_{a}") for a in _AXES))
+    means = close.unionByName(wide).unionByName(nearest(alone.join(pts, "unique_scene"))).select("unique_scene", F.col("_of").alias(id_), "_m")
     stats = means.groupBy("unique_scene").agg(F.avg("_m").alias("_mu"), F.stddev_pop("_m").alias("_sd"), F.count("*").alias("_n"))
     kept = points.join(means, ["unique_scene", id_], "left").join(stats, "unique_scene", "left")
     degenerate = F.coalesce((F.col("_n") <= 2) | (F.col("_sd") <= 1e-12), F.lit(True))
@@ -127,8 +138,8 @@ def ground_plane(points: DataFrame, tries: int = 400, near: float = 0.12, least_
 
 def remove_ground(planed: DataFrame) -> DataFrame:
     """The points off the plane, or all of a scene's points if none is off it, with used_fallback."""
-    fallback = F.min("is_plane").over(Window.partitionBy("unique_scene"))
-    return planed.withColumn("used_fallback", fallback).where("used_fallback or not is_plane").drop("is_plane")
+    fallback = planed.groupBy("unique_scene").agg(F.min("is_plane").alias("used_fallback"))
+    return planed.join(fallback, "unique_scene").where("used_fallback or not is_plane").drop("is_plane")
 
 
 def _runs(masks: DataFrame) -> DataFrame:
@@ -137,43 +148,65 @@ def _runs(masks: DataFrame) -> DataFrame:
     return masks.withColumn("_i", island).groupBy("unique_scene", "cls", "row_idx", "_i").agg(F.min("col_idx").alias("a"), F.max("col_idx").alias("b")).drop("_i")
 
 
-def _label_runs(frame: pd.DataFrame) -> pd.DataFrame:
-    """Labels one image's runs: those of neighbouring rows that touch, corners included, share the place of their first run."""
-    frame = frame.sort_values(["row_idx", "a"], ignore_index=True)
-    root = list(range(len(frame)))
+def _label_runs(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Labels one image's runs (row, a, b), in order: those of neighbouring rows that touch, corners included, share the place of their first run
+    and the number of their pixels."""
+    root = list(range(len(runs)))
 
     def top(i: int) -> int:
         while root[i] != i:
             root[i] = i = root[root[i]]
         return i
 
-    row, a, b = (frame[c].tolist() for c in ("row_idx", "a", "b"))
     above = 0
-    for i in range(len(frame)):
-        while row[above] < row[i] - 1 or (row[above] == row[i] - 1 and b[above] < a[i] - 1):
+    for i, (row, a, b) in enumerate(runs):
+        while runs[above][0] < row - 1 or (runs[above][0] == row - 1 and runs[above][2] < a - 1):
             above += 1
         j = above
-        while j < i and row[j] == row[i] - 1 and a[j] <= b[i] + 1:
+        while j < i and runs[j][0] == row - 1 and runs[j][1] <= b + 1:
             p, q = sorted((top(i), top(j)))
             root[q] = p
             j += 1
-    tops = [top(i) for i in range(len(frame))]
-    return frame.assign(first_row=[row[t] for t in tops], first_col=[a[t] for t in tops])
+    tops = [top(i) for i in range(len(runs))]
+    size = [0] * len(runs)
+    for t, (_, a, b) in zip(tops, runs, strict=True):
+        size[t] += b - a + 1
+    return [(*run, runs[t][0], runs[t][1], size[t]) for t, run in zip(tops, runs, strict=True)]
+
+
+def _labelled(batches):
+    """For mapInArrow over runs sorted by scene, class, row and column; one image's runs are held at a time."""
+    names, at, held, schema = ["unique_scene", "cls", "row_idx", "a", "b", "first_row", "first_col", "area"], None, [], None
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [schema.field(0).type, schema.field(1).type, *[pa.int64()] * 6]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+
+    for batch in batches:
+        schema, rows = batch.schema, []
+        for scene, cls, *run in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if (scene, cls) != at:
+                rows += [(*at, *r) for r in _label_runs(held)] if held else []
+                at, held = (scene, cls), []
+            held.append(tuple(run))
+        yield table(rows)
+    if held:
+        yield table([(*at, *r) for r in _label_runs(held)])
 
 
 def components(masks: DataFrame) -> DataFrame:
     """The runs of each class mask (unique_scene, cls, row_idx, a to b) with the 8-connected component they belong to, named by its first pixel in row
-    order (first_row, first_col). Pixels become runs in Spark; one image's runs, at most half its pixels, are labelled together."""
+    order (first_row, first_col), and its area. Pixels become runs in Spark; one image's runs, at most half its pixels, are labelled together."""
     runs = _runs(masks.select("unique_scene", "cls", F.col("row_idx").cast("bigint").alias("row_idx"), F.col("col_idx").cast("bigint").alias("col_idx")).distinct())
     types = dict(runs.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in runs.columns) + ", first_row bigint, first_col bigint"
-    return runs.groupBy("unique_scene", "cls").applyInPandas(_label_runs, schema)
+    schema = ", ".join(f"{c} {types[c]}" for c in ("unique_scene", "cls", "row_idx", "a", "b")) + ", first_row bigint, first_col bigint, area bigint"
+    dealt = runs.select("unique_scene", "cls", "row_idx", "a", "b").repartition("unique_scene", "cls").sortWithinPartitions("unique_scene", "cls", "row_idx", "a")
+    return dealt.mapInArrow(_labelled, schema)
 
 
 def min_area_components(masks: DataFrame, least: int) -> DataFrame:
     """The pixels (unique_scene, cls, row_idx, col_idx) of components of at least that many pixels."""
-    of = Window.partitionBy("unique_scene", "cls", "first_row", "first_col")
-    large = components(masks).withColumn("_n", F.sum(F.col("b") - F.col("a") + 1).over(of)).where(F.col("_n") >= least)
+    large = components(masks).where(F.col("area") >= least)
     return large.select("unique_scene", "cls", "row_idx", F.explode(F.sequence("a", "b")).alias("col_idx"))
 
 
