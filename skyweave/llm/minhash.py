@@ -8,9 +8,9 @@ Texts with equal sets form a class, and only one text of a class goes on. Bands
 bucket whose signatures agree enough to be similar are joined by union-find into families; the pairs of a family whose signatures
 agree enough are confirmed on full shingle sets, unless confirmed links join the two already; confirmed links are grouped by union-find.
 Buckets and families of more than a block are dealt into blocks that share a few anchors, so that the blocks of a group of near copies
-are linked. What then still lies in different components of the same large bucket or family is compared by signatures, and the pairs that
-agree are confirmed one by one: no link is left out, the members of the group's largest component aren't compared with each other again,
-and texts travel once each but for such pairs.
+are linked. What then still lies in different components of the same large family, or in different families of the same large
+bucket, is compared by signatures, block by block, and the texts of blocks that have pairs that agree are sent there to be confirmed: no link
+is left out, and the members of the group's largest part aren't compared with each other again.
 
 Null or empty text, or text without words: an empty set, linked with nothing. A single word: the sequence of one
 word is the only shingle. Null doc_id: its text is linked with nothing, component_id is null, kept is true. Rows
@@ -35,8 +35,8 @@ LEAST_AGREEMENT = 0.66
 BLOCK, BLOCK_SHINGLES, ANCHORS = 512, 400_000, 16
 #: Parts in which the members of a class are counted before they meet.
 SALTS = 64
-#: Pairs whose ids are broadcast, 3 MB of them, to find their texts; more are joined by shuffle.
-SMALL_PAIRS = 100_000
+#: Texts to fetch whose ids are broadcast, 2 MB of them; more are joined by shuffle.
+FEW_TEXTS = 100_000
 THRESHOLD_PERCENT = 80
 
 _GOLDEN, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -187,20 +187,22 @@ def _similar(signs: np.ndarray, sets: list[np.ndarray], percent: int):
 
 def _grouped(columns: list[str], edges, names: tuple[str, ...] = ("a", "b")):
     """For mapInArrow over rows sorted by their first five columns, of which three are the group and two the text: edges(rows) of each
-    group; a text that repeats counts once."""
+    group, before them the group where the names are its columns; a text that repeats counts once."""
+    keyed = names[:3] == tuple(columns[:3])
 
     def over(batches):
         at, held = None, []
+        done = lambda: [(*at, *e) if keyed else e for e in edges(held)] if len(held) > 1 else []
         for batch in batches:
             found = []
             for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if row[:3] != at:
-                    found += edges(held) if len(held) > 1 else []
+                    found += done()
                     at, held = row[:3], []
                 if not held or held[-1][:2] != row[3:5]:
                     held.append(row[3:])
             yield _pairs_batch(found, names)
-        yield _pairs_batch(edges(held) if len(held) > 1 else [], names)
+        yield _pairs_batch(done(), names)
 
     return over
 
@@ -224,36 +226,41 @@ def _confirmed(size: int, percent: int):
     return edges
 
 
-def _apart(held: list[tuple]) -> list[tuple[int, int, int, int]]:
-    """Pairs of different parts whose signatures agree enough."""
-    agreeing, own, found = _agreeing(_signs(held)), np.array([x[3] for x in held]), []
+def _parts(held: list[tuple]):
+    """(i, those after i, or in the largest part, that lie in another part and whose signatures agree enough) for each text i out of the
+    largest part."""
+    agreeing, own = _agreeing(_signs(held)), np.array([x[3] for x in held])
     names, sizes = np.unique(own, return_counts=True)
     main, place = own == names[sizes.argmax()], np.arange(len(held))
     for i in np.flatnonzero(~main).tolist():
-        rest = np.flatnonzero((own != own[i]) & (main | (place > i)))
-        found += [(*min(held[i][:2], held[j][:2]), *max(held[i][:2], held[j][:2])) for j in agreeing(i, rest)]
-    return found
+        yield i, agreeing(i, np.flatnonzero((own != own[i]) & (main | (place > i))))
 
 
-def _checked(size: int, percent: int):
-    """For mapInArrow over rows (a, text_a, salt, other, id, text), each a's own text before the texts held against it: the links."""
+def _apart(held: list[tuple]) -> list[tuple[int, int, int]]:
+    """The texts (id, th, c) of pairs of different parts whose signatures agree enough."""
+    met = np.zeros(len(held), bool)
+    for i, rest in _parts(held):
+        met[rest] = True
+        met[i] |= len(rest) > 0
+    return [(held[i][0], held[i][1], held[i][3]) for i in np.flatnonzero(met).tolist()]
 
-    def over(batches):
-        at = own = None
-        for batch in batches:
-            found = []
-            for start in range(0, len(batch), 256):
-                a, ta, salt, other, ids, texts = (batch.column(i).slice(start, 256).to_pylist() for i in range(6))
-                for key, o, i, x in zip(zip(a, ta, salt, strict=True), other, ids, _sets(texts, size), strict=True):
-                    if not o:
-                        at, own = key, x
-                    elif key == at:
-                        both = len(np.intersect1d(own, x, assume_unique=True))
-                        if 100 * both >= percent * (len(own) + len(x) - both):
-                            found.append((key[0], i))
-            yield _pairs_batch(found)
 
-    return over
+def _linked(size: int, percent: int):
+    """Links of full sets between different parts, but for those parts that links join already."""
+
+    def edges(held: list[tuple]) -> list[tuple[int, int]]:
+        sets, up, found = _sets([x[4] for x in held], size), {}, []
+        similar = _similar(_signs(held), sets, percent)
+        for i, rest in _parts(held):
+            apart = np.array([j for j in rest.tolist() if _top(up, held[j][3]) != _top(up, held[i][3])], int)
+            for j in similar(i, apart).tolist():
+                x, y = sorted((_top(up, held[i][3]), _top(up, held[j][3])))
+                if x != y:
+                    up[y] = x
+                    found.append((held[i][0], held[j][0]))
+        return found
+
+    return edges
 
 
 def _in_blocks(rows: DataFrame, n: Column, blocks: Column, *salt: Column) -> DataFrame:
@@ -270,11 +277,12 @@ def _dealt(rows: DataFrame, columns: list[str], edges, names: tuple[str, ...] =
 
 
 def _left_apart(own: DataFrame, signs: DataFrame) -> DataFrame:
-    """(a, ta, b, tb): pairs of texts of the same group (key, id, th, c) that lie in different parts c and whose signatures agree enough.
-    Members of a group's largest part are held against the others only."""
-    size = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    main = size.groupBy("key").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    met = own.join(main.select("key", F.col("most.c").alias("most"), F.ceil(F.col("most.n") / BLOCK).cast("int").alias("mains"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("others")), "key")
+    """(key, i, j, id, th, c): the texts of groups (key, id, th, m, c), m being their shingles, by the blocks of the group that are to be compared,
+    that have a text of another part c there whose signature agrees enough. Members of a group's largest part are held against the others only."""
+    size = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m"))
+    main = size.groupBy("key").agg(F.max(F.struct("n", "c", "m")).alias("most"), F.sum("n").alias("n"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    blocks = lambda n, m: F.ceil(F.greatest(n / BLOCK, m / BLOCK_SHINGLES)).cast("int")
+    met = own.join(main.select("key", F.col("most.c").alias("most"), blocks(F.col("most.n"), F.col("most.m")).alias("mains"), blocks(F.col("n") - F.col("most.n"), F.col("m") - F.col("most.m")).alias("others")), "key")
     of_main = F.col("c") == F.col("most")
     block = F.pmod(F.xxhash64("id", "th"), F.when(of_main, F.col("mains")).otherwise(F.col("others"))).cast("int")
     spot = lambda main, i, j: F.struct(main.alias("main"), i.alias("i"), j.alias("j"))
@@ -282,18 +290,15 @@ def _left_apart(own: DataFrame, signs: DataFrame) -> DataFrame:
     others = F.concat(F.transform(upto("others"), lambda j: spot(F.lit(0), F.least("block", j), F.greatest("block", j))), F.transform(upto("mains"), lambda j: spot(F.lit(1), F.col("block"), j)))
     dealt = met.withColumn("block", block).withColumn("s", F.explode(F.when(of_main, F.transform(upto("others"), lambda i: spot(F.lit(1), i, F.col("block")))).otherwise(others)))
     rows = dealt.select(F.xxhash64("key", "s.main").alias("key"), "s.i", "s.j", "id", "th", "c").join(signs, ["id", "th"])
-    return _dealt(rows, ["key", "i", "j", "id", "th", "slots", "c"], _apart, ("a", "ta", "b", "tb"))
+    return _dealt(rows, ["key", "i", "j", "id", "th", "slots", "c"], _apart, ("key", "i", "j", "id", "th", "c"))
 
 
-def _check_pairs(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links (a, b) among pairs of texts (a, ta, b, tb), on full sets."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b", "tb"), F.lit(64)).cast("int"))
-    needed = pairs.select(F.col("a").alias("id"), F.col("ta").alias("th")).unionByName(pairs.select(F.col("b").alias("id"), F.col("tb").alias("th"))).distinct()
-    needed = F.broadcast(needed) if pairs.count() <= SMALL_PAIRS else needed
-    texts = materialize(docs.join(needed, ["id", "th"]).dropDuplicates(["id", "th"]))
-    own = salted.select("a", "ta", "salt").distinct().join(texts.withColumnsRenamed({"id": "a", "th": "ta"}), ["a", "ta"]).select("a", "ta", "salt", F.lit(0).alias("other"), F.col("a").alias("id"), "text")
-    held = salted.join(texts.withColumnsRenamed({"id": "b", "th": "tb"}), ["b", "tb"]).select("a", "ta", "salt", F.lit(1).alias("other"), F.col("b").alias("id"), "text")
-    return own.unionByName(held).repartition("a", "ta", "salt").sortWithinPartitions("a", "ta", "salt", "other").mapInArrow(_checked(size, percent), "a bigint, b bigint").distinct()
+def _confirm_apart(apart: DataFrame, docs: DataFrame, signs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The links (a, b) among the texts that _left_apart gives, on full sets."""
+    needed = apart.select("id", "th").distinct()
+    needed = F.broadcast(needed) if needed.count() <= FEW_TEXTS else needed
+    texts = docs.join(needed, ["id", "th"]).dropDuplicates(["id", "th"]).join(signs, ["id", "th"])
+    return _dealt(apart.join(texts, ["id", "th"]), ["key", "i", "j", "id", "th", "slots", "c", "text"], _linked(size, percent))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -313,6 +318,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signs = first.select("id", "th", "slots")
     # families, by buckets
     keys = first.select("id", "th", F.explode("bands").alias("band"))
+    weights = first.select("id", "th", F.col("n_shingles").alias("m"))
     buckets = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(keys.join(buckets, "band"))
     dealt = _in_blocks(shared, F.col("n"), F.ceil(F.col("n") / BLOCK), F.col("band"))
@@ -332,9 +338,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     families = member.where("blocks > 1").join(stars.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").select(F.xxhash64(F.lit(1), "family").alias("key"), "id", "th", part)
     large = materialize(buckets.unionByName(families))
     if not large.isEmpty():
-        pairs = materialize(_left_apart(large, signs))
-        if not pairs.isEmpty():
-            stars = components(_check_pairs(pairs, docs, size, percent).unionByName(stars.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        apart = materialize(_left_apart(large.join(weights, ["id", "th"]), signs))
+        if not apart.isEmpty():
+            stars = components(_confirm_apart(apart, docs, signs, size, percent).unionByName(stars.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     grouped = signed.select("id", "n_shingles").join(stars.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
     return grouped.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
