@@ -130,7 +130,12 @@ def cluster_adjust(points: DataFrame, px: DataFrame, near: float, far: float, ba
     ids, craft = ["unique_scene", "kp_name"], px.where("is_aircraft").select("unique_scene", *(F.col(k).alias(f"p{k}") for k in "xyz"))
     low = craft.join(craft.groupBy("unique_scene").agg(F.min("pz").alias("_low")), "unique_scene").where(F.col("pz") < F.col("_low") + band)
     distance = F.sqrt(sum((F.col(f"p{k}") - F.col(k)) * (F.col(f"p{k}") - F.col(k)) for k in "xyz"))
-    met = points.select(*ids, "x", "y", "z").join(low, "unique_scene").withColumn("_d", distance).where(F.col("_d") < far)
+    cell = lambda c: F.floor(c / far).cast("bigint")
+    about = points.select(*ids, "x", "y", "z")
+    for k in "xyz":  # each point meets its own cell and those next to it
+        about = about.withColumn(f"_c{k}", F.explode(F.array(*(cell(F.col(k)) + i for i in (-1, 0, 1)))))
+    placed = low.select("*", *(cell(F.col(f"p{k}")).alias(f"_c{k}") for k in "xyz"))
+    met = about.join(placed, ["unique_scene", "_cx", "_cy", "_cz"]).withColumn("_d", distance).where(F.col("_d") < far)
     inner = lambda v: F.when(F.col("_d") < near, v)
     sums = met.groupBy(*ids).agg(F.count(inner(F.lit(1))).alias("n1"), F.count("*").alias("n2"), *(F.avg(inner(F.col(f"p{k}"))).alias(f"a{k}") for k in "xyz"), *(F.avg(f"p{k}").alias(f"b{k}") for k in "xyz"))
     joined = points.join(sums, ids, "left")

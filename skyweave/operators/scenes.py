@@ -78,8 +78,9 @@ def voxel_first(px: DataFrame, size: float, order: list[str | Column]) -> DataFr
 
 
 def subsample(px: DataFrame, n: int, key: list[str], seed: int = 1234) -> DataFrame:
-    """At most n points of each scene, picked by hash."""
-    w = Window.partitionBy("unique_scene").orderBy(F.xxhash64(F.lit(seed), *key), *key)
+    """At most n points of each scene, picked by hash of seed, scene and key; few rows of each task are sorted with others, as only ranks up to
+    n are asked for."""
+    w = Window.partitionBy("unique_scene").orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), "unique_scene", *(F.col(c).cast("string") for c in key))), *key)
     return px.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 

@@ -130,12 +130,17 @@ def class_filter(rows: DataFrame, classes: str) -> DataFrame:
     return rows.where(F.col("cls").isin(*wanted)) if wanted else rows
 
 
+def best_instances(instances: DataFrame) -> DataFrame:
+    """Each scene's instance of greatest confidence, the first on ties; a filter before masks are made."""
+    w = Window.partitionBy("unique_scene").orderBy(F.desc("conf"), "det_idx")
+    return instances.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def select_instances(instances: DataFrame, masks: DataFrame, mode: str = "best") -> DataFrame:
     """(unique_scene, row_idx, col_idx, score, n_used): the mask of each scene's instance of greatest confidence, the first on ties (best), or
     the union of all its instances' masks, with the greatest confidence and their number (merge)."""
     if mode == "best":
-        w = Window.partitionBy("unique_scene").orderBy(F.desc("conf"), "det_idx")
-        top = instances.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("unique_scene", "det_idx", F.col("conf").alias("score"), F.lit(1).cast("bigint").alias("n_used"))
+        top = best_instances(instances).select("unique_scene", "det_idx", F.col("conf").alias("score"), F.lit(1).cast("bigint").alias("n_used"))
         return masks.join(top, ["unique_scene", "det_idx"]).select("unique_scene", "row_idx", "col_idx", "score", "n_used")
     stats = instances.groupBy("unique_scene").agg(F.max("conf").alias("score"), F.count("*").alias("n_used"))
     return masks.select("unique_scene", "row_idx", "col_idx").distinct().join(stats, "unique_scene")

@@ -1,46 +1,64 @@
 """Splits of recordings: whole recordings go to one split or fold, so that no scene leaks.
 
-The greedy state runs over one array with an entry per recording, folded in order inside Spark.
+The greedy choice is sequential: recordings, a row each, stream sorted through one task, which holds the loads only.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SPLITS = ("train", "val", "test")
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Largest first in one partition, by name on ties; rows without a name before all."""
+    return rows.repartition(1).sortWithinPartitions(F.col("bag_stem").isNotNull(), F.desc("n_scenes"), "bag_stem")
+
 
 def kfold(bags: DataFrame, k: int) -> DataFrame:
-    """(bag_stem, n_scenes, fold): largest first to the lightest fold, the lowest fold on ties."""
-    entries = F.array_sort(F.collect_list(F.struct((-F.col("n_scenes")).alias("m"), F.col("bag_stem").alias("b"))))
-    start = F.struct(F.array_repeat(F.lit(0).cast("bigint"), k).alias("load"), F.array().cast("array<int>").alias("fold"))
+    """(bag_stem, n_scenes, fold): largest first to the lightest fold, the lowest fold on ties. Rows without a name are left out."""
 
-    def add(state, entry):
-        to = F.array_position(state["load"], F.array_min(state["load"])).cast("int") - 1
-        load = F.transform(state["load"], lambda v, i: F.when(i == to, v - entry["m"]).otherwise(v))
-        return F.struct(load.alias("load"), F.array_append(state["fold"], to).alias("fold"))
+    def deal(batches):
+        load = [0] * k
+        for batch in batches:
+            folds = []
+            for n in batch.column(1).to_pylist():
+                folds.append(load.index(min(load)))
+                load[folds[-1]] += n
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(folds, pa.int32())], ["bag_stem", "n_scenes", "fold"])
 
-    folded = bags.agg(entries.alias("e")).select("e", F.aggregate("e", start, add)["fold"].alias("f"))
-    return folded.select(F.explode(F.arrays_zip("e", "f")).alias("z")).select(F.col("z.e.b").alias("bag_stem"), (-F.col("z.e.m")).alias("n_scenes"), F.col("z.f").alias("fold"))
+    rows = bags.where("bag_stem is not null").select("bag_stem", F.col("n_scenes").cast("bigint").alias("n_scenes"))
+    return _in_order(rows).mapInArrow(deal, "bag_stem string, n_scenes bigint, fold int")
 
 
 def balanced_split(bags: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.2, 0.1)) -> DataFrame:
-    """(bag_stem, n_scenes, split): largest first to the split that lacks most scenes; train, val, test on ties."""
-    entries = F.array_sort(F.collect_list(F.struct((-F.col("n_scenes")).alias("m"), F.col("bag_stem").alias("b"))))
-    totals = bags.agg(entries.alias("e"), F.sum("n_scenes").alias("t"))
-    names = F.array(*map(F.lit, ("train", "val", "test")))
-    start = F.struct(F.array(*(F.col("t") * r for r in ratios)).cast("array<double>").alias("lack"), F.array().cast("array<int>").alias("to"))
+    """(bag_stem, n_scenes, split): largest first to the split that lacks most scenes; train, val, test on ties. Rows without a name are left
+    out."""
 
-    def add(state, entry):
-        to = F.array_position(state["lack"], F.array_max(state["lack"])).cast("int") - 1
-        lack = F.transform(state["lack"], lambda v, i: F.when(i == to, v + entry["m"]).otherwise(v))
-        return F.struct(lack.alias("lack"), F.array_append(state["to"], to).alias("to"))
+    def deal(batches):
+        lack = None
+        for batch in batches:
+            bags_, sizes, to = [], [], []
+            for bag, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lack is None:  # the first row is the total
+                    lack = [n * r for r in ratios]
+                    continue
+                i = lack.index(max(lack))
+                lack[i] -= n
+                bags_.append(bag)
+                sizes.append(n)
+                to.append(SPLITS[i])
+            yield pa.RecordBatch.from_arrays([pa.array(bags_, pa.string()), pa.array(sizes, pa.int64()), pa.array(to, pa.string())], ["bag_stem", "n_scenes", "split"])
 
-    folded = totals.select("e", F.aggregate("e", start, add)["to"].alias("f"))
-    return folded.select(F.explode(F.arrays_zip("e", "f")).alias("z")).select(F.col("z.e.b").alias("bag_stem"), (-F.col("z.e.m")).alias("n_scenes"), F.get(names, F.col("z.f")).alias("split"))
+    rows = bags.where("bag_stem is not null").select("bag_stem", F.col("n_scenes").cast("bigint").alias("n_scenes"))
+    total = rows.agg(F.coalesce(F.sum("n_scenes"), F.lit(0)).alias("n_scenes")).select(F.lit(None).cast("string").alias("bag_stem"), "n_scenes")
+    return _in_order(rows.unionByName(total)).mapInArrow(deal, "bag_stem string, n_scenes bigint, split string")
 
 
 def fold_members(scenes: DataFrame, folds: DataFrame, k: int) -> DataFrame:
     """(fold, role, unique_scene): for each fold, val are the scenes of its recordings, train those of the others."""
     placed = scenes.join(folds.select("bag_stem", F.col("fold").alias("own")), "bag_stem")
-    every = placed.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    every = placed.withColumn("fold", F.explode(F.array(*map(F.lit, range(k)))))
     return every.select("fold", F.when(F.col("own") == F.col("fold"), "val").otherwise("train").alias("role"), "unique_scene")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyweave.functions import boxes2d, labels, names
+from skyweave.functions import boxes2d, labels, names, pixels
 from skyweave.operators import reports, scenes, splits
 from skyweave.sources.relations import relation, with_relations
 
@@ -128,7 +128,7 @@ def voxel_first(spark, sf_dir):
     return scenes.voxel_first(relation(spark, sf_dir, "px"), 4.0, ["row_idx", "col_idx"])
 
 
-@query()
+@query("select unique_scene, bag_stem, row_idx, col_idx, x, y, z, range_m, intensity, reflectivity, is_ground, is_aircraft from (select *, row_number() over (partition by unique_scene order by md5(concat('1234|', unique_scene, '|', row_idx, '|', col_idx)), row_idx, col_idx) as rn from px) q where rn <= 50", "px")
 def subsample(spark, sf_dir):
     return scenes.subsample(relation(spark, sf_dir, "px"), 50, ["row_idx", "col_idx"])
 
@@ -180,17 +180,27 @@ def scenes_per_bag(spark, sf_dir):
     return reports.scenes_per_bag(relation(spark, sf_dir, "scene_meta"))
 
 
-@query()
+_BAGS = "bags as (select *, row_number() over (order by n_scenes desc, bag_stem) as rn from (select bag_stem, count(distinct unique_scene) as n_scenes from scene_meta group by 1) q)"
+_FOLDS = f"""with recursive {_BAGS},
+f as (select cast(0 as bigint) as rn, [cast(0 as bigint), 0, 0, 0, 0] as load, cast(null as varchar) as bag_stem, cast(0 as bigint) as n_scenes, cast(0 as bigint) as fold
+  union all select b.rn, list_transform(range(1, 6), lambda i: load[i] + case when i = list_position(load, list_min(load)) then b.n_scenes else 0 end), b.bag_stem, b.n_scenes, list_position(load, list_min(load)) from f join bags b on b.rn = f.rn + 1)
+"""
+
+
+@query(_FOLDS + "select bag_stem, n_scenes, cast(fold - 1 as integer) as fold from f where rn > 0", "scene_meta")
 def kfold(spark, sf_dir):
     return splits.kfold(scenes_per_bag(spark, sf_dir), 5)
 
 
-@query()
+@query(f"""with recursive {_BAGS}, total as (select cast(sum(n_scenes) as double) as t from bags),
+f as (select cast(0 as bigint) as rn, [t * 0.7::double, t * 0.2::double, t * 0.1::double] as lack, cast(null as varchar) as bag_stem, cast(0 as bigint) as n_scenes, cast(0 as bigint) as i from total
+  union all select b.rn, list_transform(range(1, 4), lambda i: lack[i] - case when i = list_position(lack, list_max(lack)) then b.n_scenes else 0 end), b.bag_stem, b.n_scenes, list_position(lack, list_max(lack)) from f join bags b on b.rn = f.rn + 1)
+select bag_stem, n_scenes, ['train', 'val', 'test'][i] as split from f where rn > 0""", "scene_meta")
 def balanced_split(spark, sf_dir):
     return splits.balanced_split(scenes_per_bag(spark, sf_dir))
 
 
-@query()
+@query(_FOLDS + "select cast(k as integer) as fold, case when fold - 1 = k then 'val' else 'train' end as role, unique_scene from f join scene_meta using (bag_stem) cross join range(5) r(k)", "scene_meta")
 def fold_members(spark, sf_dir):
     return splits.fold_members(relation(spark, sf_dir, "scene_meta"), kfold(spark, sf_dir), 5)
 
@@ -252,6 +262,52 @@ def xyxy_to_xywhn(spark, sf_dir):
     return relation(spark, sf_dir, "detections").select("unique_scene", "det_source", "det_idx", *(F.round(s, 6).alias(n) for s, n in zip(shares, ("cx", "cy", "w", "h"), strict=True)), u.alias("u"), v.alias("v"))
 
 
+_SHARES = ", ".join(f"cast(k[{i}] as double) as {n}" for i, n in ((2, "cx"), (3, "cy"), (4, "w"), (5, "h")))
+_ENDS = (("cx", "w", "-", 64), ("cy", "h", "-", 16), ("cx", "w", "+", 64), ("cy", "h", "+", 16))
+_CORNERS = ", ".join(x for i, (c, s, o, n) in enumerate(_ENDS) for x in (f"round(({c} {o} {s} / 2) * {n}, 6) + 0.0 as f{i}", f"least(greatest(round_even(({c} {o} {s} / 2) * {n}, 0), 0), {n - 1}) + 0.0 as r{i}", f"cast(least(greatest({'floor' if o == '-' else 'ceil'}(({c} {o} {s} / 2) * {n}){'' if o == '-' else ' - 1'}, 0), {n - 1}) as bigint) as o{i}"))
+
+
+@query(f"with {_TOKENS}, n as (select unique_scene, line_no, {_SHARES} from good) select unique_scene, line_no, {_CORNERS} from n", "pose_label_lines")
+def xywhn_to_xyxy(spark, sf_dir):
+    """The corners of each label's box by all three conventions."""
+    parsed = relation(spark, sf_dir, "pose_label_lines").withColumn("l", labels.parse_pose_line(F.col("text"))).where("l.error is null")
+    box = [F.col(f"l.{c}") for c in ("cx", "cy", "w", "h")]
+    made = {m: boxes2d.xywhn_to_xyxy(*box, F.lit(WIDTH), F.lit(HEIGHT), m) for m in ("float", "round", "outer")}
+    plain = {"float": lambda c: F.round(c, 6) + F.lit(0.0), "round": lambda c: c + F.lit(0.0), "outer": lambda c: c.cast("bigint")}
+    return parsed.select("unique_scene", "line_no", *(plain[m](c).alias(f"{m[0]}{i}") for m in made for i, c in enumerate(made[m])))
+
+
+@query(f"with {_TOKENS} select unique_scene, line_no, concat(k[1], ' ', k[6], '000 ', k[7], '000 ', k[9], '000 ', k[10], '000 ', k[12], '000 ', k[13], '000') as line from good", "pose_label_lines")
+def format_seg_line(spark, sf_dir):
+    """Polygon lines of the keypoints' places, read into pixels and written again."""
+    k = F.split("text", " ")
+    rows = relation(spark, sf_dir, "pose_label_lines").where((F.size(k) - 5) % 3 == 0)
+    size = F.lit(WIDTH), F.lit(HEIGHT)
+    seg = labels.parse_seg_line(F.concat_ws(" ", *(F.get(k, i) for i in (0, 5, 6, 8, 9, 11, 12))), *size)
+    return rows.select("unique_scene", "line_no", seg.alias("seg")).select("unique_scene", "line_no", labels.format_seg_line(F.col("seg"), *size).alias("line"))
+
+
+@query("select unique_scene, row_idx, col_idx, round(least(greatest(g + 0.35 * b * (1 - g), 0.0), 1.0), 6) as gray from (select *, least(greatest(intensity / 65535 * 1.35, 0.0), 1.0) as g, least(range_m / 50, 1.0) as b from px) q", "px")
+def far_boost(spark, sf_dir):
+    gray = pixels.far_boost(F.col("intensity") / 65535, F.least(F.col("range_m") / 50, F.lit(1.0)), 0.35, 1.35)
+    return relation(spark, sf_dir, "px").select("unique_scene", "row_idx", "col_idx", F.round(gray, 6).alias("gray"))
+
+
+@query("select unique_scene, profile from scene_meta where contains(lower(unique_scene), 'a380')", "scene_meta")
+def stem_filter(spark, sf_dir):
+    return relation(spark, sf_dir, "scene_meta").where(names.stem_filter(F.col("unique_scene"), " A380 ")).select("unique_scene", "profile")
+
+
+_ODD = "concat(' A--', unique_scene, '+', upper(profile), ' ', scene_key, '!/x ')"
+
+
+@query(f"""with s as (select unique_scene, {_ODD} as n from scene_meta), t as (select unique_scene, n, lower(trim(n)) as low, replace(replace(lower(trim(n)), '-', '_'), ' ', '_') as under from s)
+select unique_scene, under as key, regexp_replace(under, '_+', '_', 'g') as collapse, regexp_replace(under, '[^a-z0-9_]', '', 'g') as strict, trim(regexp_replace(low, '[^a-z0-9+]+', '_', 'g'), '_') as slug, regexp_replace(trim(n), '[^A-Za-z0-9._-]+', '_', 'g') as file from t""", "scene_meta")
+def normal_names(spark, sf_dir):
+    named = relation(spark, sf_dir, "scene_meta").withColumn("n", F.expr(_ODD.replace("upper(profile), ' ', scene_key", "upper(profile), ' ', cast(scene_key as string)")))
+    return named.select("unique_scene", *(names.norm_name(F.col("n"), m).alias(m) for m in ("key", "collapse", "strict", "slug", "file")))
+
+
 @query("""select unique_scene, regexp_extract(unique_scene, '^(.*)__', 1) as bag, string_split(unique_scene, '__')[-1] as scene, case when starts_with(bag_stem, 'movement_') then string_split(substr(bag_stem, 10), '__')[1] else bag_stem end as token,
 replace(replace(lower(trim(bag_stem)), '-', '_'), ' ', '_') as key from scene_meta""", "scene_meta")
 def scene_names(spark, sf_dir):

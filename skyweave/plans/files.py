@@ -14,8 +14,12 @@ from skyweave.sources.relations import relation
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder under the one that driver and executors share; a temporary one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="skyweave-")
+    """A new folder under the one that driver and executors share; a temporary one only where the session names none and is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="skyweave-")
     return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
@@ -95,3 +99,61 @@ def split_columns(spark, sf_dir):
 def profile_keys(spark, sf_dir):
     rows = relation(spark, sf_dir, "scene_meta").select("bag_stem", F.col("bag_stem").alias("profile_name"), F.col("profile").alias("aircraft")).distinct()
     return text.profile_keys(rows, ["bag_stem"]).select("key", "bag_stem")
+
+
+@query("select unique_scene, cast(sum(length(text) + 1) as bigint) as length from pose_label_lines group by 1", "pose_label_lines")
+def list_files(spark, sf_dir):
+    path = _folder(spark)
+    text.write_labels(relation(spark, sf_dir, "scene_meta"), relation(spark, sf_dir, "pose_label_lines"), path)
+    return text.list_files(spark, path, "*.{txt,TXT}").where("length > 1").select(text.scene_of(F.col("path")).alias("unique_scene"), "length")
+
+
+@query("select bag_stem, cast(count(*) as varchar) as n_scenes, 'train' as split from scene_meta group by 1", "scene_meta")
+def commented_csv_files(spark, sf_dir):
+    """A file for each recording, with remarks before the header and blanks around the values."""
+    path = _folder(spark)
+    bags = relation(spark, sf_dir, "scene_meta").groupBy("bag_stem").agg(F.count("*").cast("string").alias("n"))
+    lines = F.array(F.lit("# recordings"), F.lit("# and their scenes"), F.lit("bag_stem, n_scenes ,split"), F.concat(F.lit(" "), "bag_stem", F.lit(" , "), "n", F.lit(", train ")))
+    rows = bags.select(F.col("bag_stem").alias("unique_scene"), F.posexplode(lines).alias("line_no", "text"))
+    text.write_labels(rows.select("unique_scene"), rows, path)
+    return text.scan_commented_csv(spark, path).select("bag_stem", "n_scenes", "split")
+
+
+@query("""with r as (select bag_stem, profile, row_number() over (partition by profile order by bag_stem) as rn from (select distinct bag_stem, profile from scene_meta) q),
+k as (select replace(profile, '_', '-') as profile, profile as key, bag_stem from r where rn = 1) select key, bag_stem from k union all select replace(bag_stem, '-', '_'), bag_stem from (select distinct bag_stem from scene_meta) b""", "scene_meta")
+def profile_files(spark, sf_dir):
+    """One table of all recordings, in order; keys are its profiles and recordings."""
+    path = _folder(spark)
+    bags = relation(spark, sf_dir, "scene_meta").select("bag_stem", "profile").distinct()
+    line = F.concat_ws(",", "bag_stem", F.replace("profile", F.lit("_"), F.lit("-")), F.concat(F.lit("B"), "bag_stem"))
+    table = bags.select(F.lit("profiles").alias("unique_scene"), F.concat(F.lit("1"), "bag_stem").alias("line_no"), line.alias("text"))
+    head = table.limit(1).select("unique_scene", F.lit("0").alias("line_no"), F.lit("profile_name,aircraft,note").alias("text"))
+    text.write_labels(table.select("unique_scene"), head.unionByName(table), path)
+    return text.scan_profiles(spark, path).select("key", F.col("profile_name").alias("bag_stem"))
+
+
+_PX = "select unique_scene, row_idx, col_idx, x, y, z, range_m as range, is_ground, is_aircraft from px"
+
+
+@query(_PX, "px")
+def px_files(spark, sf_dir):
+    """Columns named freely, the mask as a number; and some rows without a place, which are left out."""
+    path = _folder(spark)
+    px = relation(spark, sf_dir, "px").selectExpr("unique_scene as Unique_Scene", "row_idx", "col_idx", "x as `X `", "y as Y", "z as ` z`", "range_m as RANGE", "cast(is_ground as double) * 0.7 as Is_Ground", "if(is_aircraft, 0.9D, 0.4D) as Aircraft_Mask")
+    px.unionByName(px.where("row_idx = 0").withColumn("Y", F.lit(float("nan")))).write.parquet(path)
+    return text.scan_px(spark, path).select("unique_scene", "row_idx", "col_idx", "x", "y", "z", "range", "is_ground", "is_aircraft")
+
+
+@query(_PX, "px")
+def px_files_without_names(spark, sf_dir):
+    path = _folder(spark)
+    parts = ("x", "y", "z", "range_m", "intensity", "reflectivity", "0D", "cast(is_ground as double)", "cast(is_aircraft as double)")
+    relation(spark, sf_dir, "px").selectExpr("unique_scene", "row_idx", "col_idx", f"array({', '.join(parts)}) as values").write.parquet(path)
+    return text.scan_px(spark, path).select("unique_scene", "row_idx", "col_idx", "x", "y", "z", "range", "is_ground", "is_aircraft")
+
+
+@query("select bag_stem, scene_key, case when scene_key % 3 = 0 then 'engine_left,front' when scene_key % 3 = 1 then concat(profile, ',b c') else '' end as names from scene_meta", "scene_meta")
+def box_filters(spark, sf_dir):
+    listed = F.expr("case scene_key % 3 when 0 then \"['engine_left', 'front', ' ']\" when 1 then ' ' end")
+    piped = F.expr("case when scene_key % 3 < 2 then concat(profile, ' | b c||') end")
+    return relation(spark, sf_dir, "scene_meta").select("bag_stem", "scene_key", F.array_join(text.parse_box_filters(listed, piped), ",").alias("names"))

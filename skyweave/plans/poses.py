@@ -123,17 +123,19 @@ def gt_3d_from_2d(spark, sf_dir):
     return _rounded(poses.gt_3d_from_2d(scenes, first, px, ["nose", "left", "right", "tail"], WIDTH, HEIGHT))
 
 
-@query(_PARTS + """, e as (select *, (cx - w / 2 - 0.5) * 0.9 + 0.5 as a, (cx + w / 2 - 0.5) * 0.9 + 0.5 as b from n)
-select unique_scene, line_no, concat(unique_scene, '_roll8') as stem, round((cx + 0.125) - floor(cx + 0.125), 6) as cx, round(cy, 6) as cy from n
-union all select unique_scene, line_no, concat(unique_scene, '_roll56'), round((cx + 0.875) - floor(cx + 0.875), 6), round(cy, 6) from n
-union all select unique_scene, line_no, concat(unique_scene, '_scale0p90'), round((least(greatest(a, 0.0), 1.0) + least(greatest(b, 0.0), 1.0)) / 2, 6), round((least(greatest((cy - h / 2 - 0.5) * 0.9 + 0.5, 0.0), 1.0) + least(greatest((cy + h / 2 - 0.5) * 0.9 + 0.5, 0.0), 1.0)) / 2, 6) from e
-union all select unique_scene, line_no, concat(unique_scene, '_vshiftm2'), round(cx, 6), round(least(greatest(cy - 0.125, 0.0), 1.0), 6) from n
-union all select unique_scene, line_no, concat(unique_scene, '_vshiftp2'), round(cx, 6), round(least(greatest(cy + 0.125, 0.0), 1.0), 6) from n""", "pose_label_lines")
+_ROLLS, _SCALES, _SHIFTS = (2, 4, 8, 16, 32, 64, 128, 256, 384, 512, 640, 768), (0.9, 1.1), (2, -2)
+_WIDE = 1024
+_ROLLED = " union all ".join(f"select unique_scene, line_no, concat(unique_scene, '_roll{r}') as stem, round((cx + {r / _WIDE}) - floor(cx + {r / _WIDE}), 9) as cx, round(cy, 9) as cy from n" for r in _ROLLS)
+_SCALED = " union all ".join(f"select unique_scene, line_no, concat(unique_scene, '_scale{s:.2f}'), ".replace(".", "p") + ", ".join(f"round((least(greatest(({c} - {d} / 2 - 0.5) * {s} + 0.5, 0.0), 1.0) + least(greatest(({c} + {d} / 2 - 0.5) * {s} + 0.5, 0.0), 1.0)) / 2, 9)" for c, d in (("cx", "w"), ("cy", "h"))) + " from n" for s in _SCALES)
+_SHIFTED = " union all ".join(f"select unique_scene, line_no, concat(unique_scene, '_vshift{'p' if d > 0 else 'm'}{abs(d)}'), round(cx, 9), round(least(greatest(cy + {d / HEIGHT}, 0.0), 1.0), 9) from n" for d in _SHIFTS)
+
+
+@query(f"{_PARTS} {_ROLLED} union all {_SCALED} union all {_SHIFTED}", "pose_label_lines")
 def label_variants(spark, sf_dir):
     parsed = relation(spark, sf_dir, "pose_label_lines").withColumn("l", labels.parse_pose_line(F.col("text"))).where("l.error is null")
     rows = parsed.select("unique_scene", "line_no", F.col("unique_scene").alias("stem"), "l")
-    made = poses.label_variants(rows, [8, 0, -8], [0.9, 1.0], [-2, 0, 2], WIDTH, HEIGHT)
-    return made.select("unique_scene", "line_no", "stem", F.round("l.cx", 6).alias("cx"), F.round("l.cy", 6).alias("cy"))
+    made = poses.label_variants(rows, [0, *_ROLLS], [1.0, *_SCALES], [0, *_SHIFTS], _WIDE, HEIGHT)
+    return made.select("unique_scene", "line_no", "stem", F.round("l.cx", 9).alias("cx"), F.round("l.cy", 9).alias("cy"))
 
 
 @query("with d as (select * from (values (-1), (0), (1)) t(d)) select unique_scene, kp_name, round(x + 0.22 * a.d, 6) + 0.0 as x, round(y + 0.22 * b.d, 6) + 0.0 as y, round(z + 0.22 * c.d, 6) + 0.0 as z from kp3d, d a, d b, d c where abs(a.d) + abs(b.d) + abs(c.d) <= 2", "kp3d")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skyweave.functions import names
 from skyweave.operators import selection
 from skyweave.plans.catalogue import query
 from skyweave.sources.relations import relation
@@ -53,7 +54,7 @@ def match_scene_requests(spark, sf_dir):
 
 
 _FILES = """select distinct concat(case line_no % 7 when 0 then '/r/labels/train/' when 1 then '/r/labels/' when 2 then '/r/val/' when 3 then '/r/' when 4 then '/r/old/labels/' when 5 then '/r/old/val/x/' else '/r/zz/labels/val/' end, unique_scene, '.txt') as path
-from pose_label_lines where line_no % 3 = 0"""
+from pose_label_lines where split <> 'train'"""
 _WANTED = "select unique_scene, case when scene_key % 2 = 0 then 'train' else 'val' end as split from scene_meta"
 
 
@@ -116,9 +117,13 @@ def _masks(spark, sf_dir):
     return detections, spark.sql(_MASKS)
 
 
-@query(f"with m as ({_MASKS}), t as (select unique_scene, det_idx, conf as score from (select *, row_number() over (partition by unique_scene order by conf desc, det_idx) as rn from detections) q where rn = 1) select m.unique_scene, row_idx, col_idx, score, cast(1 as bigint) as n_used from m join t on t.unique_scene = m.unique_scene and t.det_idx = m.det_idx", "detections", "px")
+@query("with t as (select * from (select *, row_number() over (partition by unique_scene order by conf desc, det_idx) as rn from detections) q where rn = 1) select t.unique_scene, row_idx, col_idx, conf as score, cast(1 as bigint) as n_used from t join px p on p.unique_scene = t.unique_scene and p.col_idx between t.x1 and t.x2 and p.row_idx between t.y1 and t.y2", "detections", "px")
 def select_best_instance(spark, sf_dir):
-    return selection.select_instances(*_masks(spark, sf_dir))
+    """Masks are made of the best instances alone."""
+    relation(spark, sf_dir, "px").createOrReplaceTempView("px")
+    best = selection.best_instances(relation(spark, sf_dir, "detections"))
+    best.createOrReplaceTempView("best")
+    return selection.select_instances(best, spark.sql(_MASKS.replace("from detections d", "from best d")))
 
 
 @query(f"with m as (select distinct unique_scene, row_idx, col_idx from ({_MASKS}) q), t as (select unique_scene, max(conf) as score, count(*) as n_used from detections group by 1) select m.*, score, n_used from m join t on t.unique_scene = m.unique_scene", "detections", "px")
@@ -140,9 +145,9 @@ def mask_points(spark, sf_dir):
     return found.withColumn("classes", F.array_join(F.transform("classes", lambda c: c.cast("string")), ","))
 
 
-@query("with f as (select unique_scene, row_idx, col_idx, unnest(['range_m', 'intensity']) as f, unnest([range_m, intensity]) as v from px) select r.unique_scene, r.row_idx, r.col_idx, concat(r.f, '-', g.f, '-', b.f) as combo, r.v as red, g.v as green, b.v as blue from f r join f g using (unique_scene, row_idx, col_idx) join f b using (unique_scene, row_idx, col_idx)", "px")
+@query("with f as (select unique_scene, row_idx, col_idx, unnest(['range_m', 'intensity', 'reflectivity']) as f, unnest([range_m, intensity, reflectivity]) as v from px) select r.unique_scene, r.row_idx, r.col_idx, concat(r.f, '-', g.f, '-', b.f) as combo, r.v as red, g.v as green, b.v as blue from f r join f g using (unique_scene, row_idx, col_idx) join f b using (unique_scene, row_idx, col_idx)", "px")
 def field_combos(spark, sf_dir):
-    return selection.field_combos(relation(spark, sf_dir, "px"), ["range_m", "intensity"])
+    return selection.field_combos(relation(spark, sf_dir, "px"), ["range_m", "intensity", "reflectivity"])
 
 
 @query("select unique_scene, row_idx, col_idx, reflectivity as v from px", "px")
@@ -155,3 +160,9 @@ def select_field(spark, sf_dir):
 select concat('{"names":["aircraft","engine"],"targets":{"train":0.7,"val":0.2},"splits":[', string_agg(concat('{"split":"', split, '","n_scenes":', a, ',"n_bags":', b, '}'), ',' order by split), ']}') as manifest from c""", "pose_label_lines")
 def dataset_manifest(spark, sf_dir):
     return selection.dataset_manifest(relation(spark, sf_dir, "pose_label_lines"), ["aircraft", "engine"], {"train": 0.7, "val": 0.2})
+
+
+@query(f"with f as ({_FILES}) select path, coalesce(list_filter(string_split(lower(path), '/'), lambda p: p in ('train', 'val', 'test'))[-1], 'val') as split from f", "pose_label_lines")
+def split_from_path(spark, sf_dir):
+    relation(spark, sf_dir, "pose_label_lines").createOrReplaceTempView("pose_label_lines")
+    return spark.sql(_FILES).select("path", names.split_from_path(F.col("path")).alias("split"))

@@ -1,6 +1,6 @@
 """Text formats: point clouds, label files, name lists, catalogues and reports, read and written by Spark.
 
-Files are read whole, one row each, and taken apart with column expressions; they are written in folders by scene, so that any
+Files are read whole, one row each, so that a file has to fit in a task and under 2 GB, and taken apart with column expressions; they are written in folders by scene, so that any
 number of tasks can write them. Every reader gives `path`.
 """
 
@@ -12,10 +12,34 @@ from pyspark.sql import types as T
 
 from skyweave.functions.names import norm_name, split_from_path
 
+# Headers of the formats.
 PCD_HEAD = "# .PCD v0.7 - Point Cloud Data file format\nVERSION 0.7\nFIELDS x y z\nSIZE 4 4 4\nTYPE F F F\nCOUNT 1 1 1\nWIDTH {n}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {n}\nDATA ascii"
 PLY_HEAD = "ply\nformat ascii 1.0\nelement vertex {n}\nproperty float x\nproperty float y\nproperty float z\nend_header"
 
 
+# Columns of a pixel table without names, and those that hold the aircraft mask, in order of preference.
+PIXEL_COLUMNS = ("x", "y", "z", "range", "intensity", "reflectivity", "ambient", "is_ground", "is_aircraft")
+MASKS = ("is_aircraft", "aircraft_mask", "mask_aircraft", "aircraft")
+
+
+def scan_px(spark: SparkSession, path: str, values: str = "values") -> DataFrame:
+    """Pixel rows of a Parquet table: names trimmed and in lower case, numbers that aren't finite null, is_ground and is_aircraft booleans (values
+    above 0.5; is_aircraft from the first of MASKS; null where there is none). A table that holds its columns as one array of numbers, without
+    names, has PIXEL_COLUMNS. Rows without x, y or z, and all rows of a table without these columns, are left out."""
+    px = spark.read.parquet(path)
+    px = px.toDF(*(c.strip().lower() for c in px.columns))
+    if values in px.columns:
+        px = px.select("*", *(F.get(values, i).alias(c) for i, c in enumerate(PIXEL_COLUMNS) if c not in px.columns)).drop(values)
+    finite = [F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in px.dtypes]
+    px = px.select(*finite)
+    flag = lambda c: F.col(c) if dict(px.dtypes)[c] == "boolean" else F.col(c) > 0.5
+    mask = next((c for c in MASKS if c in px.columns), None)
+    none = F.lit(None).cast("boolean")
+    flags = {"is_aircraft": flag(mask) if mask else none, "is_ground": flag("is_ground") if "is_ground" in px.columns else none}
+    px = px.withColumns(flags).drop(*(c for c in MASKS[1:]))
+    return px.dropna(subset=["x", "y", "z"]) if {"x", "y", "z"} <= set(px.columns) else px.where("false")
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """path and length of the files under root whose name matches, in all folders below; no content is read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
@@ -121,6 +145,17 @@ def scan_commented_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, comment="#", header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
 
 
+def scan_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of CSV profile tables with a header, each once for each of its keys, the normalised profile_name and aircraft; of rows with the
+    same key the first in order of files and lines."""
+    rows = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    for c in ("profile_name", "aircraft"):
+        rows = rows if c in rows.columns else rows.withColumn(c, F.lit(None).cast("string"))
+    order = ["_file", "_block", "_line"]  # lines of one block are numbered in order
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    return profile_keys(placed, order).drop(*order)
+
+
 def profile_keys(profiles: DataFrame, order: list[str]) -> DataFrame:
     """Adds key: each row once for its normalised profile_name and aircraft; the first row of a key in the given order wins."""
     keys = F.array_distinct(F.filter(F.array(*(norm_name(F.col(c)) for c in ("profile_name", "aircraft"))), lambda k: k.isNotNull() & (k != "")))

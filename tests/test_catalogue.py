@@ -64,3 +64,49 @@ def test_labels_round_trip_and_bad_lines(spark):
     rows = df.select("l.error", labels.format_pose_line(F.col("l")).alias("line"), labels.format_pose_line(labels.augment_roll(F.col("l"), 64, 64)).alias("rolled")).collect()
     assert rows[0].line == rows[0].rolled == lines[0]
     assert [r.error for r in rows] == [None, "too few fields", "broken keypoint triplets", "not a number", "no line"]
+
+
+def test_pixel_tables_without_places_or_marks(spark, tmp_path):
+    from skyweave.sources.text import scan_px
+
+    spark.createDataFrame([(1.0, 2.0, 0.7), (None, 2.0, 0.1), (float("inf"), 2.0, 0.1)], "x double, y double, ` Aircraft` double").write.parquet(f"{tmp_path}/a")
+    assert scan_px(spark, f"{tmp_path}/a").count() == 0
+    spark.createDataFrame([(1.0, 2.0, 3.0, 0.7), (None, 2.0, 3.0, 0.1), (float("inf"), 2.0, 3.0, 0.1), (1.0, 2.0, 3.0, 0.5)], "X double, y double, Z double, ` Aircraft` double").write.parquet(f"{tmp_path}/b")
+    assert sorted(tuple(r) for r in scan_px(spark, f"{tmp_path}/b").select("x", "is_aircraft", "is_ground").collect()) == [(1.0, False, None), (1.0, True, None)]
+
+
+def test_first_profile_of_a_key_wins(spark, tmp_path):
+    from skyweave.sources.text import scan_profiles
+
+    (tmp_path / "p.csv").write_text("profile_name,aircraft,n\nB787-9,B787 9,1\nb787_9,,2\n ,A320,3\n,,4\n")
+    assert sorted((r.key, r.n) for r in scan_profiles(spark, str(tmp_path)).collect()) == [("a320", "3"), ("b787_9", "1")]
+
+
+def test_splits_of_no_recordings(spark):
+    from skyweave.operators import splits
+
+    none = spark.createDataFrame([], "bag_stem string, n_scenes bigint")
+    assert splits.kfold(none, 3).count() == 0 and splits.balanced_split(none).count() == 0
+    some = spark.createDataFrame([("a", 5), ("b", 5), ("c", 1), (None, 9)], "bag_stem string, n_scenes bigint")
+    assert sorted(tuple(r) for r in splits.kfold(some, 2).collect()) == [("a", 5, 0), ("b", 5, 1), ("c", 1, 0)]
+    assert sorted((r.bag_stem, r.split) for r in splits.balanced_split(some, (0.5, 0.5, 0.0)).collect()) == [("a", "train"), ("b", "val"), ("c", "train")]
+
+
+def test_rotations_about_all_axes(spark):
+    from pyspark.sql import functions as F
+
+    from skyweave.functions.pixels import euler_xyz
+
+    rx, ry, rz = 0.3, -0.8, 1.9
+    c, s = math.cos, math.sin
+    times = lambda a, b: [[sum(a[i][k] * b[k][j] for k in range(3)) for j in range(3)] for i in range(3)]
+    x, y, z = [[1, 0, 0], [0, c(rx), -s(rx)], [0, s(rx), c(rx)]], [[c(ry), 0, s(ry)], [0, 1, 0], [-s(ry), 0, c(ry)]], [[c(rz), -s(rz), 0], [s(rz), c(rz), 0], [0, 0, 1]]
+    got = spark.range(1).select(euler_xyz(F.lit(rx), F.lit(ry), F.lit(rz))).first()[0]
+    assert got == pytest.approx([v for row in times(times(z, y), x) for v in row])
+
+
+@pytest.mark.parametrize("name", ["subsample", "knn_outlier", "cluster_adjust", "snap_in_box", "parse_pose_line", "kfold"])
+def test_plans_have_no_cartesian_product(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert name != "parse_pose_line" or plan.count("split(") <= 3
