@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, and words.
+GAP, WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Label, mandatory phrase, notice.
@@ -77,7 +78,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     listed = F.array(*map(F.lit, sorted({w for _, words, _, _ in notices for w in words})))
     needs = sorted({tuple(sorted(set(need))) for _, _, need, _ in notices})
     needs = [n for n in needs if not any(set(m) < set(n) for m in needs)]  # who holds more holds these
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.regexp_extract_all(_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({WORD})"), F.lit(1)).alias("words"))
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.array_remove(F.split(F.regexp_replace(_lower(F.coalesce(F.col(text), F.lit(""))), GAP, " "), " "), "").alias("words"))
     read = body.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_intersect(listed, "words").alias("present"), "words")
     holds = reduce(or_, (reduce(and_, (F.array_contains("present", w) for w in n)) for n in needs))
     read = read.select("doc_id", "n_words", "present", F.when(holds, F.col("words")).alias("words"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from skyweave.llm.common import materialize
 
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 CAP = 3
 #: Documents of a block, and blocks whose leftovers make one block of the next level.
@@ -130,7 +130,8 @@ def _level(units: DataFrame, last: bool) -> DataFrame:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
+    words = F.array_remove(F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " "), " "), "")
+    size = F.size(words).cast("bigint")
     sized = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"))
     counted = materialize(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times")))
     targets = materialize(source_targets(counted, weights, cap))
