@@ -2,22 +2,22 @@
 
 Every character keeps its identity. Every task counts the n-grams of its trusted documents; the counts are summed in shards by
 n-gram, and discounts, totals and probabilities of all orders are joins of these sums. The table holds the n-grams that occur and
-the back-off weights of their contexts. It is sent to the tasks in blocks by the n-grams' middle pair of characters, of about
-BLOCK_ENTRIES entries and the table of orders 1 and 2, one pass over the documents for each block, so what is sent at once is
-bounded by that; a document's log probability is the sum over the blocks. Entries are looked up by 64-bit hashes. A
-document's perplexity is held against the quantile of the trusted documents of
-its language; a language without trusted documents is held against the quantile of all.
+the back-off weights of their contexts, under 64-bit hashes, in shards by hash; none of it passes through the driver. Each task asks for
+the entries of the distinct n-grams of its documents, once however many documents hold them; the questions are joined to the shards,
+and the answers meet the documents, packed and compressed, by task. So what is shuffled grows with the documents, and a task holds
+the entries of one partition's n-grams only.
 
 Trusted are documents with label quality 1; the model is fitted on all those of even hash of doc_id, however many, and the
 quantiles are over all others, which it doesn't favour. Null text, or fewer than four characters: perplexity null, kept false. Null language:
 a language like another. Documents of several labels are trusted if one of them is 1. Repeated rows: each row gets its own
-result. No trusted documents: thresholds are null and every document with a perplexity is kept. Other columns are ignored.
+result. Empty table: no rows. No trusted documents: thresholds are null and every document with a perplexity is kept. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +25,11 @@ from skyweave.llm.common import materialize, mix, text_chunks
 
 ORDER, BITS = 4, 21
 MASK = (1 << BITS) - 1
-BLOCK_ENTRIES = 4_000_000
+#: Bytes of text packed into one row, and the most 4 KB parts of the bitmap of trusted ids, two bytes an id up to 16 MB; beyond that it lets
+#: more documents through to the join, which is exact.
+PACK_BYTES, BITMAP_PARTS = 4 << 20, 4096
+#: The key under which a part's documents are told.
+TOLD = 0x5AFE0D0C5
 FLOOR = 1e-12
 QUANTILE, MARGIN = 0.99, 1.02
 
@@ -55,10 +59,6 @@ def _keys(tag, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(np.asarray(a + (np.asarray(tag, np.int64) << 2 * BITS), np.uint64)) + np.asarray(b, np.uint64))
 
 
-def _block_of(c2, c3):
-    return c2 * 0x9E3779B1 + c3 * 0x85EBCA77
-
-
 def _count(batches):
     for batch in batches:
         for data, offsets in text_chunks(batch.column(0)):
@@ -91,10 +91,9 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
     return np.log(np.maximum(lower, FLOOR)).astype(np.float32)
 
 
-def train(texts: DataFrame, limit: int = BLOCK_ENTRIES) -> list:
-    """The model of the trusted texts, a table of one string column, as broadcast blocks: (block, blocks, keys, log values, log
-    probability of a character that doesn't occur)."""
-    spark = texts.sparkSession
+def train(texts: DataFrame) -> tuple[DataFrame, float]:
+    """The model of the trusted texts, a table of one string column: (k, v), hashes of n-grams and contexts and their log values, and the log
+    probability of a character that doesn't occur."""
     a, b, n = F.col("a"), F.col("b"), F.col("n")
     context, suffix = F.shiftright("b", BITS), {4: a.bitwiseAND(F.lit(MASK)), 3: F.lit(0).cast("bigint"), 2: F.lit(0).cast("bigint")}
     levels = {ORDER: materialize(texts.select(texts.columns[0]).mapInArrow(_count, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")))}
@@ -115,26 +114,16 @@ def train(texts: DataFrame, limit: int = BLOCK_ENTRIES) -> list:
         else:
             last = b.bitwiseAND(F.lit(MASK)) if m == 2 else b
             p = p.withColumn("sa", suffix[m]).withColumn("sb", last).join(lower.select(F.col("a").alias("sa"), F.col("b").alias("sb"), F.col("p").alias("below")), ["sa", "sb"])
-            entries.append(totals.select(F.lit(m + 4).alias("tag"), "a", F.col("h").alias("b"), F.col("back").alias("v"), F.col("h").alias("c3")))
+            entries.append(totals.select(F.lit(m + 4).alias("tag"), "a", F.col("h").alias("b"), F.col("back").alias("v")))
         below = F.col("below") if m > 1 else F.lit(uniform)
         lower = materialize(p.select("a", "b", ((n - off) / F.col("total") + F.col("back") * below).alias("p")))
-        entries.append(lower.select(F.lit(m).alias("tag"), "a", "b", F.col("p").alias("v"), context.alias("c3")))
+        entries.append(lower.select(F.lit(m).alias("tag"), "a", "b", F.col("p").alias("v")))
     every = entries[0]
     for e in entries[1:]:
         every = every.unionByName(e)
-    blocks = max(1, -(-sum(r[0] for r in seen.values()) // limit))
     key = F.arrow_udf(lambda tag, a, b: pa.array(_keys(tag.to_numpy(zero_copy_only=False), a.to_numpy(), b.to_numpy()).view(np.int64)), "bigint")
-    shared = F.col("tag").isin(1, 2, 6)
-    of_block = F.when(~shared, F.pmod(_block_of(a.bitwiseAND(F.lit(MASK)), F.col("c3")), F.lit(blocks)))
-    keyed = materialize(every.select(of_block.alias("block"), key("tag", "a", "b").alias("k"), F.log(F.greatest("v", F.lit(1e-300))).cast("float").alias("v")))
-    out = []
-    none = float(np.log(max(empty * uniform, 1e-300)))
-    for i in range(blocks):
-        got = keyed.where(F.col("block").isNull() | (F.col("block") == i)).select("k", "v").toArrow()
-        k, v = got["k"].to_numpy().view(np.uint64), got["v"].to_numpy()
-        order = np.argsort(k)
-        out.append(spark.sparkContext.broadcast((i, blocks, k[order], v[order], none)))
-    return out
+    table = materialize(every.select(key("tag", "a", "b").alias("k"), F.log(F.greatest("v", F.lit(1e-300))).alias("v")))
+    return table, float(np.log(max(empty * uniform, 1e-300)))
 
 
 def _find(q: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,34 +150,140 @@ def _log_p(a: np.ndarray, b: np.ndarray, four: np.ndarray, keys: np.ndarray, val
     return np.maximum(out, np.log(FLOOR))
 
 
-def _score(column: pa.Array, block) -> pa.Array:
-    """Sum of log probabilities and number of the n-grams of each text that are the block's."""
-    i, blocks, keys, values, none = block.value
-    total, count = [np.zeros(0)], [np.zeros(0, np.int64)]
+def _asked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of all entries that the log probabilities of these n-grams may need: their suffixes, and the contexts of these."""
+    out = []
+    for m in range(ORDER, 0, -1):
+        x, y = (a, b) if m == 4 else (a & MASK, b) if m == 3 else (a * 0, b) if m == 2 else (a * 0, b & MASK)
+        x, y = np.unique(np.stack([x, y]), axis=1) if m < ORDER else (x, y)
+        out.append(_keys(m, x, y))
+        if m > 1:
+            out.append(_keys(m + 4, x, y >> BITS))
+    return np.unique(np.concatenate(out))
+
+
+def _told(rows: int, size: int) -> int:
+    """What both passes must agree on about the documents of a part."""
+    return (rows * 1_000_003 + size) % (1 << 62)
+
+
+def _questions(batches):
+    """(part, k, told): the entries that one partition's documents need, and one row, of key TOLD, that tells these documents."""
+    part, known, rows, size = None, np.zeros(0, np.uint64), 0, 0
+    for batch in batches:
+        part = batch.column(0)[0].as_py() if len(batch) else part
+        rows += len(batch)
+        for data, offsets in text_chunks(batch.column(3)):
+            size += len(data)
+            a, b, _ = _grams(data, offsets)
+            _, first = np.unique(_keys(ORDER, a, b), return_index=True)
+            known = np.union1d(known, _asked(a[first], b[first]))
+    if part is not None:
+        columns = [np.full(len(known) + 1, part, np.int32), np.append(known.view(np.int64), TOLD)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([None] * len(known) + [_told(rows, size)], pa.int64())], ["part", "k", "told"])
+
+
+def _packed(batches):
+    """One partition's documents as compressed rows of kind 1."""
+    for batch in batches:
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(zero_copy_only=False))])
+        at = 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + PACK_BYTES, "right")) - 1)
+            sink = pa.BufferOutputStream()
+            docs = batch.slice(at, to - at).select([1, 2, 3])
+            with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(docs)
+            columns = ([batch.column(0)[0].as_py()], [1], [None], [None], [None], [sink.getvalue().to_pybytes()])
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in _MET.split(", ")])
+            at = to
+
+
+_MET = "part int, kind int, k bigint, v double, told bigint, docs binary"
+
+
+def _scored(none: float):
+    """Over rows of _MET by part, answers before documents: the documents with their perplexity."""
+
+    def over(batches):
+        part, keys, values, table, told, seen = None, [], [], None, None, [0, 0]
+
+        def end():
+            if part is not None and told != _told(*seen):
+                raise RuntimeError(f"partition {part} held other documents when it was read again")
+
+        for batch in batches:
+            parts, kinds = (batch.column(i).to_numpy() for i in (0, 1))
+            at = 0
+            while at < len(batch):
+                to = at + int(np.argmin(np.append((parts[at:] == parts[at]) & (kinds[at:] == kinds[at]), False)))
+                if part is None or parts[at] != part:
+                    end()
+                    part, keys, values, table, told, seen = parts[at], [], [], None, None, [0, 0]
+                if kinds[at] == 0:
+                    own = batch.slice(at, to - at)
+                    keys.append(own.column(2).to_numpy().view(np.uint64).copy())
+                    values.append(own.column(3).to_numpy().copy())
+                    told = next((x for x in own.column(4).drop_null().to_pylist()), told)
+                else:
+                    if table is None:
+                        k, v = np.concatenate(keys), np.concatenate(values)
+                        order = np.argsort(k)
+                        table, keys, values = (k[order], v[order]), [], []
+                    for i in range(at, to):
+                        for docs in pa.ipc.open_stream(batch.column(5)[i].as_buffer()):
+                            scores, size = _perplexities(docs.column(2), *table, none)
+                            seen = [seen[0] + len(docs), seen[1] + size]
+                            yield pa.RecordBatch.from_arrays([docs.column(0), docs.column(1), scores], ["doc_id", "lang", "perplexity"])
+                at = to
+        end()
+
+    return over
+
+
+def _perplexities(column: pa.Array, keys: np.ndarray, values: np.ndarray, none: float) -> tuple[pa.Array, int]:
+    total, count, size = [np.zeros(0)], [np.zeros(0, np.int64)], 0
     for data, offsets in text_chunks(column):
+        size += len(data)
         a, b, bounds = _grams(data, offsets)
-        if blocks > 1:
-            own = np.flatnonzero(_block_of(a & MASK, b >> BITS) % blocks == i)
-            a, b, bounds = a[own], b[own], np.searchsorted(own, bounds)
         four, first, inverse = np.unique(_keys(ORDER, a, b), return_index=True, return_inverse=True)
         sums = np.concatenate([[0], np.cumsum(_log_p(a[first], b[first], four, keys, values, none)[inverse])])
         total.append(sums[bounds[1:]] - sums[bounds[:-1]])
         count.append(np.diff(bounds))
-    return pa.StructArray.from_arrays([pa.array(np.concatenate(total)), pa.array(np.concatenate(count))], ["s", "n"])
+    total, count = np.concatenate(total), np.concatenate(count)
+    return pa.array(np.exp(-total / np.maximum(count, 1)), mask=count == 0), size
+
+
+def score(body: DataFrame, model: tuple[DataFrame, float]) -> DataFrame:
+    """The rows of body (doc_id, lang, text) with perplexity in text's place. The body is read twice, and its partitions have to hold the same
+    documents both times, as those of files do; the tasks check that."""
+    table, none = model
+    docs = body.select(F.spark_partition_id().alias("part"), "doc_id", "lang", "text")
+    table = table.unionByName(table.sparkSession.createDataFrame([(TOLD, 0.0)], "k bigint, v double"))
+    questions = docs.mapInArrow(_questions, "part int, k bigint, told bigint")
+    answers = questions.join(table.hint("merge"), "k").select("part", F.lit(0).alias("kind"), "k", "v", "told", F.lit(None).cast("binary").alias("docs"))
+    met = answers.unionByName(docs.mapInArrow(_packed, _MET)).repartition("part").sortWithinPartitions("part", "kind")
+    types = dict(body.dtypes)
+    return met.mapInArrow(_scored(none), f"doc_id {types['doc_id']}, lang {types['lang']}, perplexity double")
+
+
+def _likely(ids: DataFrame, column: str):
+    """A column that is true for all ids of the table, and for few others."""
+    parts = min(BITMAP_PARTS, max(1, -(-16 * ids.count() // 32768)))
+    place = lambda c: F.pmod(F.xxhash64(F.lit(5), F.col(c).cast("bigint")), F.lit(parts * 32768))
+    own = ids.select(F.shiftright(place(column), 15).alias("part"), F.pmod(place(column), F.lit(32768)).alias("bit"))
+    rows = own.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    bits = np.zeros((parts, 4096), np.uint8)
+    for r in rows:
+        bits[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = ids.sparkSession.sparkContext.broadcast(bits.ravel())
 
+    def held(places: pa.Array) -> pa.Array:
+        at = places.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
 
-def score(body: DataFrame, model: list) -> DataFrame:
-    """The rows of body (doc_id, lang, text) with perplexity in text's place."""
-    summed = lambda block: F.arrow_udf(lambda t: _score(t, block), "struct<s:double,n:bigint>")("text").alias("f")
-    perplexity = F.when(F.col("n") > 0, F.exp(-F.col("s") / F.col("n"))).alias("perplexity")
-    if len(model) == 1:
-        return body.select("doc_id", "lang", summed(model[0])).select("doc_id", "lang", F.col("f.s").alias("s"), F.col("f.n").alias("n")).select("doc_id", "lang", perplexity)
-    body = materialize(body.withColumn("row", F.monotonically_increasing_id()))
-    parts = None
-    for block in model:
-        one = body.select("row", summed(block)).select("row", "f.*")
-        parts = one if parts is None else parts.unionByName(one)
-    return body.select("row", "doc_id", "lang").join(parts.groupBy("row").agg(F.sum("s").alias("s"), F.sum("n").alias("n")), "row").select("doc_id", "lang", perplexity)
+    return lambda c: F.arrow_udf(held, "boolean")(place(c))
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", quantile: float = QUANTILE) -> DataFrame:
@@ -196,8 +291,9 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_trusted")).distinct()
     fits = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(2)) == 0
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    fitted = body.where(fits("doc_id")).select("doc_id", "text").join(trusted.where(fits("_trusted")).hint("merge"), F.col("doc_id") == F.col("_trusted"), "left_semi")
-    scored = materialize(score(body, train(materialize(fitted.select("text")))))
+    fitting = trusted.where(fits("_trusted") & F.col("_trusted").isNotNull())
+    fitted = body.where(fits("doc_id")).where(_likely(fitting, "_trusted")("doc_id")).select("doc_id", "text").join(fitting.hint("merge"), F.col("doc_id") == F.col("_trusted"), "left_semi")
+    scored = materialize(score(body, train(fitted.select("text"))))
     own = scored.join(trusted.where(~fits("_trusted")), F.col("doc_id") == F.col("_trusted"), "left_semi")
     cut = lambda: (F.percentile_approx("perplexity", quantile, 10000) * MARGIN).alias("threshold")
     by_lang = own.groupBy(F.col("lang").alias("_lang")).agg(cut())

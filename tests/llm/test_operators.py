@@ -341,8 +341,9 @@ def test_language_quality(spark, docs, empty):
     assert language_quality.classify(docs[0], labels.limit(0)).count() == docs[0].count()
 
 
-@pytest.mark.parametrize("limit", [10**6, 150])
-def test_language_quality_model_equals_dense_table(spark, limit):
+@pytest.mark.parametrize("pack", [4 << 20, 60])
+def test_language_quality_model_equals_dense_table(spark, monkeypatch, pack):
+    monkeypatch.setattr(language_quality, "PACK_BYTES", pack)
     rng = random.Random(12)
     texts = ["".join(rng.choice("abca好é") for _ in range(rng.randint(0, 60))) for _ in range(40)]
     place = {c: i + 1 for i, c in enumerate(sorted(set("".join(texts))))}
@@ -351,8 +352,7 @@ def test_language_quality_model_equals_dense_table(spark, limit):
         for i in range(len(t) - 3):
             counts[tuple(place[c] for c in t[i : i + 4])] += 1
     table = language_quality.kneser_ney(counts)
-    model = language_quality.train(spark.createDataFrame([(t,) for t in texts], "text string"), limit)
-    assert (len(model) > 1) == (limit < 1000)
+    model = language_quality.train(spark.createDataFrame([(t,) for t in texts], "text string"))
     asked = [*texts, "好好好好éa", "zzzzz", "abcz好", "abc", None]
     body = spark.createDataFrame([(i, "x", t) for i, t in enumerate(asked)], "doc_id long, lang string, text string")
     for r in language_quality.score(body, model).collect():
@@ -488,3 +488,39 @@ def test_personal_data_takes_time_in_proportion(docs):
         began = time.perf_counter()
         pii.find_spans(text, weights)
         assert time.perf_counter() - began < 10
+
+
+def test_language_quality_equals_kneser_ney_on_all_documents(spark):
+    """Perplexities of all documents at sf0.001 by plain dictionaries."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang", "text").orderBy("doc_id").collect()
+    trusted = [r.text for r in rows if r.doc_id % 3 == 0]
+    levels = {4: Counter(t[i : i + 4] for t in trusted for i in range(len(t) - 3))}
+    for m in (3, 2, 1):
+        levels[m] = Counter(g[1:] for g in levels[m + 1])
+    models = {}
+    for m, counts in levels.items():
+        y = [max(1, sum(c == i for c in counts.values())) for i in range(1, 5)]
+        d = y[0] / (y[0] + 2 * y[1])
+        cut = [0] + [min(max(i - (i + 1) * d * y[i] / y[i - 1], 0), i - 0.01) for i in (1, 2, 3)]
+        total, off = Counter(), Counter()
+        for g, c in counts.items():
+            total[g[:-1]] += c
+            off[g[:-1]] += cut[min(c, 3)]
+        models[m] = counts, total, off, cut
+    uniform = 1 / (len(levels[1]) + 1)
+
+    def p(g):
+        if not g:
+            return uniform
+        counts, total, off, cut = models[len(g)]
+        if not total[g[:-1]]:
+            return p(g[1:])
+        return (counts[g] - cut[min(counts[g], 3)]) / total[g[:-1]] + off[g[:-1]] / total[g[:-1]] * p(g[1:])
+
+    known = {}
+    body = spark.createDataFrame([(r.doc_id, r.lang, r.text) for r in rows], "doc_id long, lang string, text string").repartition(5)
+    model = language_quality.train(spark.createDataFrame([(t,) for t in trusted], "text string"))
+    for r in language_quality.score(body, model).collect():
+        t = rows[r.doc_id].text
+        logs = [known.get(g) or known.setdefault(g, np.log(p(g))) for g in (t[i : i + 4] for i in range(len(t) - 3))]
+        assert r.perplexity == (pytest.approx(np.exp(-np.mean(logs)), rel=1e-6) if logs else None)
