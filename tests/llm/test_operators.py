@@ -45,6 +45,32 @@ def test_quality_rules(docs, empty):
         n = len(words)
         return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated), n < 50 or 100 * len(repeated) > 50 * n
 
+    def verdict(text):
+        """Coverages by duplicated n-grams and lines, and whether the text is kept, by plain loops."""
+        spans = [m.span() for m in WORD.finditer(text or "")]
+        words, total = [text[a:b] for a, b in spans], sum(b - a for a, b in spans)
+        cover = []
+        for n in quality_rules.NGRAM_COVERAGE:
+            seen = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+            inside = {j for i in range(len(words) - n + 1) if seen[tuple(words[i : i + n])] > 1 for j in range(i, i + n)}
+            cover.append(sum(len(words[j]) for j in inside) / total if total else 0.0)
+        before, again = set(), 0
+        for line in (text or "").split("\n"):
+            if WORD.search(line):
+                again += sum(len(w) for w in WORD.findall(line)) if line in before else 0
+                before.add(line)
+        line_cover = again / total if total else 0.0
+        bad = any(c > most for c, most in zip(cover, quality_rules.NGRAM_COVERAGE.values(), strict=True)) or line_cover > quality_rules.LINE_COVERAGE
+        bad |= sum(c in "#*$%&|<>" for c in text or "") > quality_rules.SYMBOLS_PER_WORD * len(words) or base(text)[-1]
+        return [round(c, 9) for c in cover], round(line_cover, 9), not bad
+
+    rng = random.Random(1)
+    loops = [(3000 + i, "\n".join(rng.choice(["a b c d e f g h", "one two three four five six", f"x{i} y{i} # z", "p q r"]) for _ in range(rng.randint(1, 30))), None, None) for i in range(60)]
+    more = docs[0].sparkSession.createDataFrame([(*r, True, 5) for r in loops], docs[0].schema)
+    measured = {(r.doc_id, r.n_words): r for r in quality_rules.measure(docs[0].unionByName(more)).collect()}
+    for r in docs[1] + loops:
+        got = measured[r[0], len(WORD.findall(r[1] or ""))]
+        assert ([round(c, 9) for c in got.ngram_coverage], round(got.line_coverage, 9), got.kept) == verdict(r[1])
     found = quality_rules.measure(docs[0])
     assert _rows(found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == sorted(((r[0], *base(r[1])) for r in docs[1]), key=repr)
     assert found.where("kept and base_failed").count() == 0
@@ -524,3 +550,28 @@ def test_language_quality_equals_kneser_ney_on_all_documents(spark):
         t = rows[r.doc_id].text
         logs = [known.get(g) or known.setdefault(g, np.log(p(g))) for g in (t[i : i + 4] for i in range(len(t) - 3))]
         assert r.perplexity == (pytest.approx(np.exp(-np.mean(logs)), rel=1e-6) if logs else None)
+
+
+def test_columns_of_clashing_names(spark, docs):
+    """Extra columns named like those that the operators make or give change nothing."""
+    names = ["start", "stop", "item_id", "size", "taken", "target", "threshold", "perplexity", "labels", "score", "row", "words", "block", "part", "h", "id", "th", "f", "s", "k", "v", "rep", "band", "_trusted", "_gone"]
+    plain = spark.createDataFrame(docs[1], "doc_id long, text string, lang string, source string")
+    odd = plain.selectExpr("*", *(f"'x' as {n}" for n in names))
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    for f in (lambda d: mixing.mix(d), lambda d: decontamination.contaminated(d, bench), lambda d: license_scan.scan(d), lambda d: pii.personal_data(d), lambda d: minhash.near_duplicates(d), lambda d: token_counts.token_counts(d), lambda d: quality_rules.measure(d), lambda d: language_quality.classify(d, labels).drop("perplexity", "threshold")):
+        assert _rows(f(odd)) == _rows(f(plain))
+    for f in (lambda d: decontamination.keep_clean(d, bench), pii.mask, minhash.one_of_each, quality_rules.keep_good):
+        assert f(odd).columns == odd.columns and f(odd).count() == f(plain).count()
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from skyweave.llm.common import clear, intermediates, materialize
+
+    assert materialize(spark.range(3)).count() == 3
+    folder = Path(intermediates(spark).removeprefix("file:"))
+    assert folder.exists()
+    clear(spark)
+    assert not folder.exists()

@@ -52,3 +52,18 @@ def test_stages(spark, tmp_path):
         before = after
     run = {(r.doc_id, r.copies) for r in corpus_pipeline.run(spark, DATA).collect()}
     assert run == {(r.doc_id, r.copies) for r in before.values()}
+
+
+def test_stages_of_empty_tables_and_nulls(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    good = docs.where("length(text) > 1500").limit(6)
+    nulls = spark.createDataFrame([(None, None, None, None, None), (9001, None, "en", "s", 0), (9002, "", None, None, 0), (9002, "", None, None, 0)], docs.schema)
+    for n, table in enumerate((docs.limit(0), nulls, good.unionByName(good).unionByName(nulls))):
+        rows = table
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, rows, str(tmp_path)).write.parquet(f"{tmp_path}/{n}-{i}")
+            rows = spark.read.parquet(f"{tmp_path}/{n}-{i}")
+            if i < 4:
+                assert rows.columns == docs.columns
+        assert rows.count() == 0 or n == 2
