@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir). All but the last return documents with all their columns; the last returns the
 documents of the mix with the number of copies of each.
+
+Null or empty texts don't pass the quality rules. Documents with a null doc_id stay where near duplicates are dropped. Rows that repeat a
+doc_id are one document there, and rows of their own elsewhere. An empty table gives an empty one at every stage; without benchmark items nothing
+is dropped. Extra columns are carried along, whatever their names, but for the last stage.
 """
 
 from __future__ import annotations
@@ -15,22 +19,23 @@ from skyweave.llm.common import shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the repetition and symbol rules keep."""
+    """The documents that the repetition and symbol rules keep; null and empty texts go."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by five-word shingles."""
+    """The document of least doc_id of each group of near duplicates, by five-word shingles; of ties nothing is left open, as ids differ, and
+    repeated rows stay together."""
     return minhash.one_of_each(docs, size=5)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which no benchmark passage stands."""
+    """The documents in which no benchmark passage stands; those without text stay."""
     return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data replaced by marks."""
+    """All documents, their personal data replaced by marks; null texts stay null."""
     return pii.mask(docs)
 
 
