@@ -23,21 +23,24 @@ def box_specs(scenes: DataFrame, boxes: DataFrame, scale: float = 1.0, least_hal
 def build_checks(kps: DataFrame, specs: DataFrame, swap_engines: bool = False) -> DataFrame:
     """One row per keypoint with a target box in its scene: inside (bounds included within 1e-6), its distances from the centre ax, ay, az and the
     box's half sizes hx, hy, hz."""
-    keyed = kps.select("unique_scene", "kp_name", "x", "y", "z", target_box_key(F.col("kp_name"), swap_engines).alias("box_key"))
-    met = keyed.join(specs, ["unique_scene", "box_key"])
+    return _checked(kps.withColumn("swapped", F.lit(swap_engines)).withColumn("box_key", target_box_key(F.col("kp_name"), swap_engines)), specs)
+
+
+def _checked(keyed: DataFrame, specs: DataFrame) -> DataFrame:
+    met = keyed.select("unique_scene", "kp_name", "x", "y", "z", "swapped", "box_key").join(specs, ["unique_scene", "box_key"])
     away = [F.abs(F.col(k) - F.col(f"c{k}")).alias(f"a{k}") for k in "xyz"]
     inside = [F.abs(F.col(k) - F.col(f"c{k}")) <= F.col(f"h{k}") + 1e-6 for k in "xyz"]
-    return met.select("unique_scene", "kp_name", "box_key", (inside[0] & inside[1] & inside[2]).alias("inside"), *away, "hx", "hy", "hz", F.lit(swap_engines).alias("swapped"))
+    return met.select("unique_scene", "kp_name", "box_key", (inside[0] & inside[1] & inside[2]).alias("inside"), *away, "hx", "hy", "hz", "swapped")
 
 
 def auto_swap_lr(kps: DataFrame, specs: DataFrame) -> DataFrame:
     """The checks of each scene, with the engines' sides swapped in scenes that have both engine boxes and more checks inside that way."""
-    both = build_checks(kps, specs).unionByName(build_checks(kps, specs, True))
+    sides = F.array(*(F.struct(F.lit(swapped).alias("swapped"), target_box_key(F.col("kp_name"), swapped).alias("box_key")) for swapped in (False, True)))
+    both = _checked(kps.withColumn("_s", F.explode(sides)).select("unique_scene", "kp_name", "x", "y", "z", "_s.*"), specs)
     pairs = specs.where(F.col("box_key").isin(*_ENGINES)).groupBy("unique_scene").agg((F.count_distinct("box_key") == 2).alias("_pair"))
-    score = lambda swapped: F.count_if(F.col("inside") & (F.col("swapped") == swapped))
-    better = both.groupBy("unique_scene").agg((score(True) > score(False)).alias("_more")).join(pairs, "unique_scene", "left")
-    chosen = better.select("unique_scene", F.coalesce(F.col("_more") & F.col("_pair"), F.lit(False)).alias("_swap"))
-    return both.join(chosen, "unique_scene").where(F.col("swapped") == F.col("_swap")).drop("_swap")
+    score = lambda swapped: F.sum((F.col("inside") & (F.col("swapped") == swapped)).cast("int")).over(Window.partitionBy("unique_scene"))
+    chosen = both.withColumn("_more", score(True) > score(False)).join(pairs, "unique_scene", "left")
+    return chosen.where(F.col("swapped") == F.coalesce(F.col("_more") & F.col("_pair"), F.lit(False))).drop("_more", "_pair")
 
 
 def _outside() -> Column:
