@@ -31,6 +31,8 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 #: Documents of a block, and blocks whose leftovers make one block of the next level.
 BLOCK_DOCS, BLOCK_LEFT = 512, 256
+#: Repeated rows that are dealt out at once.
+REPEATS = 1 << 16
 #: Documents left to the landing at most, and how much an error of a mean document's words counts against one of a document.
 LANDING, WORDS_FIRST = 12, 100.0
 _UNIT = "source_no bigint, block bigint, doc_id bigint, size bigint, copies bigint, part double, h bigint, mean double"
@@ -137,7 +139,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     targets = materialize(source_targets(counted, weights, cap))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = counted.join(targets, counted["source"].eqNullSafe(targets["source"])).drop("source")
-    each = joined.withColumn("time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
+    many = F.lit(REPEATS).cast("bigint")
+    each = joined.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("times") - 1) / REPEATS))))
+    each = each.withColumn("time", F.explode(F.sequence(F.col("part") * many, F.least((F.col("part") + 1) * many, F.col("times")) - 1))).drop("part")
     copies = F.floor(rate + _EPS)
     part = rate - copies
     h = F.xxhash64(F.lit(20240611), "doc_id", "size", "time")

@@ -293,6 +293,7 @@ def test_mixing_flies_every_document(n):
 def test_mixing_of_repeated_rows_and_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_DOCS", 16)
     monkeypatch.setattr(mixing, "BLOCK_LEFT", 4)
+    monkeypatch.setattr(mixing, "REPEATS", 64)
     rows = [(None, "a b c", "s")] * 700 + [(3, "x " * (i % 40 + 1), "s") for i in range(900)] + [(i, "y " * (i % 9), "t") for i in range(50)]
     df = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, source string, size int, taken int")
     got = mixing.mix(df).collect()
