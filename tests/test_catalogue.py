@@ -110,3 +110,12 @@ def test_plans_have_no_cartesian_product(spark, name):
     plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert name != "parse_pose_line" or plan.count("split(") <= 3
+
+
+def test_every_query_runs_over_empty_tables(spark, tmp_path):
+    for t in ("supplier", "lineitem", "orders", "events"):
+        spark.read.parquet(f"{DATA}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    for name, query in QUERIES.items():
+        full, none = QUERIES[name](spark, DATA).columns, query(spark, str(tmp_path))
+        assert none.columns == full, name
+        none.collect()
