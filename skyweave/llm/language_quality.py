@@ -154,11 +154,12 @@ def _asked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hashes of all entries that the log probabilities of these n-grams may need: their suffixes, and the contexts of these."""
     out = []
     for m in range(ORDER, 0, -1):
-        x, y = (a, b) if m == 4 else (a & MASK, b) if m == 3 else (a * 0, b) if m == 2 else (a * 0, b & MASK)
-        x, y = np.unique(np.stack([x, y]), axis=1) if m < ORDER else (x, y)
-        out.append(_keys(m, x, y))
+        a, b = (a, b) if m == 4 else (a & MASK, b) if m == 3 else (a * 0, b) if m == 2 else (a, b & MASK)
+        keys, first = np.unique(_keys(m, a, b), return_index=True)
+        a, b = a[first], b[first]
+        out.append(keys)
         if m > 1:
-            out.append(_keys(m + 4, x, y >> BITS))
+            out.append(_keys(m + 4, a, b >> BITS))
     return np.unique(np.concatenate(out))
 
 
@@ -176,8 +177,9 @@ def _questions(batches):
         for data, offsets in text_chunks(batch.column(3)):
             size += len(data)
             a, b, _ = _grams(data, offsets)
-            _, first = np.unique(_keys(ORDER, a, b), return_index=True)
-            known = np.union1d(known, _asked(a[first], b[first]))
+            four, first = np.unique(_keys(ORDER, a, b), return_index=True)
+            first = first[~_find(four, known, known)[0]]
+            known = np.union1d(known, _asked(a[first], b[first])) if len(first) else known
     if part is not None:
         columns = [np.full(len(known) + 1, part, np.int32), np.append(known.view(np.int64), TOLD)]
         yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([None] * len(known) + [_told(rows, size)], pa.int64())], ["part", "k", "told"])
