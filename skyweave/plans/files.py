@@ -116,7 +116,7 @@ def commented_csv_files(spark, sf_dir):
     lines = F.array(F.lit("# recordings"), F.lit("# and their scenes"), F.lit("bag_stem, n_scenes ,split"), F.concat(F.lit(" "), "bag_stem", F.lit(" , "), "n", F.lit(", train ")))
     rows = bags.select(F.col("bag_stem").alias("unique_scene"), F.posexplode(lines).alias("line_no", "text"))
     text.write_labels(rows.select("unique_scene"), rows, path)
-    return text.scan_commented_csv(spark, path).select("bag_stem", "n_scenes", "split")
+    return text.scan_commented_csv(spark, path, "bag_stem string, n_scenes string, split string").select("bag_stem", "n_scenes", "split")
 
 
 @query("""with r as (select bag_stem, profile, row_number() over (partition by profile order by bag_stem) as rn from (select distinct bag_stem, profile from scene_meta) q),
@@ -129,7 +129,7 @@ def profile_files(spark, sf_dir):
     table = bags.select(F.lit("profiles").alias("unique_scene"), F.concat(F.lit("1"), "bag_stem").alias("line_no"), line.alias("text"))
     head = table.limit(1).select("unique_scene", F.lit("0").alias("line_no"), F.lit("profile_name,aircraft,note").alias("text"))
     text.write_labels(table.select("unique_scene"), head.unionByName(table), path)
-    return text.scan_profiles(spark, path).select("key", F.col("profile_name").alias("bag_stem"))
+    return text.scan_profiles(spark, path, "profile_name string, aircraft string, note string").select("key", F.col("profile_name").alias("bag_stem"))
 
 
 _PX = "select unique_scene, row_idx, col_idx, x, y, z, range_m as range, is_ground, is_aircraft from px"

@@ -140,15 +140,15 @@ def scan_crop_boxes(spark: SparkSession, root: str, glob: str = "*.json") -> Dat
     return boxes.fillna(-1, ["warning_level"]).fillna(0.0, ["rx", "ry", "rz", "sx", "sy", "sz"])
 
 
-def scan_commented_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV table whose header follows `#` lines, values stripped."""
-    return spark.read.csv(path, comment="#", header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+def scan_commented_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A CSV table whose header follows `#` lines, values stripped. A folder without files needs a schema, and has no rows."""
+    return spark.read.csv(path, schema, comment="#", header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
 
 
-def scan_profiles(spark: SparkSession, path: str) -> DataFrame:
+def scan_profiles(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The rows of CSV profile tables with a header, each once for each of its keys, the normalised profile_name and aircraft; of rows with the
-    same key the first in order of files and lines."""
-    rows = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    same key the first in order of files and lines. A folder without files needs a schema, and has no rows."""
+    rows = spark.read.csv(path, schema, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     for c in ("profile_name", "aircraft"):
         rows = rows if c in rows.columns else rows.withColumn(c, F.lit(None).cast("string"))
     order = ["_file", "_block", "_line"]  # lines of one block are numbered in order
