@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Most bytes of text that one numpy pass takes, but for a single longer text.
 CHUNK_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20240611)
-_BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_PRIME, _LOW31, _LOW30 = np.uint64((1 << 61) - 1), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -117,19 +116,63 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def _times(x: np.ndarray, y: np.ndarray | np.uint64) -> np.ndarray:
+    """x * y modulo 2**61 - 1, for values under that."""
+    half = np.uint64(31)
+    x1, x0, y1, y0 = x >> half, x & _LOW31, y >> half, y & _LOW31
+    mid = x1 * y0 + x0 * y1
+    return _residue(np.uint64(2) * x1 * y1 + (mid >> np.uint64(30)) + ((mid & _LOW30) << half) + x0 * y0)
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+_residues: dict[str, np.ndarray] = {}
+
+
+def _residue_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base modulo 2**61 - 1, and of its inverse."""
+    if not _residues or len(_residues["up"]) < n:
+        size = max(n, CHUNK_BYTES + 4096)
+        for name, base in (("up", _BASE % int(_PRIME)), ("down", pow(_BASE, -1, int(_PRIME)))):
+            table = np.ones(1, np.uint64)
+            while len(table) < size:
+                table = np.concatenate([table, _times(table, np.uint64(pow(base, len(table), int(_PRIME))))])
+            _residues[name] = table[:size].copy()
+    return _residues["up"], _residues["down"]
+
+
+def _prefix(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of values under 2**40, each equal to the whole sum modulo 2**61 - 1 and under 2**63."""
+    sums, step = np.zeros(len(values) + 1, np.uint64), 1 << 21
+    for i in range(0, len(values), step):
+        part = sums[i + 1 : i + 1 + step]
+        np.cumsum(values[i : i + step], out=part)
+        part += sums[i] % _PRIME
+    return sums
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the bytes in [start, end), by prefix sums of a polynomial modulo 2**64."""
+    """64-bit hashes of the bytes in [start, end), by prefix sums of a polynomial modulo 2**61 - 1: unlike one modulo a power of two, it
+    has no texts that are equal under every base."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK_BYTES)))
         a, b = int(starts[i]), int(ends[i:j].max())
         part = data[a:b]
-        up, down = _power_tables(b - a)
-        sums = np.zeros(b - a + 1, np.uint64)
-        np.cumsum(_BYTE_CODES[_LOWER[part] if lower else part] * up[: b - a], out=sums[1:])
+        up, down = _residue_tables(b - a + 1)
+        codes = (_LOWER[part] if lower else part).astype(np.uint64) + np.uint64(1)
+        high, low = _prefix(codes * (up[: b - a] >> np.uint64(31))), _prefix(codes * (up[: b - a] & _LOW31))
         s, e = starts[i:j] - a, ends[i:j] - a
-        out[i:j] = (sums[e] - sums[s]) * down[np.minimum(s, b - a - 1 if b > a else 0)] + (e - s).astype(np.uint64)
+
+        def upto(at, high=high, low=low):
+            top = _residue(high[at])
+            return _residue(((top & _LOW30) << np.uint64(31)) + (top >> np.uint64(30)) + _residue(low[at]))
+
+        out[i:j] = _times(_residue(upto(e) + (_PRIME - upto(s))), down[s])
         i = j
     return mix(out)
 

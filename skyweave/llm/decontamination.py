@@ -34,7 +34,7 @@ _FILTER_BITS = 22
 def _folds() -> np.ndarray:
     """For each code point its lower-case letter or digit, or a space."""
     table = np.full(0x110000, 32, np.uint32)
-    for i in range(0x30000):
+    for i in range(0x110000):
         c = chr(i)
         if c.isalnum():
             low = c.lower()
