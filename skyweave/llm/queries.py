@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyweave.llm import chat_format, decontamination, html_text, language_quality, license_scan, minhash, mixing, pii, quality_rules, token_counts
+from skyweave.llm import chat_format, decontamination, html_text, language_quality, license_scan, minhash, mixing, pii, quality_rules, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_html_text, op4_chat_format, op5_decontamination, op6_minhash, op7_pii, op8_language_quality, op9_quality_rules, op10_license_scan)}
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_html_text, op4_chat_format, op5_decontamination, op6_minhash, op7_pii, op8_language_quality, op9_quality_rules, op10_license_scan, op13_simhash)}
 
 _POSTINGS = ", ".join(f"({t}, '{label}', '{w}', {i}, {str(at <= i < at + len(need)).lower()})" for t, (label, words, need, at) in enumerate(license_scan._notices()) for i, w in enumerate(words))
 
