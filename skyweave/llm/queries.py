@@ -65,7 +65,7 @@ _POSTINGS = ", ".join(f"({t}, '{label}', '{w}', {i}, {str(at <= i < at + len(nee
 
 def _rounds(n: int) -> str:
     """The assignments and means of op11's rounds, a query a round."""
-    distance = "list_sum(list_transform(range(1, 65), i -> (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
     near = lambda r: f"a{r} as materialized (select row, arg_min(k, away * 64 + k) as k, min(away) as away from (select v.row, c.k, cast({distance} as hugeint) as away from vectors v cross join c{r} c) group by row)"
     mean = lambda r: f"""c{r + 1} as materialized (select k, coalesce(m.x, c.x) as x from c{r} c left join (select k, list(cast(m as bigint) order by d) as x from (
       select k, d, floor(sum(v) / count(*)) as m from (select k, unnest(x) as v, unnest(range(64)) as d from vectors join a{r} using (row)) group by k, d) group by k) m using (k))"""
@@ -74,8 +74,8 @@ def _rounds(n: int) -> str:
 
 SQL = {
     "op11_centroids": f"""
-with vectors as materialized (select row_number() over () as row, vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as x from embeddings
-  where len(embedding) = 64 and len(list_filter(embedding, x -> x is not null and isfinite(x))) = 64),
+with vectors as materialized (select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
 c0 as materialized (select row_number() over (order by sha256('2:' || vec_id), x) - 1 as k, x from vectors where vec_id is not null order by k limit 40),
 {_rounds(5)}
 select vec_id, cast(k as integer) as cluster, cast(away as bigint) as distance, cast(sum(away) over (partition by k) as bigint) as cluster_inertia, cast(sum(away) over () as bigint) as inertia,
