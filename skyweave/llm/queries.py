@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyweave.llm import centroids, chat_format, decontamination, html_text, language_quality, license_scan, minhash, mixing, pii, quality_rules, simhash, token_counts
+from skyweave.llm import alignment, centroids, chat_format, decontamination, html_text, language_quality, license_scan, minhash, mixing, pii, quality_rules, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,11 +55,15 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_html_text, op4_chat_format, op5_decontamination, op6_minhash, op7_pii, op8_language_quality, op9_quality_rules, op10_license_scan, op11_centroids, op13_simhash)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_counts, op3_html_text, op4_chat_format, op5_decontamination, op6_minhash, op7_pii, op8_language_quality, op9_quality_rules, op10_license_scan, op11_centroids, op12_alignment, op13_simhash)}
 
 _POSTINGS = ", ".join(f"({t}, '{label}', '{w}', {i}, {str(at <= i < at + len(need)).lower()})" for t, (label, words, need, at) in enumerate(license_scan._notices()) for i, w in enumerate(words))
 
