@@ -37,6 +37,11 @@ def euler_xyz(rx: Column, ry: Column, rz: Column) -> Column:
     return F.array(cc * cb, cc * sb * sa - sc * ca, cc * sb * ca + sc * sa, sc * cb, sc * sb * sa + cc * ca, sc * sb * ca - cc * sa, -sb, cb * sa, cb * ca)
 
 
+def in_frame(vector: list[Column], rotation: Column) -> list[Column]:
+    """The vector along the axes that are the columns of a rotation, an array of nine row by row."""
+    return [vector[0] * F.get(rotation, j) + vector[1] * F.get(rotation, 3 + j) + vector[2] * F.get(rotation, 6 + j) for j in range(3)]
+
+
 def bright_band(v: Column, low: float, high: float, soft: float, outside: float, peak: float) -> Column:
     """peak between low and high, outside far from them, linear over soft on either side; 0 for values that aren't positive and finite."""
     rise = clip01(F.least((v - (low - soft)) / soft, ((high + soft) - v) / soft))

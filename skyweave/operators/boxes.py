@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions.boxes2d import center_px, clip_xywhn
+from skyweave.operators.oriented import inside_boxes
 
 CORNERS = ("x1", "y1", "x2", "y2")
 
@@ -134,13 +135,11 @@ def box_corners(boxes: DataFrame) -> DataFrame:
 
 
 def assign_box_class(px: DataFrame, boxes: DataFrame, aircraft: int | None = None, fill_only: bool = True) -> DataFrame:
-    """Adds cls: of the upright boxes of its scene (unique_scene, cls, centre and half sizes) that hold a pixel's point, the one in which it lies most
-    central, the lowest class on ties, else 0. Aircraft pixels get the aircraft's class, only where it is 0 if fill_only."""
-    away = [F.abs(F.col(k) - F.col(f"c{k}")) for k in "xyz"]
-    score = F.greatest(*(a / F.greatest(F.col(f"h{k}"), F.lit(1e-9)) for a, k in zip(away, "xyz", strict=True)))
-    inside = [a <= F.col(f"h{k}") + 1e-6 for a, k in zip(away, "xyz", strict=True)]
+    """Adds cls: of the boxes of its scene (unique_scene, cls, centre, half sizes and perhaps a rotation) that hold a pixel's point, the one in which it
+    lies most central by the box's axes, the lowest class on ties, else 0. Aircraft pixels get the aircraft's class, only where it is 0 if fill_only."""
+    score = F.greatest(*(F.col(f"_a{k}") / F.greatest(F.col(f"_h{k}"), F.lit(1e-9)) for k in "xyz"))
     keys = ["unique_scene", "row_idx", "col_idx"]
-    best = px.select(*keys, "x", "y", "z").join(boxes, "unique_scene").where(inside[0] & inside[1] & inside[2]).groupBy(*keys).agg(F.min_by("cls", F.struct(score, "cls")).alias("cls"))
+    best = inside_boxes(px.select(*keys, "x", "y", "z"), boxes, ["cls"]).groupBy(*keys).agg(F.min_by("cls", F.struct(score, "cls")).alias("cls"))
     cls = F.coalesce("cls", F.lit(0))
     if aircraft is not None:
         cls = F.when(F.col("is_aircraft") & ((cls == 0) | F.lit(not fill_only)), aircraft).otherwise(cls)

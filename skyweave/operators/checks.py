@@ -6,31 +6,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions.names import target_box_key
+from skyweave.functions.pixels import in_frame
+from skyweave.operators.oriented import rotation_of
+from skyweave.operators.poses import turn_boxes
 
 _ENGINES = ("engine_left", "engine_right")
 
 
 def box_specs(scenes: DataFrame, boxes: DataFrame, scale: float = 1.0, least_half: float = 0.25) -> DataFrame:
     """One row per scene and target box of its profile: box_key, centre and half sizes, no half size below least_half. Of several boxes with one key the
-    first by name counts."""
+    first by name counts. Scenes that have a rotation (array of nine, row by row, local to world) and tx, ty, tz have their boxes, turned by
+    rx, ry, rz, in the world, with their rotation; the others' boxes stand as the profile has them."""
     key = target_box_key(F.col("name"))
-    half = lambda k: (F.greatest(F.col(f"s{k}") / 2, F.lit(least_half)) * scale).alias(f"h{k}")
+    half = lambda k: (F.greatest(F.abs(f"s{k}") / 2, F.lit(least_half)) * scale).alias(f"h{k}")
+    if "rotation" in scenes.columns:
+        keyed = boxes.withColumn("_key", key).where("_key is not null").withColumn("_rn", F.row_number().over(Window.partitionBy("profile", "_key").orderBy("name"))).where("_rn = 1")
+        return turn_boxes(scenes, keyed.withColumn("name", F.col("_key")), scale, least_half)
     first = boxes.withColumn("box_key", key).where("box_key is not null").withColumn("_rn", F.row_number().over(Window.partitionBy("profile", "box_key").orderBy("name"))).where("_rn = 1")
     specs = first.select("profile", "box_key", *(F.col(k).alias(f"c{k}") for k in "xyz"), *map(half, "xyz"))
     return scenes.select("unique_scene", "profile").join(specs, "profile").drop("profile")
 
 
 def build_checks(kps: DataFrame, specs: DataFrame, swap_engines: bool = False) -> DataFrame:
-    """One row per keypoint with a target box in its scene: inside (bounds included within 1e-6), its distances from the centre ax, ay, az and the
-    box's half sizes hx, hy, hz."""
+    """One row per keypoint with a target box in its scene: inside (bounds included within 1e-6), its distances from the centre along the box's axes
+    ax, ay, az and the box's half sizes hx, hy, hz. Boxes without a rotation are upright."""
     return _checked(kps.withColumn("swapped", F.lit(swap_engines)).withColumn("box_key", target_box_key(F.col("kp_name"), swap_engines)), specs)
 
 
 def _checked(keyed: DataFrame, specs: DataFrame) -> DataFrame:
     met = keyed.select("unique_scene", "kp_name", "x", "y", "z", "swapped", "box_key").join(specs, ["unique_scene", "box_key"])
-    away = [F.abs(F.col(k) - F.col(f"c{k}")).alias(f"a{k}") for k in "xyz"]
-    inside = [F.abs(F.col(k) - F.col(f"c{k}")) <= F.col(f"h{k}") + 1e-6 for k in "xyz"]
-    return met.select("unique_scene", "kp_name", "box_key", (inside[0] & inside[1] & inside[2]).alias("inside"), *away, "hx", "hy", "hz", "swapped")
+    gaps = [F.col(k) - F.col(f"c{k}") for k in "xyz"]
+    away = [F.abs(v) for v in (in_frame(gaps, rotation_of(specs)) if "rotation" in specs.columns else gaps)]
+    inside = [a <= F.col(f"h{k}") + 1e-6 for a, k in zip(away, "xyz", strict=True)]
+    return met.select("unique_scene", "kp_name", "box_key", (inside[0] & inside[1] & inside[2]).alias("inside"), *(a.alias(f"a{k}") for a, k in zip(away, "xyz", strict=True)), "hx", "hy", "hz", "swapped")
 
 
 def auto_swap_lr(kps: DataFrame, specs: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyweave.operators.oriented import inside_boxes
+
 
 def pair_counts(images: DataFrame, labels: DataFrame, on: list[str]) -> DataFrame:
     """(kind, n): how many keys both sides have (pair), and how many only one has (image_only, label_only)."""
@@ -116,18 +118,15 @@ def erode(mask: DataFrame, size: int, height: int, width: int) -> DataFrame:
     return met.where(F.col("_n") == inside).drop("_n")
 
 
-def snap_in_box(px: DataFrame, boxes: DataFrame, least: int = 8, grow: float = 1.2, drift: float = 1.25, cell: float = 4.0) -> DataFrame:
-    """Adds px, py, pz to each upright box (unique_scene, box_name, centre and half sizes): the median by axis of the points inside, of those in the
-    grown box if fewer than least are inside, null if none; the centre if the median lies farther from it than drift."""
-    at = lambda c: F.floor(c / cell).cast("bigint")
-    points = px.select("unique_scene", *(F.col(k).alias(f"p{k}") for k in "xyz")).select("*", at(F.col("px")).alias("_cx"), at(F.col("py")).alias("_cy"))
-    reach = lambda k: F.col(f"h{k}") * max(grow, 1.0) + 1e-6
-    over = boxes
-    for k in "xy":  # a box meets the columns of cells that it stands over
-        over = over.withColumn(f"_c{k}", F.explode(F.sequence(at(F.col(f"c{k}") - reach(k)), at(F.col(f"c{k}") + reach(k)))))
-    within = lambda g: [F.abs(F.col(f"p{k}") - F.col(f"c{k}")) <= F.col(f"h{k}") * g + 1e-6 for k in "xyz"]
-    a, b = within(1.0), within(grow)
-    met = over.join(points, ["unique_scene", "_cx", "_cy"]).where(b[0] & b[1] & b[2]).withColumn("_in", a[0] & a[1] & a[2])
+def snap_in_box(px: DataFrame, boxes: DataFrame, least: int = 8, grow: float = 1.2, drift: float = 1.25) -> DataFrame:
+    """Adds px, py, pz to each box (unique_scene, box_name, centre, half sizes and perhaps a rotation): the median by axis of the points inside, of those
+    in the grown box if fewer than least are inside, null if none; the centre if the median lies farther from it than drift."""
+    own = [F.col(f"h{k}").alias(f"_o{k}") for k in "xyz"]
+    grown = boxes.select("*", *own).withColumns({f"h{k}": F.col(f"h{k}") * max(grow, 1.0) for k in "xyz"})
+    inside = F.lit(True)
+    for k in "xyz":
+        inside = inside & (F.col(f"_a{k}") <= F.col(f"_o{k}") + 1e-6)
+    met = inside_boxes(px.select("unique_scene", "x", "y", "z"), grown, ["box_name", "_ox", "_oy", "_oz"]).withColumn("_in", inside).withColumnsRenamed({k: f"p{k}" for k in "xyz"})
     keys = ["unique_scene", "box_name"]
     medians = met.groupBy(*keys).agg(F.count_if("_in").alias("_n"), *(F.median(F.when(F.col("_in"), F.col(f"p{k}"))).alias(f"_a{k}") for k in "xyz"), *(F.median(f"p{k}").alias(f"_b{k}") for k in "xyz"))
     joined = boxes.join(medians, keys, "left")

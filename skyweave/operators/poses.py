@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions import labels as lines
-from skyweave.functions.pixels import euler_xyz
+from skyweave.functions.pixels import euler_xyz, in_frame
+from skyweave.operators.oriented import rotation_of
 from skyweave.operators.projection import sample_xyz_robust
 from skyweave.operators.regions import _product, _turned
 from skyweave.operators.scenes import largest_empty_gap, wrap_aware_bbox
@@ -57,8 +58,8 @@ def derived_nose_specs(kps: DataFrame, half: float = 1.0) -> DataFrame:
 
 
 def _against(point: list[Column], prefix: str = "") -> dict[str, Column]:
-    """Distances from an upright box's centre by axis, whether inside, and how far outside."""
-    away = [F.abs(p - F.col(f"{prefix}c{a}")) for p, a in zip(point, _AXES, strict=True)]
+    """Distances from a box's centre by its axes, whether inside, and how far outside."""
+    away = [F.abs(v) for v in in_frame([p - F.col(f"{prefix}c{a}") for p, a in zip(point, _AXES, strict=True)], F.col(f"{prefix}rotation"))]
     half = [F.col(f"{prefix}h{a}") for a in _AXES]
     over = [F.greatest(d - h, F.lit(0.0)) for d, h in zip(away, half, strict=True)]
     inside = (away[0] <= half[0] + 1e-6) & (away[1] <= half[1] + 1e-6) & (away[2] <= half[2] + 1e-6)
@@ -77,7 +78,7 @@ def _struct(key: str, prefix: str) -> Column:
 def derived_nose_remap(checks: DataFrame, kps: DataFrame, derived: DataFrame) -> DataFrame:
     """The checks, those of the front box moved to the derived nose box (unique_scene, cx .. hz) where the keypoint is strictly closer to it; scenes without
     a derived box keep theirs."""
-    named = derived.select("unique_scene", *(F.col(f"{p}{a}").alias(f"_{p}{a}") for p in "ch" for a in _AXES))
+    named = derived.select("unique_scene", *(F.col(f"{p}{a}").alias(f"_{p}{a}") for p in "ch" for a in _AXES), rotation_of(derived).alias("_rotation"))
     met = checks.join(kps.select("unique_scene", "kp_name", *_AXES), ["unique_scene", "kp_name"], "left").join(named, "unique_scene", "left")
     over = [F.greatest(F.col(f"a{a}") - F.col(f"h{a}"), F.lit(0.0)) for a in _AXES]
     now = F.struct("box_key", "inside", F.sqrt(over[0] * over[0] + over[1] * over[1] + over[2] * over[2]).alias("outside"), *(f"{p}{a}" for p in "ah" for a in _AXES))
@@ -89,7 +90,7 @@ def derived_nose_remap(checks: DataFrame, kps: DataFrame, derived: DataFrame) ->
 def ensure_front_check(checks: DataFrame, kps: DataFrame, front: DataFrame, derived: DataFrame) -> DataFrame:
     """The checks, and one for each front-like keypoint (front or nose in its name) without a front check, against the nearer of its scene's front and
     derived boxes (unique_scene, cx .. hz), the front one on ties."""
-    named = lambda df, p: df.select("unique_scene", *(F.col(f"{c}{a}").alias(f"{p}{c}{a}") for c in "ch" for a in _AXES))
+    named = lambda df, p: df.select("unique_scene", *(F.col(f"{c}{a}").alias(f"{p}{c}{a}") for c in "ch" for a in _AXES), rotation_of(df).alias(f"{p}rotation"))
     have = checks.where(F.col("box_key").isin("front_landing_gear", "derived_nose_gear")).select("unique_scene", "kp_name").distinct()
     low = F.lower("kp_name")
     missing = kps.where(low.contains("front") | low.contains("nose")).select("unique_scene", "kp_name", *_AXES).join(have, ["unique_scene", "kp_name"], "left_anti")

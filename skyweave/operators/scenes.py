@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyweave.operators.oriented import as_specs, inside_boxes
+
 
 def mask_bbox(px: DataFrame, mask: str = "is_aircraft") -> DataFrame:
     """Inclusive bounds and number of the mask's pixels in each scene; scenes without such pixels have no row."""
@@ -85,10 +87,9 @@ def subsample(px: DataFrame, n: int, key: list[str], seed: int = 1234) -> DataFr
 
 
 def points_in_boxes(px: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Points of each scene inside its upright boxes (centre x, y, z and size sx, sy, sz), bounds included within 1e-6."""
-    b = boxes.select("unique_scene", "box_name", *(F.col(c).alias(f"b{c}") for c in ("x", "y", "z", "sx", "sy", "sz")))
-    near = [F.abs(F.col(c) - F.col(f"b{c}")) <= F.col(f"bs{c}") / 2 + 1e-6 for c in "xyz"]
-    return px.join(b, "unique_scene").where(near[0] & near[1] & near[2])
+    """Points of each scene inside its boxes (box_name, centre x, y, z, size sx, sy, sz and perhaps a rotation), bounds included within 1e-6; a point
+    in several boxes has several rows."""
+    return inside_boxes(px, as_specs(boxes), ["box_name"]).select(*px.columns, "box_name")
 
 
 def cloud_summary(px: DataFrame) -> DataFrame:
