@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from skyweave.operators.graphs import least_reachable
+from skyweave.sources.shared import materialize
+
 _AXES = ("x", "y", "z")
 
 
@@ -72,40 +75,94 @@ def region_verdict(boxed: DataFrame, detected: DataFrame, threshold: float, merg
     return ratios.withColumn("reason", reason).withColumn("verdict", F.when(reason == "", "PASS").otherwise("FAIL"))
 
 
-def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, cell: float = 0.25, levels: int = 9) -> DataFrame:
+def _nearest_in_cells(k: int):
+    """For applyInArrow over a cell's own points and those of its surroundings (column own tells which): the mean distance of each own point to its k
+    nearest, where these lie within its reach, inside which all points are there."""
+
+    def over(cell: pa.Table) -> pa.Table:
+        at = np.stack([cell.column(a).to_numpy() for a in _AXES], 1)
+        own = np.flatnonzero(cell.column("own").to_numpy(zero_copy_only=False))
+        reach, means, served = cell.column("reach").to_numpy()[own], np.empty(len(own)), np.zeros(len(own), bool)
+        most = min(k, len(at) - 1)
+        step = max(1, 2_000_000 // len(at))
+        for i in range(0, len(own) if most else 0, step):
+            rows = own[i : i + step]
+            squared = np.zeros((len(rows), len(at)))
+            for a in range(3):
+                squared += (at[rows, None, a] - at[None, :, a]) ** 2
+            squared[np.arange(len(rows)), rows] = np.inf
+            best = np.sqrt(np.sort(np.partition(squared, most - 1, axis=1)[:, :most], axis=1))
+            means[i : i + step] = best.mean(1)
+            served[i : i + step] = np.isinf(reach[i : i + step]) | ((best[:, -1] <= reach[i : i + step] * (1 - 1e-9)) & (most == k))
+        done = pa.array(own[served])
+        return pa.table({"unique_scene": cell.column("unique_scene").take(done), "_of": cell.column("_id").take(done), "_m": pa.array(means[served])})
+
+    return over
+
+
+def _near_means(pts: DataFrame, k: int, per_cell: int, halo: float, most: int) -> DataFrame:
+    """(unique_scene, _of, _m) of the points whose k nearest lie in their cell or within `halo` of its side around it. A scene is cut into cubes that would
+    hold per_cell points each if they were spread evenly; a cell that holds more than `most` with its surroundings is left out."""
+    ends = [f(a).alias(f"_{n}{a}") for a in _AXES for n, f in (("a", F.min), ("b", F.max))]
+    extent = pts.groupBy("unique_scene").agg(*ends, F.count("*").alias("_n"))
+    widths = [F.col(f"_b{a}") - F.col(f"_a{a}") for a in _AXES]
+    thin = F.greatest(*widths) * 0.01
+    volume = F.greatest(widths[0], thin) * F.greatest(widths[1], thin) * F.greatest(widths[2], thin)
+    side = F.when(volume > 0, F.cbrt(volume * per_cell / F.col("_n"))).otherwise(1.0)
+    sided = extent.select("unique_scene", side.alias("_side"), *(F.col(f"_a{a}") for a in _AXES), *(F.floor((F.col(f"_b{a}") - F.col(f"_a{a}")) / side).cast("bigint").alias(f"_l{a}") for a in _AXES))
+    placed = pts.join(sided, "unique_scene")
+    reach = F.lit(float("inf"))
+    for a in _AXES:
+        spot = (F.col(a) - F.col(f"_a{a}")) / F.col("_side")
+        placed = placed.withColumn(f"_c{a}", F.floor(spot).cast("bigint")).withColumn(f"_f{a}", spot - F.col(f"_c{a}"))
+        low = F.when(F.col(f"_c{a}") > 0, F.col(f"_f{a}") + halo).otherwise(float("inf"))
+        high = F.when(F.col(f"_c{a}") < F.col(f"_l{a}"), 1 - F.col(f"_f{a}") + halo).otherwise(float("inf"))
+        reach = F.least(reach, low, high)
+    sent = placed.withColumn("reach", reach * F.col("_side")).withColumn("own", F.lit(True))
+    for a in _AXES:
+        steps = F.array_compact(F.array(F.lit(0), F.when(F.col(f"_f{a}") < halo, -1), F.when(F.col(f"_f{a}") > 1 - halo, 1)))
+        sent = sent.withColumn("_d", F.explode(steps)).withColumn(f"_c{a}", F.col(f"_c{a}") + F.col("_d")).withColumn("own", F.col("own") & (F.col("_d") == 0))
+    cell = ["unique_scene", *(f"_c{a}" for a in _AXES)]
+    held = sent.groupBy(*cell).agg(F.count("*").alias("_n"), F.bool_or("own").alias("_o")).where(F.col("_o") & (F.col("_n") <= most)).select(*cell)
+    kinds = dict(pts.dtypes)
+    return sent.select(*cell, "_id", *_AXES, "reach", "own").join(held, cell).groupBy(*cell).applyInArrow(_nearest_in_cells(k), f"unique_scene {kinds['unique_scene']}, _of {kinds['_id']}, _m double")
+
+
+def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, per_cell: int = 512, cell: float = 0.25, levels: int = 9) -> DataFrame:
     """The points whose mean distance to their k nearest neighbours is at most the scene's mean of these plus `spread` deviations. Scenes of two points
-    or fewer, or without deviation, stay whole.
+    or fewer, or without deviation, stay whole; ids are unique in their scene.
 
-    Each point looks in the smallest of the nested grids (cell, 2 cell, ...) whose cell about it holds more than k points, first through the cells
-    next to its own for neighbours within a cell's side. Those that find fewer than k there look through two cells in each direction, within two
-    sides, where k are, as the cell's diagonal is shorter; so the neighbours are exact. Points that no grid serves look through
-    their scene; few are left there, as a coarse cell holds them only if it holds at most k points."""
+    Each scene is cut into cells by its density; a cell gets the points around it, too, and most points find their k nearest there. The others, in
+    crowded cells or far from all others, look in the smallest of nested grids (cell, 2 cell, ...) whose cell about them holds more than k
+    points, through two cells in each direction, where k are, as the cell's diagonal is shorter; so the neighbours are exact. Points that no grid
+    serves look through their scene; few are left there, as a coarse cell holds them only if it holds at most k points."""
     k = max(2, k)
+    place, own = ["unique_scene", "level", "cx", "cy", "cz"], ["unique_scene", "_of"]
+    pts = points.select("unique_scene", F.col(id_).alias("_id"), *_AXES)
+    near = _near_means(pts, k, per_cell, 0.25, 16 * per_cell)
+    rest = pts.withColumnRenamed("_id", "_of").join(near.select(*own), own, "left_anti")
+    others = pts.join(rest.select("unique_scene").distinct(), "unique_scene", "left_semi")
     at = lambda level: [F.floor(F.col(a) / (cell * 2.0**level)).cast("bigint") for a in _AXES]
     spot = lambda level: F.struct(F.lit(level).alias("level"), *(v.alias(f"c{a}") for v, a in zip(at(level), _AXES, strict=True)))
-    pts = points.select("unique_scene", F.col(id_).alias("_id"), *_AXES)
-    spots = pts.select("*", F.explode(F.array(*map(spot, range(levels)))).alias("s")).select("unique_scene", "_id", *_AXES, "s.*")
-    place, own = ["unique_scene", "level", "cx", "cy", "cz"], ["unique_scene", "_of"]
+    spread_out = lambda df: df.select("*", F.explode(F.array(*map(spot, range(levels)))).alias("s")).select(*df.columns, "s.*")
+    spots = spread_out(others)
     full = spots.groupBy(*place).agg(F.count("*").alias("n")).where(F.col("n") > k)
-    chosen = spots.join(full.select(*place), place).groupBy("unique_scene", F.col("_id").alias("_of")).agg(F.min(F.struct("level", "cx", "cy", "cz", *(F.col(a).alias(f"_{a}") for a in _AXES))).alias("b")).select(*own, "b.*")
+    chosen = spread_out(rest).join(full.select(*place), place).groupBy(*own).agg(F.min(F.struct("level", "cx", "cy", "cz", *(F.col(a).alias(f"_{a}") for a in _AXES))).alias("b")).select(*own, "b.*")
     gaps = [(F.col(a) - F.col(f"_{a}")) for a in _AXES]
     squared = gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
     w = Window.partitionBy(*own).orderBy("d")
 
     def nearest(met: DataFrame) -> DataFrame:
         ranked = met.where("_of <> _id").select(*own, F.sqrt(squared).alias("d")).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-        return ranked.groupBy(*own).agg(F.avg("d").alias("_m"), F.count("*").alias("_k"))
-
-    def around(of: DataFrame, cells: int) -> DataFrame:
-        for a in _AXES:
-            of = of.withColumn("_d", F.explode(F.array(*map(F.lit, range(-cells, cells + 1))))).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).drop("_d")
-        side = F.lit(cell * cells) * F.pow(F.lit(2.0), F.col("level"))
-        return of.join(spots, place).where(squared <= side * side)
-
-    close = nearest(around(chosen, 1)).where(F.col("_k") == k)
-    wide = nearest(around(chosen.join(close.select(*own), own, "left_anti"), 2))
-    alone = pts.join(chosen.select("unique_scene", F.col("_of").alias("_id")), ["unique_scene", "_id"], "left_anti").select("unique_scene", F.col("_id").alias("_of"), *(F.col(a).alias(f"_{a}") for a in _AXES))
-    means = close.unionByName(wide).unionByName(nearest(alone.join(pts, "unique_scene"))).select("unique_scene", F.col("_of").alias(id_), "_m")
+        return ranked.groupBy(*own).agg(F.avg("d").alias("_m"))
+
+    around = chosen
+    for a in _AXES:
+        around = around.withColumn("_d", F.explode(F.array(*map(F.lit, range(-2, 3))))).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).drop("_d")
+    side = F.lit(2 * cell) * F.pow(F.lit(2.0), F.col("level"))
+    wide = nearest(around.join(spots, place).where(squared <= side * side))
+    alone = rest.join(chosen.select(*own), own, "left_anti").select(*own, *(F.col(a).alias(f"_{a}") for a in _AXES))
+    means = near.unionByName(wide).unionByName(nearest(alone.join(others, "unique_scene"))).select("unique_scene", F.col("_of").alias(id_), "_m")
     stats = means.groupBy("unique_scene").agg(F.avg("_m").alias("_mu"), F.stddev_pop("_m").alias("_sd"), F.count("*").alias("_n"))
     kept = points.join(means, ["unique_scene", id_], "left").join(stats, "unique_scene", "left")
     degenerate = F.coalesce((F.col("_n") <= 2) | (F.col("_sd") <= 1e-12), F.lit(True))
@@ -175,7 +232,7 @@ def _label_runs(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, i
 
 
 def _labelled(batches):
-    """For mapInArrow over runs sorted by scene, class, row and column; one image's runs are held at a time."""
+    """For mapInArrow over runs sorted by scene, class, strip, row and column; one strip's runs are held at a time."""
     names, at, held, schema = ["unique_scene", "cls", "row_idx", "a", "b", "first_row", "first_col", "area"], None, [], None
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -184,24 +241,47 @@ def _labelled(batches):
 
     for batch in batches:
         schema, rows = batch.schema, []
-        for scene, cls, *run in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            if (scene, cls) != at:
-                rows += [(*at, *r) for r in _label_runs(held)] if held else []
-                at, held = (scene, cls), []
+        for scene, cls, strip, *run in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            if (scene, cls, strip) != at:
+                rows += [(*at[:2], *r) for r in _label_runs(held)] if held else []
+                at, held = (scene, cls, strip), []
             held.append(tuple(run))
         yield table(rows)
     if held:
-        yield table([(*at, *r) for r in _label_runs(held)])
+        yield table([(*at[:2], *r) for r in _label_runs(held)])
+
+
+def _touching(runs: DataFrame, height: int, width: int = 1024) -> DataFrame:
+    """(unique_scene, cls, a, b): the components of neighbouring strips that touch, corners included; runs of the two rows at a border meet by the columns
+    of `width` pixels that they pass through."""
+    column = lambda low, high: F.explode(F.sequence(F.floor(low / width), F.floor(high / width)))
+    upper = runs.where((F.col("row_idx") + 1) % height == 0).select("unique_scene", "cls", (F.col("row_idx") + 1).alias("row_idx"), F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("part").alias("_part"), column(F.col("a") - 1, F.col("b") + 1).alias("_c"))
+    lower = runs.where(F.col("row_idx") % height == 0).select("unique_scene", "cls", "row_idx", "a", "b", "part", column(F.col("a"), F.col("b")).alias("_c"))
+    met = lower.join(upper, ["unique_scene", "cls", "row_idx", "_c"]).where("_a <= b + 1 and a <= _b + 1")
+    return met.select("unique_scene", "cls", F.col("part").alias("a"), F.col("_part").alias("b")).distinct()
 
 
-def components(masks: DataFrame) -> DataFrame:
+def components(masks: DataFrame, strip: int = 512) -> DataFrame:
     """The runs of each class mask (unique_scene, cls, row_idx, a to b) with the 8-connected component they belong to, named by its first pixel in row
-    order (first_row, first_col), and its area. Pixels become runs in Spark; one image's runs, at most half its pixels, are labelled together."""
+    order (first_row, first_col), and its area. Pixels become runs in Spark, runs of `strip` rows are labelled by one task, and components that touch
+    across strips are joined by their least, so that an image of any height is the work of many tasks. Rows and columns lie in -2**31 .. 2**31 - 1."""
     runs = _runs(masks.select("unique_scene", "cls", F.col("row_idx").cast("bigint").alias("row_idx"), F.col("col_idx").cast("bigint").alias("col_idx")).distinct())
-    types = dict(runs.dtypes)
-    schema = ", ".join(f"{c} {types[c]}" for c in ("unique_scene", "cls", "row_idx", "a", "b")) + ", first_row bigint, first_col bigint, area bigint"
-    dealt = runs.select("unique_scene", "cls", "row_idx", "a", "b").repartition("unique_scene", "cls").sortWithinPartitions("unique_scene", "cls", "row_idx", "a")
-    return dealt.mapInArrow(_labelled, schema)
+    types, keys = dict(runs.dtypes), ["unique_scene", "cls"]
+    schema = ", ".join(f"{c} {types[c]}" for c in (*keys, "row_idx", "a", "b")) + ", first_row bigint, first_col bigint, area bigint"
+    ordered = [*keys, "strip", "row_idx", "a", "b"]
+    dealt = runs.withColumn("strip", F.floor(F.col("row_idx") / strip)).select(*ordered).repartition(*ordered[:3]).sortWithinPartitions(*ordered[:5])
+    labelled = dealt.mapInArrow(_labelled, schema)
+    tall = masks.agg(F.min(F.floor(F.col("row_idx") / strip)).alias("low"), F.max(F.floor(F.col("row_idx") / strip)).alias("high")).first()
+    if tall.low == tall.high:
+        return labelled
+    part = F.shiftleft("first_row", 32) + F.col("first_col") + (1 << 31)  # in the order of rows, then columns
+    labelled = materialize(labelled.withColumn("part", part))
+    whole = least_reachable(_touching(labelled, strip), keys)
+    named = labelled.select(*keys, "part", "area").distinct().join(whole.withColumnRenamed("node", "part"), [*keys, "part"], "left").withColumn("least", F.coalesce("least", "part"))
+    named = named.join(named.groupBy(*keys, "least").agg(F.sum("area").alias("_all")), [*keys, "least"])
+    joined = labelled.join(named.select(*keys, "part", "least", "_all"), [*keys, "part"])
+    first_col = F.col("least").bitwiseAND((1 << 32) - 1) - (1 << 31)
+    return joined.select(*keys, "row_idx", "a", "b", F.shiftright("least", 32).alias("first_row"), first_col.alias("first_col"), F.col("_all").alias("area"))
 
 
 def min_area_components(masks: DataFrame, least: int) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions.names import aircraft_token, norm_name, scene_bag, scene_name
+from skyweave.operators.ranks import ranked
+
+#: Rows from the top that each task may hold and that may meet in one.
+TOP = 100_000
 
 
 def _apart(text: Column, left: str, right: str, by: str) -> Column:
@@ -105,10 +109,13 @@ def normalize_pose_records(records: DataFrame, require_final: bool = True) -> Da
 
 
 def page(rows: DataFrame, order: list[str], start: int = 0, most: int | None = None, seed: int | None = None) -> DataFrame:
-    """The rows from `start` on, at most `most`, by the order, or by a hash of it and the seed."""
-    by = order if seed is None else [F.xxhash64(F.lit(seed), *order), *order]
-    out = rows.orderBy(*by).offset(max(0, start))
-    return out if most is None else out.limit(most)
+    """The rows from `start` on, at most `most`, by the order, which has to be total, or by a hash of it and the seed. Few rows from the top are
+    picked by every task; else rows are ranked where they lie, and none but the page's own move on."""
+    by, start = order if seed is None else [F.xxhash64(F.lit(seed), *order), *order], max(0, start)
+    if most is not None and start + most <= TOP:
+        return rows.orderBy(*by).offset(start).limit(most)
+    at = F.col("_rank")
+    return ranked(rows, by, "_rank").where((at >= start) & (F.lit(True) if most is None else at < start + most)).drop("_rank")
 
 
 def int_set(text: str) -> list[int]:

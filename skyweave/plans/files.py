@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.plans.catalogue import query
 from skyweave.sources import text
 from skyweave.sources.relations import relation
-
-
-def _folder(spark: SparkSession) -> str:
-    """A new folder under the one that driver and executors share; a temporary one only where the session names none and is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="skyweave-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+from skyweave.sources.shared import new_folder
 
 
 _CLOUD = "select unique_scene, cast(row_number() over (partition by unique_scene order by row_idx, col_idx) - 1 as integer) as idx, x, y, z from px where is_aircraft"
@@ -32,28 +19,28 @@ def _aircraft(spark, sf_dir):
 
 @query(_CLOUD, "px")
 def pcd_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     text.write_pcd(_aircraft(spark, sf_dir), ["row_idx", "col_idx"], path)
     return text.scan_pcd(spark, path).select("unique_scene", "idx", "x", "y", "z")
 
 
 @query(_CLOUD, "px")
 def ply_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     text.write_ply(_aircraft(spark, sf_dir), ["row_idx", "col_idx"], path)
     return text.scan_ply(spark, path).select("unique_scene", "idx", "x", "y", "z")
 
 
 @query("select unique_scene, cast(row_number() over (partition by unique_scene order by line_no) - 1 as integer) as line_no, text from pose_label_lines", "pose_label_lines")
 def label_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     text.write_labels(relation(spark, sf_dir, "scene_meta"), relation(spark, sf_dir, "pose_label_lines"), path)
     return text.scan_label_lines(spark, path).select("unique_scene", "line_no", "text")
 
 
 @query("select kp_name, count(*) as n, format('{:.6f}', avg(error_l2_m)) as mean from kp_error where status = 'ok' group by 1", "kp_error")
 def report_file(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     report = relation(spark, sf_dir, "kp_error").where("status = 'ok'").groupBy("kp_name").agg(F.count("*").alias("n"), F.avg("error_l2_m").alias("mean"))
     text.write_report_csv(report, path)
     return spark.read.csv(path, header=True, schema="kp_name string, n bigint, mean string")
@@ -62,7 +49,7 @@ def report_file(spark, sf_dir):
 @query("select bag_stem, name, warning_level, x, sy, cast(0 as double) as rz from crop_boxes c join (select distinct bag_stem, profile from scene_meta) b on b.profile = c.profile", "scene_meta", "crop_boxes")
 def box_catalogue_files(spark, sf_dir):
     """One catalogue for each recording."""
-    path = _folder(spark)
+    path = new_folder(spark)
     boxes = relation(spark, sf_dir, "crop_boxes").join(relation(spark, sf_dir, "scene_meta").select("bag_stem", "profile").distinct(), "profile")
     value = F.to_json(F.collect_list(F.struct("name", "warning_level", "x", "y", "z", "sx", "sy", "sz")))
     boxes.groupBy(F.col("bag_stem").alias("unique_scene")).agg(value.alias("value")).write.partitionBy("unique_scene").text(path)
@@ -72,7 +59,7 @@ def box_catalogue_files(spark, sf_dir):
 
 @query("select unique_scene, kp_name, x, y, z from kp3d", "kp3d")
 def legend_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     line = F.format_string("%s: xyz=(%.6f, %.6f, %.6f)", "kp_name", "x", "y", "z")
     legends = relation(spark, sf_dir, "kp3d").select("unique_scene", F.col("kp_idx").alias("line_no"), line.alias("text"))
     text.write_labels(legends.select("unique_scene"), legends, path)
@@ -81,7 +68,7 @@ def legend_files(spark, sf_dir):
 
 @query("select unique_scene, cast(kp_idx as integer) as idx, kp_name as name from kp3d", "kp3d")
 def class_name_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     kps = relation(spark, sf_dir, "kp3d").select("unique_scene", F.col("kp_idx").cast("int").alias("line_no"), F.concat(F.lit("  - "), "kp_name").alias("text"))
     heads = kps.select("unique_scene").distinct()
     fixed = [(-3, "kind: pose"), (-2, "keypoints:"), (-1, "# first to last"), (1000, "other:"), (1001, "- not a name")]
@@ -103,7 +90,7 @@ def profile_keys(spark, sf_dir):
 
 @query("select unique_scene, cast(sum(length(text) + 1) as bigint) as length from pose_label_lines group by 1", "pose_label_lines")
 def list_files(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     text.write_labels(relation(spark, sf_dir, "scene_meta"), relation(spark, sf_dir, "pose_label_lines"), path)
     return text.list_files(spark, path, "*.{txt,TXT}").where("length > 1").select(text.scene_of(F.col("path")).alias("unique_scene"), "length")
 
@@ -111,7 +98,7 @@ def list_files(spark, sf_dir):
 @query("select bag_stem, cast(count(*) as varchar) as n_scenes, 'train' as split from scene_meta group by 1", "scene_meta")
 def commented_csv_files(spark, sf_dir):
     """A file for each recording, with remarks before the header and blanks around the values."""
-    path = _folder(spark)
+    path = new_folder(spark)
     bags = relation(spark, sf_dir, "scene_meta").groupBy("bag_stem").agg(F.count("*").cast("string").alias("n"))
     lines = F.array(F.lit("# recordings"), F.lit("# and their scenes"), F.lit("bag_stem, n_scenes ,split"), F.concat(F.lit(" "), "bag_stem", F.lit(" , "), "n", F.lit(", train ")))
     rows = bags.select(F.col("bag_stem").alias("unique_scene"), F.posexplode(lines).alias("line_no", "text"))
@@ -123,7 +110,7 @@ def commented_csv_files(spark, sf_dir):
 k as (select replace(profile, '_', '-') as profile, profile as key, bag_stem from r where rn = 1) select key, bag_stem from k union all select replace(bag_stem, '-', '_'), bag_stem from (select distinct bag_stem from scene_meta) b""", "scene_meta")
 def profile_files(spark, sf_dir):
     """One table of all recordings, in order; keys are its profiles and recordings."""
-    path = _folder(spark)
+    path = new_folder(spark)
     bags = relation(spark, sf_dir, "scene_meta").select("bag_stem", "profile").distinct()
     line = F.concat_ws(",", "bag_stem", F.replace("profile", F.lit("_"), F.lit("-")), F.concat(F.lit("B"), "bag_stem"))
     table = bags.select(F.lit("profiles").alias("unique_scene"), F.concat(F.lit("1"), "bag_stem").alias("line_no"), line.alias("text"))
@@ -138,7 +125,7 @@ _PX = "select unique_scene, row_idx, col_idx, x, y, z, range_m as range, is_grou
 @query(_PX, "px")
 def px_files(spark, sf_dir):
     """Columns named freely, the mask as a number; and some rows without a place, which are left out."""
-    path = _folder(spark)
+    path = new_folder(spark)
     px = relation(spark, sf_dir, "px").selectExpr("unique_scene as Unique_Scene", "row_idx", "col_idx", "x as `X `", "y as Y", "z as ` z`", "range_m as RANGE", "cast(is_ground as double) * 0.7 as Is_Ground", "if(is_aircraft, 0.9D, 0.4D) as Aircraft_Mask")
     px.unionByName(px.where("row_idx = 0").withColumn("Y", F.lit(float("nan")))).write.parquet(path)
     return text.scan_px(spark, path).select("unique_scene", "row_idx", "col_idx", "x", "y", "z", "range", "is_ground", "is_aircraft")
@@ -146,7 +133,7 @@ def px_files(spark, sf_dir):
 
 @query(_PX, "px")
 def px_files_without_names(spark, sf_dir):
-    path = _folder(spark)
+    path = new_folder(spark)
     parts = ("x", "y", "z", "range_m", "intensity", "reflectivity", "0D", "cast(is_ground as double)", "cast(is_aircraft as double)")
     relation(spark, sf_dir, "px").selectExpr("unique_scene", "row_idx", "col_idx", f"array({', '.join(parts)}) as values").write.parquet(path)
     return text.scan_px(spark, path).select("unique_scene", "row_idx", "col_idx", "x", "y", "z", "range", "is_ground", "is_aircraft")

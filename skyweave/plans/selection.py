@@ -101,6 +101,11 @@ def page(spark, sf_dir):
     return selection.page(relation(spark, sf_dir, "detections").select("det_idx", "unique_scene"), ["det_idx"], 25, 40)
 
 
+@query("select det_idx, unique_scene from detections order by det_idx offset 300", "detections")
+def page_to_the_end(spark, sf_dir):
+    return selection.page(relation(spark, sf_dir, "detections").select("det_idx", "unique_scene"), ["det_idx"], 300)
+
+
 @query("select unique_scene, det_idx, cls from detections where cls in (1, 3)", "detections")
 def class_filter(spark, sf_dir):
     return selection.class_filter(relation(spark, sf_dir, "detections").select("unique_scene", "det_idx", "cls"), "3, 1,3")

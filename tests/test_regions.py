@@ -87,3 +87,66 @@ def test_markers_pages_and_class_lists(spark):
     assert selection.int_set("3, 1,3,") == [3, 1] and selection.class_ids("a:1,b: 2") == {"a": 1, "b": 2}
     with pytest.raises(ValueError, match="1 to 255"):
         selection.class_ids("a:0")
+
+
+@pytest.mark.parametrize("strip", [1, 2, 3, 7, 512])
+def test_components_across_strips(spark, strip):
+    """Random pictures, a spiral and a long diagonal against a flood fill, whatever the strips."""
+    rng = random.Random(strip)
+    pictures = {f"p{i}": {(rng.randint(-4, 24), rng.randint(-9, 15)) for _ in range(rng.choice([60, 200, 330]))} for i in range(6)}
+    spiral, r, c, dr, dc = set(), 0, 0, 0, 1
+    for side in range(20, 0, -2):
+        for _ in range(2):
+            for _ in range(side):
+                spiral.add((r, c))
+                r, c = r + dr, c + dc
+            dr, dc = dc, -dr
+    pictures |= {"spiral": spiral, "diagonal": {(i, 2000 - i) for i in range(60)}, "wide": {(i % 2, j) for i in range(1, 5) for j in range(1500)}}
+    df = spark.createDataFrame([(s, 1, r, c) for s, px in pictures.items() for r, c in px], "unique_scene string, cls int, row_idx int, col_idx int")
+    want = {}
+    for s, px in pictures.items():
+        left = set(px)
+        while left:
+            stack, held = [min(left)], set()
+            left -= {stack[0]}
+            while stack:
+                r, c = stack.pop()
+                held.add((r, c))
+                near = {(r + i, c + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & left
+                left -= near
+                stack += near
+            want |= {(s, *p): (*min(held), len(held)) for p in held}
+    got = {(x.unique_scene, x.row_idx, c): (x.first_row, x.first_col, x.area) for x in regions.components(df, strip).collect() for c in range(x.a, x.b + 1)}
+    assert got == want
+
+
+def test_neighbours_in_crowded_and_lonely_cells(spark):
+    """Points that cells can't serve, because they are crowded or alone, have the same neighbours as by all distances."""
+    rng = random.Random(9)
+    rows = [("a", i, *(rng.gauss(0, 0.01) for _ in range(3))) for i in range(200)] + [("a", 200 + i, *(rng.uniform(-50, 50) for _ in range(3))) for i in range(60)]
+    rows += [("flat", i, rng.uniform(0, 9), rng.uniform(0, 9), 0.0) for i in range(150)] + [("line", i, 0.1 * i * i, 0.0, 0.0) for i in range(80)]
+    df = spark.createDataFrame(rows, POINT)
+    plain = regions.knn_outlier(df, "idx", 5, 1.0, per_cell=10**6)
+    for per_cell in (1, 4, 30):
+        found = regions.knn_outlier(df, "idx", 5, 1.0, per_cell=per_cell)
+        assert sorted((r.unique_scene, r.idx) for r in found.collect()) == sorted((r.unique_scene, r.idx) for r in plain.collect())
+    pts = df.select("unique_scene", df.idx.alias("_id"), "x", "y", "z")
+    means = {(r.unique_scene, r._of): r._m for r in regions._near_means(pts, 5, 30, 0.25, 480).collect()}
+    assert len(means) > 100
+    for (scene, i), m in means.items():
+        p = next(r for r in rows if r[:2] == (scene, i))
+        d = sorted(sum((p[k] - q[k]) ** 2 for k in (2, 3, 4)) ** 0.5 for q in rows if q[0] == scene and q[1] != i)[:5]
+        assert m == pytest.approx(sum(d) / 5, abs=1e-9)
+
+
+def test_ranks_and_pages(spark):
+    rows = [(i * 7919 % 1009, f"v{i}") for i in range(1009)]
+    df = spark.createDataFrame(rows, "n int, v string").repartition(5)
+    want = sorted(rows)
+    assert [tuple(r) for r in selection.page(df, ["n"], 400).orderBy("n").collect()] == want[400:]
+    assert [tuple(r) for r in selection.page(df, ["n"], 5, 10).collect()] == want[5:15]
+    assert selection.page(df, ["n"], 2000).count() == 0 and selection.page(df.limit(0), ["n"], 3).count() == 0
+    plan = selection.page(df, ["n"], 400)._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and "CollectLimit" not in plan
+    deep = selection.page(df, ["n"], 10, 200_000)
+    assert [r.n for r in deep.orderBy("n").collect()] == [n for n, _ in want[10:]]
