@@ -20,6 +20,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,9 +33,9 @@ from skyweave.llm.common import materialize
 
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of texts that are aligned at once; about 150 bytes of memory each.
-BLOCK_CHARS = 1_500_000
-#: Bounds of the table of parts that a worker remembers: entries, and characters of one of them.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 32
+BLOCK_CHARS = 1_000_000
+#: Bounds of the table of parts that a worker remembers: entries, and characters of one of them. New parts are encoded so many together.
+REMEMBERED, REMEMBERED_CHARS, TOGETHER = 120_000, 32, 512
 #: A single space that no token reaches across: what stands on its sides is no white space.
 _LEFT = re.compile(r"(?<=[\w.,;:!?)\]'\"%]) ")
 _CUT = re.compile(_LEFT.pattern + r"(?=[\w(\['\"])")
@@ -76,15 +77,47 @@ class Encoders:
         self.names = [np.array([f"{i}{mark}" for i in range(len(own))], object) for own, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for mark in marks]
         self.known: dict[str, tuple[list[int], list[int], bool]] = {}
 
+    def _alone(self, part: str) -> tuple[list[int], list[int], bool]:
+        a, b = self.a.encode(" " + part, add_special_tokens=False).ids, self.b.encode(part)
+        own = b" " + part.encode()
+        return a, b, b"".join(map(self.a_bytes.__getitem__, a)) == own and b"".join(map(self.b_bytes.__getitem__, b)) == own
+
+    def _together(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]] | None:
+        """Parts encoded as one text and cut at their ends; None where bytes differ, or where the text wouldn't be cut into these parts."""
+        line = " ".join(parts)
+        if _CUT.split(line) != parts:
+            return None
+        whole = b" " + line.encode()
+        upto = np.cumsum([len(p.encode()) + 1 for p in parts])
+        sides = []
+        for ids, entries, sizes in ((self.a.encode(" " + line, add_special_tokens=False).ids, self.a_bytes, self.a_sizes), (self.b.encode(line), self.b_bytes, self.b_sizes)):
+            if b"".join(map(entries.__getitem__, ids)) != whole:
+                return None
+            ends = np.searchsorted(np.cumsum(sizes[ids]), upto) + 1
+            sides.append([ids[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)])
+        return [(a, b, True) for a, b in zip(*sides, strict=True)]
+
+    def _in_groups(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]]:
+        found = self._together(parts)
+        if found is not None:
+            return found
+        if len(parts) <= 8:
+            return [self._alone(p) for p in parts]
+        step = len(parts) // 8
+        return [x for i in range(0, len(parts), step) for x in self._in_groups(parts[i : i + step])]
+
     def encode(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]]:
         """For each part, of which a text is made by single spaces: its ids on both sides, and whether their bytes are a space and the part."""
-        unknown = [p for p in parts if p not in self.known]
-        found = dict(zip(unknown, zip([e.ids for e in self.a.encode_batch([" " + p for p in unknown], add_special_tokens=False)], self.b.encode(unknown, num_threads=1), strict=True), strict=True))
-        new = {p: (a, b, b"".join(map(self.a_bytes.__getitem__, a)) == (own := b" " + p.encode()) == b"".join(map(self.b_bytes.__getitem__, b)) == own) for p, (a, b) in found.items()}
+        unknown, new = [p for p in parts if p not in self.known], {}
+        for i in range(0, len(unknown), TOGETHER):
+            some = unknown[i : i + TOGETHER]
+            new.update(zip(some, self._in_groups(some), strict=True))
         out = [new[p] if p in new else self.known[p] for p in parts]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        self.known.update((p, v) for p, v in new.items() if len(p) <= REMEMBERED_CHARS)
+        for p, v in new.items():
+            if len(self.known) >= REMEMBERED:
+                break
+            if len(p) <= REMEMBERED_CHARS:
+                self.known[p] = v
         return out
 
 
@@ -97,7 +130,7 @@ def encoders(side_a: str = SIDE_A, side_b: str = SIDE_B) -> Encoders:
 def _laid_out(ids: list[list[int]], use: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
     """The tokens of the parts in use, one after another: document, byte start, id, place."""
     count = np.array([len(i) for i in ids], np.int64)
-    flat = np.fromiter((x for i in ids for x in i), np.int64, int(count.sum()))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(count.sum()))
     n = count[use]
     begin = (np.cumsum(count) - count)[use]
     at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -161,7 +194,7 @@ def _aligned(pieces: list[Piece], block: int, tools: Encoders) -> pa.RecordBatch
     encoded = tools.encode(list(place))
     sound = np.array([e[2] for e in encoded], bool)
     used = [u if piece.digest is not None or sound[u].all() else [] for piece, u in zip(pieces, used, strict=True)]  # long texts are known to be sound
-    use = np.array([x for u in used for x in u], np.int64)
+    use = np.fromiter(chain.from_iterable(used), np.int64, sum(map(len, used)))
     doc = np.repeat(np.arange(len(pieces)), np.array([len(u) for u in used], np.int64))
     a, b = (_laid_out([e[side] for e in encoded], use, doc, sizes) for side, sizes in enumerate((tools.a_sizes, tools.b_sizes)))
     i, j = overlaps(a, b)
