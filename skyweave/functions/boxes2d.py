@@ -33,6 +33,28 @@ def clip_xyxy(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, hei
     return F.when((c > a) & (d > b), F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2")))
 
 
+def clip_swapped(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column) -> list[Column]:
+    """Corners moved into the image as whole pixels, and put in order."""
+    a, c = (F.greatest(F.least(v, F.lit(width) - 1), F.lit(0)).cast("int") for v in (x1, x2))
+    b, d = (F.greatest(F.least(v, F.lit(height) - 1), F.lit(0)).cast("int") for v in (y1, y2))
+    known = x1.isNotNull() & y1.isNotNull() & x2.isNotNull() & y2.isNotNull()
+    return [F.when(known, v) for v in (F.least(a, c), F.least(b, d), F.greatest(a, c), F.greatest(b, d))]
+
+
+def normal_xyxy(x1: Column, y1: Column, x2: Column, y2: Column, width: Column, height: Column, least: float = 2.0) -> Column:
+    """The box with its corners in order and inside the image, as a struct: a side shorter than `least` grows to it about its middle, as far as the image
+    goes. Null if a side is left without length."""
+    ends = []
+    for low, high, size in ((x1, x2, width), (y1, y2, height)):
+        last = F.lit(size) - 1.0
+        a, b = (F.greatest(F.lit(0.0), F.least(last, v)) for v in (F.least(low, high), F.greatest(low, high)))
+        middle, short = 0.5 * (a + b), b - a < least
+        ends.append((F.when(short, F.greatest(F.lit(0.0), middle - least / 2)).otherwise(a), F.when(short, F.least(last, middle + least / 2)).otherwise(b)))
+    (a, c), (b, d) = ends
+    known = x1.isNotNull() & y1.isNotNull() & x2.isNotNull() & y2.isNotNull()
+    return F.when(known & (c > a) & (d > b), F.struct(a.alias("x1"), b.alias("y1"), c.alias("x2"), d.alias("y2")))
+
+
 def clip_xywhn(cx: Column, cy: Column, w: Column, h: Column) -> Column:
     """The normalised box cut to the image as a struct, null if nothing is left."""
     a, b = F.greatest(cx - w / 2, F.lit(0.0)), F.greatest(cy - h / 2, F.lit(0.0))

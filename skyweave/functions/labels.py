@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skyweave.functions.boxes2d import clip_swapped
+
 _KP = "array<struct<x:double,y:double,v:int>>"
 
 
@@ -43,6 +45,27 @@ def _pose(text: Column, numbers: Column) -> Column:
     return F.struct(at(F.lit(0)).cast("int").alias("cls"), *(at(F.lit(i)).alias(k) for i, k in enumerate(("cx", "cy", "w", "h"), 1)), F.when(good, kps.cast(_KP)).alias("kps"), F.when(text.isNull(), "no line").otherwise(error).alias("error"))
 
 
+def parse_pose_line_px(text: Column, width: Column | int, height: Column | int) -> Column:
+    """A pose line in pixels, as a viewer reads it: struct cls, x1, y1, x2, y2 (whole pixels inside the image), kps (array of x, y, v) and error. Values up
+    to 1 are shares of the image, greater ones pixels. Keypoints are triplets, else pairs, which are visible."""
+    return _once(_numbers(text), lambda numbers: _pose_px(text, numbers, F.lit(width), F.lit(height)))
+
+
+def _pose_px(text: Column, numbers: Column, width: Column, height: Column) -> Column:
+    n = F.size(numbers)
+    rest = n - 5
+    error = F.when(n < 5, "too few fields").when((rest % 3 != 0) & (rest % 2 != 0), "keypoints are neither triplets nor pairs").when(F.exists(numbers, lambda x: x.isNull()), "not a number")
+    good = F.coalesce(error.isNull() & text.isNotNull(), F.lit(False))
+    px = lambda i, size: F.when(F.get(numbers, i) <= 1, F.get(numbers, i) * size).otherwise(F.get(numbers, i))
+    cx, cy, w, h = (px(F.lit(i), size) for i, size in enumerate((width, height, width, height), 1))
+    corners = clip_swapped(F.rint(cx - w / 2), F.rint(cy - h / 2), F.rint(cx + w / 2), F.rint(cy + h / 2), width, height)
+    by = F.when(rest % 3 == 0, 3).otherwise(2)
+    steps = F.when(good & (rest > 0), F.sequence(F.lit(0), F.floor(rest / by).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+    kps = F.transform(steps, lambda i: F.struct(px(5 + by * i, width).alias("x"), px(6 + by * i, height).alias("y"), F.when(by == 3, F.get(numbers, 7 + by * i)).otherwise(1.0).alias("v")))
+    at = lambda v: F.when(good, v)
+    return F.struct(at(F.rint(F.get(numbers, 0)).cast("int")).alias("cls"), *(at(v).alias(k) for k, v in zip(("x1", "y1", "x2", "y2"), corners, strict=True)), at(kps).alias("kps"), F.when(text.isNull(), "no line").otherwise(error).alias("error"))
+
+
 def format_pose_line(label: Column) -> Column:
     """The line of a pose label, six decimals; hidden keypoints are written as zeros. Null for a label with an error."""
     shown = lambda k: F.when(k["v"] > 0, F.format_string("%.6f %.6f %d", k["x"], k["y"], k["v"])).otherwise("0.000000 0.000000 0")
