@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyweave.plans.catalogue import query
-from skyweave.sources import text
+from skyweave.sources import clouds, text
 from skyweave.sources.relations import relation
 from skyweave.sources.shared import new_folder
 
@@ -31,6 +31,30 @@ def ply_files(spark, sf_dir):
     return text.scan_ply(spark, path).select("unique_scene", "idx", "x", "y", "z")
 
 
+_MARKED = f"""c as ({_CLOUD}), n as (select unique_scene, count(*) as n from c group by 1), k as (select p.*, n, row_number() over (partition by p.unique_scene order by kp_name) - 1 as i from kp3d p join n on n.unique_scene = p.unique_scene),
+pal as (select unnest(range(10)) as i, unnest([{', '.join(map(str, (c[0] for c in clouds.PALETTE)))}]) as red, unnest([{', '.join(map(str, (c[1] for c in clouds.PALETTE)))}]) as green, unnest([{', '.join(map(str, (c[2] for c in clouds.PALETTE)))}]) as blue)"""
+
+
+def _written(spark, sf_dir) -> str:
+    path = new_folder(spark)
+    clouds.write_marked_ply(_aircraft(spark, sf_dir), ["row_idx", "col_idx"], relation(spark, sf_dir, "kp3d").select("unique_scene", "kp_name", "x", "y", "z"), path)
+    return path
+
+
+@query(f"with {_MARKED} select unique_scene, count(*) as n, count(*) filter (red = 145 and green = 145) as n_grey, round(sum(x), 3) as x, sum(cast(red as bigint)) as red, sum(cast(green as bigint)) as green, sum(cast(blue as bigint)) as blue, max(idx) as last from (select unique_scene, idx, x, 145 as red, 145 as green, 145 as blue from c union all select unique_scene, cast(n + k.i * 19 + m as integer), x, red, green, blue from k join pal on pal.i = k.i % 10 cross join range(19) r(m)) v group by 1", "px", "kp3d")
+def marked_clouds(spark, sf_dir):
+    """Coloured clouds with markers, written and read back."""
+    read = text.scan_ply(spark, f"{_written(spark, sf_dir)}/clouds")
+    sums = [F.sum(c).alias(c) for c in ("red", "green", "blue")]
+    return read.groupBy("unique_scene").agg(F.count("*").alias("n"), F.count_if((F.col("red") == 145) & (F.col("green") == 145)).alias("n_grey"), F.round(F.sum("x"), 3).alias("x"), *sums, F.max("idx").alias("last"))
+
+
+@query(f"with {_MARKED} select unique_scene, kp_name, x, y, z from k", "px", "kp3d")
+def marked_legends(spark, sf_dir):
+    read = text.read_legend(spark, f"{_written(spark, sf_dir)}/legends")
+    return read.select(text.scene_of(F.col("path")).alias("unique_scene"), "kp_name", "x", "y", "z")
+
+
 @query("select unique_scene, cast(row_number() over (partition by unique_scene order by line_no) - 1 as integer) as line_no, text from pose_label_lines", "pose_label_lines")
 def label_files(spark, sf_dir):
     path = new_folder(spark)

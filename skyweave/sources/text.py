@@ -1,7 +1,7 @@
 """Text formats: point clouds, label files, name lists, catalogues and reports, read and written by Spark.
 
-Files are read whole, one row each, so that a file has to fit in a task and under 2 GB, and taken apart with column expressions; they are written in folders by scene, so that any
-number of tasks can write them. Every reader gives `path`.
+Point clouds are read line by line, so that a file may have any size; other files are read whole, one row each, so that one has to fit in a task and under
+2 GB. All are taken apart with column expressions, and written in folders by scene, so that any number of tasks can write them. Every reader gives `path`.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyweave.functions.names import norm_name, split_from_path
+from skyweave.sources.clouds import cloud_lines
 
 # Headers of the formats.
 PCD_HEAD = "# .PCD v0.7 - Point Cloud Data file format\nVERSION 0.7\nFIELDS x y z\nSIZE 4 4 4\nTYPE F F F\nCOUNT 1 1 1\nWIDTH {n}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {n}\nDATA ascii"
@@ -62,24 +63,22 @@ def scene_of(path: Column) -> Column:
 
 
 def _cloud(spark: SparkSession, root: str, glob: str, count: str, start: str, readable: str) -> DataFrame:
-    files = _whole(spark, root, glob)
-    n = F.regexp_extract("value", count, 1).try_cast("int")
-    body = F.regexp_extract("value", f"{start}([\\s\\S]*)", 1)
-    good = F.col("value").rlike(readable)
-    rows = files.select("path", F.when(good, n).alias("n"), F.when(good, F.filter(F.split(body, r"\r?\n"), lambda s: F.trim(s) != "")).alias("lines"), F.when(~good, "not an ascii file").alias("error"))
-    each = rows.select("path", "n", "error", F.posexplode_outer("lines").alias("idx", "line")).where("idx is null or n is null or idx < n")
-    number = lambda i: F.get(F.split(F.trim("line"), r"\s+"), i).try_cast("double")
-    return each.where("error is not null or idx is not null").select("path", scene_of(F.col("path")).alias("unique_scene"), "idx", *(number(i).alias(k) for i, k in enumerate("xyz")), "error")
+    fields = F.split("line", r"\s+")
+    number = lambda i: F.get(fields, i).try_cast("double")
+    return cloud_lines(spark, root, glob, count, start, readable).select("path", scene_of(F.col("path")).alias("unique_scene"), "idx", *(number(i).alias(k) for i, k in enumerate("xyz")), "error", F.col("line").alias("_line"))
 
 
 def scan_pcd(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Points (path, unique_scene, idx, x, y, z) of ASCII point clouds, no more of a file than its header counts; other files have one row with an error."""
-    return _cloud(spark, root, glob, r"(?im)^\s*points\s+(\d+)", r"(?im)^\s*data[^\n]*ascii[^\n]*\n", r"(?im)^\s*data[^\n]*ascii")
+    """Points (path, unique_scene, idx, x, y, z) of ASCII point clouds, no more of a file than its header counts; other files have one row with an error. A
+    file of any size is read by many tasks."""
+    return _cloud(spark, root, glob, r"(?i)^points\s+(\d+)", r"(?i)^data.*ascii", r"(?i)^data.*ascii").drop("_line")
 
 
 def scan_ply(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """As scan_pcd, for ASCII polygon files: their vertices."""
-    return _cloud(spark, root, glob, r"(?im)^\s*element\s+vertex\s+(\d+)", r"(?im)^\s*end_header[^\n]*\n", r"(?im)^\s*format\s+ascii")
+    """As scan_pcd, for ASCII polygon files: their vertices, with red, green and blue where a vertex has six numbers."""
+    colour = lambda i: F.get(F.split("_line", r"\s+"), i).try_cast("int")
+    found = _cloud(spark, root, glob, r"(?i)^element\s+vertex\s+(\d+)", r"(?i)^end_header", r"(?i)^format\s+ascii")
+    return found.withColumns({k: colour(i) for i, k in enumerate(("red", "green", "blue"), 3)}).drop("_line")
 
 
 def _write_by_scene(lines: DataFrame, order: list[str], path: str) -> None:
