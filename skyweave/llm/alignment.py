@@ -20,7 +20,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,11 +33,11 @@ from skyweave.llm.common import materialize
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of texts that are aligned at once; about 150 bytes of memory each.
 BLOCK_CHARS = 1_000_000
-#: Bounds of the table of parts that a worker remembers: entries, and characters of one of them. New parts are encoded so many together.
-REMEMBERED, REMEMBERED_CHARS, TOGETHER = 120_000, 32, 512
+#: Bounds of the table of parts that a worker remembers: entries and their characters. New parts are encoded so many together.
+REMEMBERED, REMEMBERED_CHARS, TOGETHER = 400_000, 8_000_000, 512
 #: A single space that no token reaches across: what stands on its sides is no white space.
-_LEFT = re.compile(r"(?<=[\w.,;:!?)\]'\"%]) ")
-_CUT = re.compile(_LEFT.pattern + r"(?=[\w(\['\"])")
+_LEFT = re.compile(r"(?<=[\w!-~]) ")
+_CUT = re.compile(_LEFT.pattern + r"(?=[\w!-~])")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -53,7 +52,8 @@ def _piece_bytes(piece: str) -> bytes:
 
 
 class Encoders:
-    """Both tokenizers with the bytes of their entries, and the parts that they have encoded."""
+    """Both tokenizers with the bytes of their entries, and the parts that they have encoded, in the order of `known`: the ids on both sides one after
+    another, where each part's begin, and whether their bytes are a space and the part."""
 
     def __init__(self, side_a: str, side_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -75,50 +75,55 @@ class Encoders:
         self.b_bytes = [_piece_bytes(p) for p in pieces]
         self.a_sizes, self.b_sizes = (np.array([len(e) for e in own]) for own in (self.a_bytes, self.b_bytes))
         self.names = [np.array([f"{i}{mark}" for i in range(len(own))], object) for own, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for mark in marks]
-        self.known: dict[str, tuple[list[int], list[int], bool]] = {}
+        self.forget()
 
-    def _alone(self, part: str) -> tuple[list[int], list[int], bool]:
-        a, b = self.a.encode(" " + part, add_special_tokens=False).ids, self.b.encode(part)
-        own = b" " + part.encode()
-        return a, b, b"".join(map(self.a_bytes.__getitem__, a)) == own and b"".join(map(self.b_bytes.__getitem__, b)) == own
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.begins, self.sound, self.chars = [np.zeros(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2, np.zeros(0, bool), 0
 
-    def _together(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]] | None:
-        """Parts encoded as one text and cut at their ends; None where bytes differ, or where the text wouldn't be cut into these parts."""
+    def _encoded(self, text: str) -> list[list[int]]:
+        return [self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)]
+
+    def _alike(self, ids: list[list[int]], text: bytes) -> bool:
+        return all(b"".join(map(entries.__getitem__, own)) == text for own, entries in zip(ids, (self.a_bytes, self.b_bytes), strict=True))
+
+    def _encode(self, parts: list[str]) -> list[tuple[list[list[int]], list[np.ndarray], bool]]:
+        """Ids of both sides, their numbers in each part, and whether their bytes are the texts: of parts encoded as one text and cut at their ends, or in smaller
+        groups where bytes differ or the text wouldn't be cut into these parts."""
         line = " ".join(parts)
-        if _CUT.split(line) != parts:
-            return None
-        whole = b" " + line.encode()
-        upto = np.cumsum([len(p.encode()) + 1 for p in parts])
-        sides = []
-        for ids, entries, sizes in ((self.a.encode(" " + line, add_special_tokens=False).ids, self.a_bytes, self.a_sizes), (self.b.encode(line), self.b_bytes, self.b_sizes)):
-            if b"".join(map(entries.__getitem__, ids)) != whole:
-                return None
-            ends = np.searchsorted(np.cumsum(sizes[ids]), upto) + 1
-            sides.append([ids[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)])
-        return [(a, b, True) for a, b in zip(*sides, strict=True)]
-
-    def _in_groups(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        found = self._together(parts)
-        if found is not None:
-            return found
-        if len(parts) <= 8:
-            return [self._alone(p) for p in parts]
-        step = len(parts) // 8
-        return [x for i in range(0, len(parts), step) for x in self._in_groups(parts[i : i + step])]
-
-    def encode(self, parts: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """For each part, of which a text is made by single spaces: its ids on both sides, and whether their bytes are a space and the part."""
-        unknown, new = [p for p in parts if p not in self.known], {}
-        for i in range(0, len(unknown), TOGETHER):
-            some = unknown[i : i + TOGETHER]
-            new.update(zip(some, self._in_groups(some), strict=True))
-        out = [new[p] if p in new else self.known[p] for p in parts]
-        for p, v in new.items():
-            if len(self.known) >= REMEMBERED:
-                break
-            if len(p) <= REMEMBERED_CHARS:
-                self.known[p] = v
-        return out
+        if len(parts) == 1 or _CUT.split(line) == parts:
+            ids, own = self._encoded(line), [p.encode() for p in parts]
+            if self._alike(ids, b" " + b" ".join(own)):
+                upto = np.cumsum([len(p) + 1 for p in own])
+                places = [np.searchsorted(np.cumsum(sizes[i]), upto) + 1 for i, sizes in zip(ids, (self.a_sizes, self.b_sizes), strict=True)]
+                return [(ids, [np.diff(x, prepend=0) for x in places], True)]
+            if len(parts) == 1:
+                return [(ids, [np.array([len(i)]) for i in ids], False)]
+        step = max(1, len(parts) // 8)
+        return [x for i in range(0, len(parts), step) for x in self._encode(parts[i : i + step])]
+
+    def slots(self, parts: list[str]) -> np.ndarray:
+        """The places of parts, of which a text is made by single spaces, among the known; they hold until the next call."""
+        distinct = dict.fromkeys(parts)
+        new = [p for p in distinct if p not in self.known]
+        chars = sum(map(len, new))
+        if len(self.known) + len(new) > REMEMBERED or self.chars + chars > REMEMBERED_CHARS:
+            self.forget()
+            new = list(distinct)
+            chars = sum(map(len, new))
+        found = [x for i in range(0, len(new), TOGETHER) for x in self._encode(new[i : i + TOGETHER])]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.chars += chars
+        for side in (0, 1):
+            self.ids[side] = np.concatenate([self.ids[side], *(np.array(ids[side], np.int64) for ids, _, _ in found)])
+            counts = np.concatenate([np.zeros(0, np.int64), *(n[side] for _, n, _ in found)])
+            self.begins[side] = np.concatenate([self.begins[side], self.begins[side][-1] + np.cumsum(counts)])
+        self.sound = np.concatenate([self.sound, *(np.full(len(n[0]), good) for _, n, good in found)])
+        return np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+
+    def all_sound(self, parts: list[str]) -> bool:
+        slot = self.slots(parts)
+        return bool(self.sound[slot].all())
 
 
 @lru_cache(1)
@@ -127,14 +132,12 @@ def encoders(side_a: str = SIDE_A, side_b: str = SIDE_B) -> Encoders:
     return Encoders(side_a, side_b)
 
 
-def _laid_out(ids: list[list[int]], use: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
-    """The tokens of the parts in use, one after another: document, byte start, id, place."""
-    count = np.array([len(i) for i in ids], np.int64)
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, int(count.sum()))
-    n = count[use]
-    begin = (np.cumsum(count) - count)[use]
+def _laid_out(tools: Encoders, side: int, slot: np.ndarray, doc: np.ndarray) -> pd.DataFrame:
+    """The tokens of parts, one after another: document, byte start and end, id, place."""
+    begins, sizes = tools.begins[side], (tools.a_sizes, tools.b_sizes)[side]
+    begin, n = begins[slot], begins[slot + 1] - begins[slot]
     at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    token = flat[at]
+    token = tools.ids[side][at]
     end = np.cumsum(sizes[token])
     return pd.DataFrame({"doc": np.repeat(doc, n), "start": end - sizes[token], "end": end, "id": token, "place": np.arange(len(token))})
 
@@ -189,14 +192,11 @@ class Piece:
 
 def _aligned(pieces: list[Piece], block: int, tools: Encoders) -> pa.RecordBatch:
     """A block's row: counts of its texts, its distinct id pairs with their numbers of links, and the pair of each link, by document."""
-    place: dict[str, int] = {}
-    used = [[place.setdefault(p, len(place)) for p in piece.parts] for piece in pieces]
-    encoded = tools.encode(list(place))
-    sound = np.array([e[2] for e in encoded], bool)
-    used = [u if piece.digest is not None or sound[u].all() else [] for piece, u in zip(pieces, used, strict=True)]  # long texts are known to be sound
-    use = np.fromiter(chain.from_iterable(used), np.int64, sum(map(len, used)))
-    doc = np.repeat(np.arange(len(pieces)), np.array([len(u) for u in used], np.int64))
-    a, b = (_laid_out([e[side] for e in encoded], use, doc, sizes) for side, sizes in enumerate((tools.a_sizes, tools.b_sizes)))
+    slot = tools.slots([p for piece in pieces for p in piece.parts])
+    doc = np.repeat(np.arange(len(pieces)), np.array([len(piece.parts) for piece in pieces], np.int64))
+    unsound = np.bincount(doc[~tools.sound[slot]], minlength=len(pieces)) > 0
+    slot, doc = slot[~unsound[doc]], doc[~unsound[doc]]
+    a, b = (_laid_out(tools, side, slot, doc) for side in (0, 1))
     i, j = overlaps(a, b)
     n_groups, texts = _group_texts(tools, a, b, len(pieces))
     of = a["doc"].to_numpy()[i]
@@ -228,7 +228,7 @@ def _pieces(row: int, doc_id: int | None, text: str, tools: Encoders) -> Iterato
     upto = np.cumsum([len(p) + 1 for p in parts]) // BLOCK_CHARS
     cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(parts)]
     runs = [parts[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-    if not all(sound for run in runs for _, _, sound in tools.encode(list(dict.fromkeys(run)))):
+    if not all(tools.all_sound(run) for run in runs):
         yield Piece(row, doc_id, [], None, True)
         return
     digest = hashlib.sha256()

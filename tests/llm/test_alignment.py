@@ -116,7 +116,12 @@ def test_parts_are_encoded_as_the_whole(sides):
     for _ in range(3000):
         text = "".join(rng.choice(marks) for _ in range(rng.randint(1, 25)))
         parts = alignment._CUT.split(text)
-        got = tools.encode(parts)
-        assert [x for a, _, _ in got for x in a] == sides[0].encode(" " + text, add_special_tokens=False).ids
-        assert [x for _, b, _ in got for x in b] == sides[1].encode(text)
-        assert all(ok for _, _, ok in got) == bool(_tokens(sides, text)[0])
+        slot = tools.slots(parts)
+        for side, want in ((0, sides[0].encode(" " + text, add_special_tokens=False).ids), (1, sides[1].encode(text))):
+            assert [x for k in slot for x in tools.ids[side][tools.begins[side][k] : tools.begins[side][k + 1]]] == want
+        assert tools.sound[slot].all() == bool(_tokens(sides, text)[0])
+    whole = " ".join(f"{''.join(rng.choice(marks) for _ in range(4))}" for _ in range(5000))
+    parts = alignment._CUT.split(whole)
+    tools.forget()
+    slot = tools.slots(parts)
+    assert [x for k in slot for x in tools.ids[1][tools.begins[1][k] : tools.begins[1][k + 1]]] == sides[1].encode(whole)
