@@ -1,5 +1,5 @@
 """Main text of web pages by tree scoring: paragraphs pass points for length and commas to their ancestors, discounted by link
-density; the best container is kept, with those of its siblings that score or read like it.
+density; the best container is kept, with what stands around it and isn't a list of links. An article or main element around it is kept whole.
 
 A page is read once from front to back, and open elements are counted by name, so that its cost grows with its length whatever it
 holds. Names of elements and classes say what can't be main text; a container that only its class marks is kept where the text in it
@@ -35,17 +35,25 @@ LISTS = frozenset("ul ol dl table".split())
 CELLS = frozenset("td th table".split())
 REACHING = frozenset("td th table tr tbody article main body html".split())
 #: Elements that never hold main text.
-DROPPED = frozenset("head script style noscript template iframe svg math canvas object embed nav footer aside form button select textarea input label dialog menu audio video".split())
+DROPPED = frozenset("head script style noscript template iframe svg math canvas object embed nav footer aside form button select textarea input dialog menu audio video".split())
 #: Words of class, id or role that mark an element as beside the main text: whole, before the first `-` or `_`, or after a word of PLACED.
 BESIDE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup login comment comments disqus replies respond share sharing social related recommended widget toolbar pagination pager skip search hidden contentinfo complementary alert".split())
 PLACED = frozenset("site global main top bottom left right primary secondary".split())
 #: Words that say nothing before a `-` or `_`, and words of readers' texts, which no size overrules.
 WHOLE = frozenset("header hidden skip search alert notice notices".split())
 READERS = frozenset("comment comments disqus replies respond".split())
+#: Elements of running text: what their class says isn't about a container.
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+#: What a compound like `comment-list` has to name, inside an article, to stand for a container.
+HOLDERS = frozenset("area banner bar block box buttons container count form icons item items left link links list menu module nav panel posts right section sidebar slot stories thread toolbar tools top unit widget wrap wrapper".split())
+#: Elements that show that a container holds text of its own.
+BUILT = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote li dd dt table figure".split())
 #: Elements whose id names a place to link to, inside an article.
 ANCHORED = frozenset("section p h1 h2 h3 h4 h5 h6 li dt figure table".split())
 #: A container that only its class marks is kept from this share of the page's text on, below this link density.
 LARGE, DENSE = 0.5, 0.25
+#: Link density from which what stands beside the best container is a list of links, and share of the page's text from which bare text of the body counts.
+LINKS, BARE = 0.5, 0.2
 #: Points of a container by its name, and of a paragraph for itself, for each comma and for each 100 characters, three at most.
 CONTAINER = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "body": 0.0}
 SCORED = frozenset("p pre td blockquote li dd h2 h3 figcaption".split())
@@ -61,21 +69,21 @@ _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 class Node:
     """An element; its content holds texts and elements in order. `marked`: it is beside the main text by its class alone."""
 
-    __slots__ = ("content", "name", "parent", "beside", "marked", "score", "text_chars", "link_chars", "commas")
+    __slots__ = ("content", "name", "parent", "beside", "marked", "built", "score", "text_chars", "link_chars", "commas")
 
     def __init__(self, name: str, parent: Node | None, beside: bool = False):
         self.name, self.parent, self.beside, self.marked = name, parent, beside, False
         self.content: list[str | Node] = []
-        self.score = 0.0
+        self.built, self.score = name in BUILT, 0.0
         self.text_chars = self.link_chars = self.commas = 0
 
 
-def _marks(token: str) -> set[str]:
-    """The words of BESIDE that a class, id or role stands for."""
+def _marks(token: str, inside: bool) -> set[str]:
+    """The words of BESIDE that a class, id or role stands for; inside an article a compound does only if it names a container."""
     if token in BESIDE:
         return {token}
     parts = _PART.split(token)
-    if len(parts) < 2:
+    if len(parts) < 2 or inside and HOLDERS.isdisjoint(parts[1:]):
         return set()
     if parts[0] in PLACED and len(parts) == 2:
         return {parts[1]} & BESIDE
@@ -96,9 +104,9 @@ def _place(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
         key, value = key.lower(), a or b or c
         if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and _UNSEEN.search(value):
             return True, False
-        if key in ("class", "role") or key == "id" and not (inside and name in ANCHORED):
+        if name not in INLINE and (key in ("class", "role") or key == "id" and not (inside and name in ANCHORED)):
             for token in value.lower().split():
-                words |= _marks(token)
+                words |= _marks(token, inside)
     if inside:
         words.discard("header")
     return bool(words), bool(words) and words.isdisjoint(READERS)
@@ -236,6 +244,7 @@ def _weigh(root: Node) -> list[Node]:
                 node.text_chars += len(text)
                 node.commas += text.count(",")
             elif not c.beside:
+                node.built = node.built or c.built
                 node.text_chars += c.text_chars
                 node.link_chars += c.link_chars
                 node.commas += c.commas
@@ -256,7 +265,8 @@ def _weigh(root: Node) -> list[Node]:
     return [n for n in order if n.score > 0]
 
 
-def _blocks(node: Node) -> list[str]:
+def _blocks(node: Node, left: frozenset | set = frozenset()) -> list[str]:
+    """The texts of the element's blocks in page order, without the elements left out; a string that is left out stands as (element, place)."""
     out: list[list[str]] = [[]]
     stack: list[str | Node | None] = [node]
     while stack:
@@ -265,36 +275,54 @@ def _blocks(node: Node) -> list[str]:
             out.append([])
         elif isinstance(x, str):
             out[-1].append(x)
-        elif not x.beside:
+        elif not x.beside and x not in left:
             if x.name == "br":
                 out[-1].append(" ")
                 continue
             if x.name in BLOCK:
                 out.append([])
                 stack.append(None)
-            stack += reversed(x.content)
+            stack += reversed(x.content if x.name != "body" else [c for i, c in enumerate(x.content) if (x, i) not in left])
     return [text for parts in out if (text := " ".join(html.unescape("".join(parts)).split()))]
 
 
+def _around(best: Node) -> tuple[Node, set]:
+    """The element to show, and what of it is left out: from the best container up to the body all that stands beside it is kept but lists of links; above the
+    best container's parent, and in the body, only what is built of paragraphs, headings, lists or tables, or scores like it."""
+    left, node, near = set(), best, True
+    while (above := node.parent) is not None and node.name != "body":
+        top = above.name in ("body", "html")
+        bare = [i for i, c in enumerate(above.content) if isinstance(c, str) or c.name in INLINE or c.name == "br"]
+        size = sum(len(" ".join(c.split())) if isinstance(c, str) else c.text_chars for i in bare if not isinstance(c := above.content[i], Node) or not c.beside)
+        if top and size < BARE * above.text_chars:
+            left |= {(above, i) for i in bare}
+        for c in above.content:
+            if not isinstance(c, Node) or c is node or c.name in INLINE or not c.text_chars:
+                continue
+            like = c.built or (near and not top) or c.score >= max(10.0, 0.2 * best.score)
+            if not like or c.link_chars >= LINKS * c.text_chars:
+                left.add(c)
+        node, near = above, False
+    return node, left
+
+
 def main_text(page: str) -> str:
-    """The blocks of the best container and of its like siblings, joined by line breaks."""
+    """The blocks of the best container and of what stands around it, joined by line breaks."""
     if not page:
         return ""
     scored = _weigh(root := parse(page))
     if not scored:
         return "\n".join(_blocks(root))
     best = max(scored, key=lambda n: n.score)
-    if best.parent is None or best.name in ("article", "main", "body"):
-        kept = [best] if best.name != "article" or best.parent is None else [c for c in best.parent.content if c is best or isinstance(c, Node) and c.name == "article" and not c.beside and c.score >= 0.2 * best.score]
-    else:
-        least, kept = max(10.0, 0.2 * best.score), []
-        for c in best.parent.content:
-            if not isinstance(c, Node) or c.beside:
-                continue
-            dense = c.link_chars / c.text_chars if c.text_chars else 1.0
-            if c is best or c.score >= least or c.name in ("p", "h1", "h2", "h3", "pre", "blockquote") and dense < 0.25:
-                kept.append(c)
-    return "\n".join(b for n in kept for b in _blocks(n))
+    above = best
+    while above is not None and above.name not in ("article", "main"):
+        above = above.parent
+    best = above or best
+    if best.name == "article" and best.parent is not None:
+        kept = [c for c in best.parent.content if c is best or isinstance(c, Node) and c.name == "article" and not c.beside and c.score >= 0.2 * best.score]
+        return "\n".join(b for n in kept for b in _blocks(n))
+    shown, left = (best, set()) if best.name in ("main", "article", "body") else _around(best)
+    return "\n".join(_blocks(shown, left))
 
 
 def _texts(column: pa.Array) -> pa.Array:
