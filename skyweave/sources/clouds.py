@@ -27,16 +27,14 @@ def numbered_lines(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 
 def cloud_lines(spark: SparkSession, root: str, glob: str, count: str, start: str, readable: str) -> DataFrame:
     """(path, idx, line, error): the lines after each file's `start` line, at most as many as the number in its `count` line says. A file without a line that
-    shows that it is readable has one row with an error."""
+    shows that it is readable has one row with an error, one without any byte has none."""
     lines = numbered_lines(spark, root, glob)
     first = lambda pattern: F.min(F.when(F.col("line").rlike(pattern), F.col("at")))
     n = F.min_by(F.when(F.col("line").rlike(count), F.regexp_extract("line", count, 1)).try_cast("bigint"), F.when(F.col("line").rlike(count), F.col("at")))
     heads = lines.groupBy("path").agg(first(start).alias("_start"), first(readable).alias("_readable"), n.alias("_n"))
     body = lines.join(heads.where("_readable is not null").select("path", "_start", "_n"), "path").withColumn("idx", F.col("at") - F.col("_start") - 1)
     held = body.where("idx >= 0 and (_n is null or idx < _n)").select("path", F.col("idx").cast("int").alias("idx"), "line", F.lit(None).cast("string").alias("error"))
-    named = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root).select(F.col("_metadata.file_path").alias("path"))
-    bad = named.join(heads.where("_readable is not null").select("path"), "path", "left_anti")
-    return held.unionByName(bad.select("path", F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("line"), F.lit("not an ascii file").alias("error")))
+    return held.unionByName(heads.where("_readable is null").select("path", F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("line"), F.lit("not an ascii file").alias("error")))
 
 
 def write_marked_ply(points: DataFrame, order: list[str], kps: DataFrame, path: str, size: float = 0.22) -> None:
