@@ -4,11 +4,15 @@ The patterns give the base spans. The field's nodes are these spans, runs of dig
 or hyphens that repeat a span's digits, and the other tokens of a text that hold a digit, `@` or `+`. Neighbours in
 the text share chain potentials. Each node with the same digits or letters as a span, however they are written, a phone's digits
 with a country code or leading zeros more or less, or the begin of an address past its `@`, shares a skip potential with that
-span itself, whose label is held, so that what one mention shows, all mentions get, however many and in which order. Labels follow from
-loopy max-product messages, passed in alternating order until none moves. Its weights maximise the pseudo-likelihood of
-the pattern labels of a bounded sample of documents (`TRAIN_DOCS`, of each the first `TRAIN_NODES` nodes, built in the tasks), with the
-pattern evidence of a quarter of the nodes hidden at random, so that the field learns to label a mention that matches no pattern from its like. A token that has a like with pattern evidence,
-that the field labels with a kind and that touches no base span gives a further span.
+span, and nodes of the same digits or letters share one with the next of their kind, spans or not. Labels follow from
+loopy max-product messages, passed in alternating order until none moves; the labels of spans are given, so that edges to them only add to
+a node's own points. A token that touches no base span gives a further span if the field labels it with a kind, whether or not the text has a base span.
+
+The weights maximise the pseudo-likelihood of the labels of a bounded sample of documents (`TRAIN_DOCS`, of each the first `TRAIN_NODES` nodes, built
+in the tasks). Labels are the patterns' own, with the evidence of a quarter of the nodes hidden at random; tokens that no pattern finds but that are
+like a span are left out, as nothing says what they are. To them come mentions written anew (`_written_anew`): for each span two
+of its own, joined to it, two that are joined to one another only, and four made up, joined to nothing, whose
+label is none, as is that of dates, amounts and other plain numbers that stand alone or twice (`_plain`). So what joins and what a token looks like are both learned.
 
 Null or empty text: no spans. Null doc_id, repeated rows: each row gets its own result. Empty table: no rows. Other columns are ignored by
 the query and kept by the masking.
@@ -17,7 +21,9 @@ the query and kept by the masking.
 from __future__ import annotations
 
 import json
+import random
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
@@ -34,11 +40,10 @@ TRAIN_DOCS, TRAIN_NODES, STEPS, RATE, PENALTY = 400, 1000, 150, 0.5, 1e-3
 #: Rounds of messages before they are damped, and rounds beyond one for each node after which messages that still circle are taken as
 #: they are.
 UNDAMPED, CIRCLING = 6, 100
-#: Points by which a pattern's label outweighs all others.
-HELD = 1e6
-#: Points by which like nodes agree, and digits of the longest span that groups can repeat with a country code more; as many again may
-#: be leading zeros.
-LIKE, LONGEST = 1e3, 22
+#: Digits of the longest span that groups can repeat with a country code more; as many again may be leading zeros.
+LONGEST = 22
+#: Spans of a text of which mentions are written anew for training, and words whose points a task remembers.
+ANEW, REMEMBERED = 8, 100_000
 SPANS = "struct<base:array<struct<kind:string,start:int,stop:int>>,spans:array<struct<kind:string,start:int,stop:int>>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -104,7 +109,7 @@ def _tokens(text: str) -> list[tuple[int, int]]:
 def _features(word: str) -> list[str]:
     digits = sum(map(str.isdigit, word))
     marks = "".join(c for c in "@+.-()/=:\"" if c in word)
-    return [f"digits={min(digits, 20)}", f"marks={marks}", f"letters={min(sum(map(str.isalpha, word)), 8)}", f"first={'d' if word[0].isdigit() else word[0] if word[0] in '+(@' else 'x'}"]
+    return [f"digits={min(digits, 20)}", f"groups={min(len(_GROUP.findall(word)), 6)}", f"marks={marks}", f"letters={min(sum(map(str.isalpha, word)), 8)}", f"first={'d' if word[0].isdigit() else word[0] if word[0] in '+(@' else 'x'}"]
 
 
 def _key(word: str) -> str | None:
@@ -238,13 +243,15 @@ def _graph(text: str, base: list[tuple[str, int, int]]):
     words = [text[a:b] for a, b in bounds]
     chain = [(i, i + 1) for i in range(len(bounds) - 1) if bounds[i + 1][0] - bounds[i][1] <= 2]
     shown = _Shown(words, labels.tolist())
-    first: dict[str, int] = {}
+    last: dict[str, int] = {}
     skip = []
     for i, w in enumerate(words):
-        if found := shown.like(w):
-            skip += [(j, i) for j in found.values() if j != i]
-        elif (k := _key(w)) is not None and (j := first.setdefault(k, i)) != i:
-            skip.append((j, i))
+        joined = {j for j in shown.like(w).values() if j != i}
+        if (k := _key(w)) is not None:
+            if (j := last.get(k)) is not None:
+                joined.add(j)
+            last[k] = i
+        skip += [(j, i) for j in sorted(joined)]
     return bounds, words, labels, chain, skip
 
 
@@ -274,54 +281,144 @@ def _decode(unary: np.ndarray, chain, skip, weights: dict) -> np.ndarray:
     return belief.argmax(1)
 
 
-def _unary(words, evidence: np.ndarray, weights: dict) -> np.ndarray:
-    out = np.zeros((len(words), len(LABELS)))
+def _unary(words, weights: dict) -> np.ndarray:
+    """Points of words without evidence for each label."""
+    known = weights.setdefault("known", {})
+    if len(known) > REMEMBERED:
+        known.clear()
+    out = np.empty((len(words), len(LABELS)))
     for i, w in enumerate(words):
-        for f in _features(w):
-            if (x := weights["word"].get(f)) is not None:
-                out[i] += x
-        out[i] += weights["evidence"][evidence[i]]
-        if evidence[i]:  # what a pattern shows is held
-            out[i, np.arange(len(LABELS)) != evidence[i]] -= HELD
+        if (points := known.get(w)) is None:
+            points = weights["evidence"][0].copy()
+            for f in _features(w):
+                if (x := weights["word"].get(f)) is not None:
+                    points += x
+            if len(w) <= 64:
+                known[w] = points
+        out[i] = points
     return out
 
 
+def decide(words: list[str], labels: np.ndarray, chain, skip, weights: dict) -> np.ndarray:
+    """The labels of all nodes, those of spans as given. Messages are passed only among nodes that their edges could bring to another label than none."""
+    free = np.flatnonzero(labels == 0)
+    found = labels.copy()
+    if not len(free):
+        return found
+    at = np.full(len(labels), -1)
+    at[free] = np.arange(len(free))
+    unary, reach, kept = _unary([words[i] for i in free], weights), np.zeros(len(free)), []
+    for pairs, table in ((chain, weights["chain"]), (skip, weights["skip"])):
+        i, j = np.array(pairs, int).reshape(-1, 2).T
+        for a, b, t in ((i, j, table), (j, i, table.T)):  # a is given, b isn't
+            given = (labels[a] > 0) & (labels[b] == 0)
+            np.add.at(unary, at[b[given]], t[labels[a[given]]])
+        both = (labels[i] == 0) & (labels[j] == 0)
+        kept.append(np.stack([at[i[both]], at[j[both]]], 1))
+        gain = max((table - table[:, :1]).max(), (table - table[:1]).max(), 0.0)
+        np.add.at(reach, kept[-1].ravel(), gain)
+    likely = unary[:, 1:].max(1) + reach > unary[:, 0]
+    if not likely.any():
+        return found
+    near: dict[int, list[int]] = defaultdict(list)
+    for pairs in kept:
+        for i, j in pairs.tolist():
+            near[i].append(j)
+            near[j].append(i)
+    stack = np.flatnonzero(likely).tolist()
+    part = set(stack)
+    while stack:
+        more = [j for j in near[stack.pop()] if j not in part]
+        part.update(more)
+        stack += more
+    own = sorted(part)
+    place = {x: i for i, x in enumerate(own)}
+    inside = [[(place[i], place[j]) for i, j in pairs.tolist() if i in place] for pairs in kept]
+    found[free[own]] = _decode(unary[own], *inside, weights)
+    return found
+
+
+def _written_anew(kind: str, word: str, rng: random.Random, invented: bool = False) -> str:
+    """A mention of a span's number or address in a form that no pattern finds, or one of the same form with other digits or letters."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    change = (lambda x: re.sub("[0-9]", lambda _: rng.choice("0123456789"), re.sub("[A-Za-z]", lambda _: rng.choice(letters), x))) if invented else (lambda x: x)
+    digits = _NOT_DIGIT.sub("", word)
+    if kind == "email":
+        name, _, host = word.partition("@")
+        return change(name) + "@" + change(host.split(".")[0])
+    if kind == "phone":
+        own = change(digits[-10:])
+        return rng.choice([own, f"{own[:3]}-{own[3:6]}-{own[6:]}", f"{own[:3]}.{own[3:6]}.{own[6:]}", f"{own[:3]} {own[3:6]} {own[6:]}", change(digits), f"{digits[:-10]} {own[:3]} {own[3:6]} {own[6:]}", f"{digits[:-10]} ({own[:3]}) {own[3:6]} {own[6:]}", f"00{change(digits)}"]).strip()
+    mark = rng.choice("-/" if kind == "ip" else "./")
+    return change(word.replace(".", mark) if kind == "ip" else mark.join(digits[i : i + 4] for i in range(0, len(digits), 4)))
+
+
+def _plain(rng: random.Random) -> str:
+    """A date, time, amount, version or number such as texts repeat without naming anyone."""
+    n = lambda a, b: rng.randint(a, b)
+    day = f"{n(1900, 2099)}-{n(1, 12):02}-{n(1, 28):02}"
+    amount = f"{n(1, 10 ** n(4, 9)):,}"
+    return rng.choice([day, f"{n(1, 28)}.{n(1, 12)}.{n(1900, 2099)}", f"{day}T{n(0, 23):02}:{n(0, 59):02}", f"{n(0, 23)}:{n(0, 59):02}", amount, f"{amount}.{n(0, 99):02}", f"v{n(0, 20)}.{n(0, 20)}.{n(0, 20)}", str(n(0, 10 ** n(1, 24))), f"{n(0, 16**40):x}"[: n(6, 40)], f"{n(0, 100)}%", f"no.{n(1, 10**6)}-{n(1, 9)}"])
+
+
 def _graphs(column: pa.Array) -> pa.Array:
-    """The first nodes of each text for training: features, pattern labels and edges, as JSON."""
+    """The first nodes of each text for training, and mentions written anew: features, labels, 2 where a node's evidence is shown at times, 1 where never and 0 where
+    the node has no known label, edges, and pairs that are joined to each other only, as JSON."""
     out = []
     for value in column:
         text = value.as_py() or ""
         _, words, labels, chain, skip = _graph(text, base_spans(text))
-        n = min(len(words), TRAIN_NODES)
-        inside = lambda edges: [e for e in edges if max(e) < n]  # noqa: B023, E731
-        out.append(json.dumps([[_features(w) for w in words[:n]], labels[:n].tolist(), inside(chain), inside(skip)]) if n else None)
+        n, rng = min(len(words), TRAIN_NODES), random.Random(zlib.crc32(text.encode()))
+        words, labels = words[:n], labels[:n].tolist()
+        chain, skip = ([e for e in edges if max(e) < n] for edges in (chain, skip))
+        unknown = {b for i, j in skip for a, b in ((i, j), (j, i)) if labels[a] and not labels[b]}
+        sure, pairs = [0 if i in unknown else 2 for i in range(n)], []
+        for i in [i for i in range(n) if labels[i]][:ANEW]:
+            kind, at = LABELS[labels[i]], len(words)
+            plain = [_plain(rng) for _ in range(4)]
+            words += [_written_anew(kind, words[i], rng) for _ in range(4)] + [_written_anew(kind, words[i], rng, invented=True) for _ in range(4)] + plain + plain[:2]
+            labels += [labels[i]] * 4 + [0] * 10
+            sure += [1] * 14
+            skip += [(i, at), (i, at + 1)]
+            pairs += [(at + 2, at + 3), (at + 8, at + 12), (at + 9, at + 13)]
+        out.append(json.dumps([[_features(w) for w in words], labels, sure, chain, skip, pairs]) if words else None)
     return pa.array(out, pa.string())
 
 
 def fit(graphs: list, steps: int = STEPS) -> dict:
-    """Weights that maximise the pseudo-likelihood: each node's label given the labels of those it shares an edge with."""
+    """Weights that maximise the pseudo-likelihood: each node's label given the labels of those it shares an edge with, and both labels of a pair at once."""
     names: dict[str, int] = {}
-    rows, labels, edges, at = [], [], {"chain": [], "skip": []}, 0
-    for features, own, chain, skip in graphs:
+    rows, labels, told, pairs, edges, at = [], [], [], [], {"chain": [], "skip": []}, 0
+    for features, own, sure, chain, skip, joined in graphs:
         rows += [[names.setdefault(f, len(names)) for f in fs] for fs in features]
         labels += own
+        told += sure
+        pairs += [(i + at, j + at) for i, j in joined]
         for kind, found in (("chain", chain), ("skip", skip)):
-            edges[kind] += [(i + at, j + at) for i, j in found]
+            edges[kind] += [(i + at, j + at) for i, j in found if sure[i] and sure[j]]
         at += len(own)
-    rows, y, k = np.array(rows, int).reshape(-1, 4), np.array(labels, int), len(LABELS)
+    rows, y, k = np.array(rows, int).reshape(-1, len(_features("0"))), np.array(labels, int), len(LABELS)
+    left, right = np.array(pairs, int).reshape(-1, 2).T
     ends = {kind: np.array(e, int).reshape(-1, 2).T for kind, e in edges.items()}
     w = {"word": np.zeros((len(names), k)), "evidence": np.zeros((k, k)), "chain": np.zeros((k, k)), "skip": np.zeros((k, k))}
     size = {name: np.full_like(x, 1e-6) for name, x in w.items()}
-    rng, truth = np.random.default_rng(11), np.eye(k)[y]
+    rng, truth, told = np.random.default_rng(11), np.eye(k)[y], np.array(told, int)
     for _ in range(steps if at else 0):
-        evidence = np.where(rng.random(at) < 0.25, 0, y)
+        evidence = np.where((rng.random(at) < 0.25) | (told < 2), 0, y)
         points = w["word"][rows].sum(1) + w["evidence"][evidence]
         for kind, (i, j) in ends.items():
             np.add.at(points, i, w[kind][:, y[j]].T)
             np.add.at(points, j, w[kind][y[i]])
+        one, other = points[left], points[right]
+        both = one[:, :, None] + other[:, None, :] + w["skip"]
+        both = np.exp(both - both.max((1, 2), keepdims=True))
+        both /= both.sum((1, 2), keepdims=True)
         points -= points.max(1, keepdims=True)
-        off = truth - np.exp(points) / np.exp(points).sum(1, keepdims=True)
+        off = (truth - np.exp(points) / np.exp(points).sum(1, keepdims=True)) * (told > 0)[:, None]
+        off[left], off[right] = truth[left] - both.sum(2), truth[right] - both.sum(1)
         up = {name: -PENALTY * at * x for name, x in w.items()}
+        np.add.at(up["skip"], (y[left], y[right]), 1)
+        up["skip"] -= both.sum(0)
         np.add.at(up["word"], rows, off[:, None, :])
         np.add.at(up["evidence"], evidence, off)
         for kind, (i, j) in ends.items():
@@ -330,6 +427,7 @@ def fit(graphs: list, steps: int = STEPS) -> dict:
         for name, x in w.items():
             size[name] += up[name] ** 2
             x += RATE * up[name] / np.sqrt(size[name])
+        w["skip"] = (w["skip"] + w["skip"].T) / 2  # like nodes have no order
     return {name: w[name] for name in ("evidence", "chain", "skip")} | {"word": {f: w["word"][i] for f, i in names.items()}}
 
 
@@ -348,14 +446,8 @@ def find_spans(text: str, weights: dict) -> tuple[list[tuple[str, int, int]], li
         return [], []
     base = base_spans(text)
     bounds, words, labels, chain, skip = _graph(text, base)
-    more = []
-    if base and skip:
-        joined = {i: True for j, i in skip if labels[j]}  # a token is labelled by the field only where a like token has pattern evidence
-        if any(joined.get(i) and not labels[i] for i in range(len(words))):
-            found = _decode(_unary(words, labels, weights), chain, skip, weights | {"skip": weights["skip"] + LIKE * np.eye(len(LABELS))})
-            for i, (a, b) in enumerate(bounds):
-                if found[i] and not labels[i] and joined.get(i):
-                    more.append((LABELS[found[i]], a, b))
+    found = decide(words, labels, chain, skip, weights)
+    more = [(LABELS[found[i]], *bounds[i]) for i in np.flatnonzero((found > 0) & (labels == 0)).tolist()]
     order = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + more, key=lambda s: (s[1], order[s[0]], s[2]))
 
