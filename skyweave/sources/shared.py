@@ -36,7 +36,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Removes this application's intermediate tables, once the results that read them have been written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(intermediates(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, intermediates(spark))
