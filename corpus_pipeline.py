@@ -10,12 +10,10 @@ is dropped. Extra columns are carried along, whatever their names, but for the l
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from skyweave.llm import decontamination, minhash, mixing, pii, quality_rules
-from skyweave.llm.common import shared_dir
+from skyweave.sources.shared import new_folder, remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another, each written as Parquet and read again as the next one's documents."""
+    """The stages one after another, each written as Parquet and read again as the next one's documents; a stage's table goes once the next one is
+    written, and the last one's stays among the application's intermediate tables."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    base = new_folder(spark)
     for i, (_, stage) in enumerate(STAGES):
         done = stage(spark, docs, sf_dir)
         done.write.parquet(f"{base}/{i}")
         docs = spark.read.schema(done.schema).parquet(f"{base}/{i}")
+        if i:
+            remove(spark, f"{base}/{i - 1}")
     return docs

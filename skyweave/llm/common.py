@@ -1,13 +1,11 @@
-"""Numpy views of Arrow text columns, hashing, and the shared folder for intermediate tables."""
+"""Numpy views of Arrow text columns and hashing; the shared folder for intermediate tables is that of skyweave.sources.shared."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+
+from skyweave.sources.shared import clear, intermediates, materialize, shared_dir  # noqa: F401
 
 #: Most bytes of text that one numpy pass takes, but for a single longer text.
 CHUNK_BYTES = 1 << 20
@@ -20,37 +18,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is made only where the session names none and is local."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="skyweave-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir()
-    return base.rstrip("/")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{intermediates(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def intermediates(spark: SparkSession) -> str:
-    """The folder of this application's intermediate tables."""
-    return f"{shared_dir(spark)}/skyweave/{spark.sparkContext.applicationId}"
-
-
-def clear(spark: SparkSession) -> None:
-    """Removes this application's intermediate tables, once the results that read them have been written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(intermediates(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Splitmix64's finalizer."""
     x = x.astype(np.uint64, copy=True)

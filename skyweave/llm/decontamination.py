@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyweave.llm.common import _power_tables, mix, text_chunks
+from skyweave.llm.common import _power_tables, materialize, mix, text_chunks
 
 #: Characters of a q-gram, share of edited characters allowed, folded characters of a window and of the shortest item that may be edited.
 Q, EDITS, WINDOW, MIN_CHARS = 12, 0.06, 160, 40
 #: Characters of the items of a block; a block takes about 75 bytes a character in each Python worker, and 4 MB.
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 1_500_000
 MATCHES = "array<struct<item_id:bigint,start:bigint,stop:bigint,edits:int>>"
 _FILTER_BITS = 22
 
@@ -248,7 +248,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    for block in blocks(benchmark):
-        docs = docs.where(F.size(found_in(F.col(text), block)) == 0)
-    return docs
+    """The documents in which no item is found, with all their columns. With one block of items this is a filter; with more, each has a pass of its own that
+    writes the digests of the texts in which it finds any, so that a worker holds one block at a time, and documents with such texts go."""
+    patterns = blocks(benchmark)
+    if len(patterns) == 1:
+        return docs.where(F.size(found_in(F.col(text), patterns[0])) == 0)
+    digest = F.md5(F.col(text))
+    found = None
+    for block in patterns:
+        one = materialize(docs.where(F.size(found_in(F.col(text), block)) > 0).select(digest.alias("_found")).distinct())
+        found = one if found is None else found.unionByName(one)
+    if found is None:
+        return docs
+    found = found.distinct()
+    return docs.join(found, F.md5(docs[text]) == found["_found"], "left_anti")
