@@ -75,28 +75,49 @@ def region_verdict(boxed: DataFrame, detected: DataFrame, threshold: float, merg
     return ratios.withColumn("reason", reason).withColumn("verdict", F.when(reason == "", "PASS").otherwise("FAIL"))
 
 
-def _nearest_in_cells(k: int):
-    """For applyInArrow over a cell's own points and those of its surroundings (column own tells which): the mean distance of each own point to its k
-    nearest, where these lie within its reach, inside which all points are there."""
-
-    def over(cell: pa.Table) -> pa.Table:
-        at = np.stack([cell.column(a).to_numpy() for a in _AXES], 1)
-        own = np.flatnonzero(cell.column("own").to_numpy(zero_copy_only=False))
+def _nearest_in_cells(k: int, most: int):
+    """For mapInArrow over points sorted by cell, each cell's own and those around it (column own tells which): the mean distance of each own point to
+    its k nearest, where these lie within its reach, inside which all points are there. Cells of more than `most` points are passed over."""
+
+    def of(parts: list[pa.RecordBatch]) -> pa.Table:
+        cell = pa.Table.from_batches(parts)
+        at = [cell.column(a).to_numpy() for a in _AXES]
+        own = np.flatnonzero(cell.column("own").to_numpy())
         reach, means, served = cell.column("reach").to_numpy()[own], np.empty(len(own)), np.zeros(len(own), bool)
-        most = min(k, len(at) - 1)
-        step = max(1, 2_000_000 // len(at))
-        for i in range(0, len(own) if most else 0, step):
+        near = min(k, cell.num_rows - 1)
+        step = max(1, 2_000_000 // cell.num_rows)
+        for i in range(0, len(own) if near else 0, step):
             rows = own[i : i + step]
-            squared = np.zeros((len(rows), len(at)))
-            for a in range(3):
-                squared += (at[rows, None, a] - at[None, :, a]) ** 2
+            squared = np.zeros((len(rows), cell.num_rows))
+            for x in at:
+                gap = x[rows, None] - x[None, :]
+                squared += gap * gap
             squared[np.arange(len(rows)), rows] = np.inf
-            best = np.sqrt(np.sort(np.partition(squared, most - 1, axis=1)[:, :most], axis=1))
+            best = np.sqrt(np.sort(np.partition(squared, near - 1, axis=1)[:, :near], axis=1))
             means[i : i + step] = best.mean(1)
-            served[i : i + step] = np.isinf(reach[i : i + step]) | ((best[:, -1] <= reach[i : i + step] * (1 - 1e-9)) & (most == k))
+            served[i : i + step] = np.isinf(reach[i : i + step]) | ((best[:, -1] <= reach[i : i + step] * (1 - 1e-9)) & (near == k))
         done = pa.array(own[served])
         return pa.table({"unique_scene": cell.column("unique_scene").take(done), "_of": cell.column("_id").take(done), "_m": pa.array(means[served])})
 
+    def over(batches):
+        held, n, last = [], 0, None
+        for batch in batches:
+            found = []
+            keys = np.stack([batch.column(c).to_numpy() for c in ("_g", "_cx", "_cy", "_cz")], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if (key := tuple(keys[a].tolist())) != last:
+                    found += [of(held)] if held else []
+                    held, n, last = [], 0, key
+                n += b - a
+                held = [*held, batch.slice(a, b - a)] if n <= most else []
+            if found:
+                yield from pa.concat_tables(found).combine_chunks().to_batches()
+        if held:
+            yield from of(held).combine_chunks().to_batches()
+
     return over
 
 
@@ -122,13 +143,13 @@ def _near_means(pts: DataFrame, k: int, per_cell: int, halo: float, most: int) -
     for a in _AXES:
         steps = F.array_compact(F.array(F.lit(0), F.when(F.col(f"_f{a}") < halo, -1), F.when(F.col(f"_f{a}") > 1 - halo, 1)))
         sent = sent.withColumn("_d", F.explode(steps)).withColumn(f"_c{a}", F.col(f"_c{a}") + F.col("_d")).withColumn("own", F.col("own") & (F.col("_d") == 0))
-    cell = ["unique_scene", *(f"_c{a}" for a in _AXES)]
-    held = sent.groupBy(*cell).agg(F.count("*").alias("_n"), F.bool_or("own").alias("_o")).where(F.col("_o") & (F.col("_n") <= most)).select(*cell)
+    cell = [F.col("unique_scene"), *(F.col(f"_c{a}") for a in _AXES)]
+    keyed = sent.select(F.xxhash64(*cell).alias("_g"), *cell, "_id", *_AXES, "reach", "own").repartition("_g").sortWithinPartitions("_g", "_cx", "_cy", "_cz", "unique_scene")
     kinds = dict(pts.dtypes)
-    return sent.select(*cell, "_id", *_AXES, "reach", "own").join(held, cell).groupBy(*cell).applyInArrow(_nearest_in_cells(k), f"unique_scene {kinds['unique_scene']}, _of {kinds['_id']}, _m double")
+    return keyed.mapInArrow(_nearest_in_cells(k, most), f"unique_scene {kinds['unique_scene']}, _of {kinds['_id']}, _m double")
 
 
-def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, per_cell: int = 512, cell: float = 0.25, levels: int = 9) -> DataFrame:
+def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, per_cell: int = 1024, cell: float = 0.25, levels: int = 9) -> DataFrame:
     """The points whose mean distance to their k nearest neighbours is at most the scene's mean of these plus `spread` deviations. Scenes of two points
     or fewer, or without deviation, stay whole; ids are unique in their scene.
 
@@ -138,9 +159,11 @@ def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, per_cell: in
     serves look through their scene; few are left there, as a coarse cell holds them only if it holds at most k points."""
     k = max(2, k)
     place, own = ["unique_scene", "level", "cx", "cy", "cz"], ["unique_scene", "_of"]
-    pts = points.select("unique_scene", F.col(id_).alias("_id"), *_AXES)
-    near = _near_means(pts, k, per_cell, 0.25, 16 * per_cell)
+    pts = materialize(points.select("unique_scene", F.col(id_).alias("_id"), *_AXES))
+    near = materialize(_near_means(pts, k, per_cell, 0.25, 16 * per_cell))
     rest = pts.withColumnRenamed("_id", "_of").join(near.select(*own), own, "left_anti")
+    if rest.isEmpty():
+        return _inliers(points, near.withColumnRenamed("_of", id_), id_, spread)
     others = pts.join(rest.select("unique_scene").distinct(), "unique_scene", "left_semi")
     at = lambda level: [F.floor(F.col(a) / (cell * 2.0**level)).cast("bigint") for a in _AXES]
     spot = lambda level: F.struct(F.lit(level).alias("level"), *(v.alias(f"c{a}") for v, a in zip(at(level), _AXES, strict=True)))
@@ -162,7 +185,12 @@ def knn_outlier(points: DataFrame, id_: str, k: int, spread: float, per_cell: in
     side = F.lit(2 * cell) * F.pow(F.lit(2.0), F.col("level"))
     wide = nearest(around.join(spots, place).where(squared <= side * side))
     alone = rest.join(chosen.select(*own), own, "left_anti").select(*own, *(F.col(a).alias(f"_{a}") for a in _AXES))
-    means = near.unionByName(wide).unionByName(nearest(alone.join(others, "unique_scene"))).select("unique_scene", F.col("_of").alias(id_), "_m")
+    means = near.unionByName(wide).unionByName(nearest(alone.join(others, "unique_scene")))
+    return _inliers(points, means.withColumnRenamed("_of", id_), id_, spread)
+
+
+def _inliers(points: DataFrame, means: DataFrame, id_: str, spread: float) -> DataFrame:
+    """The points whose mean _m is at most that of their scene and `spread` deviations more."""
     stats = means.groupBy("unique_scene").agg(F.avg("_m").alias("_mu"), F.stddev_pop("_m").alias("_sd"), F.count("*").alias("_n"))
     kept = points.join(means, ["unique_scene", id_], "left").join(stats, "unique_scene", "left")
     degenerate = F.coalesce((F.col("_n") <= 2) | (F.col("_sd") <= 1e-12), F.lit(True))
