@@ -32,9 +32,9 @@ from skyweave.llm.common import materialize
 
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of texts that are aligned at once; about 150 bytes of memory each.
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 600_000
 #: Bounds of the table of parts that a worker remembers: entries and their characters. New parts are encoded so many together.
-REMEMBERED, REMEMBERED_CHARS, TOGETHER = 250_000, 4_000_000, 512
+REMEMBERED, REMEMBERED_CHARS, TOGETHER = 400_000, 8_000_000, 512
 #: A single space that no token reaches across: what stands on its sides is no white space.
 _LEFT = re.compile(r"(?<=[\w!-~]) ")
 _CUT = re.compile(_LEFT.pattern + r"(?=[\w!-~])")
