@@ -10,7 +10,9 @@ the entries of one partition's n-grams only.
 Trusted are documents with label quality 1; the model is fitted on all those of even hash of doc_id, however many, and the
 quantiles are over all others, which it doesn't favour. Null text, or fewer than four characters: perplexity null, kept false. Null language:
 a language like another. Documents of several labels are trusted if one of them is 1. Repeated rows: each row gets its own
-result. Empty table: no rows. No trusted documents: thresholds are null and every document with a perplexity is kept. Other columns are ignored.
+result. A language without trusted documents, or with none among those the quantiles are over: the quantile of all languages. The documents are read
+twice, and have to be in the same partitions both times, as tables and the results of joins, sorts and repartitioning by columns are; where a
+partition holds other documents the second time, an error says so. Empty table: no rows. No trusted documents: thresholds are null and every document with a perplexity is kept. Other columns are ignored.
 """
 
 from __future__ import annotations
