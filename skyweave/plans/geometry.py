@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyweave.functions import labels, pixels
 from skyweave.operators import boxes, checks, projection, reports, scenes
-from skyweave.plans.catalogue import _BEST, _COVERAGE, _PARTS, HEIGHT, WIDTH, _r6, query
+from skyweave.plans.catalogue import _BEST, _PARTS, HEIGHT, WIDTH, _r6, query
 from skyweave.sources.relations import relation
 
 _KEY = ("unique_scene", "row_idx", "col_idx")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyweave.functions import labels
 from skyweave.operators import checks, poses
 from skyweave.plans.catalogue import _PARTS, _TOKENS, HEIGHT, WIDTH, query
-from skyweave.plans.geometry import _CHECKS, _NEAR, _ROBUST, _rounded, _specs
+from skyweave.plans.geometry import _CHECKS, _ROBUST, _rounded, _specs
 from skyweave.sources.relations import relation
 
 _POSES = "select unique_scene, profile, (scene_key % 4) * 0.5D as turn, cast(scene_key % 11 - 5 as double) as tx, cast(scene_key % 7 - 3 as double) as ty, cast(scene_key % 3 as double) as tz from scene_meta"
