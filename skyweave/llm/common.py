@@ -9,6 +9,8 @@ from skyweave.sources.shared import clear, intermediates, materialize, shared_di
 
 #: Most bytes of text that one numpy pass takes, but for a single longer text.
 CHUNK_BYTES = 1 << 20
+#: Most bytes that are hashed at once, at 50 bytes of memory each, but for a single longer span.
+HASHED_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _PRIME, _LOW31, _LOW30 = np.uint64((1 << 61) - 1), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
@@ -102,7 +104,7 @@ _residues: dict[str, np.ndarray] = {}
 def _residue_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base modulo 2**61 - 1, and of its inverse."""
     if not _residues or len(_residues["up"]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
+        size = max(n, HASHED_BYTES + 4096)
         for name, base in (("up", _BASE % int(_PRIME)), ("down", pow(_BASE, -1, int(_PRIME)))):
             table = np.ones(1, np.uint64)
             while len(table) < size:
@@ -127,7 +129,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + CHUNK_BYTES)))
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + HASHED_BYTES)))
         a, b = int(starts[i]), int(ends[i:j].max())
         part = data[a:b]
         up, down = _residue_tables(b - a + 1)

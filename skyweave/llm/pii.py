@@ -43,7 +43,7 @@ UNDAMPED, CIRCLING = 6, 100
 #: Digits of the longest span that groups can repeat with a country code more; as many again may be leading zeros.
 LONGEST = 22
 #: Spans of a text of which mentions are written anew for training, and words whose points a task remembers.
-ANEW, REMEMBERED = 8, 100_000
+ANEW, REMEMBERED = 8, 10_000
 SPANS = "struct<base:array<struct<kind:string,start:int,stop:int>>,spans:array<struct<kind:string,start:int,stop:int>>>"
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
