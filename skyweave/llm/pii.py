@@ -475,19 +475,22 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return found.select(doc_id, *counts, F.sha2(said(F.col("base")), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
+def _masked_text(text: str | None, weights: dict) -> str | None:
+    if text is None or not (spans := find_spans(text, weights)[1]):
+        return text
+    parts, at = [], 0
+    for kind, a, b in spans:
+        if a >= at:
+            parts += [text[at:a], f"<{kind}>"]
+        at = max(at, b)
+    return "".join([*parts, text[at:]])
+
+
 def _masked(column: pa.Array, weights: dict) -> pa.Array:
-    out = []
-    for value in column:
-        text = value.as_py()
-        if text is not None and (spans := find_spans(text, weights)[1]):
-            parts, at = [], 0
-            for kind, a, b in spans:
-                if a >= at:
-                    parts += [text[at:a], f"<{kind}>"]
-                at = max(at, b)
-            text = "".join([*parts, text[at:]])
-        out.append(text)
-    return pa.array(out, pa.string())
+    """Some texts at a time, so that a batch isn't held as Python strings, too."""
+    some = (column.slice(i, 200) for i in range(0, len(column), 200))
+    done = [pa.array([_masked_text(v.as_py(), weights) for v in part], pa.string()) for part in some]
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
