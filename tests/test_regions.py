@@ -71,6 +71,15 @@ def test_overlapping_regions_count_as_one(spark):
     assert verdict(boxed.where("x < 3")) == (0.3, 0.3, "FAIL")
 
 
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_a_single_region_keeps_its_side_on_ties(spark, side):
+    grid = [("s", s, float(x), float(y), 0.0) for s, y in (("left", 1), ("right", -1)) for x in range(10)]
+    boxed = spark.createDataFrame(grid, "unique_scene string, side string, x double, y double, z double")
+    alone = boxed.where("x < 6").withColumn("side", F.lit(side))
+    got = regions.region_verdict(boxed, alone, 0.5).first()
+    assert (got.left_ratio, got.right_ratio) == ((0.6, -1.0) if side == "left" else (-1.0, 0.6))
+
+
 def test_every_nth_counts_over_groups(spark):
     rows = [(f"b{i // 7}", f"b{i // 7}_{i:03d}") for i in range(40)]
     df = spark.createDataFrame(rows, "bag string, k string")
