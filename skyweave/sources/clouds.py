@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyweave.operators.poses import marker_points
+from skyweave.sources.scene_files import write_by_scene
 
 # The header of a coloured polygon file, the grey of its points and the colours of its markers.
 PLY_HEAD = "ply\nformat ascii 1.0\nelement vertex {n}\nproperty float x\nproperty float y\nproperty float z\nproperty uchar red\nproperty uchar green\nproperty uchar blue\nend_header"
@@ -53,11 +54,6 @@ def write_marked_ply(points: DataFrame, order: list[str], kps: DataFrame, path:
     body = vertices.select("unique_scene", "_part", "_at", "_k", F.format_string("%.6f %.6f %.6f %d %d %d", "x", "y", "z", *(F.get("_c", i) for i in range(3))).alias("value"))
     n = vertices.groupBy("unique_scene").agg(F.count("*").cast("string").alias("n"))
     head = n.select("unique_scene", F.lit(0).alias("_part"), nothing.alias("_at"), F.lit(0).alias("_k"), F.replace(F.lit(PLY_HEAD), F.lit("{n}"), F.col("n")).alias("value"))
-    _by_scene(head.unionByName(body), ["_part", "_at", "_k", "value"], f"{path}/clouds")
+    write_by_scene(head.unionByName(body), ["_part", "_at", "_k", "value"], f"{path}/clouds")
     said = F.format_string("%s: xyz=(%.3f,%.3f,%.3f) rgb=(%d,%d,%d)", "kp_name", "x", "y", "z", *(F.get("_c", i) for i in range(3)))
-    _by_scene(shown.select("unique_scene", "_k", said.alias("value")), ["_k"], f"{path}/legends")
-
-
-def _by_scene(lines: DataFrame, order: list[str], path: str) -> None:
-    """One file per scene, its lines in order, sorted and not gathered."""
-    lines.repartition("unique_scene").sortWithinPartitions("unique_scene", *order).select("unique_scene", "value").write.partitionBy("unique_scene").text(path)
+    write_by_scene(shown.select("unique_scene", "_k", said.alias("value")), ["_k"], f"{path}/legends")

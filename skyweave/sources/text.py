@@ -1,7 +1,7 @@
 """Text formats: point clouds, label files, name lists, catalogues and reports, read and written by Spark.
 
 Point clouds are read line by line, so that a file may have any size; other files are read whole, one row each, so that one has to fit in a task and under
-2 GB. All are taken apart with column expressions, and written in folders by scene, so that any number of tasks can write them. Every reader gives `path`.
+2 GB. All are taken apart with column expressions, and written by scene, so that any number of tasks can write them. Every reader gives `path`.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from skyweave.functions.names import norm_name, split_from_path
 from skyweave.sources.clouds import cloud_lines
+from skyweave.sources.scene_files import write_by_scene
 
 # Headers of the formats.
 PCD_HEAD = "# .PCD v0.7 - Point Cloud Data file format\nVERSION 0.7\nFIELDS x y z\nSIZE 4 4 4\nTYPE F F F\nCOUNT 1 1 1\nWIDTH {n}\nHEIGHT 1\nVIEWPOINT 0 0 0 1 0 0 0\nPOINTS {n}\nDATA ascii"
@@ -58,8 +59,8 @@ def _lines(files: DataFrame) -> DataFrame:
 
 def scene_of(path: Column) -> Column:
     """The scene in a path's last `unique_scene=` folder, else its file name without extension."""
-    folder = F.regexp_extract(path, ".*unique_scene=([^/]+)/", 1)
-    return F.url_decode(F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)))
+    folder = F.regexp_extract(path, "^.*unique_scene=([^/]+)/", 1)  # tried from one place only, as paths are long
+    return F.url_decode(F.when(folder != "", folder).otherwise(F.regexp_extract(F.substring_index(path, "/", -1), r"^(.+?)(\.[^.]*)?$", 1)))
 
 
 def _cloud(spark: SparkSession, root: str, glob: str, count: str, start: str, readable: str) -> DataFrame:
@@ -81,18 +82,13 @@ def scan_ply(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return found.withColumns({k: colour(i) for i, k in enumerate(("red", "green", "blue"), 3)}).drop("_line")
 
 
-def _write_by_scene(lines: DataFrame, order: list[str], path: str) -> None:
-    """One file per scene, its lines (column value) in order; the rows are sorted, not gathered, so that a scene of any size takes bounded memory."""
-    lines.repartition("unique_scene").sortWithinPartitions("unique_scene", *order).select("unique_scene", "value").write.partitionBy("unique_scene").text(path)
-
-
 def _write_cloud(points: DataFrame, order: list[str], path: str, head: str) -> None:
     line = F.format_string("%.6f %.6f %.6f", "x", "y", "z")
     body = points.select("unique_scene", F.lit(1).alias("_part"), F.struct(*order).alias("_at"), line.alias("value"))
     n = points.groupBy("unique_scene").agg(F.count("*").cast("string").alias("n"))
     nothing = F.lit(None).cast(body.schema["_at"].dataType)
     header = n.select("unique_scene", F.lit(0).alias("_part"), nothing.alias("_at"), F.replace(F.lit(head), F.lit("{n}"), F.col("n")).alias("value"))
-    _write_by_scene(header.unionByName(body), ["_part", "_at"], path)
+    write_by_scene(header.unionByName(body), ["_part", "_at"], path)
 
 
 def write_pcd(points: DataFrame, order: list[str], path: str) -> None:
@@ -115,7 +111,7 @@ def write_labels(scenes: DataFrame, lines: DataFrame, path: str) -> None:
     """One label file per scene with its lines (unique_scene, line_no, text) in order; scenes without lines have a file with
     a blank line only."""
     joined = scenes.select("unique_scene").distinct().join(lines.select("unique_scene", "line_no", "text"), "unique_scene", "left")
-    _write_by_scene(joined.withColumn("value", F.coalesce("text", F.lit(""))), ["line_no"], path)
+    write_by_scene(joined.withColumn("value", F.coalesce("text", F.lit(""))), ["line_no"], path)
 
 
 def scan_class_names(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
